@@ -35,6 +35,12 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_documents(load(spark, sf_dir, "documents"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix_sizes
+
+    return mix_sizes(load(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_dedup
 
@@ -46,6 +52,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_html_extraction": op1_html_extraction,
         "op2_byte_bpe": op2_byte_bpe,
         "op8_secret_scan": op8_secret_scan,
+        "op9_mixing": op9_mixing,
         "op10_exact_dedup": op10_exact_dedup,
     }
 
@@ -61,4 +68,27 @@ w AS (SELECT doc_id, norm,
              first_value(doc_id) OVER (PARTITION BY norm ORDER BY points DESC, doc_id NULLS LAST) AS keep_id,
              count(*) OVER (PARTITION BY norm) AS group_size FROM t)
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256 FROM w""",
+        "op9_mixing": r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                  md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS key FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source),
+c AS (SELECT *, [5, 2, 1][place % 3 + 1]::DOUBLE AS weight, (source_size * 2)::DOUBLE AS cap, cap / weight AS ratio FROM s),
+v AS (SELECT *, (sum(source_size) OVER () * 1.5 - (sum(cap) OVER o - cap)) / sum(weight) OVER (ORDER BY ratio, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+      FROM c WINDOW o AS (ORDER BY ratio, place ROWS UNBOUNDED PRECEDING)),
+f AS (SELECT place AS free_place, ratio AS free_ratio, level AS free_level FROM v WHERE level <= ratio ORDER BY ratio, place LIMIT 1),
+t AS (SELECT v.*, CASE WHEN free_place IS NULL OR (ratio, place) < (free_ratio, free_place) THEN cap ELSE weight * free_level END AS target,
+             greatest(1, ceil(source_size / 200000))::BIGINT AS n_blocks FROM v LEFT JOIN f ON true),
+g AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS passes,
+             CASE WHEN source_size > 0 THEN floor(target - floor(target / source_size) * source_size) ELSE 0 END::BIGINT AS rest FROM t),
+r AS (SELECT d.doc_id, d.size, d.key, g.source_size, g.target, g.place, g.passes, g.rest, ('0x' || substr(d.key, 1, 8))::BIGINT % n_blocks AS block
+      FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+b AS (SELECT place, block, rest, sum(size)::BIGINT AS words, md5('7:' || place || ':' || block) AS turn FROM r GROUP BY place, block, rest),
+u AS (SELECT *, sum(words) OVER (PARTITION BY place ORDER BY turn, block ROWS UNBOUNDED PRECEDING) AS upto FROM b),
+k AS (SELECT r.place, r.block, r.key, sum(r.size) AS words, count(*) AS same, u.rest - u.upto + u.words AS part
+      FROM r JOIN u ON r.place = u.place AND r.block = u.block WHERE u.upto > u.rest AND u.upto - u.words < u.rest GROUP BY ALL),
+l AS (SELECT *, sum(words) OVER (PARTITION BY place, block ORDER BY key ROWS UNBOUNDED PRECEDING) AS upto FROM k),
+m AS (SELECT place, block, key AS cut, floor((part - upto + words) / same)::BIGINT AS cut_words FROM l WHERE upto > part AND upto - words <= part)
+SELECT r.doc_id, r.size, r.source_size, r.target,
+       (r.size * (r.passes + CASE WHEN u.upto <= r.rest THEN 1 ELSE 0 END) + CASE WHEN r.key < m.cut THEN r.size WHEN r.key = m.cut THEN m.cut_words ELSE 0 END)::BIGINT AS taken
+FROM r JOIN u ON r.place = u.place AND r.block = u.block LEFT JOIN m ON r.place = m.place AND r.block = m.block""",
     }
