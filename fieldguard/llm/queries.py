@@ -29,6 +29,12 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(load(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False)
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license_scan import scan_licenses
+
+    return scan_licenses(load(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secret_scan import scan_documents
 
@@ -51,6 +57,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": op1_html_extraction,
         "op2_byte_bpe": op2_byte_bpe,
+        "op7_license_scan": op7_license_scan,
         "op8_secret_scan": op8_secret_scan,
         "op9_mixing": op9_mixing,
         "op10_exact_dedup": op10_exact_dedup,
@@ -61,7 +68,10 @@ _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import license_scan
+
     return {
+        "op7_license_scan": license_scan.oracle(),
         "op10_exact_dedup": f"""
 WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS points, {_NORMAL} AS norm FROM documents),
 w AS (SELECT doc_id, norm,
