@@ -29,6 +29,12 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(load(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False)
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import near_duplicates
+
+    return near_duplicates(load(spark, sf_dir, "documents"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .license_scan import scan_licenses
 
@@ -57,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": op1_html_extraction,
         "op2_byte_bpe": op2_byte_bpe,
+        "op6_jaccard_join": op6_jaccard_join,
         "op7_license_scan": op7_license_scan,
         "op8_secret_scan": op8_secret_scan,
         "op9_mixing": op9_mixing,
