@@ -29,6 +29,14 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(load(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False)
 
 
+def op5_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .ann import nearest
+
+    return nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import near_duplicates
 
@@ -63,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": op1_html_extraction,
         "op2_byte_bpe": op2_byte_bpe,
+        "op5_ann_search": op5_ann_search,
         "op6_jaccard_join": op6_jaccard_join,
         "op7_license_scan": op7_license_scan,
         "op8_secret_scan": op8_secret_scan,
