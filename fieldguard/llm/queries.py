@@ -29,6 +29,19 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(load(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=False)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import fit, score_documents
+
+    docs = load(spark, sf_dir, "documents")
+    return score_documents(docs, fit(docs, load(spark, sf_dir, "labels")))
+
+
+def op4_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_count import count_tokens
+
+    return count_tokens(load(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
+
+
 def op5_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -71,6 +84,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": op1_html_extraction,
         "op2_byte_bpe": op2_byte_bpe,
+        "op3_toxicity": op3_toxicity,
+        "op4_token_count": op4_token_count,
         "op5_ann_search": op5_ann_search,
         "op6_jaccard_join": op6_jaccard_join,
         "op7_license_scan": op7_license_scan,
