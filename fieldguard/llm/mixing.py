@@ -187,7 +187,7 @@ def mix_sizes(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
 
 def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """docs as the mix takes them, a row for each draw, with the draw's fg_shard.
+    """docs as the mix takes them, a row for each draw, with the draw's fg_shard and the row's fg_key.
 
     A draw in part takes whole documents: those of which it takes at least half of the words. Documents
     without words go with their block. Null sources, repeated rows and empty tables as in mix_sizes.
@@ -198,10 +198,10 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     plan = plan.select(*[F.col(c).alias(f"fg_{c}") for c in ("place", "block", "draws", "cut", "cut_words")])
     out = rows.join(s, F.col("fg.source").eqNullSafe(F.col("fg_source"))).withColumn("fg_block", _block(F.col("fg.key"), F.col("fg_size"), mix)).join(plan, ["fg_place", "fg_block"])
     half = F.when(F.col("fg.key") < F.col("fg_cut"), True).when(F.col("fg.key") == F.col("fg_cut"), F.col("fg_cut_words") * 2 >= F.greatest(F.col("fg.size"), F.lit(1))).otherwise(False)
-    return out.select(*docs.columns, "fg.key", F.explode(F.filter("fg_draws", lambda d: ~d["in_part"] | half)).alias("fg_draw")).withColumn("fg_shard", F.col("fg_draw.shard")).drop("fg_draw")
+    return out.select(*docs.columns, F.col("fg.key").alias("fg_key"), F.explode(F.filter("fg_draws", lambda d: ~d["in_part"] | half)).alias("fg_draw")).withColumn("fg_shard", F.col("fg_draw.shard")).drop("fg_draw")
 
 
 def mix_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """mixed(docs) with fg_position: the shuffled order within each shard, which holds a bounded number of blocks."""
-    local = Window.partitionBy("fg_shard").orderBy(F.md5(F.concat_ws(":", "fg_shard", "key")))
-    return mixed(docs, mix).withColumn("fg_position", F.row_number().over(local)).drop("key")
+    local = Window.partitionBy("fg_shard").orderBy(F.md5(F.concat_ws(":", "fg_shard", "fg_key")))
+    return mixed(docs, mix).withColumn("fg_position", F.row_number().over(local)).drop("fg_key")
