@@ -38,7 +38,7 @@ class Rules:
     entries: size of the lexicon; window: words on either side of a hit; stem: letters of the shortest stem.
     """
 
-    sample: int = 8_000
+    sample: int = 4_000
     entries: int = 2_000
     least_docs: int = 3
     least_weight: float = 1.5
@@ -238,10 +238,15 @@ def learn(texts: list[str], toxic: list[int], rules: Rules) -> Model:
     """Lexicon by smoothed log-odds of document counts, then logistic regression on out-of-fold features."""
     n1 = max(1, sum(toxic))
     n0 = max(1, len(toxic) - sum(toxic))
+    seen = Counter()
+    for t, y in zip(texts, toxic):
+        if y:
+            seen.update(candidates(t, rules))
+    kept = {term for term, k in seen.items() if k >= rules.least_docs}  # others can't enter the lexicon
     counts = {0: Counter(), 1: Counter()}
     sets = []
     for t, y in zip(texts, toxic):
-        c = candidates(t, rules)
+        c = tuple(candidates(t, rules) & kept)
         sets.append((c, y))
         counts[y].update(c)
 
