@@ -29,7 +29,9 @@ from .common import connected_components, materialize, text_bytes
 #: Texts handled at once by a worker, by bytes; one longer text is handled alone.
 CHUNK_BYTES = 1 << 20
 #: Counters of the corpus sketch: a fixed number whatever the corpus.
-SKETCH = 1 << 17
+SKETCH = 1 << 18
+#: Counters that travel together.
+SKETCH_PART = 1 << 14
 #: Bits of the parity sketch whose Hamming distance bounds the symmetric difference of two sets from below.
 PARITY_WORDS = 16
 
@@ -186,24 +188,35 @@ def parity(x: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.uint64)
 
 
+_FIRST = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("key", pa.binary()), ("bits", pa.binary())])
+
+
 def _keys(k: int):
-    """Pass one: (doc_id, n, key) for each row and, with n < 0, the partition's share of the corpus sketch."""
+    """Pass one: (doc_id, n, key, parity bits) for each row and, with n < 0, the task's share of the corpus sketch in bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(SKETCH, np.int64)
         for x in chunked(batches):
             sets, b = shingles(x["text"], k)
-            np.add.at(sketch, ((sets >> np.uint64(20)) % np.uint64(SKETCH)).astype(np.int64), 1)
-            keys = [hashlib.blake2b(sets[b[i] : b[i + 1]].tobytes(), digest_size=16).digest() for i in range(len(x["text"]))]
-            yield pa.RecordBatch.from_arrays([pa.array(x["doc_id"], pa.int64()), pa.array(np.diff(b), pa.int64()), pa.array(keys, pa.binary())], names=["doc_id", "n", "key"])
-        used = np.flatnonzero(sketch)
-        for i in range(0, len(used), 1 << 14):
-            slots = used[i : i + (1 << 14)]
-            yield pa.RecordBatch.from_arrays([pa.array(sketch[slots], pa.int64()), pa.array(-1 - slots, pa.int64()), pa.array([None] * len(slots), pa.binary())], names=["doc_id", "n", "key"])
+            sketch += np.bincount(((sets >> np.uint64(20)) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+            own = [sets[b[i] : b[i + 1]] for i in range(len(x["text"]))]
+            keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in own]
+            rows = x["doc_id"], np.diff(b), keys, [parity(s).tobytes() for s in own]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, _FIRST)], schema=_FIRST)
+        used = [i for i in range(SKETCH // SKETCH_PART) if sketch[i * SKETCH_PART : (i + 1) * SKETCH_PART].any()]
+        rows = [None] * len(used), [-1 - i for i in used], [None] * len(used), [sketch[i * SKETCH_PART : (i + 1) * SKETCH_PART].astype("<i8").tobytes() for i in used]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, _FIRST)], schema=_FIRST)
 
     return run
 
 
+def _sum_sketches(key, table):
+    total = np.zeros(SKETCH_PART, np.int64)
+    for bits in table.column("bits").to_pylist():
+        total += np.frombuffer(bits, "<i8")
+    return pa.table({"n": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([total.tobytes()], pa.binary())})
+
+
 def _emit_signatures(cost, join: Join, buckets: int):
     """(bucket, sigs, at, ids): packed signatures of a chunk of sets, and the sets whose ids they are."""
 
@@ -266,8 +279,25 @@ def _groups(key, table):
     return pa.table([pa.array([v[0] for v in found.values()], _GROUPS.types[0]), pa.array([v[1] for v in found.values()], _GROUPS.types[1])], schema=_GROUPS)
 
 
+def _plausible(pairs: DataFrame, reps: DataFrame, join: Join) -> DataFrame:
+    """The (a, b) of pairs that sizes and parity bits allow to link."""
+    of = lambda c: reps.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_a, n_b = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
+            bits = [np.frombuffer(b"".join(batch.column(f"bits_{c}").to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in "ab"]
+            most = (n_a + n_b) * (join.den - join.num) // (join.den + join.num)
+            fine = (np.abs(n_a - n_b) <= most) & (np.bitwise_count(bits[0] ^ bits[1]).sum(1) <= most)
+            yield batch.select(["a", "b"]).filter(pa.array(fine))
+
+    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a long, b long")
+
+
 #: Members of one centre that a verifying task takes at once.
 STAR = 512
+#: Of the bitmap of wanted documents, at most 2 ** MOST_BITS bits.
+MOST_BITS = 27
 
 
 def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
@@ -280,17 +310,33 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, join: Join) ->
     to_b = pairs.join(sizes, "a").select(F.col("b").alias("rep"), F.struct(F.col("a").alias("centre"), (F.col("salt") % F.col("salts")).cast("int").alias("salt")).alias("to"))
     to_a = sizes.select(F.col("a").alias("rep"), F.explode(F.sequence(F.lit(0), F.col("salts").cast("int") - 1)).alias("salt")).select("rep", F.struct(F.col("rep").alias("centre"), "salt").alias("to"))
     wanted = materialize(to_b.union(to_a))
-    need = wanted.select("rep").distinct()
-    texts = docs.join(reps.join(need, "rep", "left_semi"), docs["doc_id"] == reps["rep"]).select("rep", "key", "text")
+    need = reps.join(wanted.select("rep").distinct(), "rep", "left_semi").select("rep", "key")
+    # a bitmap of the wanted documents, of bounded size, spares the others the shuffle; the join decides
+    n_bits = 1 << min(MOST_BITS, max(15, (16 * need.count()).bit_length()))
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(n_bits))
+    parts = need.select((place("rep") + 1).alias("h")).groupBy(F.bitmap_bucket_number("h").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("bits")).collect()
+    bitmap = bytearray(n_bits // 8)
+    for r in parts:
+        at = (r["part"] - 1) * 4096
+        bitmap[at : at + 4096] = r["bits"][: n_bits // 8 - at]
+    bitmap = docs.sparkSession.sparkContext.broadcast(bytes(bitmap))
 
     def sets_of(batches):
-        for x in chunked(batches):
+        bits = np.frombuffer(bitmap.value, np.uint8)
+
+        def wanted_only():
+            for batch in batches:
+                h = batch.column("h").to_numpy()
+                yield batch.filter(pa.array((bits[(h >> 3)] >> (h & 7).astype(np.uint8)) & 1 == 1))
+
+        for x in chunked(wanted_only()):
             sets, b = shingles(x["text"], join.words)
             own = [sets[b[i] : b[i + 1]].tobytes() for i in range(len(x["text"]))]
-            right = [i for i, s in enumerate(own) if hashlib.blake2b(s, digest_size=16).digest() == x["key"][i]]
-            yield pa.RecordBatch.from_arrays([pa.array([x["rep"][i] for i in right], pa.int64()), pa.array([own[i] for i in right], pa.binary())], names=["rep", "set"])
+            keys = [hashlib.blake2b(s, digest_size=16).digest() for s in own]
+            yield pa.RecordBatch.from_arrays([pa.array(x["doc_id"], pa.int64()), pa.array(keys, pa.binary()), pa.array(own, pa.binary())], names=["doc_id", "own_key", "set"])
 
-    sets = texts.mapInArrow(sets_of, "rep long, set binary")
+    sets = docs.where("doc_id is not null").select("doc_id", place("doc_id").alias("h"), "text").mapInArrow(sets_of, "doc_id long, own_key binary, set binary")
+    sets = sets.join(need, (F.col("doc_id") == F.col("rep")) & (F.col("own_key") == F.col("key"))).select("rep", "set")
     dealt = wanted.join(sets, "rep").select("to.centre", "to.salt", "rep", "set")
 
     def decide(key, table):
@@ -310,16 +356,56 @@ def _verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, join: Join) ->
     return materialize(dealt.groupBy("centre", "salt").applyInArrow(decide, "a long, b long"))
 
 
-def similarity_classes(docs: DataFrame, join: Join = Join(), rounds: int = 3) -> DataFrame:
+#: Members of a group that one task compares with each other at once.
+BLOCK = 2048
+
+
+def _near(best: bool, join: Join):
+    """Pairs of a block of one group, or of two of its blocks, that the sizes and parity bits allow to link: in
+    different components, one of them probing. best: for each member only its nearest partner, and how many it has."""
+
+    def run(key, table):
+        i, j = key[1].as_py(), key[2].as_py()
+        node, n, component = (table.column(c).to_numpy() for c in ("node", "n", "component"))
+        probe, block = table.column("probe").to_numpy(), table.column("block").to_numpy()
+        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(node), -1)
+        left, right = (np.flatnonzero(block == i), np.flatnonzero(block == j))
+        rows = []
+        for at in range(0, len(left), 128):
+            x = left[at : at + 128]
+            apart = np.zeros((len(x), len(right)), np.int32)
+            for w in range(bits.shape[1]):
+                apart += np.bitwise_count(bits[x, w][:, None] ^ bits[right, w][None])
+            most = (n[x][:, None] + n[right][None]) * (join.den - join.num) // (join.den + join.num)
+            fine = (apart <= most) & (np.abs(n[x][:, None] - n[right][None]) <= most) & (component[x][:, None] != component[right][None]) & (probe[x][:, None] | probe[right][None])
+            if best:
+                apart = np.where(fine, apart, 1 << 20)
+                for side, other, a, f in ((x, right, apart, fine), (right, x, apart.T, fine.T)) if i != j else ((x, right, apart, fine),):
+                    nearest = a.argmin(1)
+                    ok = np.flatnonzero(f.any(1))
+                    rows.append((node[side[ok]], node[other[nearest[ok]]], a[ok, nearest[ok]], f[ok].sum(1)))
+            else:
+                p, q = np.nonzero(fine)
+                a, b = node[x[p]], node[right[q]]
+                rows.append((np.maximum(a, b), np.minimum(a, b), apart[p, q], np.ones(len(p), np.int64)))
+        cols = [np.concatenate(c) if rows else np.zeros(0, np.int64) for c in (zip(*rows) if rows else ((),) * 4)]
+        out = pa.table({c: pa.array(v.astype(np.int64)) for c, v in zip(("a", "b", "apart", "k"), cols)})
+        return out.group_by(["a", "b"]).aggregate([("apart", "min"), ("k", "max")]).rename_columns(["a", "b", "apart", "k"]) if not best else out
+
+    return run
+
+
+def similarity_classes(docs: DataFrame, join: Join = Join(), rounds: int = 2) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of docs: see near_duplicates for the rules."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
-    first = materialize(docs.mapInArrow(_keys(join.words), "doc_id long, n long, key binary"))
-    rows = first.where("n >= 0")
-    reps = materialize(rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")).where("rep is not null"))
-    counts = first.where("n < 0").groupBy("n").agg(F.sum("doc_id").alias("c")).toPandas()  # at most SKETCH rows
+    first = materialize(docs.mapInArrow(_keys(join.words), "doc_id long, n long, key binary, bits binary"))
+    rows = first.where("n >= 0").drop("bits")
+    reps = materialize(first.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.max("bits").alias("bits")).where("rep is not null"))
+    counts = first.where("n < 0").select("n", "bits").groupBy("n").applyInArrow(_sum_sketches, "n long, bits binary").collect()  # SKETCH numbers in all
     cost = np.zeros(SKETCH, np.int64)
-    cost[-1 - counts["n"].to_numpy(np.int64)] = counts["c"].to_numpy(np.int64)
+    for r in counts:
+        cost[(-1 - r["n"]) * SKETCH_PART :][:SKETCH_PART] = np.frombuffer(r["bits"], "<i8")
     cost = spark.sparkContext.broadcast(cost.tobytes())
     total = reps.agg(F.sum("n")).first()[0] or 0
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // 3_000_000))
@@ -332,27 +418,36 @@ def similarity_classes(docs: DataFrame, join: Join = Join(), rounds: int = 3) ->
         join = Join(join.words, join.num, join.den, join.slack * 2 + 0.1, join.deletions)
     x = groups.select(F.xxhash64("members").alias("g"), F.explode(F.arrays_zip("members", "probes")).alias("x"))
     members = materialize(x.groupBy("g", F.col("x.members").alias("node")).agg(F.max("x.probes").alias("probe")))
-    links: DataFrame | None = None
-    for turn in range(rounds + 1):
-        if links is None:
-            g = members.withColumn("component", F.col("node"))
-        else:
-            g = members.join(connected_components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
-            apart = g.groupBy("g").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 != c2").select("g")
-            members = g = materialize(g.join(apart, "g"))
-            if g.isEmpty():
-                break
-            members = g.drop("component")
-        if turn < rounds:  # one centre for each member: the first probing one of its groups, another order in each round
-            order = F.col("node") if turn == 0 else F.xxhash64(F.lit(turn), F.col("node"))
-            centre = g.where("probe").groupBy("g").agg(F.min(F.struct(order.alias("o"), F.col("node").alias("centre"), F.col("component").alias("c"))).alias("m"))
-            star = g.join(centre, "g").where("component != m.c").groupBy("node").agg(F.min("m").alias("m"))
-            pairs = star.select(F.col("m.centre").alias("a"), F.col("node").alias("b"))
-        else:  # what is left: members of one group in different components, all against the probing ones
-            p = g.where("probe").select("g", F.col("node").alias("p"), F.col("component").alias("pc"))
-            pairs = g.join(p, "g").where("component != pc").select(F.greatest("p", "node").alias("a"), F.least("p", "node").alias("b")).distinct()
+    # round one: one centre for each member, the first probing one of its groups
+    centre = members.where("probe").groupBy("g").agg(F.min("node").alias("centre"))
+    star = members.join(centre, "g").where("node != centre").groupBy("node").agg(F.min("centre").alias("centre"))
+    star = star.select(F.col("centre").alias("a"), F.col("node").alias("b"))
+    links = _verified(materialize(_plausible(star, reps, join)), reps, docs, join)
+    for turn in range(rounds):
+        # groups in which several components are left, with what the bounds need
+        g = members.join(connected_components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        apart = g.groupBy("g").agg(F.count("*").alias("size"), F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 != c2").select("g", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+        members = materialize(g.join(apart, "g").select("g", "node", "probe", "component", "blocks"))
+        if members.isEmpty():
+            break
+        full = members.join(reps.select(F.col("rep").alias("node"), "n", "bits"), "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        # each block meets itself and every other block of its group
+        full = full.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("g", F.least("block", "j").alias("i"), F.greatest("block", "j").alias("j"), "node", "probe", "component", "n", "bits", "block")
+        full = full.repartition(partitions, "g", "i", "j")  # few bytes but many comparisons: not to be coalesced
+        best = materialize(full.groupBy("g", "i", "j").applyInArrow(_near(True, join), "a long, b long, apart long, k long"))
+        members = members.select("g", "node", "probe")
+        n_pairs, n_nodes = best.agg(F.sum("k"), F.count("*")).first()
+        if not n_nodes:
+            break
+        last = n_pairs <= max(50_000, 4 * n_nodes) or turn + 1 == rounds
+        if last:  # few enough: all of them
+            pairs = full.groupBy("g", "i", "j").applyInArrow(_near(False, join), "a long, b long, apart long, k long").select("a", "b").distinct()
+        else:  # each member with its nearest partner, as in a spanning tree's rounds
+            pairs = best.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("m")).select(F.greatest("a", "m.b").alias("a"), F.least("a", "m.b").alias("b")).distinct()
         found = _verified(pairs, reps, docs, join)
-        links = found if links is None else materialize(links.union(found))
+        links = materialize(links.union(found))
+        if last:
+            break
     part = connected_components(links)
     classes = reps.join(part, F.col("rep") == F.col("node"), "left").select(F.col("key").alias("c_key"), F.coalesce("component", "rep").alias("component_id"))
     return rows.join(classes, (F.col("key") == F.col("c_key")) & (F.col("n") > 0), "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
