@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from itertools import chain
 
 import pyarrow as pa
@@ -18,8 +19,10 @@ from pyspark.sql import functions as F
 from .common import by_rows, ship_file, text_bytes
 
 NO_TOKEN = -1
-#: Entries that a worker's caches hold; a full cache is emptied, which costs time only.
-CACHE_ENTRIES = 300_000
+#: Entries of a generation that a worker remembers.
+CACHE_ENTRIES = 500_000
+#: Prefixes, and pairs of tokens, that a worker stores.
+STORED = 700_000
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -48,13 +51,53 @@ class PrefixBPE:
                     break
             else:
                 self.unreachable.add(i)
-        #: Every suffix of a token, with its id where it is a token that merges can make.
-        self.suffix: dict[bytes, int] = {}
+        self._automaton()
+        self._forget()
+
+    def _automaton(self) -> None:
+        """Aho-Corasick over the tokens that merges can make: edges, failure links, and for each state the
+        tokens that end there, longest first."""
+        self.edge: dict[int, int] = {}
+        self.length = [0] * (max(self.token) + 1)
+        states, own = [(0, 0)], [NO_TOKEN]  # (parent, byte) of each state
         for i, t in self.token.items():
-            for cut in range(len(t)):
-                self.suffix.setdefault(t[cut:], NO_TOKEN)
-            if i not in self.unreachable:
-                self.suffix[t] = i
+            self.length[i] = len(t)
+            if i in self.unreachable:
+                continue
+            at = 0
+            for c in t:
+                nxt = self.edge.get(at << 8 | c)
+                if nxt is None:
+                    nxt = self.edge[at << 8 | c] = len(states)
+                    states.append((at, c))
+                    own.append(NO_TOKEN)
+                at = nxt
+            own[at] = i
+        depth = [0] * len(states)
+        for at in range(1, len(states)):
+            depth[at] = depth[states[at][0]] + 1
+        self.fail = [0] * len(states)
+        self.ends: list[tuple[int, ...]] = [()] * len(states)
+        for at in sorted(range(1, len(states)), key=depth.__getitem__):
+            parent, c = states[at]
+            self.fail[at] = self.follow(self.fail[parent], c) if parent else 0
+            ends = self.ends[self.fail[at]]
+            self.ends[at] = ends if own[at] == NO_TOKEN else (own[at], *ends)
+
+    def _forget(self) -> None:
+        """Empty the stored prefixes: a tree by bytes with each prefix's automaton state and last token."""
+        self.step: dict[int, int] = {}
+        self.last, self.state = array("i", [NO_TOKEN]), array("i", [0])
+        self.fits: dict[int, bool] = {}
+
+    def follow(self, state: int, c: int) -> int:
+        while True:
+            nxt = self.edge.get(state << 8 | c)
+            if nxt is not None:
+                return nxt
+            if not state:
+                return 0
+            state = self.fail[state]
 
     def stays(self, x: int, y: int) -> bool:
         """Whether token y can follow token x: undoing their merges, latest first, no merge across them comes earlier."""
@@ -71,18 +114,22 @@ class PrefixBPE:
             else:  # among equal merges the left one comes first, hence one more
                 before, y = y + 1, self.left[y]
 
-    def last_token(self, data: bytes | bytearray, end: int, last: list[int]) -> int:
-        """The only token that can end the encoding of data[:end], given those of shorter prefixes."""
-        suffix, found, size = self.suffix, [], 1
-        while size <= end:
-            i = suffix.get(bytes(data[end - size : end]))
-            if i is None:
-                break
-            if i >= 0:
-                found.append((size, i))
-            size += 1
-        for size, i in reversed(found):
-            if size == end or self.stays(last[end - size], i):
+    def fit(self, before: int, i: int) -> bool:
+        """stays(), remembered."""
+        fits = self.fits.get(before << 24 | i)
+        if fits is None:
+            fits = self.stays(before, i)
+            if len(self.fits) < STORED:
+                self.fits[before << 24 | i] = fits
+        return fits
+
+    def last_token(self, state: int, end: int, last) -> int:
+        """The only token that can end the encoding of a prefix of end bytes, given its state and last(shorter)."""
+        for i in self.ends[state]:
+            start = end - self.length[i]
+            if not start:
+                return i
+            if self.fit(last(start), i):
                 return i
         raise ValueError("the ranks lack a byte of the text")
 
@@ -92,16 +139,51 @@ class PrefixBPE:
             return []
         if (i := self.ranks.get(data)) is not None:
             return [i]
-        last = [NO_TOKEN]
-        for end in range(1, len(data) + 1):
-            last.append(self.last_token(data, end, last))
-        return self.read_off(last)
+        if len(data) > 64:  # prefixes too long to be worth storing
+            return PrefixTable(self, data).ids()
+        if len(self.last) > STORED:
+            self._forget()
+        step, stored, states, at, path = self.step, self.last, self.state, 0, [0]
+        edge, fail, ends, length, fits = self.edge, self.fail, self.ends, self.length, self.fits
+        for c in data:
+            nxt = step.get(at << 8 | c)
+            if nxt is None:  # follow() and last_token(), written out
+                state = states[at]
+                to = edge.get(state << 8 | c)
+                while to is None and state:
+                    state = fail[state]
+                    to = edge.get(state << 8 | c)
+                to = to or 0
+                n = len(path)
+                for i in ends[to]:
+                    start = n - length[i]
+                    if not start:
+                        break
+                    before = stored[path[start]]
+                    fit = fits.get(before << 24 | i)
+                    if fit is None:
+                        fit = self.fit(before, i)
+                    if fit:
+                        break
+                else:
+                    raise ValueError("the ranks lack a byte of the text")
+                nxt = step[at << 8 | c] = len(stored)
+                stored.append(i)
+                states.append(to)
+            path.append(nxt)
+            at = nxt
+        ids, end = [], len(data)
+        while end:
+            i = stored[path[end]]
+            ids.append(i)
+            end -= length[i]
+        return ids[::-1]
 
     def read_off(self, last: list[int]) -> list[int]:
         ids, end = [], len(last) - 1
         while end:
             ids.append(last[end])
-            end -= len(self.token[last[end]])
+            end -= self.length[last[end]]
         return ids[::-1]
 
     def decode(self, ids: list[int]) -> bytes:
@@ -109,32 +191,35 @@ class PrefixBPE:
 
 
 class PrefixTable:
-    """The encoding of one growing or edited piece."""
+    """The encoding of one growing or edited piece: for each prefix its automaton state and its last token."""
 
     def __init__(self, bpe: PrefixBPE, data: bytes = b""):
-        self.bpe, self.data, self.last = bpe, bytearray(), [NO_TOKEN]
+        self.bpe, self.data, self.last, self.state = bpe, bytearray(), [NO_TOKEN], [0]
         self.append(data)
 
+    def _extend(self, c: int) -> None:
+        self.state.append(self.bpe.follow(self.state[-1], c))
+        self.last.append(self.bpe.last_token(self.state[-1], len(self.last), self.last.__getitem__))
+
     def append(self, data: bytes) -> None:
-        at = len(self.data)
         self.data += data
-        for end in range(at + 1, len(self.data) + 1):
-            self.last.append(self.bpe.last_token(self.data, end, self.last))
+        for c in data:
+            self._extend(c)
 
     def replace(self, start: int, stop: int, data: bytes) -> int:
         """Put data in the place of [start, stop); returns how many entries had to be made anew."""
-        tail, longest = self.last[stop + 1 :], max(map(len, self.bpe.ranks))
+        last, state, longest = self.last[stop + 1 :], self.state[stop + 1 :], max(self.bpe.length)
         self.data[start:stop] = data
-        del self.last[start + 1 :]
+        del self.last[start + 1 :], self.state[start + 1 :]
         agree = made = 0
         for end in range(start + 1, len(self.data) + 1):
-            old = end - start - len(data) - 1
-            i = self.bpe.last_token(self.data, end, self.last)
+            self._extend(self.data[end - 1])
             made += 1
-            self.last.append(i)
-            agree = agree + 1 if old >= 0 and tail[old] == i else 0
-            if agree >= longest and old + 1 >= longest:  # from here on both tables follow the same rule from the same entries
-                self.last += tail[old + 1 :]
+            old = end - start - len(data) - 1
+            agree = agree + 1 if old >= 0 and last[old] == self.last[-1] and state[old] == self.state[-1] else 0
+            if agree >= longest:  # from here on both tables follow the same rule from the same entries
+                self.last += last[old + 1 :]
+                self.state += state[old + 1 :]
                 break
         return made
 
@@ -145,43 +230,63 @@ class PrefixTable:
         return self.bpe.read_off(self.last)
 
 
+class Remembered(dict):
+    """What make gives for a key. A full generation becomes the old one, so that frequent keys stay; both are bounded."""
+
+    def __init__(self, make, most: int = CACHE_ENTRIES):
+        super().__init__()
+        self.make, self.most, self.old = make, most, {}
+
+    def __missing__(self, key: str):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+            if len(key) > 64:
+                return value
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class TextEncoder:
-    """Encodes whole texts: each match of the pattern separately, repeated chunks from a bounded cache."""
+    """Encodes whole texts: each match of the pattern separately, repeated chunks remembered.
+
+    A chunk is what follows a space up to the next one; a space before anything but white space always starts
+    a match, so chunks are encoded apart. Texts with other spaces are matched whole.
+    """
 
     def __init__(self, bpe: PrefixBPE, pattern: str):
         import regex
 
         self.bpe, self.find = bpe, regex.compile(pattern).findall
-        #: A space before white space or at the end does not start the next match; such texts are matched whole.
         self.odd = regex.compile(r" [\s\x1c-\x1f]| $").search
-        self.pieces: dict[str, tuple[int, ...]] = {}
-        self.chunks: dict[str, tuple[int, ...]] = {}
-
-    def piece(self, s: str) -> tuple[int, ...]:
-        ids = self.pieces.get(s)
-        if ids is None:
-            ids = tuple(self.bpe.encode_piece(s.encode()))
-            if len(s) <= 64:
-                if len(self.pieces) >= CACHE_ENTRIES:
-                    self.pieces.clear()
-                self.pieces[s] = ids
-        return ids
-
-    def chunk(self, s: str) -> tuple[int, ...]:
-        ids = self.chunks.get(s)
-        if ids is None:
-            ids = tuple(chain.from_iterable(map(self.piece, self.find(s))))
-            if len(s) <= 64:
-                if len(self.chunks) >= CACHE_ENTRIES:
-                    self.chunks.clear()
-                self.chunks[s] = ids
-        return ids
+        self.names = {i: str(i) for i in bpe.token}
+        self.pieces = Remembered(lambda s: tuple(bpe.encode_piece(s.encode())), 150_000)
+        self.chunks = Remembered(lambda s: self._matches(" " + s))
+        self.digests = Remembered(lambda s: self._digest(self._matches(" " + s)))
+
+    def _matches(self, s: str) -> tuple[int, ...]:
+        return tuple(chain.from_iterable(map(self.pieces.__getitem__, self.find(s))))
+
+    def _digest(self, ids: tuple[int, ...]) -> tuple[str, bytes]:
+        return " ".join(map(self.names.__getitem__, ids)), self.bpe.decode(ids)
 
     def encode(self, text: str) -> list[int]:
         if self.odd(text):
-            return list(chain.from_iterable(map(self.piece, self.find(text))))
-        head, *rest = text.split(" ")  # a space before anything else always starts a match
-        return list(chain(self.chunk(head), *[self.chunk(" " + x) for x in rest]))
+            return list(self._matches(text))
+        head, *rest = text.split(" ")
+        return list(chain(self._matches(head), chain.from_iterable(map(self.chunks.__getitem__, rest))))
+
+    def encode_decode(self, text: str) -> tuple[str, bytes]:
+        """The ids as text, joined by one space, and what they decode to."""
+        if self.odd(text):
+            return self._digest(self._matches(text))
+        head, *rest = text.split(" ")
+        parts = [self._digest(self._matches(head))] if head else []
+        parts += map(self.digests.__getitem__, rest)
+        return " ".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
 
 
 _ENCODERS: dict[str, TextEncoder] = {}
@@ -213,20 +318,21 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, with_ids: b
 
     def run(batches):
         encoder = text_encoder(raw.value, pattern)
-        names = {i: str(i) for i in encoder.bpe.token}
 
         def rows(x):
             out = {name: [] for name, _ in fields}
             out["doc_id"] = x["doc_id"]
             for text in x["text"]:
-                ids = encoder.encode(text.decode())
-                decoded = encoder.bpe.decode(ids)
-                out["n_tokens"].append(len(ids))
-                out["ids_sha256"].append(hashlib.sha256(" ".join(map(names.__getitem__, ids)).encode()).hexdigest())
-                out["decoded_sha256"].append(hashlib.sha256(decoded).hexdigest())
                 if with_ids:
+                    ids = encoder.encode(text.decode())
+                    shown, decoded = encoder._digest(ids)
                     out["ids"].append(ids)
                     out["decoded"].append(decoded)
+                else:
+                    shown, decoded = encoder.encode_decode(text.decode())
+                out["n_tokens"].append(shown.count(" ") + 1 if shown else 0)
+                out["ids_sha256"].append(hashlib.sha256(shown.encode()).hexdigest())
+                out["decoded_sha256"].append(hashlib.sha256(decoded).hexdigest())
             return out
 
         yield from by_rows(rows, pa.schema(fields))(batches)
