@@ -530,7 +530,7 @@ def tool_calls(spark, d, binary: str = "block") -> DataFrame:
     i = F.col("page_id")
     block = lambda kind, text, data=None: F.struct(F.lit(kind).alias("type"), (text if isinstance(text, Column) else F.lit(text)).cast("string").alias("text"), F.lit(data).cast("string").alias("data"))
     second = F.when(i % 5 == 0, block("image", None, "AAAA")).when(i % 5 == 1, block("video", None)).otherwise(block("text", F.concat(F.lit("k "), token(i))))
-    o = context.tool_result(F.array(block("text", F.substr("html", F.lit(1), F.lit(500))), second), binary=binary, error=i % 5 == 4)
+    o = context.tool_result(F.array(block("text", F.col("html")), second), binary=binary, error=i % 5 == 4)
     return table(spark, d, "pages").select(i, o.alias("o"))
 
 

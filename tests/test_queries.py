@@ -54,3 +54,21 @@ def test_no_python_on_the_default_path(spark, name):
 
 def test_entry(spark):
     assert Q.entry(spark, DATA).count() > 0
+
+
+def test_tool_queries_scan_whole_pages(spark, tmp_path):
+    """A private key far behind the start blocks the page, a token there is masked, and the byte limit of the texts holds."""
+    pem = "-----BEGIN " + "PRIVATE KEY-----\n" + "ab12" * 8 + "\n-----END " + "PRIVATE KEY-----"
+    key = "gh" + "p_" + "0123456789abcdef" * 2 + "0000"
+    pages = [(2, "u", "é" * 600 + " " + pem), (3, "u", "x " * 600 + key), (7, "u", "x" * 65_536), (8, "u", "x" * 65_537), (12, "u", None), (13, "u", "")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    d = str(tmp_path)
+    found = {r["page_id"]: (r["o"]["outcome"], r["o"]["reason"], r["o"]["code"], (r["o"]["texts"] or [None])[0]) for r in Q.tool_calls(spark, d).collect()}
+    assert found[2] == ("blocked", "policy", None, None)
+    assert found[3] == ("ok", None, None, "x " * 600 + "<SECRET_1>")
+    assert found[7][:3] == ("ok", None, None) and len(found[7][3]) == 65_536
+    assert found[8] == ("blocked", "limit_exceeded", "INPUT_LIMIT_EXCEEDED", None)
+    assert found[13] == ("ok", None, None, "")
+    assert {r["page_id"]: r["outcome"] for r in Q.QUERIES["tool_binary_policy"](spark, d).collect()}[2] == "blocked"
+    assert {r["page_id"]: r["sent"] for r in Q.QUERIES["wire_results"](spark, d).collect()}[2] != "value"
+    assert any(r["reason"] == "policy" and r["n"] == 1 for r in Q.QUERIES["audit_counts"](spark, d).collect())
