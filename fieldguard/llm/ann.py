@@ -2,8 +2,8 @@
 
 Vectors, scaled to length one, are product-quantised to four bits a subspace. Code books and codes minimise a
 loss that weighs the residual's part parallel to the vector more than the rest, since that part changes inner
-products with the queries that matter. Queries scan all codes, in blocks, by table look-ups; the best of them
-are ranked exactly on the original vectors.
+products with the queries that matter. Queries scan all codes, in blocks, by table look-ups; every code whose
+bound reaches the best found is ranked exactly on the original vector, so that no neighbour is lost.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import materialize
 
@@ -25,7 +26,8 @@ class Index:
     """sample: rows that code books are fitted on, those with the smallest hash of vec_id; every row is indexed.
 
     dims: dimensions of a subspace (16 centres each); threshold: cosine above which scores matter, which sets
-    the weight of the parallel residual; rerank: codes kept for each query and block, and for each query in all.
+    the weight of the parallel residual; rerank: best codes of each query and block that are ranked exactly first,
+    which sets the score that the bound of any other code must reach to be ranked too.
     """
 
     sample: int = 8192
@@ -101,12 +103,17 @@ class Quantiser:
                     right = y.sum(0) + h * ((rest + (y**2).sum(1))[:, None] * y).sum(0)
                     self.centres[j, c] = np.linalg.solve(left + 1e-9 * np.eye(k), right)
 
-    def encode(self, x: np.ndarray) -> np.ndarray:
-        """Two codes a byte."""
-        code = self.assign(self.split(x)).astype(np.uint8)
+    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two codes a byte, and how far at most a cosine with the vector lies from its approximate one: the
+        residual's norm, with what the float sums of scores may lose."""
+        x = self.split(x)
+        code = self.assign(x)
+        off = np.sqrt(((x - self.centres[np.arange(self.m), code]) ** 2).sum((1, 2))) + 1e-6 * (self.m + 1)
+        off = np.where(np.isfinite(off), off, np.inf).astype(np.float32)
+        code = code.astype(np.uint8)
         if self.m % 2:
             code = np.concatenate([code, np.zeros((len(code), 1), np.uint8)], 1)
-        return code[:, 0::2] << 4 | code[:, 1::2]
+        return code[:, 0::2] << 4 | code[:, 1::2], off
 
     def scores(self, queries: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """Approximate cosines [queries, codes]: a look-up in one table of 256 sums for each byte of codes."""
@@ -136,22 +143,41 @@ def best(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> list[n
     return out
 
 
-def _cosine(a: Column, b: Column) -> Column:
-    """In double precision, summed from the first component to the last."""
-    def dot(x: Column, y: Column) -> Column:
-        return F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, p: s + p)
+def dots(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Inner products by column of [d, n] in double precision, summed from the first component to the last."""
+    out = np.zeros(y.shape[1])
+    for p, q in zip(x, y):
+        out += p * q
+    return out
+
+
+def exact_best(q: np.ndarray, me: int, near: np.ndarray, first: np.ndarray, off: np.ndarray, ids: np.ndarray, x: np.ndarray, norms: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and exact cosines of the k vectors [n, d] nearest to q other than its own, ties to smaller ids.
+
+    The k-th best of the places first is a score that the k-th best of all doesn't fall below. A vector whose
+    approximate score near falls short of it by more than off cannot be among the best; all others are ranked.
+    """
+    def cosines(at: np.ndarray) -> np.ndarray:
+        return dots(q, np.ascontiguousarray(x[at].T, np.float64)) / (np.sqrt(dots(q[:, None], q[:, None])) * norms[at])
 
-    return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
+    least = -np.inf
+    if len(first) >= k:
+        known = cosines(first)
+        least = np.partition(np.where(np.isnan(known), -np.inf, known), len(known) - k)[len(known) - k]
+    at = np.flatnonzero(~(near + off < least) & (ids != me))
+    score = cosines(at)
+    top = np.lexsort((ids[at], -np.where(np.isnan(score), np.inf, score)))[:k]
+    return at[top], score[top]
 
 
 def nearest(vectors: DataFrame, queries: Column, k: int = 5, index: Index = Index()) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest by cosine found for every row of vectors where queries holds.
+    """(query_id, rank, vec_id, score): the k nearest by cosine for every row of vectors where queries holds.
 
     Vectors that are null, zero or hold null or non-finite components take no part, nor rows without vec_id,
     nor vectors whose dimension isn't the most common one (of equally common ones the largest). Rows that share a
     vec_id count once, with the least vector. All candidates, if fewer than k; an empty table gives no rows.
-    A query block meets each block of codes once; what it keeps of a block is bounded, with ties to smaller
-    vec_id so that copies in any number displace nothing. Other columns are ignored.
+    A query block meets each block of codes once, with the vectors beside the codes, and keeps the k exactly best
+    of it with ties to smaller vec_id: near copies in any number displace nothing. Other columns are ignored.
     """
     spark = vectors.sparkSession
     good = materialize(valid_vectors(vectors))
@@ -167,26 +193,26 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, index: Index = Inde
     shared = spark.sparkContext.broadcast(quantiser.centres)  # 16 * d numbers
     asked = good.where(queries)
     n, n_queries = good.count(), asked.count()
+    wide = np.float32 if isinstance(good.schema["v"].dataType.elementType, T.FloatType) else np.float64
     code_blocks, query_blocks = -(-n // index.code_rows), max(1, -(-n_queries // index.query_rows))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = Quantiser(d, index, shared.value)
-        ids, codes = [], []
+        held = []
 
         def flush():
-            i, c = np.concatenate(ids), np.concatenate(codes)
-            ids.clear()
-            codes.clear()
-            return pa.RecordBatch.from_arrays([pa.array([zlib.crc32(i[:1].tobytes())], pa.int64()), pa.array([i.tobytes()]), pa.array([c.tobytes()])], names=["g", "ids", "codes"])
+            i, c, e, x = (np.concatenate(part) for part in zip(*held))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([zlib.crc32(i[:1].tobytes())], pa.int64()), *(pa.array([part.tobytes()]) for part in (i, c, e, x))], names=["g", "ids", "codes", "off", "v"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
-                ids.append(part.column(0).to_numpy())
-                codes.append(q.encode(part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, d).astype(np.float64)))
-                if sum(map(len, ids)) >= index.code_rows:
+                x = part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, d).astype(wide)
+                held.append((part.column(0).to_numpy(), *q.encode(x.astype(np.float64)), x))
+                if sum(len(h[0]) for h in held) >= index.code_rows:
                     yield flush()
-        if ids:
+        if held:
             yield flush()
 
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,26 +225,28 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, index: Index = Inde
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = Quantiser(d, index, shared.value)
         for batch in batches:
-            for own, x, ids, codes in zip(*(c.to_pylist() for c in batch.columns)):
-                own, ids = np.frombuffer(own, np.int64), np.frombuffer(ids, np.int64)
-                s = q.scores(np.frombuffer(x).reshape(-1, d), np.frombuffer(codes, np.uint8).reshape(len(ids), -1))
-                at = best(s, ids, own, index.rerank)
+            for row in range(batch.num_rows):
+                own, asks, ids, codes, off, x = (np.frombuffer(c[row].as_buffer(), kind) for c, kind in zip(batch.columns, (np.int64, np.float64, np.int64, np.uint8, np.float32, wide)))
+                asks, x = asks.reshape(-1, d), x.reshape(-1, d)
+                s = q.scores(asks, codes.reshape(len(ids), -1))
+                each = np.ascontiguousarray(x.T, np.float64)
+                norms = np.sqrt(dots(each, each))
+                first = best(s, ids, own, max(index.rerank, k))
+                found = [exact_best(asks[i], own[i], s[i], first[i], off, ids, x, norms, k) for i in range(len(own))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(own, [len(a) for a in at])), pa.array(ids[np.concatenate(at)]), pa.array(np.concatenate([s[i, a] for i, a in enumerate(at)]).astype(np.float64))],
-                    names=["query_id", "vec_id", "near"],
+                    [pa.array(np.repeat(own, [len(at) for at, _ in found])), pa.array(ids[np.concatenate([at for at, _ in found])]), pa.array(np.concatenate([score for _, score in found]))],
+                    names=["query_id", "vec_id", "score"],
                 )
 
     parts = max(1, min(code_blocks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    codes = good.select("vec_id", "v").repartition(parts).mapInArrow(encode, "g long, ids binary, codes binary")
+    codes = good.select("vec_id", "v").repartition(parts).mapInArrow(encode, "g long, ids binary, codes binary, off binary, v binary")
     blocks = asked.select("vec_id", "v").repartition(max(1, query_blocks // 4)).mapInArrow(block, "own binary, x binary")
-    # the stated queries against all rows, in blocks: each block of codes goes once to each group of query blocks
-    groups = min(query_blocks, 16)
-    codes = materialize(codes).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    blocks = materialize(blocks).withColumn("b", F.pmod(F.crc32("own"), F.lit(groups)).cast("int"))
-    found = blocks.join(codes, "b").select("own", "x", "ids", "codes").mapInArrow(scan, "query_id long, vec_id long, near double")
-    top = Window.partitionBy("query_id").orderBy(F.desc("near"), "vec_id")
-    found = found.withColumn("place", F.row_number().over(top)).where(F.col("place") <= index.rerank).select("query_id", "vec_id")
-    exact = found.join(good.select("vec_id", "v"), "vec_id").join(asked.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")), "query_id")
-    exact = exact.select("query_id", "vec_id", _cosine(F.col("q"), F.col("v")).alias("score"))
+    # the stated queries against all rows, on a grid: each block of codes goes once to each group of query blocks and
+    # each block of queries once to each group of code blocks; few groups of queries, for the vectors are the most
+    across = min(code_blocks, 32)
+    down = min(query_blocks, max(2, 8 // across))
+    codes = materialize(codes).withColumn("a", F.pmod("g", F.lit(across)).cast("int")).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(down - 1))))
+    blocks = materialize(blocks).withColumn("b", F.pmod(F.crc32("own"), F.lit(down)).cast("int")).withColumn("a", F.explode(F.sequence(F.lit(0), F.lit(across - 1))))
+    found = blocks.join(codes, ["a", "b"]).select("own", "x", "ids", "codes", "off", codes["v"]).mapInArrow(scan, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return exact.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -419,6 +419,25 @@ def test_nearest(spark):
     assert nearest(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_nearest_of_near_copies_is_exact(spark, kind):
+    """More near copies than rerank share their codes; the neighbours are those of brute force all the same."""
+    from fieldguard.llm.ann import Index, nearest
+
+    r = np.random.default_rng(5)
+    x = r.normal(size=(1500, 16))
+    x[:600] = x[0] + 0.003 * r.normal(size=(600, 16))
+    x = x.astype(np.float32).astype(float)
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], f"vec_id long, embedding array<{kind}>")
+    got = rows_of(nearest(df, F.col("vec_id") % 50 == 0, 5, Index(sample=512, code_rows=700, query_rows=8)))
+    v = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for q in range(0, 1500, 50):
+        s = v @ v[q]
+        s[q] = -9
+        want = np.lexsort((np.arange(1500), -np.round(s, 13)))[:5].tolist()
+        assert [g["vec_id"] for g in sorted(got, key=lambda g: g["rank"]) if g["query_id"] == q] == want
+
+
 # --- 3 toxicity -------------------------------------------------------------------------------------------
 
 
