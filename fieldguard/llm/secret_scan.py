@@ -1,6 +1,7 @@
 """Secret scans: fixed patterns, and a battery of randomness tests on other key-like strings.
 
-A candidate's encoding is inferred from its characters. Chi-squared uniformity over the alphabet, the runs
+A candidate's encoding is inferred from its characters; a run of characters is split at '=' signs inside it, and
+where no encoding has all of its characters, at those outside base64 and at those outside base64url. Chi-squared uniformity over the alphabet, the runs
 test and the lag-one serial correlation each ask whether it could be random; their joint p-values go through
 a Benjamini-Hochberg procedure weighted by length over the candidates of a document. Strings that it rejects
 are ordinary; those that survive and are long enough for the tests to have power are reported.
@@ -23,7 +24,10 @@ from .common import by_rows, text_bytes
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{16,}")  # the same as runs of any length without the shorter ones
-CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{20,}")
+LEAST = 20  # characters of a candidate
+CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
+PART = re.compile(rb"[A-Za-z0-9+/_-]+(?:=+\Z)?")  # '=' is padding at the end of a run, else it separates
+PIECES = (re.compile(rb"[A-Za-z0-9+/]+=*"), re.compile(rb"[A-Za-z0-9_-]+=*"))
 KINDS = ("assign", "access", "hex", "random")
 DIGITS = b"0123456789"
 LOWER = b"abcdefghijklmnopqrstuvwxyz"
@@ -64,6 +68,30 @@ def infer(data: bytes) -> tuple[str, bytes] | None:
     return next(((n, a) for n, a in ALPHABETS if chars <= set(a)), None)
 
 
+def candidates(run: bytes) -> list[tuple[int, int]]:
+    """(start, end) of the pieces of a run to test, by start: its parts between '=' signs, and where no alphabet
+    holds all characters of one, the longest pieces in base64 and those in base64url, which may overlap."""
+    out = set()
+    for part in PART.finditer(run):
+        chars = set(part[0].rstrip(b"="))
+        if any(chars <= set(a) for _, a in ALPHABETS):
+            out.add(part.span())
+        else:
+            out |= {(part.start() + m.start(), part.start() + m.end()) for p in PIECES for m in p.finditer(part[0])}
+    return sorted((a, b) for a, b in out if b - a >= LEAST)
+
+
+def merged(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Spans of one kind, by start, with those that overlap made one."""
+    out = []
+    for a, b, kind in spans:
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]), kind)
+        else:
+            out.append((a, b, kind))
+    return out
+
+
 def p_value(data: bytes, alphabet: bytes) -> float:
     """Joint p-value (Fisher) of the battery under the hypothesis that data is uniform over the alphabet."""
     place = {c: i for i, c in enumerate(alphabet)}
@@ -115,16 +143,19 @@ def scan(text: bytes, battery: Battery = Battery()) -> list[tuple[int, int, str]
     taken = sorted((a, b) for a, b, _ in spans)
     tests, where, i = [], [], 0
     for m in CANDIDATE.finditer(text):
-        while i < len(taken) and taken[i][1] <= m.start():
-            i += 1
-        if any(a < m.end() for a, _ in taken[i : i + 1]):
-            continue
-        known = infer(m[0])
-        if known and len(m[0]) * math.log2(len(known[1])) >= battery.bits:
-            tests.append((len(m[0]), p_value(m[0], known[1])))
-            where.append((m.start(), m.end(), "random"))
+        for start, end in candidates(m[0]):
+            start, end = m.start() + start, m.start() + end
+            while i < len(taken) and taken[i][1] <= start:
+                i += 1
+            if any(a < end for a, _ in taken[i : i + 1]):
+                continue
+            data = text[start:end]
+            known = infer(data)
+            if known and len(data) * math.log2(len(known[1])) >= battery.bits:
+                tests.append((len(data), p_value(data, known[1])))
+                where.append((start, end, "random"))
     rejected = ordinary(tests, battery.level)
-    spans += [x for i, x in enumerate(where) if i not in rejected]
+    spans += merged([x for i, x in enumerate(where) if i not in rejected])
     spans.sort(key=lambda x: (x[0], KINDS.index(x[2])))
     if spans and not text.isascii():
         points, at, n = {}, 0, 0

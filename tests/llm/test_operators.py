@@ -302,6 +302,25 @@ def test_secrets(spark):
     assert scan_documents(df.limit(0)).count() == 0
 
 
+def test_secrets_in_assignments_and_paths(spark):
+    """Runs with '=' inside, or with '/' beside '-' and '_', are split: the key in them is found, words are not."""
+    from fieldguard.llm.secret_scan import scan_documents
+
+    r = random.Random(11)
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    plain = upper + upper.lower() + "0123456789"
+    key, base64_key, url_key = ("".join(r.choice(a) for _ in range(40)) for a in (plain, plain + "+/", plain + "-_"))
+    texts = [f"AWS_SECRET_ACCESS_KEY={base64_key}", f"client_key={key} z", f"é ?sig={base64_key}==&x=1", f"/files/user-data/{key}/raw", f"a-b-c-d-e-f/{base64_key}", f"/a/b/c/d/{url_key}", f"x={key}=y={url_key}"]
+    words = ["AWS_SECRET_ACCESS_KEY=donaudampfschifffahrt", "/some/path-to/the_words/that-are-long/enough", "name=aaaaaaaaaa1111111111bbbbbbbbbb=", "=" * 40]
+    df = spark.createDataFrame(list(enumerate(texts + words)), "doc_id long, text string")
+    found = {x["doc_id"]: [tuple(map(int, s.split(":")[1:])) for s in x["spans"].split(",") if s.startswith("random")] for x in rows_of(scan_documents(df))}
+    for i, t in enumerate(texts):
+        keys = [k for k in (key, base64_key, url_key) if k in t]
+        assert len(found[i]) == len(keys) and all(any(a <= t.index(k) and t.index(k) + 40 <= b for a, b in found[i]) for k in keys), t
+    assert found[0] == [(22, 62)] and found[1] == [(11, 51)] and found[2] == [(7, 49)]
+    assert not any(found[i] for i in range(len(texts), len(texts + words)))
+
+
 def license_words(t):
     return [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")) if w]
 
