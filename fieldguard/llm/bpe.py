@@ -9,20 +9,25 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from array import array
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_rows, ship_file, text_bytes
+from .common import by_rows, claim, ship_file, text_bytes
 
 NO_TOKEN = -1
-#: Entries of a generation that a worker remembers.
-CACHE_ENTRIES = 500_000
-#: Prefixes, and pairs of tokens, that a worker stores.
-STORED = 700_000
+#: Chunks, and characters or ids of chunks, above which a worker forgets all before the next slice of texts.
+CACHE_ENTRIES = 400_000
+CACHE_BYTES = 8 << 20
+#: Pairs of tokens of which a worker knows whether one can follow the other.
+STORED = 1 << 20
+#: Bytes of a piece up to which pieces are encoded together; longer ones one by one.
+TOGETHER = 64
+#: The only pattern for which chunks between spaces may be encoded apart; others match texts as a whole.
+CHUNKED = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -30,6 +35,41 @@ def read_ranks(raw: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, raw.splitlines()) if token}
 
 
+class IntMap:
+    """An open-addressing table from int64 of at least 0 to int64, looked up by whole arrays."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, room: int = 0):
+        self.bits = max(4, (2 * max(room, len(keys))).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.values = np.zeros(1 << self.bits, np.int64)
+        self.n = 0
+        self.put(keys, values)
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def put(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Adds distinct keys that aren't in the table."""
+        at, self.n = self._home(keys), self.n + len(keys)
+        while len(keys):
+            free = self.keys[at] < 0
+            self.keys[at[free]] = keys[free]
+            mine = free & (self.keys[at] == keys)  # of several keys for one free place the last one has it
+            self.values[at[mine]] = values[mine]
+            keys, values, at = keys[~mine], values[~mine], (at[~mine] + 1) & (len(self.keys) - 1)
+
+    def get(self, keys: np.ndarray, default: int) -> np.ndarray:
+        out = np.full(len(keys), default, np.int64)
+        at, open_ = self._home(keys), np.arange(len(keys))
+        while len(open_):
+            there = self.keys[at]
+            hit = there == keys
+            out[open_[hit]] = self.values[at[hit]]
+            on = ~hit & (there >= 0)
+            keys, open_, at = keys[on], open_[on], (at[on] + 1) & (len(self.keys) - 1)
+        return out
+
+
 class PrefixBPE:
     """Tables for encoding by ranks; a token's rank is its id and the order of its merge."""
 
@@ -52,7 +92,6 @@ class PrefixBPE:
             else:
                 self.unreachable.add(i)
         self._automaton()
-        self._forget()
 
     def _automaton(self) -> None:
         """Aho-Corasick over the tokens that merges can make: edges, failure links, and for each state the
@@ -78,17 +117,17 @@ class PrefixBPE:
             depth[at] = depth[states[at][0]] + 1
         self.fail = [0] * len(states)
         self.ends: list[tuple[int, ...]] = [()] * len(states)
+        shorter = [0] * len(states)  # the longest state of a token that ends here besides the state's own
         for at in sorted(range(1, len(states)), key=depth.__getitem__):
             parent, c = states[at]
-            self.fail[at] = self.follow(self.fail[parent], c) if parent else 0
-            ends = self.ends[self.fail[at]]
+            up = self.fail[at] = self.follow(self.fail[parent], c) if parent else 0
+            shorter[at] = up if own[up] != NO_TOKEN else shorter[up]
+            ends = self.ends[up]
             self.ends[at] = ends if own[at] == NO_TOKEN else (own[at], *ends)
-
-    def _forget(self) -> None:
-        """Empty the stored prefixes: a tree by bytes with each prefix's automaton state and last token."""
-        self.step: dict[int, int] = {}
-        self.last, self.state = array("i", [NO_TOKEN]), array("i", [0])
-        self.fits: dict[int, bool] = {}
+        # the same as arrays, for many pieces at once
+        self.edges = IntMap(np.fromiter(self.edge.keys(), np.int64, len(self.edge)), np.fromiter(self.edge.values(), np.int64, len(self.edge)))
+        self.fails, self.own, self.shorter, self.lengths = (np.array(x, np.int64) for x in (self.fail, own, shorter, self.length))
+        self.fits = IntMap(np.zeros(0, np.int64), np.zeros(0, np.int64), STORED)
 
     def follow(self, state: int, c: int) -> int:
         while True:
@@ -114,70 +153,96 @@ class PrefixBPE:
             else:  # among equal merges the left one comes first, hence one more
                 before, y = y + 1, self.left[y]
 
-    def fit(self, before: int, i: int) -> bool:
-        """stays(), remembered."""
-        fits = self.fits.get(before << 24 | i)
-        if fits is None:
-            fits = self.stays(before, i)
-            if len(self.fits) < STORED:
-                self.fits[before << 24 | i] = fits
-        return fits
+    def fit(self, before: np.ndarray, i: np.ndarray) -> np.ndarray:
+        """stays() for pairs of tokens, remembered."""
+        keys = before << 24 | i
+        known = self.fits.get(keys, -1)
+        new = np.unique(keys[known < 0])
+        if len(new):
+            values = np.fromiter((self.stays(k >> 24, k & 0xFFFFFF) for k in new.tolist()), np.int64, len(new))
+            known[known < 0] = values[np.searchsorted(new, keys[known < 0])]
+            if self.fits.n + len(new) > STORED:
+                self.fits = IntMap(np.zeros(0, np.int64), np.zeros(0, np.int64), STORED)
+            if len(new) <= STORED:
+                self.fits.put(new, values)
+        return known.astype(bool)
 
     def last_token(self, state: int, end: int, last) -> int:
         """The only token that can end the encoding of a prefix of end bytes, given its state and last(shorter)."""
         for i in self.ends[state]:
             start = end - self.length[i]
-            if not start:
-                return i
-            if self.fit(last(start), i):
+            if not start or self.stays(last(start), i):
                 return i
         raise ValueError("the ranks lack a byte of the text")
 
+    def encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces in order, how many each has) of matches of the splitting pattern; those of up to TOGETHER
+        bytes in step."""
+        single = np.fromiter((self.ranks.get(p, NO_TOKEN) for p in pieces), np.int64, len(pieces))
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        rows, ids = [np.flatnonzero(single >= 0)], [single[single >= 0]]
+        for n in np.flatnonzero((single < 0) & (sizes > TOGETHER)).tolist():
+            own = PrefixTable(self, pieces[n]).ids()
+            rows.append(np.full(len(own), n))
+            ids.append(np.array(own, np.int64))
+        rest = np.flatnonzero((single < 0) & (sizes <= TOGETHER) & (sizes > 0))
+        rest = rest[np.argsort(-sizes[rest], kind="stable")]
+        for at in range(0, len(rest), 1 << 14):
+            part = rest[at : at + (1 << 14)]
+            own, i = self._together([pieces[n] for n in part.tolist()], sizes[part])
+            rows.append(part[own])
+            ids.append(i)
+        rows, ids = np.concatenate(rows), np.concatenate(ids)
+        order = np.argsort(rows, kind="stable")
+        return ids[order], np.bincount(rows, minlength=len(pieces))
+
+    def _together(self, pieces: list[bytes], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of the piece, id) by the prefix tables of pieces, longest first, each piece's ids in order: one column
+        of last tokens for each length of prefix."""
+        wide = int(sizes[0])
+        data = np.zeros((len(pieces), wide), np.int64)
+        data[np.arange(wide) < sizes[:, None]] = np.frombuffer(b"".join(pieces), np.uint8)
+        last = np.full((wide + 1, len(pieces)), NO_TOKEN, np.int64)
+        state = np.zeros(len(pieces), np.int64)
+        for end in range(1, wide + 1):
+            n = int(np.searchsorted(-sizes, -end, "right"))
+            at, c = state[:n], data[:n, end - 1]
+            to = self.edges.get(at << 8 | c, -1)
+            lost = np.flatnonzero(to < 0)
+            from_ = at[lost]
+            while len(lost):
+                lost, from_ = lost[from_ > 0], from_[from_ > 0]
+                from_ = self.fails[from_]
+                nxt = self.edges.get(from_ << 8 | c[lost], -1)
+                to[lost] = nxt
+                lost, from_ = lost[nxt < 0], from_[nxt < 0]
+            state[:n] = to = np.maximum(to, 0)
+            open_ = np.arange(n)
+            ending = np.where(self.own[to] != NO_TOKEN, to, self.shorter[to])
+            while len(open_):
+                if not ending.all():
+                    raise ValueError("the ranks lack a byte of the text")
+                i = self.own[ending]
+                start = end - self.lengths[i]
+                fine = start == 0
+                inner = np.flatnonzero(~fine)
+                fine[inner] = self.fit(last[start[inner], open_[inner]], i[inner])
+                last[end, open_[fine]] = i[fine]
+                open_, ending = open_[~fine], self.shorter[ending[~fine]]
+        # read off backwards, all pieces in step
+        rows, end, steps = np.arange(len(pieces)), sizes.copy(), []
+        while len(rows):
+            i = last[end[rows], rows]
+            steps.append((rows, i))
+            end[rows] -= self.lengths[i]
+            rows = rows[end[rows] > 0]
+        rows, ids = np.concatenate([r for r, _ in steps[::-1]]), np.concatenate([i for _, i in steps[::-1]])
+        order = np.argsort(rows, kind="stable")
+        return rows[order], ids[order]
+
     def encode_piece(self, data: bytes) -> list[int]:
         """Ids of one match of the splitting pattern."""
-        if not data:
-            return []
-        if (i := self.ranks.get(data)) is not None:
-            return [i]
-        if len(data) > 64:  # prefixes too long to be worth storing
-            return PrefixTable(self, data).ids()
-        if len(self.last) > STORED:
-            self._forget()
-        step, stored, states, at, path = self.step, self.last, self.state, 0, [0]
-        edge, fail, ends, length, fits = self.edge, self.fail, self.ends, self.length, self.fits
-        for c in data:
-            nxt = step.get(at << 8 | c)
-            if nxt is None:  # follow() and last_token(), written out
-                state = states[at]
-                to = edge.get(state << 8 | c)
-                while to is None and state:
-                    state = fail[state]
-                    to = edge.get(state << 8 | c)
-                to = to or 0
-                n = len(path)
-                for i in ends[to]:
-                    start = n - length[i]
-                    if not start:
-                        break
-                    before = stored[path[start]]
-                    fit = fits.get(before << 24 | i)
-                    if fit is None:
-                        fit = self.fit(before, i)
-                    if fit:
-                        break
-                else:
-                    raise ValueError("the ranks lack a byte of the text")
-                nxt = step[at << 8 | c] = len(stored)
-                stored.append(i)
-                states.append(to)
-            path.append(nxt)
-            at = nxt
-        ids, end = [], len(data)
-        while end:
-            i = stored[path[end]]
-            ids.append(i)
-            end -= length[i]
-        return ids[::-1]
+        return self.encode_pieces([data])[0].tolist()
 
     def read_off(self, last: list[int]) -> list[int]:
         ids, end = [], len(last) - 1
@@ -187,7 +252,7 @@ class PrefixBPE:
         return ids[::-1]
 
     def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids))
+        return b"".join([self.token[i] for i in ids])
 
 
 class PrefixTable:
@@ -230,63 +295,110 @@ class PrefixTable:
         return self.bpe.read_off(self.last)
 
 
-class Remembered(dict):
-    """What make gives for a key. A full generation becomes the old one, so that frequent keys stay; both are bounded."""
+def gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of values with these starts and sizes, one after the other."""
+    upto = np.cumsum(sizes)
+    return values[np.repeat(starts - upto + sizes, sizes) + np.arange(upto[-1] if len(upto) else 0)]
+
+
+class Runs:
+    """Runs of ids, by number, in arrays that grow."""
 
-    def __init__(self, make, most: int = CACHE_ENTRIES):
-        super().__init__()
-        self.make, self.most, self.old = make, most, {}
+    def __init__(self):
+        self.ids, self.starts, self.sizes, self.n, self.used = np.zeros(1 << 16, np.int32), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64), 0, 0
 
-    def __missing__(self, key: str):
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
-            if len(key) > 64:
-                return value
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
-        return value
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> int:
+        """Appends runs; the number of the first."""
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while self.n + len(sizes) > len(self.sizes):
+            self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
+        first = self.n
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.sizes[first : first + len(sizes)] = sizes
+        self.starts[first : first + len(sizes)] = self.used + np.cumsum(sizes) - sizes
+        self.n, self.used = first + len(sizes), self.used + len(ids)
+        return first
+
+    def of(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of these runs one after the other, their sizes)."""
+        return gathered(self.ids, self.starts[runs], self.sizes[runs]), self.sizes[runs]
 
 
 class TextEncoder:
     """Encodes whole texts: each match of the pattern separately, repeated chunks remembered.
 
-    A chunk is what follows a space up to the next one; a space before anything but white space always starts
-    a match, so chunks are encoded apart. Texts with other spaces are matched whole.
+    A chunk is what follows a space up to the next one. By the pattern CHUNKED a space before anything but white
+    space always starts a match, so chunks are encoded apart. Texts with other spaces, and all texts under other
+    patterns, are matched whole.
     """
 
     def __init__(self, bpe: PrefixBPE, pattern: str):
         import regex
 
         self.bpe, self.find = bpe, regex.compile(pattern).findall
-        self.odd = regex.compile(r" [\s\x1c-\x1f]| $").search
-        self.names = {i: str(i) for i in bpe.token}
-        self.pieces = Remembered(lambda s: tuple(bpe.encode_piece(s.encode())), 150_000)
-        self.chunks = Remembered(lambda s: self._matches(" " + s))
-        self.digests = Remembered(lambda s: self._digest(self._matches(" " + s)))
-
-    def _matches(self, s: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(map(self.pieces.__getitem__, self.find(s))))
+        self.odd = regex.compile(r" [\s\x1c-\x1f]| $" if pattern == CHUNKED else "").search
+        # every token's bytes, and its id in decimal after a space, as runs in one array each
+        n = max(bpe.token) + 1
+        shown, plain = [b" %d" % i for i in range(n)], [bpe.token.get(i, b"") for i in range(n)]
+        self.shown, self.plain = (tuple((np.frombuffer(b"".join(x), np.uint8), np.cumsum([0, *map(len, x)])[:-1], np.array(list(map(len, x))))) for x in (shown, plain))
+        self._forget()
 
-    def _digest(self, ids: tuple[int, ...]) -> tuple[str, bytes]:
-        return " ".join(map(self.names.__getitem__, ids)), self.bpe.decode(ids)
+    def _forget(self) -> None:
+        self.chunks: dict[str, int] = {}
+        self.runs, self.held = Runs(), 0
+
+    def _encode(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all matches one after the other, how many each has)."""
+        place = {p: n for n, p in enumerate(dict.fromkeys(found))}
+        ids, sizes = self.bpe.encode_pieces([p.encode() for p in place])
+        at = np.fromiter(map(place.__getitem__, found), np.int64, len(found))
+        return gathered(ids, (np.cumsum(sizes) - sizes)[at], sizes[at]), sizes[at]
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Encodes chunks, each after a space, which is where its first match starts; no other match has one."""
+        found = self.find(" " + " ".join(chunks))
+        ids, sizes = self._encode(found)
+        starts = np.flatnonzero(np.fromiter((p[0] == " " for p in found), bool, len(found)))
+        first = self.runs.add(ids, np.add.reduceat(sizes, starts))
+        self.chunks.update(zip(chunks, range(first, first + len(chunks))))
+        self.held += sum(map(len, chunks))
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, how many each has)."""
+        if len(self.chunks) > CACHE_ENTRIES or self.held > CACHE_BYTES or self.runs.used > CACHE_BYTES:
+            self._forget()
+        parts = [[t] if self.odd(t) else t.split(" ") for t in texts]
+        lacking = list(set(chain.from_iterable([p[1:] for p in parts])) - self.chunks.keys())
+        if lacking:
+            self._learn(lacking)
+        # what no space precedes, and texts with other spaces, are encoded as they are
+        found = [self.find(p[0]) for p in parts]
+        ids, sizes = self._encode(list(chain.from_iterable(found)))
+        upto = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *map(len, found)])]
+        first, runs, known = self.runs.add(ids, np.diff(upto)), [], self.chunks.__getitem__
+        for n, p in enumerate(parts, first):
+            runs.append(n)
+            runs += map(known, p[1:])
+        ids, sizes = self.runs.of(np.array(runs, np.int64))
+        ends = np.cumsum([len(p) for p in parts])
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        return ids, np.diff(upto[np.concatenate([[0], ends])])
 
     def encode(self, text: str) -> list[int]:
-        if self.odd(text):
-            return list(self._matches(text))
-        head, *rest = text.split(" ")
-        return list(chain(self._matches(head), chain.from_iterable(map(self.chunks.__getitem__, rest))))
+        return self.encode_all([text])[0].tolist()
+
+    def written(self, table: tuple, ids: np.ndarray, sizes: np.ndarray) -> list[memoryview]:
+        """For each text the runs of its ids in one of the tables shown and plain."""
+        bytes_, starts, lengths = table
+        data = memoryview(gathered(bytes_, starts[ids], lengths[ids]))
+        upto = np.concatenate([[0], np.cumsum(lengths[ids])])[np.concatenate([[0], np.cumsum(sizes)])].tolist()
+        return [data[a:b] for a, b in zip(upto, upto[1:])]
 
-    def encode_decode(self, text: str) -> tuple[str, bytes]:
-        """The ids as text, joined by one space, and what they decode to."""
-        if self.odd(text):
-            return self._digest(self._matches(text))
-        head, *rest = text.split(" ")
-        parts = [self._digest(self._matches(head))] if head else []
-        parts += map(self.digests.__getitem__, rest)
-        return " ".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
+    def encode_decode(self, texts: list[str]) -> list[tuple[int, memoryview, memoryview]]:
+        """For each text the number of ids, the ids in decimal, joined by one space, and what they decode to."""
+        ids, sizes = self.encode_all(texts)
+        return [(n, a[1:], b) for n, a, b in zip(sizes.tolist(), self.written(self.shown, ids, sizes), self.written(self.plain, ids, sizes))]
 
 
 _ENCODERS: dict[str, TextEncoder] = {}
@@ -295,6 +407,7 @@ _ENCODERS: dict[str, TextEncoder] = {}
 def text_encoder(raw: bytes, pattern: str) -> TextEncoder:
     """The worker's encoder for this vocabulary, made once."""
     key = hashlib.sha256(raw + pattern.encode()).hexdigest()
+    claim("bpe", _ENCODERS.clear)
     if key not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[key] = TextEncoder(PrefixBPE(read_ranks(raw)), pattern)
@@ -322,17 +435,14 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, with_ids: b
         def rows(x):
             out = {name: [] for name, _ in fields}
             out["doc_id"] = x["doc_id"]
-            for text in x["text"]:
-                if with_ids:
-                    ids = encoder.encode(text.decode())
-                    shown, decoded = encoder._digest(ids)
-                    out["ids"].append(ids)
-                    out["decoded"].append(decoded)
-                else:
-                    shown, decoded = encoder.encode_decode(text.decode())
-                out["n_tokens"].append(shown.count(" ") + 1 if shown else 0)
-                out["ids_sha256"].append(hashlib.sha256(shown.encode()).hexdigest())
-                out["decoded_sha256"].append(hashlib.sha256(decoded).hexdigest())
+            ids, sizes = encoder.encode_all([t.decode() for t in x["text"]])
+            decoded = encoder.written(encoder.plain, ids, sizes)
+            out["n_tokens"] = sizes.tolist()
+            out["ids_sha256"] = [hashlib.sha256(shown[1:]).hexdigest() for shown in encoder.written(encoder.shown, ids, sizes)]
+            out["decoded_sha256"] = [hashlib.sha256(d).hexdigest() for d in decoded]
+            if with_ids:
+                out["ids"] = np.split(ids, np.cumsum(sizes)[:-1]) if len(sizes) else []
+                out["decoded"] = map(bytes, decoded)
             return out
 
         yield from by_rows(rows, pa.schema(fields))(batches)

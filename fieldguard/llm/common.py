@@ -7,12 +7,15 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows handled together inside a Python worker; bounds what one step holds beside its input batch.
-SLICE_ROWS = 256
+#: Rows, and bytes of strings, handled together inside a Python worker; they bound what one step holds beside its input batch.
+SLICE_ROWS = 512
+SLICE_BYTES = 2 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -25,12 +28,14 @@ def text_bytes(name: str = "text") -> Column:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or in local mode a temporary one where it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="fieldguard-")
         spark.sparkContext.setCheckpointDir(root)
     return root
@@ -45,29 +50,66 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+_WRITTEN: dict[int, tuple[DataFrame, str]] = {}
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write df once to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_root(spark)}/fieldguard-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _WRITTEN[id(out)] = out, path
     atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return out
+
 
+def discard(df: DataFrame) -> None:
+    """Remove the files of a materialized df that nothing reads any more; without effect on others."""
+    written = _WRITTEN.pop(id(df), None)
+    if written:
+        _remove(df.sparkSession, written[1])
 
-def partitions_for(spark: SparkSession, n_bytes: int, target: int = 16 << 20) -> int:
-    """Enough shuffle partitions that each gets about target bytes."""
+
+def partitions_for(spark: SparkSession, n_bytes: int, target: int = 32 << 20) -> int:
+    """Enough shuffle partitions that each gets at most about target bytes."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // target))
 
 
+_CACHES: dict[str, Callable[[], None]] = {}
+
+
+def claim(name: str, clear: Callable[[], None]) -> None:
+    """Says that an operator starts to fill its worker's caches; those of all other operators are emptied first."""
+    for other in [n for n in _CACHES if n != name]:
+        _CACHES.pop(other)()
+    _CACHES[name] = clear
+
+
+def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches cut into parts of at most so many rows and about so many bytes; a longer row is a part of its own."""
+    for batch in batches:
+        size = np.zeros(batch.num_rows, np.int64)
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+                size += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        at = 0
+        upto = np.cumsum(size)
+        while at < batch.num_rows:
+            before = upto[at - 1] if at else 0
+            n = int(np.searchsorted(upto[at : at + rows], before + most, "right"))
+            n = max(1, n)
+            yield batch.slice(at, n)
+            at += n
+
+
 def by_rows(fn: Callable[[dict[str, list]], dict[str, Iterable]], schema: pa.Schema) -> Callable:
-    """An mapInArrow function from one on column lists, called for SLICE_ROWS rows at a time."""
+    """An mapInArrow function from one on column lists, called for a slice of bounded rows and bytes at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
-                out = fn({n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)})
-                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
+        for part in slices(batches):
+            out = fn({n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)})
+            yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
 
     return run
 
@@ -96,7 +138,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         # small star: every smaller neighbour, and the node, go to the smallest
         low = large.groupBy("u").agg(F.min("v").alias("low"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v")).where("u != v").union(low.select("u", F.col("low").alias("v")))
-        e = materialize(small.distinct())
+        before, e = e, materialize(small.distinct())
+        discard(before)
         # stars: no node is a leaf and a centre, and no leaf has two centres
         ends = e.select(F.col("u").alias("n"), F.lit(1).alias("leaf")).union(e.select(F.col("v").alias("n"), F.lit(0).alias("leaf")))
         if ends.groupBy("n").agg(F.min("leaf").alias("x"), F.max("leaf").alias("y"), F.sum("leaf").alias("k")).where("x != y or k > 1").isEmpty():

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_rows, ship_file, text_bytes
+from .common import by_rows, claim, ship_file, text_bytes
 
 SPACE = "\u2581"
 #: What an unknown character scores below the worst piece.
@@ -101,6 +101,7 @@ _COUNTERS: dict[str, Counter] = {}
 
 def counter(raw: bytes) -> Counter:
     key = hashlib.sha256(raw).hexdigest()
+    claim("token_count", _COUNTERS.clear)
     if key not in _COUNTERS:
         _COUNTERS.clear()
         _COUNTERS[key] = Counter(read_pieces(raw)[0])
