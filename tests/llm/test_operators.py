@@ -83,19 +83,50 @@ def test_exact_dedup(docs, empty):
     assert exact_dedup(empty).count() == 0 == drop_copies(empty).count()
 
 
-def test_trie_spills_and_keeps_owners(tmp_path):
-    from fieldguard.llm.exact_dedup import PatriciaTrie
+def test_trie_spills_and_keeps_owners():
+    from fieldguard.llm.exact_dedup import PatriciaTrie, better
 
     r = random.Random(1)
     keys = ["".join(r.choice("ab") for _ in range(r.randint(0, 12))).encode() for _ in range(3000)] + [b"q" * 3000, b"q" * 2999]
-    for most in (1 << 30, 20_000):
-        trie, want = PatriciaTrie(most, str(tmp_path)), {}
-        for i, k in enumerate(keys):
-            trie.insert(k, (-(i % 5), i, 1))
-            old = want.get(k)
-            want[k] = (-(i % 5), i, 1) if old is None else (*min(old[:2], (-(i % 5), i)), old[2] + 1)
-        assert dict(trie.items()) == want
-    assert not list(tmp_path.iterdir())
+    header = bytes(r.randrange(256) for _ in range(3000))
+    keys += [header + bytes([i % 7, i % 250, i % 3]) * (i % 50) for i in range(400)]  # texts with one long beginning
+    r.shuffle(keys)
+    want = {}
+    for i, k in enumerate(keys):
+        want[k] = (-(i % 5), i, 1) if k not in want else better(want[k], (-(i % 5), i, 1))
+    for most in (1 << 30, 300_000, 20_000, 2_000):
+        got, left, rounds = {}, [(k, (-(i % 5), i, 1)) for i, k in enumerate(keys)], 0
+        while left:  # what tries spill goes to twice as many others
+            spilled, dealt = [], defaultdict(list)
+            for k, owner in left:
+                dealt[hash((k, rounds)) % (1 << rounds)].append((k, owner))
+            for part in dealt.values():
+                trie = PatriciaTrie(most)
+                for k, owner in part:
+                    spilled += trie.insert(k, owner)
+                    assert trie.held <= most + 300 * 451 or len(trie.root.next) == 1
+                for k, owner in trie.items():
+                    assert k not in got
+                    got[k] = owner
+            left, rounds = spilled, rounds + 1
+            assert rounds < 20
+        assert got == want
+
+
+def test_exact_dedup_in_rounds(spark):
+    """An allowance so small that subtrees of texts with one long beginning are spilled; hot copies, repeated rows."""
+    from fieldguard.llm.exact_dedup import drop_copies, exact_dedup, text_owners
+
+    head = "licence header of many words " * 100
+    rows = [(i, head + str(i % 300)) for i in range(900)] + [(5, "a b"), (5, "ab"), (5, "a b"), (6, "a  b"), (None, "a   b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    few = {bytes(r["sha"]): (r["keep_id"], r["group_size"]) for r in text_owners(df, 30_000).collect()}
+    assert few == {bytes(r["sha"]): (r["keep_id"], r["group_size"]) for r in text_owners(df).collect()} and len(few) == 301
+    got = [(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup(df).collect() if r["group_size"] == 5]
+    assert Counter(got) == Counter([(5, None, 5, False)] * 3 + [(6, None, 5, False), (None, None, 5, True)])
+    twice = spark.createDataFrame([(5, "a b"), (5, "ab"), (5, "a b"), (7, "a b")], "doc_id long, text string")
+    assert Counter((r["doc_id"], r["kept"]) for r in exact_dedup(twice).collect()) == Counter({(5, True): 2, (5, False): 1, (7, False): 1})
+    assert [tuple(r) for r in drop_copies(twice).collect()] == [(5, "a b")]
 
 
 # --- 6 near duplicates ------------------------------------------------------------------------------------
@@ -133,6 +164,35 @@ def test_jaccard_join(docs, empty):
     assert near_duplicates(empty).count() == 0
 
 
+def test_jaccard_join_keeps_links_of_every_text_of_a_repeated_id(spark):
+    from fieldguard.llm.jaccard import near_duplicates
+
+    r = random.Random(8)
+    a, b = ([f"{c}{r.randrange(900)}" for _ in range(120)] for c in "ab")
+    near = lambda x: " ".join([*x[:60], "changed", *x[61:]])
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, near(a)), (3, near(b)), (4, "quite another text of some words"), (7, " ".join(a[:50])), (7, " ".join(a[:50])), (5, " ".join(a[:50]))]
+    got = {(x["doc_id"], x["component_id"]) for x in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 4), (7, 5), (5, 5)}
+
+
+def test_word_hashes_tell_words_apart_whatever_stands_around_them():
+    from fieldguard.llm import jaccard as J
+
+    r = random.Random(9)
+    words_ = sorted({"".join(r.choice("ab\u00e9-") for _ in range(r.randint(1, 9))) for _ in range(3000)} | {"x" * n for n in (63, 64, 65, 3000)})
+    of = {}
+    for text in (" ".join(words_), "\n".join(reversed(words_)), "\t \r\n".join(r.sample(words_, len(words_)))):
+        data = text.encode() + b" "
+        starts, h = J.word_hashes(data)
+        for i, x in zip(starts.tolist(), h.tolist()):
+            w = data[i:].split(None, 1)[0]
+            assert of.setdefault(w, x) == x
+    assert len(of) == len(words_) == len(set(of.values()))
+    big = b"y " * (J.HASH_BLOCK // 2 - 3) + b"longer-word-over-the-cut " + b"z" * (2 * J.HASH_BLOCK) + b" end "
+    starts, h = J.word_hashes(big)
+    assert len(h) == J.HASH_BLOCK // 2 - 3 + 3 and len(set(h.tolist())) == 4
+
+
 def test_signatures_find_every_linked_pair():
     """At the bound itself: pairs of sets of many sizes that just link share a signature that one of them probes."""
     from fieldguard.llm import jaccard as J
@@ -321,6 +381,47 @@ def test_secrets_in_assignments_and_paths(spark):
     assert not any(found[i] for i in range(len(texts), len(texts + words)))
 
 
+def test_battery():
+    """Tail probabilities against sums of exact ones and tables; p-values of random strings are uniform."""
+    import math
+
+    from fieldguard.llm import secret_scan as S
+
+    for k, x, p in ((1, 3.841459, 0.05), (2, 5.991465, 0.05), (4, 13.276704, 0.01), (6, 12.591587, 0.05), (10, 18.307038, 0.05), (30, 43.772972, 0.05), (3, 7.814728, 0.05), (5, 11.070498, 0.05), (9, 21.665994, 0.01)):
+        assert S.chi_squared_tail(x, k) == pytest.approx(p, rel=1e-5)
+    assert S.chi_squared_tail(0, 3) == 1 and S.chi_squared_tail(5000, 6) == 0
+    r = np.random.default_rng(4)
+    for n, k in ((40, 62), (24, 64), (64, 32)):
+        p = S.battery_p(r.integers(0, k, (4000, n)), k)
+        assert 0.85 < (p > 0.1).mean() < 0.96 and (p > 0.5).mean() > 0.35
+    for name, alphabet in S.ALPHABETS:
+        names = S.ordinary_names(name, 32, 50)
+        assert names == S.ordinary_names(name, 32, 50) and all(len(x) == 32 and set(x) <= set(alphabet) and S.infer(x) for x in names)
+    assert math.isclose(S.null_model("base62", 40).mean(), np.mean(S.null_model("base62", 40)))
+    assert np.quantile(S.null_model("base62", 40), 0.99) < 0.05  # ordinary names don't look random
+
+
+def test_false_discovery_control(spark):
+    """Recall on planted keys and precision beside ten times as many ordinary names that the null model never saw."""
+    from fieldguard.llm import secret_scan as S
+
+    r = random.Random(12)
+    alphabets = dict(S.ALPHABETS)
+    keys = [bytes(r.choice(alphabets[a]) for _ in range(n)).decode() for a, n in (("base62", 40), ("base64", 44), ("base62", 32), ("base64url", 64)) for _ in range(100)]
+    vocabulary = "river mountain yellow window garden coffee travel market history science nature letter picture bridge winter summer planet engine".split()
+    names = ["".join(r.choice(vocabulary).capitalize() for _ in range(6)) + str(r.randrange(3000)) for _ in range(4000)]
+    rows = [(i, f"see {t} there") for i, t in enumerate(keys + names)]
+    got = {x["doc_id"]: x["n_random"] for x in S.scan_documents(spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit("clash"))).collect()}
+    hits, wrong = sum(got[i] > 0 for i in range(400)), sum(got[i] > 0 for i in range(400, 4400))
+    assert hits >= 0.93 * 400 and wrong <= 0.05 * (hits + wrong), (hits, wrong)
+    # by hand: Benjamini-Hochberg with weights on the single candidates
+    counts = {(20, 0): 3, (20, 2000): 5, (40, 10): 2, (40, 3999): 4}
+    most = S.threshold(counts, 0.05)
+    single = sorted(((k + 1) / (S.NAMES + 1) * (sum(n * c for (n, _), c in counts.items()) / 14) / n, n, k) for (n, k), c in counts.items() for _ in range(c))
+    cut = max(i for i, (p, _, _) in enumerate(single, 1) if p <= 0.05 * i / 14)
+    assert {(n, k) for n, k in counts if k <= most[n]} == {(n, k) for _, n, k in single[:cut]}
+
+
 def license_words(t):
     return [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")) if w]
 
@@ -346,6 +447,28 @@ def test_licenses(spark):
     assert scan_licenses(df.limit(0)).count() == 0
 
 
+def test_licenses_by_a_table_of_templates(spark):
+    """A long template among many, found in a very long text with a word left out; the same by broadcast and by shuffle."""
+    from fieldguard.llm.license_scan import Voting, scan_licenses
+
+    r = random.Random(3)
+    pool = [f"w{i}" for i in range(3000)]
+    notices = [(f"own-{n}", False, " ".join(r.choice(pool) for _ in range(n))) for n in range(30, 330, 10)]
+    templates = spark.createDataFrame([*notices, notices[0], ("short", False, "w1 w2"), ("none", True, ""), ("pair", True, "W5, w6")], "label string, phrase boolean, text string")
+    filler = lambda n: " ".join(r.choice(pool) for _ in range(n))
+    body = notices[12][2].split()
+    texts = [f"{filler(30000)} {' '.join(body[:50] + body[51:])} {filler(30000)}", filler(500), notices[3][2].upper(), "w5 w6 w5 - w6", None, " ".join(body[:20])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for name in ("th", "pos", "hash", "label", "grams", "n_words", "base", "t_hash"):
+        df = df.withColumn(name, F.lit("clash"))
+    one, two = (sorted(map(tuple, scan_licenses(df, v, templates).collect())) for v in (Voting(), Voting(broadcast=0)))
+    assert one == two
+    labels = {r[0]: (r[6], r[2]) for r in one}
+    assert labels == {0: ("own-150", 0), 1: ("", 0), 2: ("own-60", 0), 3: ("pair", 2), 4: ("", 0), 5: ("", 0)} or labels[0][0].startswith("own-150")
+    assert labels[2] == ("own-60", 0) and labels[3] == ("pair", 2) and labels[5] == ("", 0)
+    assert one[0][7] > 0.9 and one[2][7] == 1.0
+
+
 # --- 9 mixing ---------------------------------------------------------------------------------------------
 
 
@@ -364,8 +487,23 @@ def water(sizes, share=1.5):
         free -= over
 
 
+def test_hypergeometric_draws_are_those_of_the_distribution(spark):
+    from math import comb
+
+    from fieldguard.llm.mixing import hypergeometric
+
+    for n, k, whole in ((5, 7, 20), (1, 1, 1), (0, 3, 9), (4, 0, 9), (9, 4, 9), (12, 15, 16), (60, 500, 1000)):
+        m = 4000
+        draws = spark.range(m).select(hypergeometric(F.lit(n), F.lit(k), F.lit(whole), (F.col("id") + 0.5) / m).alias("x")).groupBy("x").count().collect()
+        got = {r["x"]: r["count"] / m for r in draws}
+        want = {x: comb(k, x) * comb(whole - k, n - x) / comb(whole, n) for x in range(max(0, n - whole + k), min(n, k) + 1)}
+        assert set(got) <= set(want) and all(abs(got.get(x, 0) - p) <= 1 / m + 1e-9 for x, p in want.items())
+    big = spark.range(200).select(hypergeometric(F.lit(10_000_000), F.lit(3_000_000), F.lit(20_000_000), (F.col("id") + 0.5) / 200).alias("x")).agg(F.avg("x"), F.stddev("x")).first()
+    assert abs(big[0] - 1_500_000) < 60 and abs(big[1] / (10_000_000 * 0.15 * 0.85 * 0.5) ** 0.5 - 1) < 0.05
+
+
 def test_mixing(docs, empty):
-    from fieldguard.llm.mixing import Mix, mix_documents, mix_sizes, mixed
+    from fieldguard.llm.mixing import Mix, mix_documents, mix_sizes, mixed, mixed_shards
 
     mix = Mix(block_words=700, shard_blocks=3)
     got = rows_of(mix_sizes(docs, mix))
@@ -392,6 +530,20 @@ def test_mixing(docs, empty):
     shards = Counter(x["fg_shard"] for x in rows)
     assert len(shards) > 1 and all({x["fg_position"] for x in rows if x["fg_shard"] == k} == set(range(1, n + 1)) for k, n in shards.items())
     assert mixed(docs, mix).select(*docs.columns).columns == docs.columns
+    # written by shard: each partition holds whole shards, each in the order of its positions
+    shown = mixed_shards(docs.withColumn("n_chars", F.monotonically_increasing_id()), mix)
+    parts = shown.select(F.spark_partition_id().alias("p"), "doc_id", "text").collect()
+    assert shown.columns == docs.columns and Counter(str(x["text"]) for x in parts) == Counter(str(x["text"]) for x in rows)
+    inside = defaultdict(list)
+    for x in sorted(rows, key=lambda x: (x["fg_shard"], x["fg_position"])):
+        inside[x["fg_shard"]].append(str(x["text"]))
+    whole = [[str(x["text"]) for x in parts if x["p"] == p] for p in sorted({x["p"] for x in parts})]
+    for part in whole:
+        at = 0
+        while at < len(part):
+            shard = next(k for k, v in inside.items() if v == part[at : at + len(v)])
+            at += len(inside.pop(shard))
+    assert not inside
     assert mix_sizes(empty).count() == 0 == mixed(empty).count()
 
 
@@ -418,8 +570,10 @@ def test_nearest(spark):
     x = r.normal(size=(700, 12)).astype(np.float32)
     x[100:160] = x[100]  # copies: ties to the smallest ids
     rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
-    rows += [(900, None), (950, [0.0] * 12), (1000, [float("nan")] * 12), (1050, [None] * 12), (1100, [1.0, 2.0]), (None, [1.0] * 12), rows[3]]
+    rows += [(900, None), (950, [0.0] * 12), (1000, [float("nan")] * 12), (1050, [None] * 12), (1100, [1.0, 2.0]), (None, [1.0] * 12)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for name in ("row", "v", "own", "ids", "codes", "score", "a"):
+        df = df.withColumn(name, F.lit("clash"))
     got = rows_of(nearest(df, F.col("vec_id") % 50 == 0, 5, Index(sample=512, code_rows=256, query_rows=4)))
     v = x.astype(float)
     v /= np.linalg.norm(v, axis=1, keepdims=True)
@@ -438,6 +592,25 @@ def test_nearest(spark):
     assert nearest(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_nearest_takes_every_row_of_a_repeated_id(spark):
+    """Rows that share a vec_id are candidates each, and each of them asks; a row alone isn't found by itself."""
+    from fieldguard.llm.ann import Index, nearest
+
+    r = np.random.default_rng(2)
+    ids = [i // 3 for i in range(300)]
+    x = r.normal(size=(300, 6))
+    df = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in zip(ids, x)], "vec_id long, embedding array<double>")
+    got = Counter((g["query_id"], g["rank"], g["vec_id"], round(g["score"], 9)) for g in rows_of(nearest(df, F.col("vec_id") % 50 == 0, 5, Index(sample=128, code_rows=64, query_rows=2))))
+    v = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = Counter()
+    for q in range(300):
+        if ids[q] % 50 == 0:
+            s = v @ v[q]
+            s[q] = -9
+            want.update((ids[q], n, ids[j], round(float(s[j]), 9)) for n, j in enumerate(np.lexsort((ids, -s))[:5], 1))
+    assert got == want
+
+
 @pytest.mark.parametrize("kind", ["float", "double"])
 def test_nearest_of_near_copies_is_exact(spark, kind):
     """More near copies than rerank share their codes; the neighbours are those of brute force all the same."""
@@ -483,6 +656,50 @@ def test_levenshtein_automaton():
         assert set(lexicon.match(w)) == want
 
 
+def test_features_by_brute_force():
+    """Hits, windows and quotations against edit distances; words and quotations of any length count."""
+    import math
+
+    from fieldguard.llm.toxicity import ADDRESS, QUOTES, REPORTED, REPORTING, FuzzyLexicon, _Words, edits_for, features
+
+    r = random.Random(6)
+    lexicon = {"frumpkin": 2.0, "zog": 1.5, "blarghestuous": 3.0, "grum*": 1.75, "x" * 70: 2.5}
+    pool = ["you", "said", "fine", "frumpkin", "frumqkin", "zog", "zag", "blargestuos", "grumbling", "grum" + "o" * 80, "x" * 70, "x" * 69, '"', "\n", "«", "the", "a" * 100]
+    words = _Words(FuzzyLexicon(lexicon))
+
+    def hit(w):
+        found = []
+        for t, weight in lexicon.items():
+            if t.endswith("*"):
+                found += [(weight, 2)] if w.startswith(t[:-1]) else []
+            elif (e := edit_distance(w, t) if abs(len(w) - len(t)) < 3 else 9) <= edits_for(t):
+                found.append((weight / (1 + e), 1 if e else 0))
+        return max(found, key=lambda f: f[0], default=None)
+
+    for n in [1, 5, 20, 40, 40, 40, 900]:
+        text = " ".join(r.choice(pool) for _ in range(n))
+        tokens = [w for w in re.findall(r"[^\W_]+", text.lower())]
+        kinds, address, quoted, most = [0.0] * 3, 0.0, 0.0, 0.0
+        for i, w in enumerate(tokens):
+            if h := hit(w):
+                around, (weight, kind) = set(tokens[max(0, i - 6) : i + 7]), h
+                most = max(most, 0)
+                if around & REPORTING:
+                    quoted += weight
+                    weight *= REPORTED
+                kinds[kind] += weight
+                address += weight if around & ADDRESS else 0
+        for line in text.split("\n"):
+            marks = [i for i, c in enumerate(line) if c in QUOTES]
+            for a, b in zip(marks[0::2], marks[1::2]):
+                quoted += sum(h[0] for w in re.findall(r"[^\W_]+", line[a + 1 : b].lower()) if (h := hit(w)))
+        got = features(text, words, 6)
+        if any(kinds):
+            assert got[:3] == pytest.approx([math.log1p(k) for k in kinds])
+            assert got[4] == pytest.approx(math.log1p(address)) and got[5] == pytest.approx(math.log1p(quoted))
+    assert features("grum" + "o" * 500 + " " + "x" * 70, words, 6)[:3] == pytest.approx([math.log1p(2.5), 0, math.log1p(1.75)])
+
+
 def test_toxicity(spark, empty):
     from fieldguard.llm.toxicity import REPORTED, FuzzyLexicon, _Words, drop_toxic, features, fit, score_documents
 
