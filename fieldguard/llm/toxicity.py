@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_rows, text_bytes
+from .common import by_rows, claim, discard, materialize, slices, text_bytes
 
 WORD = re.compile(r"[^\W_]+")
 # Signs of quotation and of address in a window.
@@ -27,19 +28,25 @@ ADDRESS = frozenset("you your youre u ur tu toi vous votre du dich dir ihr dein
 #: What a hit that a window reports instead of addressing still counts.
 REPORTED = 0.5
 QUOTES = "\"“”„«»‹›"
-#: States of the lazily made automaton, and words, that a worker keeps.
-STORED = 400_000
+QUOTED = re.compile(f"[{QUOTES}]")
+#: Words that a worker remembers, letters of the longest of them, and pairs of (node, edits) in the states of its automaton.
+STORED = 200_000
+STORED_LETTERS = 64
+STORED_PAIRS = 400_000
 
 
 @dataclass(frozen=True)
 class Rules:
     """sample: labelled rows that the model is fitted on, those with the smallest hash of doc_id.
 
-    entries: size of the lexicon; window: words on either side of a hit; stem: letters of the shortest stem.
+    entries: size of the lexicon; candidates: terms among which it is chosen; window: words on either side of a hit;
+    stem: letters of the shortest stem; folds: parts of the sample whose features come from the lexicons of the others.
     """
 
-    sample: int = 4_000
+    sample: int = 8_000
     entries: int = 2_000
+    candidates: int = 30_000
+    folds: int = 4
     least_docs: int = 3
     least_weight: float = 1.5
     stem: int = 4
@@ -86,6 +93,7 @@ class FuzzyLexicon:
         self.sets: list[tuple] = [start]
         self.stems: list[tuple[str, ...]] = [()]
         self.move: dict[tuple[int, str], int] = {}
+        self.pairs = 0
         self.ends: list[tuple | None] = [None]
 
     def _close(self, items: dict) -> tuple:
@@ -125,6 +133,7 @@ class FuzzyLexicon:
                 if nxt is None:
                     nxt = self.states[whole] = len(self.sets)
                     self.sets.append(reached)
+                    self.pairs += len(reached) + 4
                     self.stems.append(tuple(stems))
                     self.ends.append(None)
             self.move[key] = nxt
@@ -132,7 +141,7 @@ class FuzzyLexicon:
 
     def match(self, word: str) -> tuple[tuple[str, int], ...]:
         """(term, edits) of the terms that the word is a spelling of; for a stem 0."""
-        if len(self.move) > STORED:
+        if self.pairs + len(self.move) > STORED_PAIRS:
             self._reset()
         state, found = 0, []
         move = self.move
@@ -157,16 +166,16 @@ class _Words(dict):
         self.lexicon = lexicon
 
     def __missing__(self, word: str):
-        if len(self) > STORED:
-            self.clear()
-        found = self.lexicon.match(word) if len(word) <= 64 else ()
         best = None
-        for term, e in found:
+        for term, e in self.lexicon.match(word):
             w = self.lexicon.weight[term]
             kind = 2 if term.endswith("*") else 1 if e else 0
             if best is None or (w / (1 + e)) > best[0]:
                 best = (w / (1 + e), kind)
-        self[word] = best
+        if len(word) <= STORED_LETTERS:
+            if len(self) >= STORED:
+                self.clear()
+            self[word] = best
         return best
 
 
@@ -205,8 +214,12 @@ def features(text: str, words: _Words, window: int) -> list[float]:
 
 
 def _inside_quotes(text: str, words: _Words) -> float:
-    parts = re.split(f"[{re.escape(QUOTES)}]", text)
-    return sum(h[0] for part in parts[1::2] if len(part) <= 400 for h in map(words.__getitem__, WORD.findall(part.lower())) if h)
+    """Weights of the hits between a mark of quotation and the next one in the same line; a line's odd last mark opens nothing."""
+    total = 0.0
+    for line in text.split("\n"):
+        for part in QUOTED.split(line)[1:-1:2]:
+            total += sum(h[0] for h in map(words.__getitem__, WORD.findall(part.lower())) if h)
+    return total
 
 
 @dataclass
@@ -227,93 +240,120 @@ def candidates(text: str, rules: Rules) -> set[str]:
     """Words of a text, and stems that its words begin with."""
     out = set()
     for w in set(WORD.findall(text.lower())):
-        if 3 <= len(w) <= 24:
+        if len(w) >= 3:
             out.add(w)
         for k in range(rules.stem, min(8, len(w))):
             out.add(w[:k] + "*")
     return out
 
 
-def learn(texts: list[str], toxic: list[int], rules: Rules) -> Model:
-    """Lexicon by smoothed log-odds of document counts, then logistic regression on out-of-fold features."""
-    n1 = max(1, sum(toxic))
-    n0 = max(1, len(toxic) - sum(toxic))
-    seen = Counter()
-    for t, y in zip(texts, toxic):
-        if y:
-            seen.update(candidates(t, rules))
-    kept = {term for term, k in seen.items() if k >= rules.least_docs}  # others can't enter the lexicon
-    counts = {0: Counter(), 1: Counter()}
-    sets = []
-    for t, y in zip(texts, toxic):
-        c = tuple(candidates(t, rules) & kept)
-        sets.append((c, y))
-        counts[y].update(c)
-
-    def lexicon(part: dict[int, Counter]) -> dict[str, float]:
-        ranked = []
-        for term, k in part[1].items():
-            if k < rules.least_docs:
-                continue
-            other = part[0].get(term, 0)
-            weight = math.log((k + 0.5) / (n1 + 1)) - math.log((other + 0.5) / (n0 + 1))
-            sure = weight - 1.3 * math.sqrt(1 / (k + 0.5) + 1 / (other + 0.5))
+def strength(k: float, other: float, n1: int, n0: int) -> tuple[float, float]:
+    """(weight, weight less what chance may add) of a term in k of n1 toxic and other of n0 clean documents: smoothed log-odds."""
+    weight = math.log((k + 0.5) / (n1 + 1)) - math.log((other + 0.5) / (n0 + 1))
+    return weight, weight - 1.3 * math.sqrt(1 / (k + 0.5) + 1 / (other + 0.5))
+
+
+def lexicon(counts: dict[str, tuple[int, int]], n1: int, n0: int, rules: Rules) -> dict[str, float]:
+    """Weights by term from (clean, toxic) documents with the term: the surest terms, without those that another one covers."""
+    ranked = []
+    for term, (other, k) in counts.items():
+        if k >= rules.least_docs:
+            weight, sure = strength(k, other, n1, n0)
             if weight >= rules.least_weight and sure > 0:
                 ranked.append((sure * math.sqrt(k), term, weight))
-        ranked.sort(key=lambda r: (-r[0], r[1]))
-        out: dict[str, float] = {}
-        single: dict[str, int] = {}  # documents of the commonest word under each stem
-        for _, term, _ in ranked:
-            for k in range(rules.stem, min(8, len(term))) if not term.endswith("*") else ():
-                single[term[:k] + "*"] = max(single.get(term[:k] + "*", 0), part[1][term])
-        for _, term, weight in ranked:
-            if term.endswith("*"):
-                if single.get(term, 0) >= 0.9 * part[1][term]:  # one word, which with its misspellings says as much
-                    continue
-                if any(out.get(term[:k] + "*", -9) >= weight - 0.3 for k in range(rules.stem, len(term) - 1)):  # a shorter stem says as much
-                    continue
-            out[term] = weight
-            if len(out) >= rules.entries:
-                break
-        return out
+    ranked.sort(key=lambda r: (-r[0], r[1]))
+    out: dict[str, float] = {}
+    single: dict[str, int] = {}  # documents of the commonest word under each stem
+    for _, term, _ in ranked:
+        for k in range(rules.stem, min(8, len(term))) if not term.endswith("*") else ():
+            single[term[:k] + "*"] = max(single.get(term[:k] + "*", 0), counts[term][1])
+    for _, term, weight in ranked:
+        if term.endswith("*"):
+            if single.get(term, 0) >= 0.9 * counts[term][1]:  # one word, which with its misspellings says as much
+                continue
+            if any(out.get(term[:k] + "*", -9) >= weight - 0.3 for k in range(rules.stem, len(term) - 1)):  # a shorter stem says as much
+                continue
+        out[term] = weight
+        if len(out) >= rules.entries:
+            break
+    return out
 
-    # features of a fold come from a lexicon learned without it, so that the weights of rare terms aren't overrated
-    x = np.zeros((len(texts), N_FEATURES))
-    folds = 4
-    for f in range(folds):
-        part = {y: Counter(counts[y]) for y in (0, 1)}
-        for c, y in sets[f::folds]:
-            part[y].subtract(c)
-        words = _Words(FuzzyLexicon(lexicon(part)))
-        for i in range(f, len(texts), folds):
-            x[i] = features(texts[i], words, rules.window)
-    y = np.asarray(toxic, float)
+
+def regression(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float, np.ndarray, np.ndarray]:
+    """(coefficients, bias, means, scales) of a lightly regularised logistic regression by Newton steps."""
     mean, scale = (x.mean(0), x.std(0) + 1e-6) if len(x) else (np.zeros(N_FEATURES), np.ones(N_FEATURES))
     z = np.c_[(x - mean) / scale, np.ones(len(x))]
     w = np.zeros(N_FEATURES + 1)
-    w[-1] = math.log(n1 / n0)
-    for _ in range(30 if len(x) else 0):  # Newton steps of a lightly regularised regression
+    w[-1] = math.log(max(1, y.sum()) / max(1, len(y) - y.sum()))
+    for _ in range(30 if len(x) else 0):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
         h = (z * (p * (1 - p))[:, None]).T @ z + 0.5 * np.eye(len(w))
         step = np.linalg.solve(h, z.T @ (y - p) - 0.5 * np.r_[w[:-1], 0])
         w += step
         if np.abs(step).max() < 1e-6:
             break
-    return Model(lexicon(counts), w[:-1], float(w[-1]), mean, scale, rules)
+    return w[:-1], float(w[-1]), mean, scale
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
+def _term_counts(sample: DataFrame, rules: Rules) -> DataFrame:
+    """(term, fold, toxic, n): documents of the sample with each term, added up where they are read."""
+    schema = pa.schema([("term", pa.string()), ("fold", pa.int32()), ("toxic", pa.int32()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            seen: Counter = Counter()
+            for fold, toxic, text in zip(*(batch.column(c).to_pylist() for c in ("fold", "toxic", "text"))):
+                seen.update((term, fold, toxic) for term in candidates(text, rules))
+            rows = [(*k, n) for k, n in seen.items()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)] if rows else [pa.array([], f.type) for f in schema], schema=schema)
+
+    return sample.mapInArrow(run, "term string, fold int, toxic int, n long")
+
+
 def fit(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> Model:
-    """A model from at most rules.sample labelled rows that aren't held out; a document with several labels is toxic if one says so."""
+    """A model from at most rules.sample labelled rows that aren't held out; a document with several labels is toxic if one says so.
+
+    Terms are counted and features are made where the texts are; the driver gets the counts of rules.candidates
+    terms and the few features of each row of the sample, and no text.
+    """
     y = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).where(~held_out(F.col("doc_id")))
     y = y.groupBy(F.col("doc_id").cast("long").alias("l_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     y = y.orderBy(F.xxhash64("l_id"), "l_id").limit(rules.sample)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().cast("string").alias("text")).join(F.broadcast(y), F.col("doc_id") == F.col("l_id"))
-    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).toPandas().sort_values("doc_id")
-    return learn(rows["text"].tolist(), rows["toxic"].astype(int).tolist(), rules)
+    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), (F.max("toxic") > 0).cast("int").alias("toxic"))
+    sample = materialize(rows.withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(rules.folds)).cast("int")))
+    n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    n1, n0 = max(1, n.get(1, 0)), max(1, n.get(0, 0))
+    both = [F.sum(F.when(F.col("toxic") == t, F.col("n")).otherwise(0)) for t in (0, 1)]
+    parts = [F.sum(F.when((F.col("toxic") == t) & (F.col("fold") == f), F.col("n")).otherwise(0)).alias(f"f{f}_{t}") for f in range(rules.folds) for t in (0, 1)]
+    terms = _term_counts(sample, rules).groupBy("term").agg(both[0].alias("clean"), both[1].alias("hits"), *parts).where(F.col("hits") >= rules.least_docs)
+    weight = F.log((F.col("hits") + 0.5) / (n1 + 1)) - F.log((F.col("clean") + 0.5) / (n0 + 1))
+    sure = weight - 1.3 * F.sqrt(1 / (F.col("hits") + 0.5) + 1 / (F.col("clean") + 0.5))
+    best = terms.where(weight > 0).orderBy(F.desc(sure * F.sqrt("hits")), "term").limit(rules.candidates).collect()
+    counts = {r["term"]: (r["clean"], r["hits"]) for r in best}
+    # features of a fold come from a lexicon learned without it, so that the weights of rare terms aren't overrated
+    without = [lexicon({r["term"]: (r["clean"] - r[f"f{f}_0"], r["hits"] - r[f"f{f}_1"]) for r in best}, n1, n0, rules) for f in range(rules.folds)]
+    shared = docs.sparkSession.sparkContext.broadcast(without)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fold, words = None, None
+        for batch in slices(batches):
+            x = []
+            for f, text in zip(batch.column("fold").to_pylist(), batch.column("text").to_pylist()):
+                if f != fold:
+                    fold, words = f, _Words(FuzzyLexicon(shared.value[f]))
+                x.append(features(text, words, rules.window))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "toxic", "x"])
+
+    dealt = sample.repartition(4 * rules.folds, "fold", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(4))).sortWithinPartitions("fold", "doc_id")
+    rows = sorted(dealt.mapInArrow(run, "doc_id long, toxic int, x array<double>").collect())
+    discard(sample)
+    coef, bias, mean, scale = regression(np.array([r["x"] for r in rows], float).reshape(-1, N_FEATURES), np.array([r["toxic"] for r in rows], float))
+    return Model(lexicon(counts, n1, n0, rules), coef, bias, mean, scale, rules)
 
 
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
@@ -322,6 +362,7 @@ _MODELS: list[tuple[Model, _Words]] = []
 
 def _words_for(model: Model) -> _Words:
     """The worker's remembered words for this model."""
+    claim("toxicity", _MODELS.clear)
     if not _MODELS or _MODELS[0][0] is not model:
         _MODELS[:] = [(model, _Words(FuzzyLexicon(model.terms)))]
     return _MODELS[0][1]
@@ -356,7 +397,7 @@ def drop_toxic(docs: DataFrame, model: Model, most: float = 0.5) -> DataFrame:
     def run(batches):
         m = shared.value
         words = _words_for(m)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             yield batch.filter(pa.array([m.score(features(t or "", words, m.rules.window)) < most for t in texts], pa.bool_()))
 
