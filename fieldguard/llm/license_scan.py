@@ -1,9 +1,10 @@
 """License scans by diagonal voting, in DataFrame functions only.
 
-Every rolling word k-gram of a text is hashed; those that occur in a template join to the template's
-positions. Hits with one difference between text and template position lie on one diagonal and vote for the
-template standing there; neighbouring diagonals (a word more or less) are merged, and a span counts when the
-grams, compared as words, cover enough of the template within a span of fitting length.
+Every rolling word k-gram of a text is hashed and joined to the positions of the templates, a table of any size.
+Hits with one difference between text and template position lie on one diagonal and vote for the template standing
+there; neighbouring diagonals (a word more or less) are merged, and a span counts when its grams cover enough of the
+template within a span of fitting length. Grams are compared by two independent hashes of their words, 96 bits in all:
+among 10**13 grams of a corpus and 10**6 of templates, one false hit is expected in 10**9 such runs.
 """
 
 from __future__ import annotations
@@ -34,12 +35,14 @@ NOTICES = (
 
 @dataclass(frozen=True)
 class Voting:
-    """k-gram lengths for phrases and notices, least covered share of a notice, words that a diagonal may shift."""
+    """k-gram lengths for phrases and notices, least covered share of a notice, words that a diagonal may shift, and
+    template positions (about 40 bytes each) up to which they are broadcast; a larger table meets the grams in a shuffle."""
 
     phrase_k: int = 2
     notice_k: int = 4
     cover: float = 0.5
     shift: int = 3
+    broadcast: int = 200_000
 
 
 def _grams(voting: Voting) -> list[tuple[str, bool, int, int, int, str]]:
@@ -54,37 +57,29 @@ def _grams(voting: Voting) -> list[tuple[str, bool, int, int, int, str]]:
     return out
 
 
-def _gram_hash(words: Column, i: Column, k: int) -> Column:
-    return F.xxhash64(*[F.get(words, i + j) for j in range(k)])
+def default_templates(spark: SparkSession) -> DataFrame:
+    """(label, phrase, text): the base phrases and the openings of well-known notices."""
+    rows = [(label, True, text) for text, label in PHRASES.items()] + [(label, False, text) for label, text in NOTICES]
+    return spark.createDataFrame(rows, "label string, phrase boolean, text string")
 
 
-def _templates(spark: SparkSession, voting: Voting) -> DataFrame:
-    """The template positions by gram hash; a few hundred rows, fixed by the constants above."""
-    t = spark.createDataFrame(_grams(voting), "label string, phrase boolean, template int, n_grams int, tpos int, t_gram string")
-    ws = F.split("t_gram", " ")
-    return t.select("*", F.when(F.col("phrase"), _gram_hash(ws, F.lit(0), voting.phrase_k)).otherwise(_gram_hash(ws, F.lit(0), voting.notice_k)).alias("hash"))
+def _grams_of(ws: Column, k: int) -> Column:
+    """array<struct<pos, hash, other>> of all rolling k-grams; positions count from the first word."""
+    lead = F.when(F.get(ws, F.lit(0)) == "", 1).otherwise(0)
+    n = F.size(ws) - F.when(F.get(ws, F.size(ws) - 1) == "", 1).otherwise(0)  # where an empty word ends the text, also of a text without words
+    places = F.when(n - lead >= k, F.sequence(lead, n - k)).otherwise(F.expr("cast(array() as array<int>)"))
+    words = lambda i: [F.get(ws, i + j) for j in range(k)]
+    return F.transform(places, lambda i: F.struct((i - lead).alias("pos"), F.xxhash64(*words(i)).alias("hash"), F.hash(*words(i)).alias("other")))
 
 
-def _rolling(k: int, known: list[int], ws: Column, places: Column, lead: Column) -> Column:
-    """(pos, hash, gram) of all rolling k-grams whose hash is a template's; positions count from the first word."""
-    at = F.filter(places, lambda i: _gram_hash(ws, i, k).isin(known) & (i + k <= F.size(ws)))
-    return F.transform(
-        at, lambda i: F.struct((i - lead).alias("pos"), _gram_hash(ws, i, k).alias("hash"), F.concat_ws(" ", *[F.get(ws, i + j) for j in range(k)]).alias("gram"))
-    )
-
-
-def _hits(words: Column, templates: DataFrame, voting: Voting) -> Column:
-    known = {True: [], False: []}
-    for phrase, h in templates.select("phrase", "hash").collect():
-        known[phrase].append(h)
-
-    def scan(ws: Column) -> Column:
-        lead = F.when(F.get(ws, F.lit(0)) == "", 1).otherwise(0)
-        places = F.sequence(F.lit(0), F.greatest(F.size(ws) - 1, F.lit(0)))
-        return F.concat(_rolling(voting.phrase_k, known[True], ws, places, lead), _rolling(voting.notice_k, known[False], ws, places, lead))
-
-    # the words are bound once as a lambda's argument, so that no rewrite splits the text again at each place
-    return F.get(F.transform(F.array(words), scan), F.lit(0))
+def _positions(templates: DataFrame, voting: Voting) -> DataFrame:
+    """(label, phrase, template, n_grams, tpos, t_hash, t_other): every gram of every template; templates shorter than
+    a gram have none. One template given twice counts once."""
+    t = templates.select(F.col("label").cast("string").alias("label"), F.col("phrase").cast("boolean").alias("phrase"), words_of("text").alias("ws")).distinct()
+    t = t.withColumn("template", F.xxhash64("label", "phrase", "ws"))
+    t = t.select("label", "phrase", "template", F.when(F.col("phrase"), _grams_of(F.col("ws"), voting.phrase_k)).otherwise(_grams_of(F.col("ws"), voting.notice_k)).alias("grams"))
+    t = t.select("label", "phrase", "template", F.size("grams").alias("n_grams"), F.explode("grams").alias("g"))
+    return t.select("label", "phrase", "template", "n_grams", F.col("g.pos").alias("tpos"), F.col("g.hash").alias("t_hash"), F.col("g.other").alias("t_other"))
 
 
 def words_of(text: str = "text") -> Column:
@@ -93,28 +88,33 @@ def words_of(text: str = "text") -> Column:
     return F.split(lower, SEPARATOR)
 
 
-def scan_licenses(docs: DataFrame, voting: Voting = Voting()) -> DataFrame:
+def scan_licenses(docs: DataFrame, voting: Voting = Voting(), templates: DataFrame | None = None) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) for every row of docs.
 
-    score is the largest share of a template that a span covers, 1 where a base phrase stands. A null or empty
-    text has 0 words, no labels ("") and score 0. Null doc_id and rows repeated with one doc_id stay, each
-    with the result of its own text. Other columns are ignored. The text is read once; what is shuffled is a
-    narrow table of rows and the few grams that occur in templates.
+    templates (label, phrase, text): phrases count where their words stand consecutively, others where enough of them
+    stands; those of default_templates() without. score is the largest share of a template that a span covers, 1 where
+    a base phrase stands. A null or empty text has 0 words, no labels ("") and score 0. Null doc_id and rows repeated
+    with one doc_id stay, each with the result of its own text. Other columns are ignored. The grams of a text meet the
+    template positions where it is read while these are few enough to broadcast; what is shuffled then is a narrow
+    table of rows and the few grams that occur in templates.
     """
-    t = _templates(docs.sparkSession, voting)
+    t = materialize(_positions(templates if templates is not None else default_templates(docs.sparkSession), voting))
+    few = t.count() <= voting.broadcast
 
     def count(ws: Column) -> Column:
         n = F.size(ws) - F.when(F.get(ws, F.lit(0)) == "", 1).otherwise(0) - F.when((F.size(ws) > 1) & (F.get(ws, F.size(ws) - 1) == ""), 1).otherwise(0)
         return n.cast("long")
 
-    words = words_of()
-    both = F.get(F.transform(F.array(words), lambda ws: F.struct(count(ws).alias("n_words"), ws.alias("ws"))), F.lit(0))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), both.alias("w"))
-    rows = materialize(rows.select("doc_id", "th", F.col("w.n_words").alias("n_words"), _hits(F.col("w.ws"), t, voting).alias("hits")))
+    # the words are bound once as a lambda's argument, so that no rewrite splits the text again at each place
+    bound = lambda f: F.get(F.transform(F.array(words_of()), f), F.lit(0))
     key = ["doc_id", "th"]
-    hits = rows.where(F.size("hits") > 0).select(*key, F.explode("hits").alias("h")).select(*key, "h.pos", "h.hash", "h.gram")
-    votes = hits.join(F.broadcast(t), "hash").where("gram = t_gram").select(*key, "label", "phrase", "template", "n_grams", "tpos", "pos", (F.col("pos") - F.col("tpos")).alias("diagonal"))
-    votes = votes.distinct()  # rows repeated with one doc_id and text vote once
+    ids = [F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th")]
+    rows = docs.select(*ids, bound(count).alias("n_words"))
+    grams = docs.select(*ids, F.explode(bound(lambda ws: F.concat(_grams_of(ws, voting.phrase_k), _grams_of(ws, voting.notice_k)))).alias("g"))
+    grams = grams.select(*key, "g.pos", "g.hash", "g.other")
+    hits = grams.join(F.broadcast(t) if few else t, (F.col("hash") == F.col("t_hash")) & (F.col("other") == F.col("t_other")))
+    votes = hits.select(*key, "label", "phrase", "template", "n_grams", "tpos", "pos", (F.col("pos") - F.col("tpos")).alias("diagonal"))
+    votes = materialize(votes.distinct())  # rows repeated with one doc_id and text vote once
     diagonals = votes.groupBy(*key, "label", "phrase", "template", "n_grams", "diagonal").agg(
         F.count("*").alias("n"), F.min("pos").alias("start"), F.max("pos").alias("stop"), F.collect_set("tpos").alias("at")
     )
@@ -137,7 +137,7 @@ def scan_licenses(docs: DataFrame, voting: Voting = Voting()) -> DataFrame:
         F.flatten(F.collect_list("base")).alias("base"), F.flatten(F.collect_list("own")).alias("own"),
     )
     found = found.select(F.col("doc_id").alias("f_id"), F.col("th").alias("f_th"), "n_base", "first_word", "last_word", "share", "base", F.array_union("base", "own").alias("all"))
-    out = rows.drop("hits").join(found, F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("th") == F.col("f_th")), "left")
+    out = rows.join(found, F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("th") == F.col("f_th")), "left")
     none = F.expr("cast(array() as array<string>)")
     return out.select(
         "doc_id", "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), "first_word", "last_word",
@@ -158,7 +158,7 @@ def oracle() -> str:
 WITH t(label, phrase, template, n_grams, tpos, gram) AS (VALUES {values}),
 d AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(lower(replace(coalesce(text, ''), chr(8490), chr(233))), '{SEPARATOR}'), lambda w: w <> '') AS ws FROM documents),
 r AS (SELECT rid, doc_id, ws, len(ws)::BIGINT AS n_words FROM d),
-p AS (SELECT rid, ws, n_words, unnest(range(1, n_words + 1)) AS i FROM r WHERE list_has_any(ws, ['license', 'cc', 'permission', 'program', 'library', 'redistribution', 'work', 'software', 'source', 'file'])),
+p AS (SELECT rid, ws, n_words, unnest(range(1, n_words + 1)) AS i FROM r),
 h AS ({grams}),
 v AS (SELECT DISTINCT rid, label, phrase, template, n_grams, tpos, pos, pos - tpos AS diagonal FROM h JOIN t ON h.gram = t.gram),
 g AS (SELECT rid, label, phrase, template, n_grams, diagonal, count(*) AS n, min(pos) AS start, max(pos) AS stop, list(tpos) AS places FROM v GROUP BY ALL),
