@@ -35,16 +35,17 @@ class Index:
     threshold: float = 0.2
     steps: int = 8
     rerank: int = 100
-    code_rows: int = 32768
+    code_rows: int = 8192
     query_rows: int = 128
+    #: Pairs of a block of codes and one of queries that a task gets before there are more groups than tasks.
+    pairs: int = 64
 
 
 def valid_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """(vec_id, v): vectors of finite components, not all zero, with an id; of rows that share an id the least vector."""
+    """(vec_id, v): vectors of finite components, not all zero, with an id."""
     v = F.col(embedding).cast("array<double>")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = df.where(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull()).where(fine).select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("v"))
-    return rows.groupBy("vec_id").agg(F.min("v").alias("v"))
+    return df.where(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull()).where(fine).select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("v"))
 
 
 def eta(d: int, threshold: float) -> float:
@@ -128,11 +129,11 @@ class Quantiser:
         return out
 
 
-def best(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> list[np.ndarray]:
-    """For each query the places of its k best codes other than its own, ties to smaller ids."""
+def best(scores: np.ndarray, ids: np.ndarray, rows: np.ndarray, own: np.ndarray, k: int) -> list[np.ndarray]:
+    """For each query the places of its k best codes of other rows than its own, ties to smaller ids."""
     out = []
     for row, me in zip(scores, own):
-        row = np.where(ids == me, -np.inf, row)
+        row = np.where(rows == me, -np.inf, row)
         if len(row) > k:
             least = np.partition(row, len(row) - k)[len(row) - k]
             at = np.flatnonzero(row >= least)
@@ -151,8 +152,8 @@ def dots(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
-def exact_best(q: np.ndarray, me: int, near: np.ndarray, first: np.ndarray, off: np.ndarray, ids: np.ndarray, x: np.ndarray, norms: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and exact cosines of the k vectors [n, d] nearest to q other than its own, ties to smaller ids.
+def exact_best(q: np.ndarray, others: np.ndarray, near: np.ndarray, first: np.ndarray, off: np.ndarray, ids: np.ndarray, x: np.ndarray, norms: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and exact cosines of the k of the other vectors [n, d] nearest to q, ties to smaller ids.
 
     The k-th best of the places first is a score that the k-th best of all doesn't fall below. A vector whose
     approximate score near falls short of it by more than off cannot be among the best; all others are ranked.
@@ -164,7 +165,7 @@ def exact_best(q: np.ndarray, me: int, near: np.ndarray, first: np.ndarray, off:
     if len(first) >= k:
         known = cosines(first)
         least = np.partition(np.where(np.isnan(known), -np.inf, known), len(known) - k)[len(known) - k]
-    at = np.flatnonzero(~(near + off < least) & (ids != me))
+    at = np.flatnonzero(~(near + off < least) & others)
     score = cosines(at)
     top = np.lexsort((ids[at], -np.where(np.isnan(score), np.inf, score)))[:k]
     return at[top], score[top]
@@ -174,20 +175,21 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, index: Index = Inde
     """(query_id, rank, vec_id, score): the k nearest by cosine for every row of vectors where queries holds.
 
     Vectors that are null, zero or hold null or non-finite components take no part, nor rows without vec_id,
-    nor vectors whose dimension isn't the most common one (of equally common ones the largest). Rows that share a
-    vec_id count once, with the least vector. All candidates, if fewer than k; an empty table gives no rows.
+    nor vectors whose dimension isn't the most common one (of equally common ones the largest). Every row is a
+    candidate for all other rows: of rows that share a vec_id each may be found, and each that asks has its own ranks.
+    All candidates, if fewer than k; an empty table gives no rows.
     A query block meets each block of codes once, with the vectors beside the codes, and keeps the k exactly best
     of it with ties to smaller vec_id: near copies in any number displace nothing. Other columns are ignored.
     """
     spark = vectors.sparkSession
-    good = materialize(valid_vectors(vectors))
+    good = materialize(valid_vectors(vectors).withColumn("row", F.monotonically_increasing_id()))
     dims = good.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
     none = "query_id long, rank int, vec_id long, score double"
     if dims is None:
         return spark.createDataFrame([], none)
     d = dims["d"]
     good = good.where(F.size("v") == d)
-    sample = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(index.sample).toPandas()
+    sample = good.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(index.sample).toPandas()
     quantiser = Quantiser(d, index)
     quantiser.fit(np.stack(sample["v"].to_numpy()).astype(np.float64))
     shared = spark.sparkContext.broadcast(quantiser.centres)  # 16 * d numbers
@@ -201,15 +203,15 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, index: Index = Inde
         held = []
 
         def flush():
-            i, c, e, x = (np.concatenate(part) for part in zip(*held))
+            i, r, c, e, x = (np.concatenate(part) for part in zip(*held))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array([zlib.crc32(i[:1].tobytes())], pa.int64()), *(pa.array([part.tobytes()]) for part in (i, c, e, x))], names=["g", "ids", "codes", "off", "v"])
+            return pa.RecordBatch.from_arrays([pa.array([zlib.crc32(r[:1].tobytes())], pa.int64()), *(pa.array([part.tobytes()]) for part in (i, r, c, e, x))], names=["g", "ids", "rows", "codes", "off", "v"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
-                x = part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, d).astype(wide)
-                held.append((part.column(0).to_numpy(), *q.encode(x.astype(np.float64)), x))
+                x = part.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, d).astype(wide)
+                held.append((part.column(0).to_numpy(), part.column(1).to_numpy(), *q.encode(x.astype(np.float64)), x))
                 if sum(len(h[0]) for h in held) >= index.code_rows:
                     yield flush()
         if held:
@@ -219,34 +221,38 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, index: Index = Inde
         for batch in batches:
             for at in range(0, batch.num_rows, index.query_rows):
                 part = batch.slice(at, index.query_rows)
-                x = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-                yield pa.RecordBatch.from_arrays([pa.array([part.column(0).to_numpy().tobytes()]), pa.array([x.tobytes()])], names=["own", "x"])
+                x = part.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                yield pa.RecordBatch.from_arrays([pa.array([part.column(0).to_numpy().tobytes()]), pa.array([part.column(1).to_numpy().tobytes()]), pa.array([x.tobytes()])], names=["asks", "own", "x"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = Quantiser(d, index, shared.value)
         for batch in batches:
             for row in range(batch.num_rows):
-                own, asks, ids, codes, off, x = (np.frombuffer(c[row].as_buffer(), kind) for c, kind in zip(batch.columns, (np.int64, np.float64, np.int64, np.uint8, np.float32, wide)))
-                asks, x = asks.reshape(-1, d), x.reshape(-1, d)
-                s = q.scores(asks, codes.reshape(len(ids), -1))
+                asks, own, q_x, ids, rows, codes, off, x = (np.frombuffer(c[row].as_buffer(), kind) for c, kind in zip(batch.columns, (np.int64, np.int64, np.float64, np.int64, np.int64, np.uint8, np.float32, wide)))
+                q_x, x = q_x.reshape(-1, d), x.reshape(-1, d)
+                s = q.scores(q_x, codes.reshape(len(ids), -1))
                 each = np.ascontiguousarray(x.T, np.float64)
                 norms = np.sqrt(dots(each, each))
-                first = best(s, ids, own, max(index.rerank, k))
-                found = [exact_best(asks[i], own[i], s[i], first[i], off, ids, x, norms, k) for i in range(len(own))]
+                first = best(s, ids, rows, own, max(index.rerank, k))
+                found = [exact_best(q_x[i], rows != own[i], s[i], first[i], off, ids, x, norms, k) for i in range(len(own))]
+                n = [len(at) for at, _ in found]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(own, [len(at) for at, _ in found])), pa.array(ids[np.concatenate([at for at, _ in found])]), pa.array(np.concatenate([score for _, score in found]))],
-                    names=["query_id", "vec_id", "score"],
+                    [pa.array(np.repeat(asks, n)), pa.array(np.repeat(own, n)), pa.array(ids[np.concatenate([at for at, _ in found])]), pa.array(np.concatenate([score for _, score in found]))],
+                    names=["query_id", "own", "vec_id", "score"],
                 )
 
     parts = max(1, min(code_blocks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    codes = good.select("vec_id", "v").repartition(parts).mapInArrow(encode, "g long, ids binary, codes binary, off binary, v binary")
-    blocks = asked.select("vec_id", "v").repartition(max(1, query_blocks // 4)).mapInArrow(block, "own binary, x binary")
+    codes = good.select("vec_id", "row", "v").repartition(parts).mapInArrow(encode, "g long, ids binary, rows binary, codes binary, off binary, v binary")
+    blocks = asked.select("vec_id", "row", "v").repartition(max(1, query_blocks // 4)).mapInArrow(block, "asks binary, own binary, x binary")
     # the stated queries against all rows, on a grid: each block of codes goes once to each group of query blocks and
-    # each block of queries once to each group of code blocks; few groups of queries, for the vectors are the most
-    across = min(code_blocks, 32)
-    down = min(query_blocks, max(2, 8 // across))
+    # each block of queries once to each group of code blocks. The grid has as many cells as keep all tasks busy, and
+    # its sides are such that the least is sent
+    tasks = 4 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cells = max(1, min(tasks, max(8, -(-code_blocks * query_blocks // index.pairs))))
+    down = min(query_blocks, max(1, round((cells * 2 * n_queries / n) ** 0.5)))
+    across = min(code_blocks, -(-cells // down))
     codes = materialize(codes).withColumn("a", F.pmod("g", F.lit(across)).cast("int")).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(down - 1))))
     blocks = materialize(blocks).withColumn("b", F.pmod(F.crc32("own"), F.lit(down)).cast("int")).withColumn("a", F.explode(F.sequence(F.lit(0), F.lit(across - 1))))
-    found = blocks.join(codes, ["a", "b"]).select("own", "x", "ids", "codes", "off", codes["v"]).mapInArrow(scan, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    found = blocks.join(codes, ["a", "b"]).select("asks", "own", "x", "ids", "rows", "codes", "off", codes["v"]).mapInArrow(scan, "query_id long, own long, vec_id long, score double")
+    rank = F.row_number().over(Window.partitionBy("own").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
