@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, partitions_for
 
 # Words are maximal runs of characters other than \x20 and \x09-\x0D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -73,33 +73,84 @@ def _block(key: Column, source_size: Column, mix: Mix) -> Column:
     return F.conv(F.substring(key, 1, 8), 16, 10).cast("long") % _blocks(source_size, mix)
 
 
-def _normal(*parts: Column) -> Column:
-    """A standard normal number fixed by its arguments (Box-Muller on two hashes)."""
-    u = [(F.pmod(F.xxhash64(F.lit(i), *parts), F.lit(2**52)) + 0.5) / F.lit(float(2**52)) for i in (1, 2)]
-    return F.sqrt(-2 * F.log(u[0])) * F.cos(u[1] * F.lit(6.283185307179586))
+def _uniform(*parts: Column) -> Column:
+    """A number between 0 and 1 fixed by its arguments."""
+    return (F.pmod(F.xxhash64(*parts), F.lit(2**52)) + 0.5) / F.lit(float(2**52))
+
+
+def _bind(f, **values: Column) -> Column:
+    """f of a struct of values that are evaluated once."""
+    return F.get(F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), f), F.lit(0))
+
+
+def hypergeometric(n: Column, k: Column, whole: Column, u: Column) -> Column:
+    """How many of k marked ones are among n drawn of the whole: by inversion of u, exact in double precision.
+
+    The support is listed outward from the mode, where the chances relative to the mode's follow from their ratios;
+    beyond 40 standard deviations they are below what a double can add.
+    """
+    none = F.expr("cast(array() as array<bigint>)")
+
+    def bounds(x: Column) -> Column:
+        low, high = F.greatest(F.lit(0).cast("long"), x["n"] - (x["whole"] - x["k"])), F.least(x["k"], x["n"])
+        mode = F.floor((x["n"] + 1) * (x["k"] + 1).cast("double") / (x["whole"] + 2)).cast("long")
+        share = x["k"] / F.greatest(x["whole"], F.lit(1))
+        reach = (F.ceil(40 * F.sqrt(x["n"] * share * (1 - share))) + 40).cast("long")
+        mode = F.greatest(low, F.least(high, mode))
+        return _bind(lists, n=x["n"], k=x["k"], rest=x["whole"] - x["k"] - x["n"], u=x["u"], mode=mode, first=F.greatest(low, mode - reach), last=F.least(high, mode + reach))
+
+    def lists(x: Column) -> Column:
+        up = F.when(x["last"] > x["mode"], F.sequence(x["mode"] + 1, x["last"])).otherwise(none)
+        down = F.when(x["mode"] > x["first"], F.sequence(x["mode"] - 1, x["first"])).otherwise(none)
+        return _bind(total, n=x["n"].cast("double"), k=x["k"].cast("double"), rest=x["rest"].cast("double"), u=x["u"], mode=x["mode"], up=up, down=down)
+
+    def walk(x: Column, start: Column, goal: Column) -> Column:
+        """(sum of the chances, the place where it passes the goal), the mode's chance being 1."""
+        def step(ratio):
+            def go(acc: Column, i: Column) -> Column:
+                return _bind(
+                    lambda w: F.struct(w["w"].alias("w"), (acc["sum"] + w["w"]).alias("sum"), F.coalesce(acc["got"], F.when(acc["sum"] + w["w"] > goal, i)).alias("got")), w=acc["w"] * ratio(i.cast("double"))
+                )
+
+            return go
+
+        rise = lambda i: (x["k"] - i + 1) * (x["n"] - i + 1) / (i * (x["rest"] + i))
+        fall = lambda i: (i + 1) * (x["rest"] + i + 1) / ((x["k"] - i) * (x["n"] - i))
+        above = F.aggregate(x["up"], start, step(rise))
+        return _bind(lambda a: F.aggregate(x["down"], F.struct(F.lit(1.0).alias("w"), a["a"]["sum"].alias("sum"), a["a"]["got"].alias("got")), step(fall)), a=above)
+
+    def total(x: Column) -> Column:
+        begin = lambda got: F.struct(F.lit(1.0).alias("w"), F.lit(1.0).alias("sum"), got.cast("long").alias("got"))
+        found = lambda y: F.coalesce(walk(x, begin(F.when(y["goal"] < 1, x["mode"])), y["goal"])["got"], x["mode"])
+        return _bind(found, goal=x["u"] * walk(x, begin(F.lit(None)), F.lit(float("inf")))["sum"])
+
+    return _bind(bounds, n=n.cast("long"), k=k.cast("long"), whole=whole.cast("long"), u=u)
+
+
+#: Nodes of the splitting tree from which on its levels are made in parallel.
+SPREAD = 64
 
 
 def split_quotas(quotas: DataFrame, shards: int, mix: Mix) -> DataFrame:
     """(place, shard, quota) from (place, quota): every quota is dealt out exactly, every shard gets its capacity.
 
     A node splits its quotas between the shards of its left and right half: source after source, the left
-    count is a hypergeometric draw (normal approximation, kept within the support) given those before it.
+    count is a hypergeometric draw given those before it. The first levels are a few rows, one for each node; from
+    SPREAD nodes on they are dealt over the tasks and each subtree goes its own way.
     """
     node = quotas.agg(F.sort_array(F.collect_list(F.struct("place", "quota"))).alias("q")).select(
         F.transform("q", lambda x: x["place"]).alias("places"), F.transform("q", lambda x: x["quota"]).alias("q"), F.lit(0).cast("long").alias("first"), F.lit(shards).cast("long").alias("n")
     )
     zero = F.lit(0).cast("long")
-    for _ in range(max(0, (shards - 1).bit_length())):
+    for level in range(max(0, (shards - 1).bit_length())):
+        if 1 << level == SPREAD:
+            node = materialize(node).repartition(max(SPREAD, int(quotas.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "first")
         half = F.expr("n div 2")
         whole = F.aggregate("q", zero, lambda a, x: a + x)
 
         def draw(acc, x):
-            rest, all_, k = acc["rest"], acc["all"], x["q"]
-            mean = rest * k / F.greatest(all_, F.lit(1))
-            var = mean * (1 - k / F.greatest(all_, F.lit(1))) * (all_ - rest) / F.greatest(all_ - 1, F.lit(1))
-            got = F.round(mean + F.sqrt(F.greatest(var, F.lit(0.0))) * _normal(F.lit(mix.seed), F.col("first"), F.col("n"), x["i"])).cast("long")
-            got = F.least(F.greatest(got, zero, rest - (all_ - k)), k, rest)
-            return F.struct((rest - got).alias("rest"), (all_ - k).alias("all"), F.concat(acc["out"], F.array(got)).alias("out"))
+            got = hypergeometric(acc["rest"], x["q"], acc["all"], _uniform(F.lit(mix.seed), F.col("first"), F.col("n"), x["i"]))
+            return _bind(lambda g: F.struct((acc["rest"] - g["got"]).alias("rest"), (acc["all"] - x["q"]).alias("all"), F.concat(acc["out"], F.array(g["got"])).alias("out")), got=got)
 
         items = F.transform("q", lambda x, i: F.struct(x.alias("q"), i.alias("i")))
         capacity = F.round(whole * half / F.col("n")).cast("long")
@@ -114,6 +165,18 @@ def split_quotas(quotas: DataFrame, shards: int, mix: Mix) -> DataFrame:
     return node.select(F.col("first").alias("shard"), F.explode(F.arrays_zip("places", "q")).alias("x")).select(F.col("x.places").alias("place"), "shard", F.col("x.q").alias("quota"))
 
 
+def _running(df: DataFrame, order: list[str], bucket: Column, **values: Column) -> DataFrame:
+    """df with running sums of values over the rows of each place in order. bucket rises with the order: a place is
+    summed up by bucket first, so that no task has to take the rows of a whole place."""
+    d = df.withColumn("bucket", bucket)
+    sums = d.groupBy("place", "bucket").agg(*[F.sum(v).alias(f"all_{k}") for k, v in values.items()])
+    earlier = Window.partitionBy("place").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select("place", "bucket", *[F.coalesce(F.sum(f"all_{k}").over(earlier), F.lit(0)).alias(f"before_{k}") for k in values])
+    inside = Window.partitionBy("place", "bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    d = d.withColumns({k: F.sum(v).over(inside) for k, v in values.items()}).join(before, ["place", "bucket"])
+    return d.withColumns({k: F.col(k) + F.col(f"before_{k}") for k in values}).drop("bucket", *[f"before_{k}" for k in values])
+
+
 def plan_blocks(rows: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
     """From (source, size, key): targets, and (source, block, draws, cut, cut_words) for every block drawn.
 
@@ -126,11 +189,10 @@ def plan_blocks(rows: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
     goal = goal.withColumn("rest", F.when(F.col("source_size") > 0, F.floor(F.col("target") - F.col("passes") * F.col("source_size"))).otherwise(0).cast("long"))
     dealt = _with_target(rows, t)
     blocks = dealt.withColumn("block", _block(F.col("key"), F.col("source_size"), mix)).groupBy("place", "block").agg(F.sum("size").alias("words"))
-    order = Window.partitionBy("place").orderBy("turn", "block")
-    blocks = blocks.withColumn("turn", F.md5(F.concat_ws(":", F.lit(mix.seed), F.col("place"), F.col("block"))))
-    blocks = blocks.withColumn("upto", F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("rank", F.row_number().over(order) - 1)
-    blocks = blocks.withColumn("count", F.count("*").over(Window.partitionBy("place")))
-    blocks = blocks.join(goal.select("place", "passes", "rest"), "place")
+    blocks = materialize(blocks.withColumn("turn", F.md5(F.concat_ws(":", F.lit(mix.seed), F.col("place"), F.col("block")))))
+    counts = blocks.groupBy("place").agg(F.count("*").alias("count"))
+    blocks = _running(blocks, ["turn", "block"], F.substring("turn", 1, 3), upto=F.col("words"), rank=F.lit(1)).withColumn("rank", F.col("rank") - 1)
+    blocks = blocks.join(counts, "place").join(goal.select("place", "passes", "rest"), "place")
     blocks = materialize(
         blocks.select(
             "place", "block", "rank", "count", "passes",
@@ -144,9 +206,8 @@ def plan_blocks(rows: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
     quotas = materialize(draws.groupBy("place").agg(F.count("*").alias("quota")))
     total = quotas.agg(F.sum("quota")).first()[0] or 0
     shards = max(1, -(-total // mix.shard_blocks))
-    dealt_out = split_quotas(quotas, shards, mix)
-    upto = F.sum("quota").over(Window.partitionBy("place").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0))
-    ranges = dealt_out.withColumn("upto", upto).where("quota > 0").select("place", "shard", F.explode(F.sequence(F.col("upto") - F.col("quota"), F.col("upto") - 1)).alias("turn"))
+    dealt_out = materialize(split_quotas(quotas, shards, mix).where("quota > 0"))
+    ranges = _running(dealt_out, ["shard"], F.expr("shard div 4096"), upto=F.col("quota")).select("place", "shard", F.explode(F.sequence(F.col("upto") - F.col("quota"), F.col("upto") - 1)).alias("turn"))
     drawn = draws.join(ranges, ["place", "turn"]).groupBy("place", "block").agg(F.sort_array(F.collect_list(F.struct("in_part", "shard"))).alias("draws"))
     # where the draw in part ends: a running sum over the rows of these blocks alone, one block a source at most
     cuts = dealt.withColumn("block", _block(F.col("key"), F.col("source_size"), mix)).join(blocks.where("part is not null").select("place", "block", "part"), ["place", "block"])
@@ -179,29 +240,47 @@ def mix_sizes(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """(doc_id, size, source_size, target, taken) for every row of docs.
 
     A null text has size 0; a null source is a source of its own, the last; a null or repeated doc_id stays as
-    it is, and rows alike in doc_id and text take alike. Other columns are ignored. An empty table gives no
-    rows. The text is read once, to a narrow table of sizes and keys; only that is shuffled.
+    it is, and rows alike in doc_id and text take alike. taken adds up what the shards of the splitting tree drew of
+    the row's block, whole or in part. Other columns are ignored. An empty table gives no rows. The text is read once, to a narrow table of sizes and keys; only that is shuffled.
     """
     rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size_of().alias("size"), key_of().alias("key")))
     return _join_plan(rows, mix).select("doc_id", "size", "source_size", "target", "taken")
 
 
-def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """docs as the mix takes them, a row for each draw, with the draw's fg_shard and the row's fg_key.
-
-    A draw in part takes whole documents: those of which it takes at least half of the words. Documents
-    without words go with their block. Null sources, repeated rows and empty tables as in mix_sizes.
-    """
+def _mixed(docs: DataFrame, mix: Mix) -> tuple[DataFrame, int]:
+    """mixed(docs), and how many words it has."""
     rows = docs.select("*", F.struct(F.col("source").cast("string").alias("source"), size_of().alias("size"), key_of().alias("key")).alias("fg"))
     t, plan = plan_blocks(materialize(rows.select("fg.*")), mix)
     s = t.select(F.col("source").alias("fg_source"), F.col("place").alias("fg_place"), F.col("source_size").alias("fg_size"))
     plan = plan.select(*[F.col(c).alias(f"fg_{c}") for c in ("place", "block", "draws", "cut", "cut_words")])
     out = rows.join(s, F.col("fg.source").eqNullSafe(F.col("fg_source"))).withColumn("fg_block", _block(F.col("fg.key"), F.col("fg_size"), mix)).join(plan, ["fg_place", "fg_block"])
     half = F.when(F.col("fg.key") < F.col("fg_cut"), True).when(F.col("fg.key") == F.col("fg_cut"), F.col("fg_cut_words") * 2 >= F.greatest(F.col("fg.size"), F.lit(1))).otherwise(False)
-    return out.select(*docs.columns, F.col("fg.key").alias("fg_key"), F.explode(F.filter("fg_draws", lambda d: ~d["in_part"] | half)).alias("fg_draw")).withColumn("fg_shard", F.col("fg_draw.shard")).drop("fg_draw")
+    out = out.select(*docs.columns, F.col("fg.key").alias("fg_key"), F.explode(F.filter("fg_draws", lambda d: ~d["in_part"] | half)).alias("fg_draw")).withColumn("fg_shard", F.col("fg_draw.shard")).drop("fg_draw")
+    return out, int(t.agg(F.sum("target")).first()[0] or 0)
+
+
+def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
+    """docs as the mix takes them, a row for each draw, with the draw's fg_shard and the row's fg_key.
+
+    A draw in part takes whole documents: those of which it takes at least half of the words. Documents
+    without words go with their block. Null sources, repeated rows and empty tables as in mix_sizes.
+    """
+    return _mixed(docs, mix)[0]
+
+
+def _place_in_shard() -> Column:
+    return F.md5(F.concat_ws(":", "fg_shard", "fg_key"))
 
 
 def mix_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """mixed(docs) with fg_position: the shuffled order within each shard, which holds a bounded number of blocks."""
-    local = Window.partitionBy("fg_shard").orderBy(F.md5(F.concat_ws(":", "fg_shard", "fg_key")))
+    local = Window.partitionBy("fg_shard").orderBy(_place_in_shard())
     return mixed(docs, mix).withColumn("fg_position", F.row_number().over(local)).drop("fg_key")
+
+
+def mixed_shards(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
+    """mixed(docs) with the columns of docs alone, dealt by shard and in each shard in its shuffled order: as written,
+    a file holds whole shards."""
+    out, words = _mixed(docs, mix)
+    n = partitions_for(docs.sparkSession, 8 * words)
+    return out.repartition(n, "fg_shard").sortWithinPartitions("fg_shard", _place_in_shard(), "fg_key").select(*docs.columns)
