@@ -107,8 +107,9 @@ def oracle_sql() -> dict[str, str]:
 WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS points, {_NORMAL} AS norm FROM documents),
 w AS (SELECT doc_id, norm,
              first_value(doc_id) OVER (PARTITION BY norm ORDER BY points DESC, doc_id NULLS LAST) AS keep_id,
+             points = max(points) OVER (PARTITION BY norm) AS longest,
              count(*) OVER (PARTITION BY norm) AS group_size FROM t)
-SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256 FROM w""",
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AND longest AS kept, sha256(norm) AS text_sha256 FROM w""",
         "op9_mixing": r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
                   md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS key FROM documents),
