@@ -6,13 +6,11 @@ the next one's docs. All but the last return the columns of documents.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldguard.llm import bpe, exact_dedup, jaccard, mixing, toxicity
-from fieldguard.llm.common import load, shared_root
+from fieldguard.llm.common import discard, load, materialize
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,20 +19,20 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the owner stays."""
+    """Of equal texts the owner stays; of rows repeated as a whole, one."""
     return exact_dedup.drop_copies(docs)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of linked documents the one with the smallest doc_id stays."""
+    """Of each component of linked documents the one with the smallest doc_id stays; rows without a doc_id or without words stay."""
     classes = jaccard.near_duplicates(docs)
     gone = classes.where("doc_id != component_id").select(F.col("doc_id").alias("fg_id")).distinct()
     return docs.join(gone, F.col("doc_id").cast("long") == F.col("fg_id"), "left_anti")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each time that the mix takes a document."""
-    return mixing.mixed(docs).select(*docs.columns)
+    """A row for each time that the mix takes a document, written by shard and in each shard in its shuffled order."""
+    return mixing.mixed_shards(docs)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,13 +55,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; what lies between them goes through the shared folder."""
-    folder = f"{shared_root(spark)}/pipeline-{uuid.uuid4().hex}"
+    """All stages over documents; what lies between them goes through the shared folder and is removed once it is read."""
     docs = load(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        if i + 1 == len(STAGES):
-            return out
-        out.write.parquet(f"{folder}/{i}-{name}")
-        docs = spark.read.schema(out.schema).parquet(f"{folder}/{i}-{name}")
-    return docs
+    for _, stage in STAGES[:-1]:
+        before, docs = docs, materialize(stage(spark, docs, sf_dir))
+        discard(before)
+    return STAGES[-1][1](spark, docs, sf_dir)
