@@ -1,13 +1,16 @@
 """Main text of web pages by two-pass block rules.
 
 Pass one classifies blocks on their own by stop-word density, length and link density. Pass two lets blocks
-that are too short or too unclear to decide take the label of their nearest decided neighbours.
+that are too short or too unclear to decide take the label of their nearest decided neighbours. Markup sets the
+regions in which neighbours are sought (an article or main element, or what lies outside) and the elements that
+never are main text. Pages are read in one pass whose time grows with their length alone, however broken they are.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -33,33 +36,36 @@ BLOCK = frozenset(
     "head header hr html legend li main menu nav ol option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Words in class, id or role that mark what isn't the article.
-MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notices?|alert|popup|modal|sidebar|side|comments?|disqus|respon[ds]e?s?|replies|nav\w*|menu|breadcrumbs?|"
-    r"footer|header|masthead|share|sharing|social|related|newsletter|subscribe|login|search|contentinfo|complementary|toolbar|pagination|widget)(?:$|[\s_-])",
-    re.I,
-)
-ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>|(?P<text>[^<]+|<)""",
-    re.I | re.S,
+#: Elements that end where the next one of their kind starts.
+NO_NESTING = frozenset("p li dt dd tr td th option".split())
+# Parts of names (class, id, role) that mark what isn't the article, and parts that say nothing beside them.
+MARKS = frozenset(
+    "ad ads advert adverts advertisement advertising advertorial banner sponsor sponsored sponsors promo promotion cookie cookies consent gdpr notice notices alert alerts popup modal overlay "
+    "sidebar comment comments disqus respond replies nav navbar navigation menu breadcrumb breadcrumbs footer masthead share sharing social related "
+    "newsletter subscribe contentinfo complementary toolbar pagination pager widget widgets".split()
 )
+NEUTRAL = frozenset("site page global list box bar block blocks container wrapper wrap area region section top bottom left right inner outer item items slot unit text links link posts buttons button form thread 1 2 3".split())
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+ATTRIBUTE_NAME = re.compile(r"[\s/]*([^\s/>=][^\s/>=]*)?\s*(=?)\s*")
+UNQUOTED = re.compile(r"[^\s>]*")
+PART = re.compile(r"[-_]+")
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 WORD = re.compile(r"[^\W\d_]+")
 WHITE = re.compile(r"[\s\x00-\x20]+")
 
 
 @dataclass(frozen=True)
 class Rules:
-    """Bounds of the first pass: code points, shares of words and of characters."""
+    """Bounds of the first pass: code points, shares of words and of characters. Inside an article or main element a
+    block is good from content_stop on and undecided below; it is bad from content_link on."""
 
     short: int = 70
     long: int = 200
     stop_low: float = 0.30
     stop_high: float = 0.32
     link_high: float = 0.20
-    #: Lower bounds inside an article or main element, where markup already speaks for the text.
-    content_stop: float = 0.0
+    content_stop: float = 0.10
+    content_link: float = 0.90
 
 
 @dataclass
@@ -67,120 +73,222 @@ class Block:
     text: str
     linked: int
     marked: bool  # by an element or name that isn't the article
-    content: bool  # inside article or main
+    region: int  # which article or main element it is in, 0 for none
     heading: bool
     label: str = ""
 
 
+@dataclass
+class Tag:
+    name: str
+    end: bool
+    names: list[str]  # the words of class, id and role
+    empty: bool
+
+
+def parts_of(page: str) -> Iterator[str | Tag]:
+    """Texts and tags of a page in order; comments, declarations and the contents of raw elements are left out."""
+    at, size, closed = 0, len(page), {'"': True, "'": True}
+    while at < size:
+        start = page.find("<", at)
+        if start < 0:
+            yield page[at:]
+            return
+        if start > at:
+            yield page[at:start]
+        nxt = page[start + 1 : start + 2]
+        if nxt in ("!", "?"):
+            end = page.find("-->", start + 4) + 2 if page.startswith("<!--", start) else page.find(">", start)
+            if end < start:
+                return
+            at = end + 1
+            continue
+        name = NAME.match(page, start + 1 + (nxt == "/"))
+        if not name:
+            yield "<"
+            at = start + 1
+            continue
+        at, names, empty = name.end(), [], False
+        while at < size and page[at] != ">":  # attributes
+            a = ATTRIBUTE_NAME.match(page, at)
+            at = a.end()
+            if not a[2]:
+                empty = page[at - 1] == "/" if not a[1] else False
+                continue
+            quote = page[at : at + 1]
+            end = page.find(quote, at + 1) if closed.get(quote) else -1
+            if end < 0:
+                closed[quote] = False  # no such mark follows, here or later
+                end = UNQUOTED.match(page, at).end()
+                value, at = page[at:end], end
+            else:
+                value, at = page[at + 1 : end], end + 1
+            if (a[1] or "").lower() in ("class", "id", "role"):
+                names += value.lower().split()
+        if at >= size:  # a tag without an end holds no text
+            return
+        at += 1
+        tag = Tag(name[0].lower(), nxt == "/", names, empty or page[at - 2] == "/")
+        if tag.name in RAW_END and not tag.end:
+            end = RAW_END[tag.name].search(page, at)
+            if not end:
+                return
+            at = page.find(">", end.end()) + 1 or size
+            continue
+        yield tag
+
+
+def marked(names: list[str]) -> bool:
+    """Whether a name consists of marks, and parts that say nothing, alone."""
+    for name in names:
+        parts = [x for x in PART.split(name) if x]
+        if any(x in MARKS for x in parts) and all(x in MARKS or x in NEUTRAL for x in parts):
+            return True
+    return False
+
+
+class Elements:
+    """The open elements, with the places of each name, of blocks and of articles, so that an end tag is looked up at once."""
+
+    def __init__(self):
+        self.open: list[tuple[str, bool]] = []  # name, skipped
+        self.of: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.content: list[int] = []
+        self.skips: list[int] = []
+
+    def push(self, name: str, skipped: bool) -> None:
+        at = len(self.open)
+        self.open.append((name, skipped))
+        self.of.setdefault(name, []).append(at)
+        for there, places in ((name in BLOCK, self.blocks), (name in CONTENT, self.content), (skipped, self.skips)):
+            if there:
+                places.append(at)
+
+    def cut(self, at: int) -> None:
+        """Closes the element at this place and all in it."""
+        while len(self.open) > at:
+            name, _ = self.open.pop()
+            self.of[name].pop()
+            for places in (self.blocks, self.content, self.skips):
+                if places and places[-1] == len(self.open):
+                    places.pop()
+
+    def last(self, name: str) -> int:
+        places = self.of.get(name)
+        return places[-1] if places else -1
+
+    def end(self, name: str) -> None:
+        """An end tag closes the last such element, an inline one only in its own block, others not across an article."""
+        at = self.last(name)
+        bound = self.content if name in BLOCK else self.blocks
+        if at >= 0 and (name in CONTENT or name in ("html", "body") or not bound or at >= bound[-1]):
+            self.cut(at)
+
+    def skipped_inline(self) -> bool:
+        return bool(self.skips) and self.open[self.skips[-1]][0] not in BLOCK
+
+
 def blocks_of(page: str) -> list[Block]:
     """Blocks in page order; text in one block has its white space joined and character references decoded."""
     out: list[Block] = []
-    parts: list[str] = []
-    linked = in_link = content = 0
+    texts: list[str] = []
+    linked = region = regions = 0
     heading = False
-    skipping: list[list] = []  # [name, depth] of the marked element that we are in
+    elements = Elements()
 
     def close() -> None:
-        nonlocal parts, linked, heading
-        text = WHITE.sub(" ", html.unescape("".join(parts))).strip()
+        nonlocal linked, heading
+        text = WHITE.sub(" ", "".join(texts)).strip()
         if text:
-            out.append(Block(text, linked, bool(skipping), content > 0, heading))
-        parts, linked, heading = [], 0, False
-
-    for m in TOKEN.finditer(page):
-        if (text := m["text"]) is not None:
-            parts.append(text)
-            if in_link:
-                linked += len(text.strip())
-            continue
-        if m["name"] is None:
-            continue
-        name = m["name"].lower()
-        if m["end"]:
-            if name in BLOCK:
-                close()
-            if name in CONTENT:
-                content = max(0, content - 1)
-                if skipping and skipping[0][2] and content == 0:
-                    skipping.clear()
-            if name == "a":
-                in_link = max(0, in_link - 1)
-            if skipping and skipping[-1][0] == name:
-                skipping[-1][1] -= 1
-                if skipping[-1][1] == 0:
-                    skipping.pop()
+            out.append(Block(text, linked, bool(elements.skips), region, heading))
+        texts.clear()
+        linked, heading = 0, False
+
+    for part in parts_of(page):
+        if isinstance(part, str):
+            if not elements.skipped_inline():  # an inline notice in a paragraph is left out of it
+                text = html.unescape(part)
+                texts.append(text)
+                if elements.last("a") >= 0:
+                    linked += len(text.strip())
             continue
+        name = part.name
         if name == "br":
-            parts.append(" ")
+            texts.append(" ")
             continue
         if name in BLOCK:
             close()
+        if part.end:
+            elements.end(name)
+            region = region if elements.content else 0
+            continue
+        if name in NO_NESTING and elements.blocks and elements.last(name) == elements.blocks[-1]:
+            elements.cut(elements.last(name))
+        if name in BLOCK:
             heading = name in ("h1", "h2", "h3", "h4", "h5", "h6")
-        if name in CONTENT:
-            content += 1
-            if content == 1:  # an unclosed mark before the article ends here
-                skipping.clear()
-        if name == "a":
-            in_link = 1
-        if name in VOID or m["attrs"].endswith("/"):
+        if name in CONTENT and not elements.content:  # an unclosed mark before the article ends here
+            if elements.skips:
+                elements.cut(elements.skips[0])
+            regions += 1
+            region = regions
+        if name == "a" and elements.last("a") >= 0:  # links don't nest
+            elements.end("a")
+        if name in VOID or part.empty and name not in BLOCK:
             continue
-        if skipping and skipping[-1][0] == name:
-            skipping[-1][1] += 1
-        elif name not in CONTENT and name not in ("html", "body") and (name in BOILERPLATE or (name == "header" and not content) or _marked(m["attrs"])):
-            skipping.append([name, 1, content > 0])
+        elements.push(name, name not in CONTENT and name not in ("html", "body") and (name in BOILERPLATE or (name == "header" and not elements.content) or marked(part.names)))
     close()
     return out
 
 
-def _marked(attrs: str) -> bool:
-    if "=" not in attrs:
-        return False
-    for k, *v in ATTRIBUTE.findall(attrs):
-        if k.lower() in ("class", "id", "role") and MARKED.search("".join(v)):
-            return True
-    return False
-
-
 def classify(block: Block, rules: Rules) -> str:
     """Pass one: good, bad, near (unclear) or short."""
     if block.marked:
         return "bad"
     n = len(block.text)
     if block.linked > rules.link_high * n:
-        return "bad" if not block.content or block.linked >= 0.9 * n else "near"
+        return "bad" if not block.region or block.linked >= rules.content_link * n else "near"
     if n < rules.short:
-        return "bad" if block.linked and not block.content else "short"
+        return "bad" if block.linked and not block.region else "short"
     words = WORD.findall(block.text.lower())
     density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-    if block.content:
+    if block.region:
         return "good" if density >= rules.content_stop else "near"
     if density >= rules.stop_high:
         return "good" if n > rules.long else "near"
     return "near" if density >= rules.stop_low else "bad"
 
 
-def revise(blocks: list[Block], rules: Rules) -> None:
-    """Pass two: undecided blocks take the label on which their nearest decided neighbours agree."""
-    n = len(blocks)
-    after: list[str] = [""] * n
-    seen = ""
-    for i in range(n - 1, -1, -1):
-        after[i] = seen
-        seen = blocks[i].label if blocks[i].label in ("good", "bad") else seen
-    before = ""
-    decided = []
-    for i, b in enumerate(blocks):
+def revise(blocks: list[Block]) -> None:
+    """Pass two: undecided blocks take the label on which their nearest decided neighbours agree.
+
+    Neighbours are blocks of the same region that pass one decided by their text, and outside articles also marked
+    ones. Where they differ or there are none, blocks of an article are good; outside, headings before a good block
+    and unclear blocks beside one.
+    """
+    seen: dict[int, str] = {}
+    after = [""] * len(blocks)
+    votes = lambda b: b.label in ("good", "bad") and not (b.region and b.marked)
+    for i in range(len(blocks) - 1, -1, -1):
+        b = blocks[i]
+        after[i] = seen.get(b.region, "")
+        if votes(b):
+            seen[b.region] = b.label
+    seen, decided = {}, []
+    for b, nxt in zip(blocks, after):
+        before = seen.get(b.region, "")
         if b.label in ("good", "bad"):
             decided.append(b.label)
-            before = b.label
-        elif b.content:  # markup decides between neighbours that differ
-            decided.append("good")
-        elif before == after[i] and before:
+        elif before == nxt and before:
             decided.append(before)
-        elif b.heading and after[i] == "good":
+        elif b.region:
+            decided.append("good")
+        elif b.heading and nxt == "good":
             decided.append("good")
         else:
-            decided.append("good" if b.label == "near" and "good" in (before, after[i]) else "bad")
+            decided.append("good" if b.label == "near" and "good" in (before, nxt) else "bad")
+        if votes(b):
+            seen[b.region] = b.label
     for b, label in zip(blocks, decided):
         b.label = label
 
@@ -190,7 +298,7 @@ def extract(page: str, rules: Rules = Rules()) -> str:
     blocks = blocks_of(page)
     for b in blocks:
         b.label = classify(b, rules)
-    revise(blocks, rules)
+    revise(blocks)
     return " ".join(b.text for b in blocks if b.label == "good")
 
 

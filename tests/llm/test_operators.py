@@ -338,6 +338,80 @@ def test_html(spark):
     assert got[None]["text"] == "" and extract_pages(df.limit(0)).count() == 0
 
 
+def test_html_against_another_parser():
+    """Generated articles: what the standard library's parser sees in them outside of marked elements, block by block."""
+    from html.parser import HTMLParser
+
+    from fieldguard.llm.html_extract import extract
+
+    class Other(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.inside, self.skip, self.text = 0, 0, []
+
+        def handle_starttag(self, tag, attrs):
+            if self.skip or tag in ("nav", "aside", "form", "script", "style") or dict(attrs).get("class") in ("ad", "cookie-banner", "site comments"):
+                self.skip += tag != "br"
+            self.inside += tag == "article"
+            if tag in ("p", "div", "h1", "li", "ul", "br", "section"):
+                self.text.append(" ")
+
+        def handle_endtag(self, tag):
+            self.inside -= tag == "article"
+            self.skip -= self.skip > 0
+            self.text.append(" " if tag in ("p", "div", "h1", "li", "ul", "section") else "")
+
+        def handle_data(self, data):
+            if self.inside and not self.skip:
+                self.text.append(data)
+
+    r = random.Random(7)
+    word = lambda: r.choice(["the", "of", "zebra", "caf\u00e9", "a&amp;b", "&lt;x&gt;", "it's", "qu&eacute;", "&#8364;", "x"])
+    text = lambda n: " ".join(word() for _ in range(n))
+
+    def element(depth):
+        kind = r.randrange(9)
+        if kind < 4 or depth > 3:
+            return f"<p>{text(r.randint(1, 60))} <b title=it's>{text(2)}</b> <a href='x>y'>{word()}</a> {text(3)}<br>{text(3)}</p>"
+        if kind == 4:
+            return f'<{(t := r.choice(["aside", "nav", "form"]))}>{text(30)}</{t}>'
+        if kind == 5:
+            return f'<div class={r.choice(["ad", "cookie-banner", chr(39) + "site comments" + chr(39)])}>{element(depth + 1)}{text(4)}</div>'
+        if kind == 6:
+            return f"<script>var x = '<p>no</p>';</script><!-- <p>no</p> --><style>p {{}}</style><p>{text(4)} <span class=ad>buy</span> {text(4)}</p>"
+        return f'<{(t := r.choice(["div", "section"]))} class="article-header side-by-side" id=search>{"".join(element(depth + 1) for _ in range(r.randint(1, 4)))}</{t}>'
+
+    for _ in range(300):
+        page = f"<html><body><nav>{text(5)}</nav><article><h1>{text(4)}</h1>{''.join(element(0) for _ in range(r.randint(1, 6)))}</article><footer>{text(9)}</footer></body></html>"
+        other = Other()
+        other.feed(page)
+        assert extract(page) == " ".join("".join(other.text).split()), page
+
+
+def test_html_density_and_neighbours_decide_in_articles():
+    from fieldguard.llm.html_extract import blocks_of, classify, extract, Rules
+
+    prose, noise = "The cat is on the mat and it was in the house of the man who was there. " * 3, "xkcd brzt qwrp mnbv " * 10
+    labels = [classify(b, Rules()) for b in blocks_of(f"<article><p>{prose}</p><p>{noise}</p><p>Short</p><p><a>{noise}</a></p></article>")]
+    assert labels == ["good", "near", "short", "bad"]
+    links = f"<p><a href=x>{noise}</a></p>"
+    assert extract(f"<article><p>{prose}</p>{links}<p>{noise}</p>{links}</article>") == prose.strip()  # between two bad ones
+    assert noise.strip() in extract(f"<article><p>{prose}</p><p>{noise}</p><p>{prose}</p></article>")
+    assert extract(f"<div><p>{noise}</p></div>") == "" and extract(f"<article><p>{noise}</p></article>") == noise.strip()
+
+
+def test_html_of_broken_pages_takes_linear_time():
+    import time
+
+    from fieldguard.llm.html_extract import extract
+
+    for part in ('<a "', "<p ", '<a x="', "<a x='\"", "<b>", "<p>", "</div>", "<script>", "<!--", "</", "<", "<svg", "&amp", "<div class=ad>", "<p><div><b>", "<li><b></p>"):
+        start = time.perf_counter()
+        extract("<div><article>" + part * (1_000_000 // len(part)))
+        assert time.perf_counter() - start < 12, part
+    assert extract("<article><p>" + "the word of it " * 200_000 + "</p>") == ("the word of it " * 200_000).strip()
+
+
 # --- 8 secrets and 7 licenses -----------------------------------------------------------------------------
 
 ASSIGN = re.compile(r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
