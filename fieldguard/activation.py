@@ -43,3 +43,13 @@ def activate(spark: SparkSession, pii: list[str] | None = None) -> str:
         raise ActivationError("PII_ACTIVATION_CONFLICT")
     spark.conf.set(_KEY, wanted)
     return wanted
+
+
+def read_activation(spark: SparkSession) -> str | None:
+    """The identity that the session was activated with, None before."""
+    return spark.conf.get(_KEY, None)
+
+
+def is_conflict(error: BaseException) -> bool:
+    """Whether an error is that of a second, different selection, by its code alone."""
+    return getattr(error, "code", None) == "PII_ACTIVATION_CONFLICT"

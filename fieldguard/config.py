@@ -60,9 +60,15 @@ def parse_ruleset(text: str | bytes) -> tuple[tuple[str, str], ...]:
 
 @dataclass(frozen=True)
 class ScanConfig:
-    """policy: a function of (type, confidence) Columns to an action, or rules: of a declarative policy; not both."""
+    """policy: a function of (type, confidence) Columns to an action, or rules: of a declarative policy; not both.
+
+    evaluate and formatter are their counterparts for Arrow batches: functions of a finding to an action, and of a
+    finding and its number to a placeholder. What is no action, and what they raise, fails the scan with a code.
+    """
 
     policy: Callable[[Column, Column], Column] | None = None
+    evaluate: Callable | None = None
+    formatter: Callable | None = None
     rules: tuple[tuple[tuple[str, ...], str], ...] = ()
     ruleset: tuple[tuple[str, str], ...] = ()
     pii: bool = False
@@ -70,14 +76,18 @@ class ScanConfig:
     max_findings: int | None = None
 
     def __post_init__(self):
-        if self.policy is not None and self.rules:
+        if (self.policy is not None or self.evaluate is not None) and self.rules:
             raise OptionsError("CORE_OPTION_REJECTED", ("policy", "actionPolicy"))
 
+    def plain(self) -> bool:
+        """Whether plans can carry the config: Python callables need Arrow batches."""
+        return self.evaluate is None and self.formatter is None
+
     def action(self, kind: Column, confidence: Column) -> Column:
         default = F.when(kind == "private_key", "block").when(confidence == "high", "redact").otherwise("warn")
         if self.policy is not None:
             chosen = self.policy(kind, confidence)
-            return F.when(chosen.isin(*ACTIONS), chosen).otherwise("block")
+            return F.when(chosen.isin(*ACTIONS), chosen)  # null: no action, which fails the scan
         out = None
         for types, action in self.rules:
             value = default if action == "default" else F.lit(action)
@@ -94,14 +104,113 @@ class ScanConfig:
 
 
 def version_key(v: Column) -> Column:
-    """A comparable struct of a semantic version; null where it can't be read."""
-    pattern = r"^(\d+)\.(\d+)\.(\d+)(?:-([a-z]+)\.(\d+))?$"
-    part = lambda i: F.regexp_extract(v, pattern, i)
-    n = lambda i: part(i).try_cast("int")
-    phase = F.when(part(4) == "", 9).when(part(4) == "alpha", 1).when(part(4) == "beta", 2).when(part(4) == "rc", 3).otherwise(0)
-    return F.when(v.rlike(pattern), F.struct(n(1).alias("a"), n(2).alias("b"), n(3).alias("c"), phase.alias("d"), F.coalesce(n(5), F.lit(0)).alias("e")))
+    """A comparable struct of a version; null where it can't be read.
+
+    Semantic versions with any dotted prerelease (numbers before names, fewer parts before more; build metadata doesn't
+    count), and Python's short form of them: 1.2.3a1, 1.2.3b2, 1.2.3rc1.
+    """
+    semantic = r"^(\d+)\.(\d+)\.(\d+)(?:-([0-9A-Za-z-]+(?:\.[0-9A-Za-z-]+)*))?(?:\+[0-9A-Za-z.-]+)?$"
+    short = r"^(\d+)\.(\d+)\.(\d+)(a|b|rc)(\d+)$"
+    none = F.expr("cast(array() as array<struct<kind:int,number:bigint,name:string>>)")
+
+    def part(x: Column) -> Column:
+        number = F.when(x.rlike(r"^\d+$"), x.try_cast("bigint"))
+        return F.struct(F.when(number.isNotNull(), 0).otherwise(1).alias("kind"), F.coalesce(number, F.lit(0)).alias("number"), F.when(number.isNotNull(), "").otherwise(x).alias("name"))
+
+    def key(pattern: str, release: Column, parts: Column) -> Column:
+        n = [F.regexp_extract(v, pattern, i).try_cast("int") for i in (1, 2, 3)]
+        return F.struct(n[0].alias("a"), n[1].alias("b"), n[2].alias("c"), release.alias("d"), parts.alias("e"))
+
+    pre, letter = F.regexp_extract(v, semantic, 4), F.regexp_extract(v, short, 4)
+    named = F.when(letter == "a", "alpha").when(letter == "b", "beta").otherwise(letter)
+    return (
+        F.when(v.rlike(semantic), key(semantic, F.when(pre == "", 1).otherwise(0), F.when(pre == "", none).otherwise(F.transform(F.split(pre, "\\."), part))))
+        .when(v.rlike(short), key(short, F.lit(0), F.array(part(named), part(F.regexp_extract(v, short, 5)))))
+    )
 
 
 def version_at_least(v: Column, floor: str) -> Column:
     """False for a version that can't be read."""
     return F.coalesce(version_key(v) >= version_key(F.lit(floor)), F.lit(False))
+
+
+#: Options of a scan, by name, that may be given loosely instead of a checked ScanConfig.
+SCAN_OPTIONS = ("policy", "action_policy", "ruleset", "pii", "scan_limits", "evaluate", "formatter")
+
+
+def snapshot_action_policy(document: str | bytes | dict) -> str | bytes:
+    """A policy document as it is now: text stays, bytes are copied, an object is serialised once."""
+    if isinstance(document, str):
+        return document
+    if isinstance(document, (bytes, bytearray, memoryview)):
+        return bytes(document)
+    if not isinstance(document, dict):
+        raise OptionsError("CORE_OPTION_REJECTED", ("action_policy",), "INVALID_ACTION_POLICY")
+    try:
+        return json.dumps(document)
+    except (TypeError, ValueError) as e:
+        raise OptionsError("CORE_OPTION_REJECTED", ("action_policy",), "INVALID_ACTION_POLICY") from e
+
+
+def resolve_scan_config(options: dict | None = None) -> ScanConfig:
+    """A checked ScanConfig from loose options; unknown ones are ignored, as they belong to hosts. Errors name options only."""
+    o = dict(options or {})
+    for name in ("policy", "evaluate", "formatter"):
+        if o.get(name) is not None and not callable(o[name]):
+            raise OptionsError("CORE_OPTION_REJECTED", (name,))
+    if o.get("action_policy") is not None and (o.get("policy") is not None or o.get("evaluate") is not None):
+        raise OptionsError("CORE_OPTION_REJECTED", ("policy", "action_policy"))
+    if o.get("ruleset") is not None and not isinstance(o["ruleset"], (str, bytes)):
+        raise OptionsError("CORE_OPTION_REJECTED", ("ruleset",), "INVALID_RULESET")
+    limits = o.get("scan_limits")
+    if limits is not None:
+        known = isinstance(limits, dict) and set(limits) <= {"max_input_bytes", "max_findings"}
+        if not known or not all(isinstance(v, int) and not isinstance(v, bool) and v > 0 for v in limits.values()):
+            raise OptionsError("CORE_OPTION_REJECTED", ("scan_limits",), "INVALID_LIMITS")
+    return ScanConfig(
+        policy=o.get("policy"), evaluate=o.get("evaluate"), formatter=o.get("formatter"), pii=bool(o.get("pii")),
+        rules=parse_policy(snapshot_action_policy(o["action_policy"])) if o.get("action_policy") is not None else (),
+        ruleset=parse_ruleset(o["ruleset"]) if o.get("ruleset") is not None else (),
+        max_input_bytes=(limits or {}).get("max_input_bytes"), max_findings=(limits or {}).get("max_findings"),
+    )
+
+
+def scan_config_of(options: dict) -> ScanConfig:
+    """The config of a host's options: the checked one under scan_config, or one made of loose options; never both."""
+    given = options.get("scan_config")
+    if given is None:
+        return resolve_scan_config(options)
+    if not isinstance(given, ScanConfig):
+        raise TypeError("scan_config must come from resolve_scan_config")
+    if any(options.get(n) is not None for n in SCAN_OPTIONS):
+        raise TypeError("scan_config can't be given beside options of a scan")
+    return given
+
+
+def bind_scan_config(options: dict) -> dict:
+    """Options with their config checked once and bound: copies and merges of them carry it on."""
+    return {k: v for k, v in options.items() if k not in SCAN_OPTIONS} | {"scan_config": scan_config_of(options)}
+
+
+#: The lowest versions of the engine below that offer an option.
+FLOORS = {"ruleset": "3.5.0", "formatter": "3.5.0", "action_policy": "3.5.0"}
+
+
+def verify_scan_options(spark, config: ScanConfig, version: str | None = None) -> None:
+    """Fails now where a plan would fail later: versions first, then one scan of an empty text."""
+    from .functions.scanner import scan
+
+    version = version or spark.version
+    needed = [n for n, used in (("ruleset", config.ruleset), ("formatter", config.formatter), ("action_policy", config.rules)) if used]
+    for name in needed:
+        if not spark.range(1).select(version_at_least(F.lit(version), FLOORS[name])).first()[0]:
+            raise OptionsError("CORE_OPTION_UNSUPPORTED", (name,))
+    try:
+        if config.plain():
+            spark.range(1).select(scan(F.lit(""), config)).collect()
+        else:
+            from .functions.python_scanner import TextScanner
+
+            TextScanner(config).scan("")
+    except Exception as e:
+        raise OptionsError("CORE_OPTION_REJECTED", tuple(needed) or ("policy",)) from e

@@ -30,6 +30,7 @@ RESOURCE_ERROR_TEXT = "This MCP resource read failed. No content, URI, or error
 WALK_LIMITS = {"max_depth": 8, "max_array_length": 1000, "max_object_keys": 200, "max_string_length": 200_000, "max_total_leaves": 5000, "max_nodes": 20_000}
 OPERATION_LIMITS = {"max_bytes": 16 << 20, "max_nodes": 100_000, "max_keys": 100_000, "max_leaves": 25_000, "max_scans": 50_000, "max_findings": 100_000}
 CONTEXT_LIMITS = {"max_input_bytes": 65_536, "max_findings": 256, "max_depth": 16, "max_nodes": 4096}
+INCREMENTAL_LIMITS = {"max_input_bytes": 1_048_576, "max_buffered_bytes": 65_536, "max_token_bytes": 8192, "max_multiline_bytes": 32_768}
 LINE_LIMITS = {"max_line": 4_194_304, "max_spans": 20_000, "max_decode": 2_097_152}
 
 FINDING = "struct<id:string,type:string,detector:string,confidence:string,action:string,obfuscation:string,start:int,end:int>"

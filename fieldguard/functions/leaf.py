@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..config import ScanConfig
-from ..constants import BLOCKED, COUNTS, ERROR, LIMIT, WALK_LIMITS
-from .scanner import _bind, scan
+from ..config import OptionsError, ScanConfig
+from ..constants import BLOCKED, COUNTS, ERROR, FINDING, LIMIT, WALK_LIMITS
+from .scanner import _bind, builtin_pack, scan
 
 LEAF = "struct<text:string,outcome:string,findings:int>"
 
@@ -21,13 +21,9 @@ def _has(findings: Column, *actions: str) -> Column:
     return F.exists(findings, lambda f: f["action"].isin(*actions))
 
 
-def _leaf(text: Column, outcome: Column | str, findings: Column | int) -> Column:
-    value = lambda x: x if isinstance(x, Column) else F.lit(x)
-    return F.struct(value(text).alias("text"), value(outcome).alias("outcome"), value(findings).cast("int").alias("findings"))
-
-
 def in_key_context(text: Column, key: Column, config: ScanConfig) -> Column:
-    """struct<text, findings, outside>: the view's result for the leaf; outside: a decisive finding beyond it."""
+    """struct<text, findings, outside, broken> of the view for the leaf; outside: a decisive finding beyond it; broken: the
+    frame didn't come back as it went in."""
     before, after = view_parts(key)
 
     def shift(r: Column) -> Column:
@@ -35,50 +31,86 @@ def in_key_context(text: Column, key: Column, config: ScanConfig) -> Column:
         inside = lambda f: (f["start"] >= n) & (f["end"] <= n + size)
         findings = F.transform(F.filter(r["findings"], inside), lambda f: f.withField("start", f["start"] - n).withField("end", f["end"] - n))
         outside = F.exists(r["findings"], lambda f: ~inside(f) & f["action"].isin("redact", "block"))
+        framed = r["text"].startswith(before) & r["text"].endswith(after) & (F.length(r["text"]) >= n + F.length(after))
         inner = F.substr(r["text"], n + 1, F.length(r["text"]) - n - F.length(after))
-        return F.struct(inner.alias("text"), findings.alias("findings"), outside.alias("outside"))
+        return F.struct(inner.alias("text"), findings.alias("findings"), outside.alias("outside"), F.coalesce(~outside & ~framed, F.lit(True)).alias("broken"), F.size(r["findings"]).alias("found"))
 
     return _bind(scan(F.concat(before, text, after), config), shift)
 
 
 def decide(text: Column, key: Column | None, config: ScanConfig) -> Column:
-    """struct<text, findings, outside> of the leaf: alone if that redacts or blocks, else the view where it
-    redacts, blocks, or alone found nothing. Two results are never merged."""
+    """struct<text, findings, outside, broken, scans, bytes, found> of the leaf: alone if that redacts or blocks, else the
+    view where it redacts, blocks, or alone found nothing. Two results are never merged. scans, bytes and found are what
+    both scans took and found. Where the view holds no match at all the leaf holds none either and neither is analysed."""
+    size = F.octet_length(text).cast("long")
+
     def with_view(alone: Column) -> Column:
-        own = F.struct(alone["text"].alias("text"), alone["findings"].alias("findings"), F.lit(False).alias("outside"))
+        n = F.size(alone["findings"])
+        own = F.struct(
+            alone["text"].alias("text"), alone["findings"].alias("findings"), F.lit(False).alias("outside"), alone["text"].isNull().alias("broken"), F.lit(1).alias("scans"), size.alias("bytes"), n.alias("found")
+        )
         if key is None:
             return own
 
         def choose(view: Column) -> Column:
-            keep = ~view["outside"] & ~_has(view["findings"], "redact", "block") & (F.size(alone["findings"]) > 0)
-            return F.when(keep, own).otherwise(view)
+            keep = ~view["outside"] & ~_has(view["findings"], "redact", "block") & (n > 0)
+            costs = [F.lit(2).alias("scans"), (size * 2 + F.octet_length(key) + 7).alias("bytes"), (n + view["found"]).alias("found")]
+            kept = F.struct(alone["text"].alias("text"), alone["findings"].alias("findings"), F.lit(False).alias("outside"), F.lit(False).alias("broken"), *costs)
+            return F.when(keep, kept).otherwise(F.struct(*[view[c].alias(c) for c in ("text", "findings", "outside", "broken")], *costs))
 
         return F.when(_has(alone["findings"], "redact", "block") | key.isNull(), own).otherwise(_bind(in_key_context(text, key, config), choose))
 
-    return _bind(scan(text, config), with_view)
+    none = F.expr(f"cast(array() as array<{FINDING}>)")
+    scans = F.lit(1) if key is None else F.when(key.isNull(), 1).otherwise(2)
+    bytes_ = size if key is None else F.when(key.isNull(), size).otherwise(size * 2 + F.octet_length(key) + 7)
+    clean = F.struct(text.alias("text"), none.alias("findings"), F.lit(False).alias("outside"), F.lit(False).alias("broken"), scans.alias("scans"), bytes_.alias("bytes"), F.lit(0).alias("found"))
+    if not config.plain():
+        raise OptionsError("CORE_OPTION_UNSUPPORTED", ("evaluate", "formatter"))
+    before, after = view_parts(key) if key is not None else (F.lit(""), F.lit(""))
+    seen = text if key is None else F.when(key.isNull(), text).otherwise(F.concat(before, text, after))
+    return F.when(seen.rlike(builtin_pack(config).pattern), _bind(scan(text, config), with_view)).otherwise(clean)
 
 
-def mask_leaf_outcome(text: Column, key: Column | None = None, config: ScanConfig = ScanConfig(), max_string_length: int = WALK_LIMITS["max_string_length"]) -> Column:
-    """struct<text, outcome, findings>; null for null. Limits come before any scan."""
+CHARGED = "struct<text:string,outcome:string,findings:int,scans:int,bytes:bigint,found:int>"
+
+
+def charged_leaf(text: Column, key: Column | None = None, config: ScanConfig = ScanConfig(), max_string_length: int = WALK_LIMITS["max_string_length"]) -> Column:
+    """struct<text, outcome, findings, scans, bytes, found>: the masked leaf with what it spent; null for null. Limits
+    come before any scan; a scan of more bytes than the whole-input limit fails, the view's as well as the leaf's."""
     too_long = F.length(text) > max_string_length
     if key is not None:
         too_long = too_long | F.coalesce(F.length(key) > max_string_length, F.lit(False))
-    if config.max_input_bytes is not None:
-        too_large = F.octet_length(text) > config.max_input_bytes
-    else:
-        too_large = F.lit(False)
+
+    def leaf(out: Column | str, outcome: Column | str, findings: Column | int, r: Column | None = None, scans: int = 0) -> Column:
+        value = lambda x: x if isinstance(x, Column) else F.lit(x)
+        costs = [r[c] for c in ("scans", "bytes", "found")] if r is not None else [F.lit(scans), F.octet_length(text) if scans else F.lit(0), F.lit(0)]
+        return F.struct(
+            value(out).alias("text"), value(outcome).alias("outcome"), value(findings).cast("int").alias("findings"), costs[0].cast("int").alias("scans"), costs[1].cast("long").alias("bytes"), costs[2].cast("int").alias("found")
+        )
 
     def outcome(r: Column) -> Column:
         n = F.size(r["findings"])
-        many = n > config.max_findings if config.max_findings is not None else F.lit(False)
+        many = r["broken"] | F.exists(r["findings"], lambda f: f["action"].isNull())
+        if config.max_findings is not None:
+            many = many | (n > config.max_findings)
+        if config.max_input_bytes is not None and key is not None:
+            many = many | ((r["scans"] > 1) & (F.octet_length(text) + F.octet_length(key) + 7 > config.max_input_bytes))
         return (
-            F.when(many, _leaf(ERROR, "failed", 0))
-            .when(r["outside"], _leaf(BLOCKED, "blocked", 0))
-            .when(_has(r["findings"], "block"), _leaf(BLOCKED, "blocked", n))
-            .otherwise(_leaf(r["text"], F.when(r["text"] != text, "redacted").otherwise("unchanged"), n))
+            F.when(many, leaf(ERROR, "failed", 0, r))
+            .when(r["outside"], leaf(BLOCKED, "blocked", 0, r))
+            .when(_has(r["findings"], "block"), leaf(BLOCKED, "blocked", n, r))
+            .otherwise(leaf(r["text"], F.when(r["text"] != text, "redacted").otherwise("unchanged"), n, r))
         )
 
-    return F.when(text.isNotNull(), F.when(too_long, _leaf(LIMIT, "limited", 0)).when(too_large, _leaf(ERROR, "failed", 0)).otherwise(_bind(decide(text, key, config), outcome)))
+    out = F.when(too_long, leaf(LIMIT, "limited", 0))
+    if config.max_input_bytes is not None:
+        out = out.when(F.octet_length(text) > config.max_input_bytes, leaf(ERROR, "failed", 0, None, 1))
+    return F.when(text.isNotNull(), out.otherwise(_bind(decide(text, key, config), outcome)))
+
+
+def mask_leaf_outcome(text: Column, key: Column | None = None, config: ScanConfig = ScanConfig(), max_string_length: int = WALK_LIMITS["max_string_length"]) -> Column:
+    """struct<text, outcome, findings>; null for null."""
+    return _bind(charged_leaf(text, key, config, max_string_length), lambda m: F.when(m.isNotNull(), F.struct(m["text"].alias("text"), m["outcome"].alias("outcome"), m["findings"].alias("findings"))))
 
 
 def mask_leaf(text: Column, key: Column | None = None, config: ScanConfig = ScanConfig(), max_string_length: int = WALK_LIMITS["max_string_length"]) -> Column:

@@ -21,12 +21,12 @@ _KEY = r"(?:[Dd][Bb]_|[Cc][Ll][Ii][Ee][Nn][Tt]_|[Aa][Cc][Cc][Ee][Ss][Ss]_|[Aa][U
 _ASSIGN = r"(?:^|[^A-Za-z0-9_])" + _KEY + r"[\x22']?[ \t]*[:=][ \t]*"
 _QUOTED = r"\x22[^\x22<{$*\n][^\x22\n]{7,}"
 _BARE = r"[^ \t\n\r\x22'<>{}$*,;&][^ \t\n\r\x22'<>,;&]{7,}"
-_PEM = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[A-Za-z0-9+/=\s]*-----END [A-Z ]{0,20}PRIVATE KEY-----"
+PRIVATE_KEY = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[A-Za-z0-9+/=\s]*-----END [A-Z ]{0,20}PRIVATE KEY-----"
 _GITHUB = r"gh[opsur]_[A-Za-z0-9]{36}"
 _JWT = r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"
 _CONTEXTUAL = f"{_ASSIGN}(?:{_QUOTED}|{_BARE})"
 _MAIL_WORD = r"(?:[Ee]-?[Mm]ail|[Cc]ontact)[ \t]*[:=]?[ \t]*"
-_MAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}"
+_MAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9][A-Za-z0-9.-]{0,252}\.[A-Za-z]{2,24}"  # no group under a star: Java would recurse for each turn
 #: Shortest values of contextual secrets that are found at all, and found with high confidence.
 SHORTEST, CERTAIN = 8, 16
 
@@ -44,11 +44,11 @@ class Pack:
 
 def builtin_pack(config: ScanConfig = ScanConfig()) -> Pack:
     kinds = [
-        ("private_key", "private-key", f"^{_PEM}$", "high"),
+        ("private_key", "private-key", f"^{PRIVATE_KEY}$", "high"),
         ("github_token", "github-token", f"^{_GITHUB}$", "high"),
         ("jwt", "jwt", f"^{_JWT}$", "high"),
     ]
-    parts = [_PEM, _CONTEXTUAL, _GITHUB, _JWT]
+    parts = [PRIVATE_KEY, _CONTEXTUAL, _GITHUB, _JWT]
     before = f"{_ASSIGN}[\\x22']?"
     if config.pii:
         kinds += [("pii_global_email", "global-email", f"^{_MAIL}$", None)]
@@ -61,89 +61,88 @@ def builtin_pack(config: ScanConfig = ScanConfig()) -> Pack:
     return Pack("|".join(parts), f"^(?:{before})", tuple(kinds))
 
 
-def _kind(pack: Pack, prefix: Column, value: Column) -> tuple[Column, Column, Column]:
-    kind = detector = confidence = None
-    n = F.length(value)
-    for t, d, pattern, c in pack.kinds:
-        if c is not None:
-            conf = F.lit(c)
-        elif t == "pii_global_email":
-            conf = F.when(F.length(prefix) > 0, "high").otherwise("medium")
-        else:
-            conf = F.when(n >= CERTAIN, "high").otherwise("medium")
-        if kind is None:
-            test = value.rlike(pattern)
-            kind, detector, confidence = F.when(test, t), F.when(test, d), F.when(test, conf)
-        elif pattern:
-            test = value.rlike(pattern)
-            kind, detector, confidence = kind.when(test, t), detector.when(test, d), confidence.when(test, conf)
-        else:
-            kind, detector, confidence = kind.otherwise(t), detector.otherwise(d), confidence.otherwise(conf)
-    return kind, detector, confidence
-
-
 def _bind(value: Column, f: Callable[[Column], Column]) -> Column:
     """f of a value that is evaluated once, however often f uses it."""
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
-def _analysed(text: Column, config: ScanConfig, pack: Pack) -> Column:
-    """The matches in text order: struct<prefix, value, type, detector, confidence, action, start>."""
-    pattern = F.lit(pack.pattern)
+def _kind(pack: Pack, value: Column) -> Column:
+    """The place of the first kind whose pattern the value has."""
+    out = None
+    for i, (_, _, pattern, _) in enumerate(pack.kinds):
+        if not pattern:
+            return F.lit(i) if out is None else out.otherwise(i)
+        out = F.when(value.rlike(pattern), i) if out is None else out.when(value.rlike(pattern), i)
+    return out
 
-    def analyse(match: Column) -> Column:
-        prefix = F.regexp_extract(match, pack.before, 0)
-        prefix = F.when(F.length(prefix) < F.length(match), prefix).otherwise("")
-        return _bind(F.struct(prefix.alias("prefix"), F.substr(match, F.length(prefix) + 1).alias("value")), of_parts)
 
-    def of_parts(p: Column) -> Column:
-        kind, detector, confidence = _kind(pack, p["prefix"], p["value"])
+def _named(pack: Pack, place: Column, names: list[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(n) for n in names]), place + 1)
 
-        def finish(k: Column) -> Column:
-            action = F.when(p["value"].rlike(pack.ignored), "allow").otherwise(config.action(k["type"], k["confidence"]))
-            return F.struct(
-                p["prefix"].alias("prefix"), p["value"].alias("value"), k["type"].alias("type"), k["detector"].alias("detector"), k["confidence"].alias("confidence"),
-                action.alias("action"), p["value"].rlike(pack.ignored).alias("ignored"),
-            )
 
-        return _bind(F.struct(kind.alias("type"), detector.alias("detector"), confidence.alias("confidence")), finish)
+def _analysed(matches: Column, config: ScanConfig, pack: Pack) -> Column:
+    """The matches in text order: struct<prefix, value, type, detector, confidence, action, ignored>."""
+    def analyse(match: Column) -> Column:
+        prefix = F.regexp_extract(match, pack.before, 0)
+        return _bind(F.when(F.length(prefix) < F.length(match), prefix).otherwise(""), lambda p: _bind(F.struct(p.alias("prefix"), F.substr(match, F.length(p) + 1).alias("value")), of_parts))
 
-    return F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), analyse)
+    def of_parts(p: Column) -> Column:
+        return _bind(F.struct(p["prefix"].alias("prefix"), p["value"].alias("value"), _kind(pack, p["value"]).alias("kind"), p["value"].rlike(pack.ignored).alias("ignored")), of_kind)
+
+    def of_kind(k: Column) -> Column:
+        confidence = None
+        for i, (t, _, _, c) in enumerate(pack.kinds):
+            if c is None:
+                sure = F.length(k["prefix"]) > 0 if t == "pii_global_email" else F.length(k["value"]) >= CERTAIN
+                own = F.when(sure, "high").otherwise("medium")
+            else:
+                own = F.lit(c)
+            confidence = F.when(k["kind"] == i, own) if confidence is None else confidence.when(k["kind"] == i, own)
+        kind = _named(pack, k["kind"], [x[0] for x in pack.kinds])
+        return _bind(F.struct(kind.alias("type"), confidence.alias("confidence")), lambda c: F.struct(
+            k["prefix"].alias("prefix"), k["value"].alias("value"), c["type"].alias("type"), _named(pack, k["kind"], [x[1] for x in pack.kinds]).alias("detector"), c["confidence"].alias("confidence"),
+            F.when(k["ignored"], "allow").otherwise(config.action(c["type"], c["confidence"])).alias("action"), k["ignored"].alias("ignored"),
+        ))
+
+    return F.transform(matches, analyse)
 
 
 def scan(text: Column, config: ScanConfig = ScanConfig(), pack: Pack | None = None, formatter: Callable[[Column, Column], Column] | None = None) -> Column:
     """struct<text, findings>: null for a null text. Placeholders count the rewritten findings in text order.
 
-    formatter: (type, number) to the placeholder; <SECRET_n> without.
+    formatter: (type, number) to the placeholder; <SECRET_n> without. A finding whose placeholder is null has failed to
+    be formatted; its text is null then. A match is where its text stands next, since the pattern would have matched
+    there or before otherwise.
     """
     pack = pack or builtin_pack(config)
     formatter = formatter or (lambda kind, n: F.concat(F.lit("<SECRET_"), n.cast("string"), F.lit(">")))
     none = F.struct(text.alias("text"), F.expr(f"cast(array() as array<{FINDING}>)").alias("findings"))
 
-    def build(x: Column) -> Column:
-        parts, found = x["parts"], x["found"]
-
-        def piece(m: Column, i: Column) -> Column:
-            n = F.size(F.filter(F.slice(found, F.lit(1), i + 1), lambda o: o["action"] == "redact"))
-            return F.concat(F.get(parts, i), m["prefix"], F.when(m["action"] == "redact", formatter(m["type"], n)).otherwise(m["value"]))
+    def step(acc: Column, m: Column) -> Column:
+        def put(x: Column) -> Column:
+            start = x["at"] + F.length(m["prefix"])
+            shown = F.when(m["action"] == "redact", formatter(m["type"], acc["rewritten"] + 1)).otherwise(m["value"])
+            finding = F.struct(
+                F.concat(F.lit("finding-"), (F.size(acc["findings"]) + 1).cast("string")).alias("id"), m["type"].alias("type"), m["detector"].alias("detector"), m["confidence"].alias("confidence"),
+                m["action"].alias("action"), F.lit("none").alias("obfuscation"), (start - 1).cast("int").alias("start"), (start - 1 + F.length(m["value"])).cast("int").alias("end"),
+            )
+            return F.struct(
+                (start + F.length(m["value"])).cast("int").alias("next"),
+                (acc["rewritten"] + F.when(m["action"] == "redact", 1).otherwise(0)).cast("int").alias("rewritten"),
+                F.concat(acc["pieces"], F.array(F.concat(F.substr(text, acc["next"], x["at"] - acc["next"]), m["prefix"], shown))).alias("pieces"),
+                F.when(m["ignored"], acc["findings"]).otherwise(F.concat(acc["findings"], F.array(finding).cast(f"array<{FINDING}>"))).alias("findings"),
+            )
 
-        out = F.concat(F.array_join(F.transform(found, piece), ""), F.get(parts, F.size(parts) - 1))
+        return _bind(F.struct(F.call_function("locate", F.concat(m["prefix"], m["value"]), text, acc["next"]).alias("at")), put)
 
-        def finding(m: Column, i: Column) -> Column:
-            before = F.aggregate(F.slice(found, F.lit(1), i), F.lit(0), lambda a, o: a + F.length(o["prefix"]) + F.length(o["value"]))
-            before = before + F.aggregate(F.slice(parts, F.lit(1), i + 1), F.lit(0), lambda a, o: a + F.length(o)) + F.length(m["prefix"])
-            number = F.size(F.filter(F.slice(found, F.lit(1), i + 1), lambda o: ~o["ignored"]))
-            return F.struct(
-                F.concat(F.lit("finding-"), number.cast("string")).alias("id"), m["type"].alias("type"), m["detector"].alias("detector"), m["confidence"].alias("confidence"),
-                m["action"].alias("action"), F.lit("none").alias("obfuscation"), before.alias("start"), (before + F.length(m["value"])).alias("end"), m["ignored"].alias("ignored"),
-            )
+    begin = F.struct(F.lit(1).alias("next"), F.lit(0).alias("rewritten"), F.expr("cast(array() as array<string>)").alias("pieces"), F.expr(f"cast(array() as array<{FINDING}>)").alias("findings"))
 
-        findings = F.filter(F.transform(found, finding), lambda f: ~f["ignored"])
-        findings = F.transform(findings, lambda f: f.dropFields("ignored"))
-        return F.struct(out.alias("text"), findings.cast(f"array<{FINDING}>").alias("findings"))
+    def finish(a: Column) -> Column:
+        whole = F.when(F.exists(a["pieces"], lambda p: p.isNull()), None).otherwise(F.concat(F.array_join(a["pieces"], ""), F.substr(text, a["next"], F.length(text))))
+        return F.struct(whole.alias("text"), a["findings"].alias("findings"))
 
-    found = F.struct(F.split(text, pack.pattern, -1).alias("parts"), _analysed(text, config, pack).alias("found"))
-    return F.when(text.isNotNull(), F.when(text.rlike(pack.pattern), _bind(found, build)).otherwise(none))
+    found = F.aggregate(_analysed(F.regexp_extract_all(text, F.lit(pack.pattern), F.lit(0)), config, pack), begin, step, finish)
+    return F.when(text.isNotNull(), F.when(text.rlike(pack.pattern), found).otherwise(none))
 
 
 def fixture_scan(text: Column) -> Column:

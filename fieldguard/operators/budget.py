@@ -40,6 +40,18 @@ def first_of_text(df: DataFrame, op: str, ordinal: str, text: str, longest: int
     return df.withColumn("scanned", (F.row_number().over(order) == 1) | (F.length(text) > longest))
 
 
+def scan_once(df: DataFrame, text: str, mask, out: str = "m", longest: int = 1024) -> DataFrame:
+    """df with mask(text) in out, where texts of up to longest characters are masked once however often they occur.
+
+    Worth its shuffle where texts repeat much: the distinct short texts are masked and joined back, long ones where they
+    are. A text that very many rows share is one row on the other side, whose join Spark splits.
+    """
+    short = F.length(text) <= longest
+    known = df.where(short).select(F.col(text).alias("fg_text")).distinct().withColumn("fg_masked", mask(F.col("fg_text")))
+    joined = df.where(short).join(known, F.col(text) == F.col("fg_text")).withColumn(out, F.col("fg_masked")).drop("fg_text", "fg_masked")
+    return joined.unionByName(df.where(~F.coalesce(short, F.lit(False))).withColumn(out, mask(F.col(text))))
+
+
 def count_outcomes(df: DataFrame, leaf: str, *by: str) -> DataFrame:
     """The six counts over a column of masked leaves, for each group."""
     o, n = F.col(leaf)["outcome"], F.col(leaf)["findings"]

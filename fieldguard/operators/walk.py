@@ -1,4 +1,9 @@
-"""Masking whole values: one Column expression compiled from the schema, never per-row Python."""
+"""Masking whole values: Column expressions compiled from the schema, never per-row Python.
+
+A row is one operation. Its values are flattened to one array of events in document order (a container, a leaf, a
+scalar), every leaf is masked by one expression, the charges of all events are summed up in order, and the values are
+built again from the masked leaves by their places. What a charge refuses becomes the limit marker.
+"""
 
 from __future__ import annotations
 
@@ -9,22 +14,49 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import ScanConfig
-from ..constants import BLOCKED, ERROR, LIMIT, WALK_LIMITS, resolve_limits
-from ..functions.leaf import mask_leaf
+from ..constants import BLOCKED, COUNTS, ERROR, LIMIT, OPERATION_LIMITS, WALK_LIMITS, resolve_limits
+from ..functions.leaf import CHARGED, charged_leaf, mask_leaf
+from ..functions.scanner import _bind
+
+EVENT = "struct<key:string,text:string,leaf:boolean,nodes:int,keys:int,limited:int,failed:int>"
+#: Types whose values hold no text: they pass as they are.
+PLAIN = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.NullType)
 
 
 @dataclass(frozen=True)
 class Walk:
-    """limits as WALK_LIMITS; key_context: whether a leaf is also scanned under its direct key."""
+    """limits as WALK_LIMITS; key_context: whether a leaf is also scanned under its direct key.
+
+    operation: limits of the row's operation budget as OPERATION_LIMITS, False for none; count_dropped: whether a
+    container cut to its width counts as limited; charge_nodes, charge_fields: whether values are charged as nodes and
+    struct fields as keys (hosts of attribute bags charge the bags' keys and leaves alone); bare: fields of structs whose
+    strings have no key.
+    """
 
     config: ScanConfig = field(default_factory=ScanConfig)
     limits: dict | None = None
     key_context: bool = True
+    operation: dict | bool | None = None
+    count_dropped: bool = False
+    charge_nodes: bool = True
+    charge_fields: bool = True
+    bare: tuple[str, ...] = ()
+    #: False leaves every leaf as it is: what a walk costs without its scanner.
+    scan: bool = True
 
     def limit(self, name: str) -> int:
         return resolve_limits(self.limits, WALK_LIMITS)[name]
 
 
+@dataclass(frozen=True)
+class Target:
+    """One column of a row's operation: its strings' key, and the depth of its value (-1: a bag whose values are roots)."""
+
+    name: str
+    key: str | None = None
+    depth: int = 0
+
+
 def _is_error(t: T.DataType) -> bool:
     return isinstance(t, T.StructType) and {"type", "message", "stack"} <= set(t.fieldNames())
 
@@ -33,40 +65,240 @@ def _refused(t: T.DataType, marker: str) -> Column:
     """What stands for a container that isn't entered: the marker where the type can hold it, else null."""
     if isinstance(t, T.ArrayType) and isinstance(t.elementType, T.StringType):
         return F.array(F.lit(marker))
-    if isinstance(t, T.MapType) and isinstance(t.valueType, T.StringType):
+    if isinstance(t, T.MapType) and isinstance(t.valueType, T.StringType) and isinstance(t.keyType, T.StringType):
         return F.create_map(F.lit("marker"), F.lit(marker))
     return F.lit(None).cast(t)
 
 
-def mask_value(value: Column, t: T.DataType, walk: Walk = Walk(), key: Column | None = None, depth: int = 0) -> Column:
-    """value with every string in it masked; its type stays. Numbers, booleans, dates and nulls pass.
+def check_type(t: T.DataType) -> None:
+    """Fails at plan time for a type whose text the walk can't reach, so that nothing passes unmasked."""
+    if isinstance(t, T.ArrayType):
+        check_type(t.elementType)
+    elif isinstance(t, T.MapType):
+        check_type(t.valueType)
+    elif isinstance(t, T.StructType):
+        for f in t.fields:
+            check_type(f.dataType)
+    elif not isinstance(t, (T.StringType, T.BinaryType, *PLAIN)):
+        raise TypeError(f"values of type {t.simpleString()} can't be masked")
+
+
+def _scalar(t: T.DataType) -> bool:
+    return isinstance(t, (T.BinaryType, *PLAIN))
+
+
+class Shape:
+    """The three expressions of one type: events, their number, and the value built again from masked leaves."""
+
+    def __init__(self, walk: Walk):
+        self.walk, self.node = walk, int(walk.charge_nodes)
+
+    def _event(self, there: Column, key: Column | None = None, text: Column | None = None, nodes: Column | int = 1, keys: int = 0, limited: Column | None = None, failed: Column | None = None) -> Column:
+        none = F.lit(None).cast("string")
+        n = F.when(there, nodes).otherwise(0) if self.node else F.lit(0)
+        return F.struct(
+            (none if key is None else key).alias("key"), (none if text is None else text).alias("text"), F.lit(text is not None).alias("leaf"), n.cast("int").alias("nodes"),
+            F.when(there, keys).otherwise(0).cast("int").alias("keys"), (F.lit(0) if limited is None else F.when(limited, 1).otherwise(0)).cast("int").alias("limited"),
+            (F.lit(0) if failed is None else F.when(failed, 1).otherwise(0)).cast("int").alias("failed"),
+        )
+
+    def _kept(self, value: Column, t: T.DataType) -> Column:
+        """The elements of an array, or the entries of a map, up to the width."""
+        if isinstance(t, T.ArrayType):
+            return F.slice(value, 1, max(1, self.walk.limit("max_array_length"))) if self.walk.limit("max_array_length") else F.filter(value, lambda x: F.lit(False))
+        entries = F.map_entries(value)
+        return F.slice(entries, 1, max(1, self.walk.limit("max_object_keys"))) if self.walk.limit("max_object_keys") else F.filter(entries, lambda x: F.lit(False))
+
+    def _width(self, t: T.DataType) -> int:
+        return self.walk.limit("max_array_length" if isinstance(t, T.ArrayType) else "max_object_keys")
+
+    def _inner(self, t: T.DataType) -> T.DataType:
+        return t.elementType if isinstance(t, T.ArrayType) else t.valueType
+
+    def _fields(self, t: T.StructType) -> list[T.StructField]:
+        return t.fields[: self.walk.limit("max_object_keys")]
+
+    def _entered(self, t: T.DataType, depth: int) -> bool:
+        return depth < self.walk.limit("max_depth")
+
+    def events(self, value: Column, t: T.DataType, key: Column | None, depth: int, there: Column | None = None, keyed: bool = False) -> Column:
+        """array<EVENT> of a value; there: whether its parent is there at all; keyed: whether its key is charged."""
+        there, keys = F.lit(True) if there is None else there, int(keyed)
+        one = lambda e: F.array(e).cast(f"array<{EVENT}>")
+        if isinstance(t, T.StringType):
+            return one(self._event(there, key if self.walk.key_context else None, value, keys=keys))
+        if _scalar(t):
+            return one(self._event(there, keys=keys, failed=value.isNotNull() if isinstance(t, T.BinaryType) else None))
+        if not self._entered(t, depth):
+            return one(self._event(there, keys=keys, limited=value.isNotNull()))
+        inside = there & value.isNotNull()
+        if isinstance(t, T.StructType):
+            bare = {*self.walk.bare, *(("type", "message", "stack") if _is_error(t) else ())}
+            parts = [self.events(value[f.name], f.dataType, None if f.name in bare else F.lit(f.name), depth + 1, inside, self.walk.charge_fields) for f in self._fields(t)]
+            cut = inside if self.walk.count_dropped and len(t.fields) > len(self._fields(t)) else None
+            return F.concat(one(self._event(there, keys=keys, limited=cut)), *parts)
+        whole = F.coalesce(F.size(value), F.lit(0))
+        cut = inside & (whole > self._width(t)) if self.walk.count_dropped else None
+        inner = self._inner(t)
+        is_map = isinstance(t, T.MapType)
+        n = F.least(F.greatest(whole, F.lit(0)), F.lit(self._width(t)))
+        nodes = F.lit(int(depth >= 0)) + (n if _scalar(inner) else F.lit(0))
+        head = one(self._event(there, keys=keys, nodes=nodes, limited=cut, failed=inside & (n > 0) if isinstance(inner, T.BinaryType) else None))
+        if _scalar(inner):
+            return head
+        if is_map:
+            named = isinstance(t.keyType, T.StringType)
+            rest = F.transform(self._kept(value, t), lambda e: self.events(e["value"], inner, e["key"] if named else None, depth + 1, None, True))
+        else:
+            rest = F.transform(self._kept(value, t), lambda x: self.events(x, inner, None, depth + 1))
+        return F.concat(head, F.coalesce(F.flatten(rest), F.expr(f"cast(array() as array<{EVENT}>)")))
+
+    def size(self, value: Column, t: T.DataType, depth: int) -> Column | int:
+        """How many events a value has: a number where the type says it."""
+        if isinstance(t, T.StringType) or _scalar(t) or not self._entered(t, depth):
+            return 1
+        if isinstance(t, T.StructType):
+            out = 1
+            for f in self._fields(t):
+                out = self.size(value[f.name], f.dataType, depth + 1) + out
+            return out
+        inner = self._inner(t)
+        if _scalar(inner):
+            return 1
+        return 1 + self._total(self._kept(value, t), t, depth)
+
+    def _total(self, kept: Column, t: T.DataType, depth: int) -> Column:
+        """Events of the elements or entries given."""
+        part = (lambda x: x["value"]) if isinstance(t, T.MapType) else (lambda x: x)
+        probe = self.size(F.lit(None).cast(self._inner(t)), self._inner(t), depth + 1)
+        if isinstance(probe, int):
+            return F.coalesce(F.greatest(F.size(kept), F.lit(0)), F.lit(0)) * probe
+        return F.coalesce(F.aggregate(kept, F.lit(0), lambda a, x: a + self.size(part(x), self._inner(t), depth + 1)), F.lit(0))
 
-    Containers deeper than max_depth are refused, arrays and maps are cut to their widths (without a count),
-    bytes become the error marker, error structs have type, message and stack masked without a key.
+    def build(self, value: Column, t: T.DataType, done: Column, at: Column | int, depth: int) -> Column:
+        """The value with the leaves that done holds from the place at on."""
+        place = at if isinstance(at, Column) else F.lit(at)
+        if isinstance(t, T.StringType):
+            return F.get(done, place)["text"]
+        if isinstance(t, T.BinaryType):
+            return F.when(value.isNotNull(), F.lit(ERROR).cast("binary"))
+        if _scalar(t):
+            return value
+        if not self._entered(t, depth):
+            return F.when(value.isNotNull(), _refused(t, LIMIT))
+        if isinstance(t, T.StructType):
+            fields, at = [], at + 1
+            for f in self._fields(t):
+                fields.append(self.build(value[f.name], f.dataType, done, at, depth + 1).alias(f.name))
+                at = self.size(value[f.name], f.dataType, depth + 1) + at
+            return F.when(value.isNotNull(), F.struct(*fields))
+        kept, inner = self._kept(value, t), self._inner(t)
+        static = self.size(F.lit(None).cast(inner), inner, depth + 1)
+
+        def start(i: Column) -> Column:
+            before = i * static if isinstance(static, int) else self._total(F.slice(kept, F.lit(1), i), t, depth)
+            return place + 1 + before
+
+        if isinstance(t, T.MapType):
+            if _scalar(inner):
+                entry = lambda e, i: F.struct(e["key"], self.build(e["value"], inner, done, 0, depth + 1))
+            else:
+                entry = lambda e, i: F.struct(e["key"], self.build(e["value"], inner, done, start(i), depth + 1))
+            return F.map_from_entries(F.transform(kept, entry))
+        if _scalar(inner):
+            return F.transform(kept, lambda x: self.build(x, inner, done, 0, depth + 1))
+        return F.transform(kept, lambda x, i: self.build(x, inner, done, start(i), depth + 1))
+
+
+USED = ("nodes", "keys", "leaves", "scans", "bytes", "findings")
+
+
+def _zero(extra: dict[str, Column] | None = None) -> Column:
+    return F.struct(*[F.lit(0).cast("long").alias(u) for u in USED], *[c.alias(k) for k, c in (extra or {}).items()])
+
+
+def _spent(acc: Column, e: Column, m: Column) -> dict[str, Column]:
+    """The counters after an event whose masked leaf is m."""
+    leaf = F.when(e["leaf"] & e["text"].isNotNull(), 1).otherwise(0)
+    add = {"nodes": e["nodes"], "keys": e["keys"], "leaves": leaf, "scans": m["scans"], "bytes": m["bytes"], "findings": m["found"]}
+    return {u: (acc[u] + F.coalesce(add[u], F.lit(0))).cast("long") for u in USED}
+
+
+def _allowed(used: dict[str, Column] | Column, walk: Walk) -> Column:
+    """Whether counters are within the row's walk and operation limits."""
+    ok = F.lit(True)
+    if walk.charge_nodes:
+        ok = ok & (used["nodes"] <= walk.limit("max_nodes"))
+    ok = ok & (used["leaves"] <= walk.limit("max_total_leaves"))
+    if walk.operation is not False:
+        most = resolve_limits(walk.operation if isinstance(walk.operation, dict) else None, OPERATION_LIMITS)
+        for u in USED:
+            ok = ok & (used[u] <= most[f"max_{u}"])
+    return ok
+
+
+def mask_row(df: DataFrame, *targets: Target, walk: Walk = Walk(), outcome: str | None = None) -> DataFrame:
+    """df with the targets' columns masked, all of a row as one operation; their types stay.
+
+    Numbers, booleans, dates and nulls pass; bytes become the error marker; containers deeper than max_depth are refused,
+    arrays, maps and structs are cut to their widths. From the first event on that passes a limit of the walk or of the
+    operation all leaves become the limit marker, since charges never go down. outcome names a column
+    struct<counts, usage, dropped>: the six counts of the row's leaves, what its operation spent, and whether a row can't be
+    represented (never, as types that can't be masked fail here, at plan time).
     """
-    if isinstance(t, T.StringType):
-        return mask_leaf(value, key if walk.key_context else None, walk.config, walk.limit("max_string_length"))
-    if isinstance(t, T.BinaryType):
-        return F.when(value.isNotNull(), F.lit(ERROR).cast("binary"))
-    if not isinstance(t, (T.ArrayType, T.MapType, T.StructType)):
-        return value
-    if depth >= walk.limit("max_depth"):
-        return F.when(value.isNotNull(), _refused(t, LIMIT))
-    if isinstance(t, T.ArrayType):
-        return F.transform(F.slice(value, 1, max(1, walk.limit("max_array_length"))), lambda x: mask_value(x, t.elementType, walk, None, depth + 1))
-    if isinstance(t, T.MapType):
-        kept = F.map_from_entries(F.slice(F.map_entries(value), 1, max(1, walk.limit("max_object_keys"))))
-        return F.transform_values(kept, lambda k, v: mask_value(v, t.valueType, walk, k if isinstance(t.keyType, T.StringType) else None, depth + 1))
-    bare = {"type", "message", "stack"} if _is_error(t) else set()
-    fields = [
-        mask_value(value[f.name], f.dataType, walk, None if f.name in bare else F.lit(f.name), depth + 1).alias(f.name) for f in t.fields[: walk.limit("max_object_keys")]
-    ]
-    return F.when(value.isNotNull(), F.struct(*fields))
-
-
-def mask_columns(df: DataFrame, *names: str, walk: Walk = Walk(), keyed: bool = True) -> DataFrame:
+    for t in targets:
+        check_type(df.schema[t.name].dataType)
+    shape = Shape(walk)
+    columns = [(t, F.col(t.name), df.schema[t.name].dataType) for t in targets]
+    events = F.concat(*[shape.events(c, kind, F.lit(t.key) if t.key is not None else None, t.depth, None) for t, c, kind in columns])
+    out = df.withColumn("fg_events", events)
+    def leaf(e: Column) -> Column:
+        if walk.scan:
+            return charged_leaf(e["text"], e["key"] if walk.key_context else None, walk.config, walk.limit("max_string_length"))
+        same = F.struct(e["text"].alias("text"), F.lit("unchanged").alias("outcome"), F.lit(0).alias("findings"), F.lit(0).alias("scans"), F.lit(0).cast("long").alias("bytes"), F.lit(0).alias("found"))
+        return F.when(e["text"].isNotNull(), same).cast(CHARGED)
+
+    out = out.withColumn("fg_masked", F.transform("fg_events", leaf))
+    both = F.arrays_zip(F.col("fg_events").alias("e"), F.col("fg_masked").alias("m"))
+
+    def add(acc: Column, x: Column) -> Column:
+        return F.struct(*[c.alias(u) for u, c in _spent(acc, x["e"], x["m"]).items()])
+
+    out = out.withColumn("fg_used", F.aggregate(both, _zero(), add))
+
+    def put(acc: Column, x: Column) -> Column:
+        used = F.struct(*[c.alias(u) for u, c in _spent(acc, x["e"], x["m"]).items()])
+
+        def kept(u: Column) -> Column:
+            ok = _allowed(u, walk)
+            limit = F.struct(F.lit(LIMIT).alias("text"), F.lit("limited").alias("outcome"), F.lit(0).alias("findings"), F.lit(0).alias("scans"), F.lit(0).cast("long").alias("bytes"), F.lit(0).alias("found"))
+            leaf = x["e"]["leaf"] & x["e"]["text"].isNotNull()
+            return F.struct(*[u[k].alias(k) for k in USED], F.concat(acc["done"], F.array(F.when(ok | ~leaf, x["m"]).otherwise(limit).cast(CHARGED))).alias("done"), F.when(ok, u).otherwise(acc["last"]).alias("last"))
+
+        return _bind(used, kept)
+
+    start = _zero({"done": F.expr(f"cast(array() as array<{CHARGED}>)"), "last": _zero()})
+    whole = F.struct(F.col("fg_masked").alias("done"), F.col("fg_used").alias("last"))
+    out = out.withColumn("fg_row", F.when(_allowed(F.col("fg_used"), walk), whole).otherwise(F.aggregate(both, start, put, lambda a: F.struct(a["done"].alias("done"), a["last"].alias("last")))))
+    built, at = {}, 0
+    for t, c, kind in columns:
+        built[t.name] = shape.build(c, kind, F.col("fg_row.done"), at, t.depth)
+        at = shape.size(c, kind, t.depth) + at
+    if outcome:
+        own = lambda k: F.size(F.filter("fg_row.done", lambda m: m["outcome"] == k)).cast("long")
+        extra = lambda k: F.aggregate("fg_events", F.lit(0).cast("long"), lambda a, e: a + e[k])
+        counts = {
+            "scanned": F.size(F.filter("fg_row.done", lambda m: m["outcome"].isNotNull() & (m["outcome"] != "limited"))).cast("long"),
+            "findings": F.aggregate("fg_row.done", F.lit(0).cast("long"), lambda a, m: a + F.coalesce(m["findings"], F.lit(0))),
+            "redacted": own("redacted"), "blocked": own("blocked"), "limited": own("limited") + extra("limited"), "failed": own("failed") + extra("failed"),
+        }
+        built[outcome] = F.struct(F.struct(*[counts[k].alias(k) for k in COUNTS]).alias("counts"), F.col("fg_row.last").alias("usage"), F.lit(False).alias("dropped"))
+    return out.withColumns(built).drop("fg_events", "fg_masked", "fg_used", "fg_row")
+
+
+def mask_columns(df: DataFrame, *names: str, walk: Walk = Walk(), keyed: bool = True, outcome: str | None = None) -> DataFrame:
     """df with the named columns (all, without any) masked; a column's name is its strings' key."""
-    return df.withColumns({n: mask_value(F.col(n), df.schema[n].dataType, walk, F.lit(n) if keyed else None) for n in names or df.columns})
+    return mask_row(df, *[Target(n, n if keyed else None) for n in names or df.columns], walk=walk, outcome=outcome)
 
 
 def mask_keyed_leaves(values: Column, keys: Column, walk: Walk = Walk()) -> Column:
@@ -89,4 +321,4 @@ def mask_bytes(data: Column, walk: Walk = Walk()) -> Column:
     return F.when(data.isNotNull(), out.cast("binary"))
 
 
-__all__ = ["BLOCKED", "Walk", "mask_bytes", "mask_columns", "mask_exception_text", "mask_keyed_leaves", "mask_value"]
+__all__ = ["BLOCKED", "Target", "Walk", "mask_bytes", "mask_columns", "mask_exception_text", "mask_keyed_leaves", "mask_row"]

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from ..config import ScanConfig
 from ..constants import (
     BLOCKED_TEXT,
-    CONTENT_TYPES,
     CONTEXT_LIMITS,
     CORE_CODES,
     FINDING,
@@ -22,6 +21,7 @@ from ..constants import (
 )
 from ..functions.leaf import _has, decide
 from ..functions.scanner import _bind, scan
+from . import boundary
 
 OUTCOME = f"struct<outcome:string,value:string,findings:array<{FINDING}>,reason:string,code:string>"
 
@@ -39,7 +39,9 @@ def sanitize_text(text: Column, key: Column | None = None, config: ScanConfig =
 
     def judge(r: Column) -> Column:
         return (
-            F.when(F.size(r["findings"]) > most["max_findings"], _outcome("blocked", reason="limit_exceeded", code="FINDING_LIMIT_EXCEEDED"))
+            F.when(r["broken"] & ~r["outside"], _outcome("blocked", reason="core_error"))
+            .when(F.exists(r["findings"], lambda f: f["action"].isNull()), _outcome("blocked", reason="core_error", code="INVALID_POLICY_ACTION"))
+            .when(F.size(r["findings"]) > most["max_findings"], _outcome("blocked", reason="limit_exceeded", code="FINDING_LIMIT_EXCEEDED"))
             .when(r["outside"] | _has(r["findings"], "block"), _outcome("blocked", reason="policy"))
             .otherwise(_outcome("ok", r["text"], r["findings"]))
         )
@@ -102,20 +104,11 @@ def stream_batch(df: DataFrame, stream: str = "stream_id", seq: str = "seq", op:
 
 
 def tool_result(content: Column, config: ScanConfig = ScanConfig(), binary: str = "block", error: Column | None = None) -> Column:
-    """struct<outcome, texts, reason, code> of an array of blocks struct<type, text, data>: the texts of all blocks,
-    or the first failure. Types outside the allowlist, and binary blocks unless they pass, are unsupported."""
-    failed = lambda kind, reason: F.struct(F.lit(kind).alias("outcome"), F.lit(None).cast("array<string>").alias("texts"), F.lit(reason).cast("string").alias("reason"), F.lit(None).cast("string").alias("code"))
-    unknown = F.exists(content, lambda b: ~b["type"].isin(*CONTENT_TYPES))
-    if binary == "block":
-        unknown = unknown | F.exists(content, lambda b: b["data"].isNotNull())
-
-    def judge(parts: Column) -> Column:
-        bad = F.get(F.filter(parts, lambda o: o["outcome"] != "ok"), F.lit(0))
-        ok = F.struct(F.lit("ok").alias("outcome"), F.transform(parts, lambda o: o["value"]).alias("texts"), F.lit(None).cast("string").alias("reason"), F.lit(None).cast("string").alias("code"))
-        return F.when(bad.isNotNull(), F.struct(bad["outcome"].alias("outcome"), F.lit(None).cast("array<string>").alias("texts"), bad["reason"].alias("reason"), bad["code"].alias("code"))).otherwise(ok)
-
-    out = F.when(unknown, failed("blocked", "unsupported_value")).otherwise(_bind(F.transform(content, lambda b: sanitize_text(b["text"], None, config)), judge))
-    return out if error is None else F.when(error, failed("tool_error", None)).otherwise(out)
+    """struct<outcome, value, findings, emitted, reason, code> of an array of blocks: the whole result as JSON, every
+    field of every block scanned under its key, the backstop over what is left, binaries back in their places; or the
+    first failure. Types outside the allowlist, and binary blocks unless they pass, are unsupported."""
+    whole = F.to_json(F.struct(content.alias("content")))
+    return boundary.sanitize("tool_result", whole, boundary.ToolBoundary(boundary.Boundary(config), binary), "tool-result", failed=error)
 
 
 def backstop(part: Column, config: ScanConfig = ScanConfig()) -> Column:
@@ -123,12 +116,10 @@ def backstop(part: Column, config: ScanConfig = ScanConfig()) -> Column:
     return F.coalesce(_has(scan(part, config)["findings"], "redact", "block"), F.lit(False))
 
 
-def resource_result(contents: Column, config: ScanConfig = ScanConfig()) -> Column:
-    """The same for resource contents struct<uri, text, blob>: exactly one of text and blob, blobs are refused."""
-    wrong = F.exists(contents, lambda c: c["text"].isNull() == c["blob"].isNull())
-    blocks = F.transform(contents, lambda c: F.struct(F.lit("resource").alias("type"), c["text"].alias("text"), c["blob"].alias("data")))
-    empty = F.struct(F.lit("blocked").alias("outcome"), F.lit(None).cast("array<string>").alias("texts"), F.lit("unsupported_value").alias("reason"), F.lit(None).cast("string").alias("code"))
-    return F.when(wrong, empty).otherwise(tool_result(blocks, config))
+def resource_result(contents: Column, config: ScanConfig = ScanConfig(), binary: str = "block", error: Column | None = None) -> Column:
+    """The same for resource contents struct<uri, mimeType, text, blob>: exactly one of text and blob."""
+    whole = F.to_json(F.struct(contents.alias("contents")))
+    return boundary.sanitize("resource_result", whole, boundary.ToolBoundary(boundary.Boundary(config), binary), "resource", failed=error)
 
 
 def error_reason(code: Column) -> Column:
@@ -141,14 +132,13 @@ def error_reason(code: Column) -> Column:
 def wire(outcome: Column, value: Column) -> Column:
     """JSON text of a tool result on the wire: the value, a fixed input-free result, or null for aborted."""
     fixed = lambda text: f'{{"content":[{{"type":"text","text":"{text}"}}],"isError":true}}'
-    ok = F.to_json(F.struct(F.transform(value, lambda t: F.struct(F.lit("text").alias("type"), t.alias("text"))).alias("content")))
-    return F.when(outcome == "ok", ok).when(outcome == "blocked", fixed(BLOCKED_TEXT)).when(outcome == "tool_error", fixed(TOOL_ERROR_TEXT))
+    return F.when(outcome == "ok", value).when(outcome == "blocked", fixed(BLOCKED_TEXT)).when(outcome == "tool_error", fixed(TOOL_ERROR_TEXT))
 
 
 def resource_wire(outcome: Column, value: Column) -> Column:
     """JSON text of a resource response: {"result"}, a fixed {"error"}, or null for aborted."""
     fixed = lambda text: f'{{"error":{{"code":{RESOURCE_ERROR_CODE},"message":"{text}"}}}}'
-    ok = F.to_json(F.struct(F.struct(F.transform(value, lambda t: F.struct(t.alias("text"))).alias("contents")).alias("result")))
+    ok = F.concat(F.lit('{"result":'), value, F.lit("}"))
     return F.when(outcome == "ok", ok).when(outcome == "blocked", fixed(RESOURCE_BLOCKED_TEXT)).when(outcome == "read_error", fixed(RESOURCE_ERROR_TEXT))
 
 

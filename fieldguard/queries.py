@@ -451,15 +451,15 @@ def otel_bytes(spark, d):
 
 # --- strict boundaries -----------------------------------------------------------------------------------
 
-_STRICT = """CASE WHEN strlen(text) > 4000 THEN 'blocked' WHEN blocked THEN 'blocked' ELSE 'ok' END AS outcome,
-CASE WHEN strlen(text) > 4000 THEN 'limit_exceeded' WHEN blocked THEN 'policy' END AS reason, CASE WHEN strlen(text) > 4000 THEN 'INPUT_LIMIT_EXCEEDED' END AS code"""
+_STRICT = """CASE WHEN strlen(text) > 65536 THEN 'blocked' WHEN blocked THEN 'blocked' ELSE 'ok' END AS outcome,
+CASE WHEN strlen(text) > 65536 THEN 'limit_exceeded' WHEN blocked THEN 'policy' END AS reason, CASE WHEN strlen(text) > 65536 THEN 'INPUT_LIMIT_EXCEEDED' END AS code"""
 
 
 def strict_docs(spark, d) -> DataFrame:
-    return pem_docs(spark, d).select("doc_id", context.sanitize_text(F.col("text"), limits={"max_input_bytes": 4000}).alias("o"))
+    return pem_docs(spark, d).select("doc_id", context.sanitize_text(F.col("text")).alias("o"))
 
 
-@query(f"WITH {scan_ctes(_PEM_DOC)} SELECT doc_id, {_STRICT}, CASE WHEN strlen(text) <= 4000 AND NOT blocked THEN masked END AS value FROM s")
+@query(f"WITH {scan_ctes(_PEM_DOC)} SELECT doc_id, {_STRICT}, CASE WHEN strlen(text) <= 65536 AND NOT blocked THEN masked END AS value FROM s")
 def sanitize_text_outcomes(spark, d):
     return strict_docs(spark, d).select("doc_id", "o.outcome", "o.reason", "o.code", "o.value")
 
@@ -517,9 +517,9 @@ def stream_batch_documents(spark, d):
 @query("SELECT doc_id AS stream_id, CASE WHEN doc_id % 2 = 0 THEN 'aborted' WHEN doc_id % 4 = 1 THEN 'blocked' ELSE 'blocked' END AS outcome, CASE WHEN doc_id % 2 = 1 THEN 'lifecycle' END AS reason FROM documents")
 def stream_abort_and_lifecycle(spark, d):
     """Even streams are aborted before their end; odd ones have two ends or none."""
-    c = table(spark, d, DOCS).select(F.col("doc_id").alias("stream_id"))
+    c = table(spark, d, DOCS).select(F.col("doc_id").alias("stream_id"), "text")
     last = F.when(F.col("stream_id") % 2 == 0, F.array(F.lit("append"), F.lit("abort"), F.lit("finalize"))).when(F.col("stream_id") % 4 == 1, F.array(F.lit("append"), F.lit("finalize"), F.lit("finalize"))).otherwise(F.array(F.lit("append")))
-    c = c.select("stream_id", F.posexplode(last).alias("p", "op")).select("stream_id", F.col("p").cast("long").alias("seq"), "op", F.lit("x").alias("chunk"))
+    c = c.select("stream_id", "text", F.posexplode(last).alias("p", "op")).select("stream_id", F.col("p").cast("long").alias("seq"), "op", F.when(F.col("op") == "append", F.col("text")).alias("chunk"))
     return context.stream_batch(c).select("stream_id", "outcome", "reason")
 
 
@@ -527,6 +527,7 @@ def stream_abort_and_lifecycle(spark, d):
 
 
 def tool_calls(spark, d, binary: str = "block") -> DataFrame:
+    """Results of two blocks: the page's whole html, and an image, an unknown type or a text with a token."""
     i = F.col("page_id")
     block = lambda kind, text, data=None: F.struct(F.lit(kind).alias("type"), (text if isinstance(text, Column) else F.lit(text)).cast("string").alias("text"), F.lit(data).cast("string").alias("data"))
     second = F.when(i % 5 == 0, block("image", None, "AAAA")).when(i % 5 == 1, block("video", None)).otherwise(block("text", F.concat(F.lit("k "), token(i))))
@@ -534,20 +535,30 @@ def tool_calls(spark, d, binary: str = "block") -> DataFrame:
     return table(spark, d, "pages").select(i, o.alias("o"))
 
 
-_TOOL = "CASE WHEN page_id % 5 = 4 THEN 'tool_error' WHEN page_id % 5 {} THEN 'blocked' ELSE 'ok' END"
+_HTML = "(SELECT page_id, html AS text FROM pages)"
+#: A text block is also scanned under its key, in a view that is 11 bytes longer.
+_TOO_LARGE = "strlen(text) > 65536 - 11 AND n_findings = 0 OR strlen(text) > 65536"
 
 
-@query(f"SELECT page_id, {_TOOL.format('IN (0, 1)')} AS outcome, CASE WHEN page_id % 5 IN (0, 1) THEN 'unsupported_value' END AS reason, CASE WHEN page_id % 5 IN (2, 3) THEN 'k <SECRET_1>' END AS second FROM pages")
+def _tool_sql(refused: str) -> str:
+    return f"""t AS (SELECT *, CASE WHEN page_id % 5 = 4 THEN 'tool_error' WHEN page_id % 5 IN ({refused}) THEN 'blocked' WHEN {_TOO_LARGE} OR blocked THEN 'blocked' ELSE 'ok' END AS outcome,
+ CASE WHEN page_id % 5 = 4 THEN NULL WHEN page_id % 5 IN ({refused}) THEN 'unsupported_value' WHEN {_TOO_LARGE} THEN 'limit_exceeded' WHEN blocked THEN 'policy' END AS reason,
+ CASE WHEN page_id % 5 = 4 OR page_id % 5 IN ({refused}) THEN NULL WHEN {_TOO_LARGE} THEN 'INPUT_LIMIT_EXCEEDED' END AS code FROM s)"""
+
+
+@query(f"WITH {scan_ctes(_HTML)}, {_tool_sql('0, 1')} SELECT page_id, outcome, reason, code, CASE WHEN outcome = 'ok' THEN masked END AS first, CASE WHEN outcome = 'ok' THEN 'k <SECRET_1>' END AS second FROM t")
 def tool_results_pages(spark, d):
-    return tool_calls(spark, d).select("page_id", "o.outcome", "o.reason", F.get("o.texts", F.lit(1)).alias("second"))
+    part = lambda i: F.get_json_object("o.value", f"$.content[{i}].text")
+    return tool_calls(spark, d).select("page_id", "o.outcome", "o.reason", "o.code", part(0).alias("first"), part(1).alias("second"))
 
 
-@query(f"SELECT page_id, {_TOOL.format('= 1')} AS outcome FROM pages")
+@query(f"WITH {scan_ctes(_HTML)}, {_tool_sql('1')} SELECT page_id, outcome, CASE WHEN outcome = 'ok' AND page_id % 5 = 0 THEN '{{\"type\":\"image\",\"data\":\"AAAA\"}}' WHEN outcome = 'ok' THEN '{{\"type\":\"text\",\"text\":\"k <SECRET_1>\"}}' END AS second FROM t")
 def tool_binary_policy(spark, d):
-    return tool_calls(spark, d, "pass").select("page_id", "o.outcome")
+    """Binary blocks that pass come back unscanned, in their place and order."""
+    return tool_calls(spark, d, "pass").select("page_id", "o.outcome", F.get_json_object("o.value", "$.content[1]").alias("second"))
 
 
-@query(f"""SELECT {_TOOL.format('IN (0, 1)')} AS outcome, 'tool' AS stage, CASE WHEN page_id % 5 IN (0, 1) THEN 'unsupported_value' END AS reason, NULL::VARCHAR AS code, count(*) AS n FROM pages GROUP BY ALL""")
+@query(f"WITH {scan_ctes(_HTML)}, {_tool_sql('0, 1')} SELECT 'tool' AS stage, outcome, reason, code, count(*) AS n FROM t GROUP BY ALL")
 def audit_counts(spark, d):
     return context.audit(tool_calls(spark, d), "tool")
 
@@ -556,13 +567,13 @@ def _fixed_sql() -> str:
     from .constants import BLOCKED_TEXT, TOOL_ERROR_TEXT
 
     fixed = lambda t: quote(f'{{"content":[{{"type":"text","text":"{t}"}}],"isError":true}}')
-    return f"SELECT page_id, CASE WHEN page_id % 5 = 4 THEN {fixed(TOOL_ERROR_TEXT)} WHEN page_id % 5 IN (0, 1) THEN {fixed(BLOCKED_TEXT)} ELSE 'value' END AS sent FROM pages"
+    return f"WITH {scan_ctes(_HTML)}, {_tool_sql('0, 1')} SELECT page_id, CASE WHEN outcome = 'tool_error' THEN {fixed(TOOL_ERROR_TEXT)} WHEN outcome = 'blocked' THEN {fixed(BLOCKED_TEXT)} ELSE masked END AS sent FROM t"
 
 
 @query(_fixed_sql())
 def wire_results(spark, d):
-    sent = context.wire(F.col("o.outcome"), F.col("o.texts"))
-    return tool_calls(spark, d).select("page_id", F.when(F.col("o.outcome") == "ok", F.when(F.get_json_object(sent, "$.content[1].text") == "k <SECRET_1>", "value")).otherwise(sent).alias("sent"))
+    sent = context.wire(F.col("o.outcome"), F.col("o.value"))
+    return tool_calls(spark, d).select("page_id", F.when(F.col("o.outcome") == "ok", F.get_json_object(sent, "$.content[0].text")).otherwise(sent).alias("sent"))
 
 
 @query("SELECT page_id, page_id % 2 = 1 AS caught FROM pages")
@@ -573,13 +584,39 @@ def tool_backstop(spark, d):
     return table(spark, d, "pages").select(i, context.backstop(part).alias("caught"))
 
 
-@query("SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'ok' ELSE 'blocked' END AS outcome, CASE WHEN page_id % 3 = 0 THEN 'see <SECRET_1>' END AS text FROM pages")
-def resource_contents(spark, d):
+def resource_reads(spark, d, binary: str = "block") -> DataFrame:
+    """Resources with a text, a blob or both; every fourth uri holds a token; every seventh read fails."""
     i = F.col("page_id")
     text = F.when(i % 3 != 1, F.concat(F.lit("see "), token(i)))
     blob = F.when(i % 3 != 0, F.lit("AAAA"))
-    o = context.resource_result(F.array(F.struct(F.col("url").alias("uri"), text.alias("text"), blob.alias("blob"))))
-    return table(spark, d, "pages").select(i, o.alias("o")).select("page_id", "o.outcome", F.get("o.texts", F.lit(0)).alias("text"))
+    uri = F.when(i % 4 == 0, F.concat(F.lit("file://x/"), token(i))).otherwise(F.col("url"))
+    o = context.resource_result(F.array(F.struct(uri.alias("uri"), text.alias("text"), blob.alias("blob"))), binary=binary, error=i % 7 == 3)
+    return table(spark, d, "pages").select(i, o.alias("o"))
+
+
+_RESOURCE = """CASE WHEN page_id % 7 = 3 THEN 'read_error' WHEN page_id % 3 {} THEN 'ok' ELSE 'blocked' END"""
+_URI = "CASE WHEN page_id % 4 = 0 THEN 'file://x/<SECRET_1>' ELSE url END"
+
+
+@query(f"SELECT page_id, {_RESOURCE.format('= 0')} AS outcome, CASE WHEN page_id % 3 = 0 AND page_id % 7 <> 3 THEN 'see <SECRET_1>' END AS text, CASE WHEN page_id % 3 = 0 AND page_id % 7 <> 3 THEN {_URI} END AS uri FROM pages")
+def resource_contents(spark, d):
+    """Every field of a resource is scanned, its uri as well."""
+    field = lambda n: F.get_json_object("o.value", f"$.contents[0].{n}")
+    return resource_reads(spark, d).select("page_id", "o.outcome", field("text").alias("text"), field("uri").alias("uri"))
+
+
+def _read_sql() -> str:
+    from .constants import RESOURCE_BLOCKED_TEXT, RESOURCE_ERROR_CODE, RESOURCE_ERROR_TEXT
+
+    fixed = lambda t: quote(f'{{"error":{{"code":{RESOURCE_ERROR_CODE},"message":"{t}"}}}}')
+    value = f"""'{{"result":{{"contents":[{{"uri":"' || {_URI} || '",' || CASE WHEN page_id % 3 = 0 THEN '"text":"see <SECRET_1>"' ELSE '"blob":"AAAA"' END || '}}]}}}}'"""
+    return f"WITH r AS (SELECT *, {_RESOURCE.format('<> 2')} AS outcome FROM pages) SELECT page_id, CASE outcome WHEN 'read_error' THEN {fixed(RESOURCE_ERROR_TEXT)} WHEN 'blocked' THEN {fixed(RESOURCE_BLOCKED_TEXT)} ELSE {value} END AS sent FROM r"
+
+
+@query(_read_sql())
+def resource_responses(spark, d):
+    """Resource reads on the wire, where blobs pass."""
+    return resource_reads(spark, d, "pass").select("page_id", context.resource_wire(F.col("o.outcome"), F.col("o.value")).alias("sent"))
 
 
 @query(f"WITH {scan_ctes(DOCS)}, a AS (SELECT doc_id, masked AS text FROM s), {scan_ctes('a', name='r')} SELECT count(*) AS n, count(*) FILTER (WHERE r.masked IS DISTINCT FROM r.text) AS changed FROM r")
@@ -589,9 +626,15 @@ def idempotent_masking(spark, d):
     return once.select((~mask_leaf(F.col("text")).eqNullSafe(F.col("text"))).alias("c")).agg(F.count("*").alias("n"), F.count_if("c").alias("changed"))
 
 
+def _all() -> None:
+    from . import queries_rows, queries_strict  # noqa: F401  these register theirs
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _all()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _all()
     return dict(ORACLES)

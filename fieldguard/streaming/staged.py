@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..config import ScanConfig
-from ..functions.python_scanner import TextScanner
-from ..operators.jsonwalk import sanitize
+from ..plans.boundary import Boundary
 
 OUTPUT = "stream_id long, outcome string, value string, reason string, code string"
 STATE = "seqs array<long>, chunks array<string>, end long, closed boolean, units long"
@@ -54,9 +53,9 @@ def staged(df: DataFrame, config: ScanConfig = ScanConfig(), limits: dict | None
                     closed, held = True, {}
                     yield out("blocked", reason="limit_exceeded", code="BUFFER_LIMIT_EXCEEDED")
         if not closed and end >= 0 and all(i in held for i in range(end)):
-            o = sanitize("".join(held[i] for i in range(end)), TextScanner(config), limits)
+            o = Boundary(config, limits).sanitize_text("".join(held[i] for i in range(end)))
             closed, held = True, {}
-            yield out(o["outcome"], o["value"], o["reason"], o["code"])
+            yield out(o.outcome, o.value, o.reason, o.code)
         state.update((list(held), list(held.values()), end, closed, units))
         state.setTimeoutDuration(millis)
 

@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from fieldguard.activation import ActivationError, activate
 from fieldguard.config import OptionsError, ScanConfig, parse_policy, parse_ruleset
-from fieldguard.constants import BLOCKED, CYCLE, ERROR, LIMIT, WALK_LIMITS, resolve_limit
+from fieldguard.constants import BLOCKED, CYCLE, ERROR, ERROR_LINE, LIMIT, LIMIT_LINE, WALK_LIMITS, resolve_limit
 from fieldguard.functions.leaf import mask_leaf_outcome
-from fieldguard.functions.python_scanner import TextScanner
+from fieldguard.functions.python_scanner import FixtureScanner, TextScanner
 from fieldguard.functions.scanner import scan
 from fieldguard.operators.budget import observe_counts
-from fieldguard.operators.jsonlines import redact_line
-from fieldguard.operators.jsonwalk import Budget, PermissiveWalk, mask_json, sanitize, sanitize_json
+from fieldguard.operators.jsonlines import LineRedactor, redact_line
+from fieldguard.operators.jsonwalk import Budget, PermissiveWalk, is_strict_limits, mask_json
+from fieldguard.operators.walk import Walk, mask_columns
+from fieldguard.plans.boundary import Boundary, sanitize
 
 TOKEN = "gh" + "p_" + "SYNTHETICREVOKED0" + "A" * 19
 PEM = "-----BEGIN " + "PRIVATE KEY-----\nabcd\n-----END " + "PRIVATE KEY-----"
@@ -133,27 +135,115 @@ def test_permissive_walk():
     assert WALK_LIMITS["max_depth"] == 8
 
 
-def test_strict_walk():
-    s = TextScanner()
-    assert sanitize({"password": "x" * 20, "l": [1, True]}, s)["value"] == {"password": "<SECRET_1>", "l": [1, True]}
-    bad = sanitize({TOKEN: 1}, s)
-    assert (bad["outcome"], bad["reason"], bad["value"]) == ("blocked", "policy", None)
-    assert sanitize({"a": [PEM]}, s)["reason"] == "policy"
-    assert sanitize([float("inf")], s)["reason"] == "unsupported_value"
-    assert sanitize([[["x"]]], s, {"max_depth": 2})["reason"] == "limit_exceeded"
-    assert sanitize("x" * 50, s, {"max_input_bytes": 10})["code"] == "INPUT_LIMIT_EXCEEDED"
-    assert sanitize(["x"] * 9, s, {"max_nodes": 4})["reason"] == "limit_exceeded"
+def test_permissive_walk_never_raises():
+    class Odd(Exception):
+        def __str__(self):
+            raise RuntimeError("no text")
+
+    e = Odd()
+    e.message, e.stack, e.detail, e.password = "own message", "own stack", "see " + TOKEN, "z" * 20
+    out, counts = walk({"error": e})
+    assert out["error"]["message"] == ERROR and out["error"]["type"] == "Odd" and "own" not in out["error"]["stack"]
+    assert out["error"]["detail"] == "see <SECRET_1>" and out["error"]["password"] == "<SECRET_1>" and counts["failed"] == 1
+    for limits, want in (({"max_scans": 1}, ["a", LIMIT, LIMIT]), ({"max_leaves": 2}, ["a", "b", LIMIT]), ({"max_nodes": 3}, ["a", "b", LIMIT]), ({"max_bytes": 1}, ["a", LIMIT, LIMIT])):
+        assert PermissiveWalk(TextScanner(), None, Budget(limits)).value(["a", "b", "c"]) == want
+    keyed = PermissiveWalk(TextScanner(), None, Budget({"max_scans": 1}))
+    assert keyed.value({"k": "x"}) == {"k": LIMIT}  # its view is a second scan
+
+
+def test_strict_values():
+    b = Boundary()
+    assert b.sanitize_value({"password": "x" * 20, "l": [1, True]}).value == {"password": "<SECRET_1>", "l": [1, True]}
+    bad = b.sanitize_value({TOKEN: 1})
+    assert (bad.outcome, bad.reason, bad.value, bad.findings) == ("blocked", "policy", None, ())
+    assert b.sanitize_value({"a": [PEM]}).reason == "policy"
+    assert b.sanitize_value([float("inf")]).reason == "unsupported_value" == b.sanitize_value((1,)).reason == b.sanitize_value({1: 2}).reason
+    assert Boundary(limits={"max_depth": 2}).sanitize_value([[["x"]]]).reason == "limit_exceeded"
+    assert Boundary(limits={"max_input_bytes": 10}).sanitize_value("x" * 50).code == "INPUT_LIMIT_EXCEEDED"
+    assert Boundary(limits={"max_nodes": 4}).sanitize_value(["x"] * 9).reason == "limit_exceeded"
+    assert is_strict_limits({"max_depth": 1, "max_nodes": 0}) and not any(map(is_strict_limits, ({"max_depth": 1}, {"max_depth": -1, "max_nodes": 1}, {"max_depth": 1.5, "max_nodes": 1}, {"max_depth": True, "max_nodes": 1}, None)))
+
+
+def test_key_aware_fixture_scanner():
+    leaf = lambda text, key, **k: FixtureScanner(True, **k).leaf(text, key)
+    assert leaf("longenough", "password") == ("<SECRET_1>", "redacted", 1) and leaf("short", "password") == ("short", "unchanged", 0) == leaf("short", None)
+    assert leaf("longenough", "note") == ("longenough", "unchanged", 0)
+    assert leaf("longenough", "password", mode="span_key") == (BLOCKED, "blocked", 0)
+    assert leaf("longenough", "password", mode="corrupt_text") == (ERROR, "failed", 0) == leaf("longenough", "password", mode="throw_on_view")
+    plain = FixtureScanner()
+    assert plain.leaf("BOOM") == (ERROR, "failed", 0) and plain.leaf("BLOCK_ME") == (BLOCKED, "blocked", 1) and plain.leaf("WARN_ME") == ("WARN_ME", "unchanged", 1)
+    assert plain.leaf("SECRET_TOKEN_1 SECRET_TOKEN_2") == ("<SECRET_1> SECRET_TOKEN_2", "redacted", 1)
 
 
 def test_json_columns(spark):
     df = spark.createDataFrame([('{"b":"1","api_key":"' + "x" * 20 + '"}',), ("no json",), (None,)], "j string")
     assert [r[0] for r in df.select(mask_json(F.col("j"))).collect()] == ['{"b":"1","api_key":"<SECRET_1>"}', f'"{ERROR}"', None]
-    assert [r["o"]["outcome"] for r in df.where("j is not null").select(sanitize_json(F.col("j")).alias("o")).collect()] == ["ok", "blocked"]
+    assert [r["o"]["outcome"] for r in df.select(sanitize("value", F.col("j")).alias("o")).collect()] == ["ok", "blocked", "blocked"]
+
+
+def leaves(v) -> list[str]:
+    return [v] if isinstance(v, str) else [x for y in (v.values() if isinstance(v, dict) else v if isinstance(v, list) else ()) for x in leaves(y)]
+
+
+def test_typed_walk_equals_the_walk_of_json(spark):
+    """The compiled walk over typed columns against the walk of the same values as JSON: values, counts and usage."""
+    import random
+
+    r = random.Random(3)
+    text = lambda: r.choice(["plain", TOKEN, "password=hunter2hunter2", "x" * 20, "short", "a " + TOKEN + " b " + TOKEN, PEM, None])
+    rows = []
+    for i in range(60):
+        rows.append((i, {"name": text(), "password": text(), "n": i, "tags": [text() for _ in range(r.randint(0, 4))], "bag": {f"k{k}": text() for k in range(r.randint(0, 3))} | {"api_key": text()}, "inner": [{"secret": text(), "deep": {"note": text()}} for _ in range(r.randint(0, 3))]}))
+    schema = "i int, v struct<name:string,password:string,n:int,tags:array<string>,bag:map<string,string>,inner:array<struct<secret:string,deep:struct<note:string>>>>"
+    df = spark.createDataFrame(rows, schema)
+    rows = [(x["i"], x["v"].asDict(True)) for x in df.collect()]  # maps in the order that the frame has them in
+    for limits, operation in ((None, None), ({"max_depth": 3}, None), ({"max_array_length": 2, "max_object_keys": 4}, None), ({"max_total_leaves": 6}, None), (None, {"max_scans": 9}), (None, {"max_bytes": 200}), (None, {"max_findings": 3})):
+        got = {x["i"]: x for x in mask_columns(df, "v", walk=Walk(limits=limits, operation=operation), keyed=False, outcome="o").collect()}
+        for i, v in rows:
+            w = PermissiveWalk(TextScanner(), limits, Budget(operation))
+            want, mine = w.value(v), got[i]["v"].asDict(True)
+            if limits and "max_object_keys" in limits:
+                assert set(mine) == set(want)
+            if not limits and not operation:
+                assert mine == want and got[i]["o"]["counts"].asDict() == w.counts and got[i]["o"]["usage"].asDict() == w.budget.used
+            # over a budget typed values keep their shape: the same leaves up to the first refused one, limit markers from there on
+            typed, loose = leaves(mine), leaves(want)
+            at = next((k for k, x in enumerate(loose) if x == LIMIT), len(loose))
+            if operation:
+                assert typed[:at] == loose[:at] and (not w.budget.exhausted or set(typed[at:]) <= {LIMIT})
+            elif limits and "max_total_leaves" in limits:
+                assert typed == loose
+
+
+def test_types_that_cannot_be_masked_are_refused(spark):
+    df = spark.sql("select parse_json('{\"a\":\"x\"}') as v, 1 as n")
+    with pytest.raises(TypeError):
+        mask_columns(df, "v")
+    with pytest.raises(TypeError):
+        mask_columns(df.select(F.array("v").alias("v")), "v")
+
+
+def test_long_and_repetitive_texts(spark):
+    """Texts that make backtracking patterns recurse or take their square: they come through, masked."""
+    big = ["a@" + "b." * 20_000 + "com", "x@" * 50_000, "token=" * 30_000, "-----BEGIN " * 20_000, ("-----BEGIN PRIVATE KEY-----\n" + "A" * 60 + "\n") * 3000, "eyJ" + "a" * 200_000, "token:" + " " * 200_000, '"' * 150_000, "\\" * 199_999]
+    df = spark.createDataFrame([(i, t + " " + TOKEN) for i, t in enumerate(big)], "i int, t string")
+    for config in (ScanConfig(), ScanConfig(pii=True)):
+        got = {r["i"]: r["t"] for r in df.select("i", scan(F.col("t"), config)["text"].alias("t")).collect()}
+        for i, t in enumerate(big):
+            assert TOKEN not in got[i] and got[i] == TextScanner(config).scan(t + " " + TOKEN)[0], i
+    line = df.select("i", F.to_json(F.struct("t")).alias("l"))
+    assert all(TOKEN not in r["l"] for r in line.select(redact_line(F.col("l")).alias("l")).collect())
 
 
 def test_json_lines(spark):
     lines = ['{"a":"\\u0041","password":"' + "q" * 16 + '"}\n', "not json\n", '{"a":1} x', '{"k" : "' + TOKEN + '" , "e":"\\"q\\""}', None]
     got = [r[0] for r in spark.createDataFrame([(x,) for x in lines], "l string").select(redact_line(F.col("l"))).collect()]
+    deep = "[" * 100_000 + "]" * 100_000
+    assert LineRedactor().redact(deep)[0] == ERROR_LINE and LineRedactor(walk={"max_array_length": 1}).redact('["x","y"]')[0] == f'["x","{LIMIT}"]'
+    assert LineRedactor(limits={"max_spans": 1}).redact('["x","y"]\n')[0] == LIMIT_LINE + "\n" == LineRedactor(limits={"max_decode": 5}).redact('["x","y"]\n')[0]
+    out, counts, used = LineRedactor(operation={"max_leaves": 3}).redact('["x","y"]', {"leaves": 2})
+    assert out == f'["x","{LIMIT}"]' and counts["limited"] == 1 and used["leaves"] == 3
+    assert LineRedactor().redact('{"password":"\\ud800 ' + "q" * 16 + '"}')[0] == '{"password":"<SECRET_1>"}'
     assert got == ['{"a":"\\u0041","password":"<SECRET_1>"}\n', '{"msg":"[REDACTED:ERROR]"}\n', '{"msg":"[REDACTED:ERROR]"}', '{"k" : "<SECRET_1>" , "e":"\\"q\\""}', None]
 
 
