@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -19,7 +20,10 @@ SLICE_BYTES = 2 << 20
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A table; rows of fewer files than tasks are dealt over all tasks, as a file of one row group is read by one."""
+    df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    n = spark.sparkContext.defaultParallelism
+    return df.repartition(n) if len(df.inputFiles()) < n else df
 
 
 def text_bytes(name: str = "text") -> Column:
@@ -50,6 +54,15 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+#: Narrow rows in a file of an intermediate table.
+FILE_ROWS = 250_000
+
+
+def compact(df: DataFrame, rows: int) -> DataFrame:
+    """df in as many partitions as files of at most rows narrow rows in all need, where it has more."""
+    return df.coalesce(max(1, -(-rows // FILE_ROWS)))
+
+
 _WRITTEN: dict[int, tuple[DataFrame, str]] = {}
 
 
@@ -86,6 +99,26 @@ def claim(name: str, clear: Callable[[], None]) -> None:
     _CACHES[name] = clear
 
 
+def tidy() -> None:
+    """Gives memory that a worker has freed back to the machine, where idle workers would keep it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidied(run: Callable) -> Callable:
+    """An mapInArrow function that tidies up when its task's rows are done."""
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            tidy()
+
+    return whole
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches cut into parts of at most so many rows and about so many bytes; a longer row is a part of its own."""
     for batch in batches:
@@ -111,7 +144,7 @@ def by_rows(fn: Callable[[dict[str, list]], dict[str, Iterable]], schema: pa.Sch
             out = fn({n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)})
             yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
 
-    return run
+    return tidied(run)
 
 
 def ship_file(spark: SparkSession, path: str, most: int = 16 << 20):
@@ -123,14 +156,42 @@ def ship_file(spark: SparkSession, path: str, most: int = 16 << 20):
     return spark.sparkContext.broadcast(raw)
 
 
+#: Edges that one task contracts to stars.
+CONTRACTED = 1 << 18
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The components of a task's own edges as stars (u, v) around their smallest nodes, by union-find."""
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        top = x
+        while (nxt := up.setdefault(top, top)) != top:
+            top = nxt
+        while up[x] != top:
+            up[x], x = top, up[x]
+        return top
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            a, b = root(u), root(v)
+            up[max(a, b)] = min(a, b)
+    leaves = [x for x in up if root(x) != x]
+    yield pa.RecordBatch.from_arrays([pa.array(leaves, pa.int64()), pa.array([root(x) for x in leaves], pa.int64())], names=["u", "v"])
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component): the smallest node reachable over undirected edges, for every node in edges.
 
-    Alternates large-star and small-star steps, each linear in the number of edges, until the edges are stars
+    Tasks first contract CONTRACTED edges each to stars. Where one task had them all these are the components; else
+    large-star and small-star steps alternate, each linear in the number of edges, until the edges are stars
     around their smallest nodes. Nodes without edges do not appear. Null ends are ignored.
     """
-    e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(f"{a} is not null and {b} is not null and {a} != {b}")
-    while True:
+    e = materialize(edges.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")).where(f"{a} is not null and {b} is not null and {a} != {b}"))
+    tasks = max(1, -(-e.count() // CONTRACTED))
+    before, e = e, materialize(e.repartition(tasks).mapInArrow(_contract, "u long, v long"))
+    discard(before)
+    while tasks > 1:
         # large star: every larger neighbour of a node goes to the smallest of its neighbourhood
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("low")).withColumn("low", F.least("low", "u"))

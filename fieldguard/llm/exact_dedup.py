@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import claim, materialize, partitions_for, slices, text_bytes
+from .common import claim, materialize, partitions_for, slices, text_bytes, tidied
 
 #: [\x20\x09-\x0D]
 WHITE = b" \t\n\x0b\x0c\r"
@@ -191,9 +191,9 @@ def text_owners(docs: DataFrame, most: int = TRIE_BYTES) -> DataFrame:
     """
     schema = "text binary, sha binary, size long, points long, owner long, n long"
     n = partitions_for(docs.sparkSession, docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
-    left, settled = _rows(docs).mapInArrow(_combine, schema), None
+    left, settled = _rows(docs).mapInArrow(tidied(_combine), schema), None
     while True:
-        part = materialize(left.repartition(n, "size", "sha").select("text", "points", "owner", "n").mapInArrow(_own(most), schema))
+        part = materialize(left.repartition(n, "size", "sha").select("text", "points", "owner", "n").mapInArrow(tidied(_own(most)), schema))
         own = part.where("text is null").drop("text")
         settled = own if settled is None else settled.union(own)
         left = part.where("text is not null")
@@ -206,7 +206,7 @@ def text_owners(docs: DataFrame, most: int = TRIE_BYTES) -> DataFrame:
 
 def _decided(docs: DataFrame) -> DataFrame:
     """(doc_id, points, sha, keep_id, group_size, kept) for every row of docs."""
-    rows = _rows(docs).mapInArrow(_digest, "doc_id long, points long, sha binary")
+    rows = _rows(docs).mapInArrow(tidied(_digest), "doc_id long, points long, sha binary")
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("keep_points"))
     return rows.join(text_owners(docs), "sha").select("doc_id", "points", "sha", "keep_id", "group_size", kept.alias("kept"))
 
@@ -231,7 +231,7 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     """
     names = docs.columns
     stay = materialize(_decided(docs).where("kept").groupBy(F.col("doc_id").alias("k_id"), F.col("points").alias("k_points"), F.col("sha").alias("k_sha")).agg(F.count("*").alias("k_n")))
-    rows = docs.mapInArrow(_with_digest(docs), docs.withColumn("fg_sha", F.lit(b"")).schema)
+    rows = docs.mapInArrow(tidied(_with_digest(docs)), docs.withColumn("fg_sha", F.lit(b"")).schema)
     same = (F.col("fg_sha") == F.col("k_sha")) & F.col("doc_id").cast("long").eqNullSafe(F.col("k_id")) & (F.length(F.coalesce("text", F.lit(""))) == F.col("k_points"))
     kept = rows.join(stay, same)
     single, several = kept.where("k_n = 1"), kept.where("k_n > 1")

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions_for
+from .common import compact, materialize, partitions_for
 
 # Words are maximal runs of characters other than \x20 and \x09-\x0D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -144,7 +144,7 @@ def split_quotas(quotas: DataFrame, shards: int, mix: Mix) -> DataFrame:
     zero = F.lit(0).cast("long")
     for level in range(max(0, (shards - 1).bit_length())):
         if 1 << level == SPREAD:
-            node = materialize(node).repartition(max(SPREAD, int(quotas.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "first")
+            node = materialize(compact(node, SPREAD)).repartition(max(SPREAD, int(quotas.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "first")
         half = F.expr("n div 2")
         whole = F.aggregate("q", zero, lambda a, x: a + x)
 
@@ -183,18 +183,20 @@ def plan_blocks(rows: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
     draws: the shards of the whole draws of a block and, flagged, of a draw in part: rows with a key under cut
     are in it, rows at cut with cut_words words.
     """
-    t = materialize(targets(rows, mix))
+    t = materialize(targets(rows, mix))  # one row a source, in one partition as its windows are
+    words, sources = t.agg(F.sum("source_size"), F.count("*")).first()
+    n_blocks = (words or 0) // mix.block_words + sources
     goal = t.select("source", "place", "source_size", "target", _blocks(F.col("source_size"), mix).alias("n_blocks"))
     goal = goal.withColumn("passes", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
     goal = goal.withColumn("rest", F.when(F.col("source_size") > 0, F.floor(F.col("target") - F.col("passes") * F.col("source_size"))).otherwise(0).cast("long"))
     dealt = _with_target(rows, t)
     blocks = dealt.withColumn("block", _block(F.col("key"), F.col("source_size"), mix)).groupBy("place", "block").agg(F.sum("size").alias("words"))
-    blocks = materialize(blocks.withColumn("turn", F.md5(F.concat_ws(":", F.lit(mix.seed), F.col("place"), F.col("block")))))
+    blocks = materialize(compact(blocks, n_blocks).withColumn("turn", F.md5(F.concat_ws(":", F.lit(mix.seed), F.col("place"), F.col("block")))))
     counts = blocks.groupBy("place").agg(F.count("*").alias("count"))
     blocks = _running(blocks, ["turn", "block"], F.substring("turn", 1, 3), upto=F.col("words"), rank=F.lit(1)).withColumn("rank", F.col("rank") - 1)
     blocks = blocks.join(counts, "place").join(goal.select("place", "passes", "rest"), "place")
     blocks = materialize(
-        blocks.select(
+        compact(blocks, n_blocks).select(
             "place", "block", "rank", "count", "passes",
             (F.col("upto") <= F.col("rest")).alias("again"),
             F.when((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("words") < F.col("rest")), F.col("rest") - F.col("upto") + F.col("words")).alias("part"),
@@ -203,10 +205,10 @@ def plan_blocks(rows: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
     drawn_again = F.col("again") | F.col("part").isNotNull()
     draws = blocks.select("*", F.explode(F.filter(F.sequence(F.lit(0).cast("long"), F.col("passes")), lambda i: (i < F.col("passes")) | drawn_again)).alias("draw"))
     draws = draws.select("place", "block", (F.col("draw") * F.col("count") + F.col("rank")).alias("turn"), ((F.col("draw") == F.col("passes")) & F.col("part").isNotNull()).alias("in_part"))
-    quotas = materialize(draws.groupBy("place").agg(F.count("*").alias("quota")))
+    quotas = materialize(compact(draws.groupBy("place").agg(F.count("*").alias("quota")), sources))
     total = quotas.agg(F.sum("quota")).first()[0] or 0
     shards = max(1, -(-total // mix.shard_blocks))
-    dealt_out = materialize(split_quotas(quotas, shards, mix).where("quota > 0"))
+    dealt_out = materialize(compact(split_quotas(quotas, shards, mix).where("quota > 0"), total) if shards < SPREAD else split_quotas(quotas, shards, mix).where("quota > 0"))
     ranges = _running(dealt_out, ["shard"], F.expr("shard div 4096"), upto=F.col("quota")).select("place", "shard", F.explode(F.sequence(F.col("upto") - F.col("quota"), F.col("upto") - 1)).alias("turn"))
     drawn = draws.join(ranges, ["place", "turn"]).groupBy("place", "block").agg(F.sort_array(F.collect_list(F.struct("in_part", "shard"))).alias("draws"))
     # where the draw in part ends: a running sum over the rows of these blocks alone, one block a source at most
