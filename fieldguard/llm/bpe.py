@@ -20,10 +20,10 @@ from .common import by_rows, claim, ship_file, text_bytes
 
 NO_TOKEN = -1
 #: Chunks, and characters or ids of chunks, above which a worker forgets all before the next slice of texts.
-CACHE_ENTRIES = 400_000
-CACHE_BYTES = 8 << 20
+CACHE_ENTRIES = 200_000
+CACHE_BYTES = 4 << 20
 #: Pairs of tokens of which a worker knows whether one can follow the other.
-STORED = 1 << 20
+STORED = 1 << 18
 #: Bytes of a piece up to which pieces are encoded together; longer ones one by one.
 TOGETHER = 64
 #: The only pattern for which chunks between spaces may be encoded apart; others match texts as a whole.

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_rows, claim, discard, materialize, slices, text_bytes
+from .common import by_rows, claim, discard, materialize, slices, text_bytes, tidied
 
 WORD = re.compile(r"[^\W_]+")
 # Signs of quotation and of address in a window.
@@ -29,10 +30,12 @@ ADDRESS = frozenset("you your youre u ur tu toi vous votre du dich dir ihr dein
 REPORTED = 0.5
 QUOTES = "\"“”„«»‹›"
 QUOTED = re.compile(f"[{QUOTES}]")
-#: Words that a worker remembers, letters of the longest of them, and pairs of (node, edits) in the states of its automaton.
+#: Words that a worker remembers, letters of the longest of them, and moves and pairs of (node, edits), four bytes each,
+#: that its automaton keeps before it starts anew.
 STORED = 200_000
 STORED_LETTERS = 64
-STORED_PAIRS = 400_000
+STORED_MOVES = 400_000
+STORED_PAIRS = 8_000_000
 
 
 @dataclass(frozen=True)
@@ -88,42 +91,44 @@ class FuzzyLexicon:
         self._reset()
 
     def _reset(self) -> None:
-        start = self._close({(0, 0): None})
-        self.states: dict[tuple, int] = {start: 0}
-        self.sets: list[tuple] = [start]
+        start = self._close([0])
+        self.states: dict[tuple, int] = {(start, ()): 0}
+        self.sets: list[bytes] = [start]  # of each state its pairs as node << 2 | edits, four bytes each
         self.stems: list[tuple[str, ...]] = [()]
-        self.move: dict[tuple[int, str], int] = {}
+        self.move: dict[int, int] = {}
         self.pairs = 0
         self.ends: list[tuple | None] = [None]
 
-    def _close(self, items: dict) -> tuple:
-        """All (node, edits) reached by leaving out letters of the term, the fewest edits for each node."""
+    def _close(self, items: list[int]) -> bytes:
+        """All pairs reached by leaving out letters of the term, the fewest edits for each node."""
         least: dict[int, int] = {}
-        stack = list(items)
-        while stack:
-            node, e = stack.pop()
-            if e > self.room[node] or least.get(node, 99) <= e:
+        while items:
+            pair = items.pop()
+            node, e = pair >> 2, pair & 3
+            if e > self.room[node] or least.get(node, 9) <= e:
                 continue
             least[node] = e
-            stack += [(n, e + 1) for n in self.child[node].values()]
-        return tuple(sorted(least.items()))
+            if e < 2:
+                items += [n << 2 | e + 1 for n in self.child[node].values()]
+        return array("I", sorted([node << 2 | e for node, e in least.items()])).tobytes()
 
     def _next(self, state: int, c: str) -> int:
-        key = (state, c)
+        key = state << 21 | ord(c)
         nxt = self.move.get(key)
         if nxt is None:
-            items: dict[tuple[int, int], None] = {}
+            items: set[int] = set()
             stems = []
-            for node, e in self.sets[state]:
-                for letter, n in self.child[node].items():
-                    if letter == c:
-                        items[n, e] = None
-                        if e == 0 and self.stem[n]:
-                            stems.append(self.stem[n])
-                    else:
-                        items[n, e + 1] = None
-                items[node, e + 1] = None
-            reached = self._close(items)
+            for pair in array("I", self.sets[state]):
+                node, e = pair >> 2, pair & 3
+                own = self.child[node].get(c)
+                if own is not None:
+                    items.add(own << 2 | e)
+                    if e == 0 and self.stem[own]:
+                        stems.append(self.stem[own])
+                if e < 2 and e < self.room[node]:  # another letter, or one more than the term has
+                    items.add(node << 2 | e + 1)
+                    items.update([n << 2 | e + 1 for n in self.child[node].values() if n != own])
+            reached = self._close(list(items))
             # -1: nothing can be reached any more, so what follows needn't be read
             if not reached and not stems:
                 nxt = -1
@@ -133,7 +138,7 @@ class FuzzyLexicon:
                 if nxt is None:
                     nxt = self.states[whole] = len(self.sets)
                     self.sets.append(reached)
-                    self.pairs += len(reached) + 4
+                    self.pairs += len(reached) // 4 + 40
                     self.stems.append(tuple(stems))
                     self.ends.append(None)
             self.move[key] = nxt
@@ -141,12 +146,12 @@ class FuzzyLexicon:
 
     def match(self, word: str) -> tuple[tuple[str, int], ...]:
         """(term, edits) of the terms that the word is a spelling of; for a stem 0."""
-        if self.pairs + len(self.move) > STORED_PAIRS:
+        if self.pairs > STORED_PAIRS or len(self.move) > STORED_MOVES:
             self._reset()
         state, found = 0, []
         move = self.move
         for c in word:
-            nxt = move.get((state, c))
+            nxt = move.get(state << 21 | ord(c))
             state = self._next(state, c) if nxt is None else nxt
             if state < 0:
                 return tuple(found)
@@ -154,7 +159,8 @@ class FuzzyLexicon:
                 found += [(s, 0) for s in self.stems[state]]
         ends = self.ends[state]
         if ends is None:
-            ends = self.ends[state] = tuple((self.whole[n], e) for n, e in self.sets[state] if self.whole[n] and e <= edits_for(self.whole[n]))
+            found_ = [(self.whole[pair >> 2], pair & 3) for pair in array("I", self.sets[state])]
+            ends = self.ends[state] = tuple((t, e) for t, e in found_ if t and e <= edits_for(t))
         return (*found, *ends)
 
 
@@ -311,7 +317,7 @@ def _term_counts(sample: DataFrame, rules: Rules) -> DataFrame:
             rows = [(*k, n) for k, n in seen.items()]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)] if rows else [pa.array([], f.type) for f in schema], schema=schema)
 
-    return sample.mapInArrow(run, "term string, fold int, toxic int, n long")
+    return sample.mapInArrow(tidied(run), "term string, fold int, toxic int, n long")
 
 
 def fit(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> Model:
@@ -350,7 +356,7 @@ def fit(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> Model:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("toxic"), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "toxic", "x"])
 
     dealt = sample.repartition(4 * rules.folds, "fold", F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(4))).sortWithinPartitions("fold", "doc_id")
-    rows = sorted(dealt.mapInArrow(run, "doc_id long, toxic int, x array<double>").collect())
+    rows = sorted(dealt.mapInArrow(tidied(run), "doc_id long, toxic int, x array<double>").collect())
     discard(sample)
     coef, bias, mean, scale = regression(np.array([r["x"] for r in rows], float).reshape(-1, N_FEATURES), np.array([r["toxic"] for r in rows], float))
     return Model(lexicon(counts, n1, n0, rules), coef, bias, mean, scale, rules)
@@ -401,4 +407,4 @@ def drop_toxic(docs: DataFrame, model: Model, most: float = 0.5) -> DataFrame:
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             yield batch.filter(pa.array([m.score(features(t or "", words, m.rules.window)) < most for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)
