@@ -175,6 +175,66 @@ def test_jaccard_join_keeps_links_of_every_text_of_a_repeated_id(spark):
     assert got == {(1, 1), (2, 1), (3, 1), (4, 4), (7, 5), (5, 5)}
 
 
+def test_pairs_of_groups_by_brute_force(monkeypatch):
+    """Small and large groups, whole and in blocks, over batches that cut them, thinned out on the way and not."""
+    import pyarrow as pa
+
+    from fieldguard.llm import jaccard as J
+
+    r, join = np.random.default_rng(6), J.Join()
+    sets = {}
+    for node in range(400):
+        base = np.arange(40 * (node % 7), 40 * (node % 7) + 60, dtype=np.uint64)
+        sets[node] = J.mix64(np.concatenate([base[r.permutation(60)[: r.integers(45, 60)]], r.integers(1 << 40, 1 << 41, r.integers(0, 12), dtype=np.uint64)]))
+    component = {node: node - node % int(r.integers(1, 4)) for node in sets}
+    rows = []
+    for g in range(40):
+        members = r.permutation(400)[: [2, 5, 30, 64, 65, 150, 300][g % 7]]
+        blocks = 1 if len(members) < 250 else 3
+        for node in members.tolist():
+            own, probe = node % blocks, bool(node % 3)
+            for other in range(blocks):
+                rows.append((g, min(own, other), max(own, other), node, len(sets[node]), component[node], probe, own, J.parity(sets[node]).tobytes()))
+    rows.sort(key=lambda x: x[:3])
+    columns = ["g", "i", "j", "node", "n", "component", "probe", "block", "bits"]
+    table = pa.table({c: list(v) for c, v in zip(columns, zip(*rows))})
+    want = defaultdict(dict)
+    for g, members in {(x[0]): {y[3]: y for y in rows if y[0] == x[0]} for x in rows}.items():
+        nodes = sorted(members)
+        for b in nodes:
+            for a in nodes:
+                if a > b and component[a] != component[b] and (members[a][6] or members[b][6]):
+                    apart = int(np.bitwise_count(J.parity(sets[a]) ^ J.parity(sets[b])).sum())
+                    if max(apart, abs(len(sets[a]) - len(sets[b]))) <= J.most_apart(len(sets[a]), len(sets[b]), join):
+                        want[g][a, b] = apart
+    assert sum(map(len, want.values())) > 5000
+    for held in (1 << 18, 100):
+        monkeypatch.setattr(J, "HELD_PAIRS", held)
+        for step in (7, 1000, 1 << 20):
+            got = defaultdict(dict)
+            for batch in J._near(None, join)(iter(table.to_batches(max_chunksize=step))):
+                for x in batch.to_pylist():
+                    got[x["g"]][x["a"], x["b"]] = x
+                    assert not x["more"] and x["n"] == len(sets[x["b"]])
+            assert {g: set(v) for g, v in got.items()} == {g: set(v) for g, v in want.items()}
+        for batch in J._near(2, join)(iter(table.to_batches(max_chunksize=500))):
+            near = defaultdict(set)
+            for x in batch.to_pylist():
+                assert (x["a"], x["b"]) in want[x["g"]]
+                near[x["g"]].add((x["a"], x["b"]))
+        kept = defaultdict(set)
+        for batch in J._near(2, join)(iter(table.to_batches(max_chunksize=500))):
+            for x in batch.to_pylist():
+                kept[x["g"]].add((x["a"], x["b"]))
+        for g, pairs in want.items():
+            if len({y[7] for y in rows if y[0] == g}) > 1:
+                continue
+            for c in {component[x] for p in pairs for x in p}:
+                own = sorted(d for p, d in pairs.items() if c in (component[p[0]], component[p[1]]))
+                have = sorted(pairs[p] for p in kept[g] if c in (component[p[0]], component[p[1]]))
+                assert have[:2] == own[:2]  # the nearest of each component are there
+
+
 def test_word_hashes_tell_words_apart_whatever_stands_around_them():
     from fieldguard.llm import jaccard as J
 
@@ -218,7 +278,8 @@ def test_signatures_find_every_linked_pair():
                 assert set(one) & set(two) & probes
 
 
-def test_components(spark):
+def test_components(spark, monkeypatch):
+    from fieldguard.llm import common
     from fieldguard.llm.common import connected_components
 
     r = random.Random(5)
@@ -234,9 +295,11 @@ def test_components(spark):
         if a is not None and b is not None:
             x, y = find(a), find(b)
             up[max(x, y)] = min(x, y)
-    got = {tuple(x) for x in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     linked = {x for a, b in edges if a != b and None not in (a, b) for x in (a, b)}
-    assert got == {(x, find(x)) for x in linked}
+    for most in (1 << 18, 40):  # edges of one task and of several
+        monkeypatch.setattr(common, "CONTRACTED", most)
+        got = {tuple(x) for x in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+        assert got == {(x, find(x)) for x in linked}
 
 
 # --- 2 byte-level BPE and 4 token counts ------------------------------------------------------------------
@@ -814,3 +877,91 @@ def test_registry():
 
     assert {int(re.match(r"op(\d+)_", n)[1]) for n in Q.queries()} == set(range(1, 11)) and set(Q.oracle_sql()) <= set(Q.queries())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "ngram_jaccard", "mixing", "byte_bpe"]
+
+
+# --- the pipeline -----------------------------------------------------------------------------------------
+
+
+def test_pipeline_stages_on_edge_cases(spark, docs, empty, tiktoken_encoding):
+    """Each stage keeps the columns of documents, whatever their names, rows without ids and repeated rows, and an empty table."""
+    import corpus_pipeline as P
+
+    source = docs.collect()
+    once = P.exact_dedup_stage(spark, docs, "")
+    assert once.columns == docs.columns and once.count() == len({WHITE.sub("", r["text"] or "") for r in source})
+    near = P.near_dedup_stage(spark, docs, "")
+    kept = rows_of(near)
+    assert near.columns == docs.columns
+    ids = {r["doc_id"]: shingle_set(r["text"]) for r in source if r["doc_id"] is not None}
+    linked = lambda a, b: bool(a and b) and 100 * len(a & b) >= 75 * (len(a) + len(b) - len(a & b))
+    have = {r["doc_id"] for r in kept if r["doc_id"] is not None}
+    for a in have:
+        assert not any(b < a and linked(ids[a], ids[b]) for b in ids)  # the smallest of its links stays
+    for a in set(ids) - have:
+        assert any(linked(ids[a], ids[b]) for b in ids if b != a)
+    assert sum(r["doc_id"] is None for r in kept) == 2
+    mixed = P.mixing_stage(spark, docs, "")
+    assert mixed.columns == docs.columns and max(Counter((r["doc_id"], r["text"]) for r in rows_of(mixed)).values()) <= 2 * 3
+    encoded = rows_of(P.bpe_stage(spark, docs, ""))
+    assert Counter((r["doc_id"], r["n_tokens"]) for r in encoded) == Counter((r["doc_id"], len(tiktoken_encoding.encode_ordinary(r["text"] or ""))) for r in source)
+    for stage in (P.exact_dedup_stage, P.near_dedup_stage, P.mixing_stage, P.bpe_stage):
+        assert stage(spark, empty, "").count() == 0
+
+
+def test_pipeline_on_planted_cases(spark, tmp_path, tiktoken_encoding):
+    """The whole run by brute force: toxic documents, copies and near copies go, the mix meets its targets, tokens are exact."""
+    import corpus_pipeline as P
+
+    r = random.Random(21)
+    common = ["".join(r.choice("aeiolnrst") for _ in range(r.randint(3, 8))) for _ in range(3000)]
+    text = lambda n: " ".join(r.choice(common) for _ in range(n))
+    rows, labels, toxic = [], [], set()
+    for i in range(500):
+        w = text(60)
+        if i % 5 == 1:
+            w += " you blarghest frumpkin, you zoggling blarghest"
+            toxic.add(i)
+        rows.append((i, w, "en", f"s{i % 3}", len(w)))
+        labels.append((i, 1, int(i in toxic)))
+    clean = [x for x in rows if x[0] not in toxic]
+    copies = [(1000 + k, x[1].replace(" ", "  ", k % 3) + "\n", "en", x[3], 0) for k, x in enumerate(clean[:40])]
+    near = [(2000 + k, x[1].rsplit(" ", 2)[0], "en", x[3], 0) for k, x in enumerate(clean[40:80])]
+    rows += copies + near + [(3000, None, "en", "s0", 0), (3001, "", None, None, 0)]
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = rows_of(P.run(spark, str(tmp_path)))
+    taken = Counter(x["doc_id"] for x in out)
+    assert not toxic & set(taken)
+    # of a copy's group the longest text stays, of a near copy's the smallest id
+    alive = {x[0]: x for x in rows if x[0] not in toxic}
+    groups = defaultdict(list)
+    for x in alive.values():
+        groups[WHITE.sub("", x[1] or "")].append(x)
+    first = {min(g, key=lambda x: (-len(x[1] or ""), x[0]))[0] for g in groups.values()}
+    unique = {i for i in first if not (2000 <= i < 3000)}
+    assert set(taken) <= unique
+    sizes = Counter()
+    for i in unique:
+        sizes[alive[i][3]] += len(words(alive[i][1]))
+    target = water({k: v for k, v in sizes.items()})
+    got = Counter()
+    for i, n in taken.items():
+        got[alive[i][3]] += n * len(words(alive[i][1]))
+    assert all(abs(got[k] - target[k]) <= 60 for k in target), (got, target)
+    assert all(x["n_tokens"] == len(tiktoken_encoding.encode_ordinary(alive[x["doc_id"]][1] or "")) for x in out)
+
+
+def test_very_long_texts(spark):
+    """Texts of several million characters through the operators of single texts."""
+    from fieldguard.llm.secret_scan import scan_documents
+    from fieldguard.llm.toxicity import FuzzyLexicon, Model, Rules, score_documents
+
+    r = random.Random(2)
+    key = "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(44))
+    texts = ["word and " * 300_000 + key + " frumpkin " * 20, "x" * 3_000_000, "a1" * 1_500_000, "\n" * 1_000_000, '"' * 1_000_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {x["doc_id"]: x for x in rows_of(scan_documents(df))}
+    assert f"random:2700000:{2_700_000 + 44}" in found[0]["spans"] and found[2]["n_hex"] == 1
+    model = Model({"frumpkin": 3.0}, np.array([0.0] * 8 + [1.0]), -1.0, np.zeros(9), np.ones(9), Rules())
+    scores = {x["doc_id"]: x["score"] for x in rows_of(score_documents(df, model))}
+    assert scores[0] > 0.8 and all(scores[i] < 0.5 for i in range(1, 5)) and FuzzyLexicon(model.terms).match("x" * 100) == ()
