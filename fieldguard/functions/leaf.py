@@ -41,7 +41,9 @@ def in_key_context(text: Column, key: Column, config: ScanConfig) -> Column:
 def decide(text: Column, key: Column | None, config: ScanConfig) -> Column:
     """struct<text, findings, outside, broken, scans, bytes, found> of the leaf: alone if that redacts or blocks, else the
     view where it redacts, blocks, or alone found nothing. Two results are never merged. scans, bytes and found are what
-    both scans took and found. Where the view holds no match at all the leaf holds none either and neither is analysed."""
+    both scans took and found."""
+    if not config.plain():
+        raise OptionsError("CORE_OPTION_UNSUPPORTED", ("evaluate", "formatter"))
     size = F.octet_length(text).cast("long")
 
     def with_view(alone: Column) -> Column:
@@ -60,15 +62,16 @@ def decide(text: Column, key: Column | None, config: ScanConfig) -> Column:
 
         return F.when(_has(alone["findings"], "redact", "block") | key.isNull(), own).otherwise(_bind(in_key_context(text, key, config), choose))
 
-    none = F.expr(f"cast(array() as array<{FINDING}>)")
-    scans = F.lit(1) if key is None else F.when(key.isNull(), 1).otherwise(2)
-    bytes_ = size if key is None else F.when(key.isNull(), size).otherwise(size * 2 + F.octet_length(key) + 7)
-    clean = F.struct(text.alias("text"), none.alias("findings"), F.lit(False).alias("outside"), F.lit(False).alias("broken"), scans.alias("scans"), bytes_.alias("bytes"), F.lit(0).alias("found"))
+    return _bind(scan(text, config), with_view)
+
+
+def suspicious(text: Column, key: Column | None, config: ScanConfig) -> Column:
+    """Whether the leaf's view holds a match at all; where it doesn't, the leaf holds none either and neither is analysed."""
     if not config.plain():
         raise OptionsError("CORE_OPTION_UNSUPPORTED", ("evaluate", "formatter"))
     before, after = view_parts(key) if key is not None else (F.lit(""), F.lit(""))
     seen = text if key is None else F.when(key.isNull(), text).otherwise(F.concat(before, text, after))
-    return F.when(seen.rlike(builtin_pack(config).pattern), _bind(scan(text, config), with_view)).otherwise(clean)
+    return seen.rlike(builtin_pack(config).pattern)
 
 
 CHARGED = "struct<text:string,outcome:string,findings:int,scans:int,bytes:bigint,found:int>"
@@ -93,8 +96,6 @@ def charged_leaf(text: Column, key: Column | None = None, config: ScanConfig = S
         many = r["broken"] | F.exists(r["findings"], lambda f: f["action"].isNull())
         if config.max_findings is not None:
             many = many | (n > config.max_findings)
-        if config.max_input_bytes is not None and key is not None:
-            many = many | ((r["scans"] > 1) & (F.octet_length(text) + F.octet_length(key) + 7 > config.max_input_bytes))
         return (
             F.when(many, leaf(ERROR, "failed", 0, r))
             .when(r["outside"], leaf(BLOCKED, "blocked", 0, r))
@@ -103,9 +104,22 @@ def charged_leaf(text: Column, key: Column | None = None, config: ScanConfig = S
         )
 
     out = F.when(too_long, leaf(LIMIT, "limited", 0))
+    size = F.octet_length(text)
+    keyed = F.lit(False) if key is None else key.isNotNull()
     if config.max_input_bytes is not None:
-        out = out.when(F.octet_length(text) > config.max_input_bytes, leaf(ERROR, "failed", 0, None, 1))
-    return F.when(text.isNotNull(), out.otherwise(_bind(decide(text, key, config), outcome)))
+        out = out.when(size > config.max_input_bytes, leaf(ERROR, "failed", 0, None, 1))
+        if key is not None:
+            out = out.when(keyed & (size + F.octet_length(key) + 7 > config.max_input_bytes) & ~scan_decides(text, config), leaf(ERROR, "failed", 0, None, 1))
+    twice = size if key is None else F.when(keyed, size * 2 + F.octet_length(key) + 7).otherwise(size)
+    same = F.struct(
+        text.alias("text"), F.lit("unchanged").alias("outcome"), F.lit(0).alias("findings"), (F.lit(1) if key is None else F.when(keyed, 2).otherwise(1)).alias("scans"), twice.cast("long").alias("bytes"), F.lit(0).alias("found")
+    )
+    return F.when(text.isNotNull(), out.when(~suspicious(text, key, config), same).otherwise(_bind(decide(text, key, config), outcome)))
+
+
+def scan_decides(text: Column, config: ScanConfig) -> Column:
+    """Whether the leaf alone redacts or blocks, so that its view isn't scanned."""
+    return F.when(text.rlike(builtin_pack(config).pattern), _has(scan(text, config)["findings"], "redact", "block")).otherwise(F.lit(False))
 
 
 def mask_leaf_outcome(text: Column, key: Column | None = None, config: ScanConfig = ScanConfig(), max_string_length: int = WALK_LIMITS["max_string_length"]) -> Column:

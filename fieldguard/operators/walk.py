@@ -124,7 +124,7 @@ class Shape:
     def events(self, value: Column, t: T.DataType, key: Column | None, depth: int, there: Column | None = None, keyed: bool = False) -> Column:
         """array<EVENT> of a value; there: whether its parent is there at all; keyed: whether its key is charged."""
         there, keys = F.lit(True) if there is None else there, int(keyed)
-        one = lambda e: F.array(e).cast(f"array<{EVENT}>")
+        one = F.array
         if isinstance(t, T.StringType):
             return one(self._event(there, key if self.walk.key_context else None, value, keys=keys))
         if _scalar(t):
@@ -237,6 +237,18 @@ def _allowed(used: dict[str, Column] | Column, walk: Walk) -> Column:
     return ok
 
 
+def _surely_fits(events: Column, walk: Walk) -> Column:
+    """Whether a row is so small that no limit can be met, by the number of its events and their characters alone."""
+    op = resolve_limits(walk.operation if isinstance(walk.operation, dict) else None, OPERATION_LIMITS)
+    most = min(walk.limit("max_nodes"), walk.limit("max_total_leaves"))
+    if walk.operation is not False:
+        most = min(most, op["max_nodes"], op["max_keys"], op["max_leaves"], op["max_scans"] // 2)
+    # an event is one node and one key, but a list of scalars, which is many nodes; a finding has 8 characters or more
+    size = F.aggregate(events, F.lit(0).cast("long"), lambda a, e: a + F.when(e["leaf"], F.coalesce(F.octet_length(e["text"]) * 2 + F.coalesce(F.octet_length(e["key"]), F.lit(0)) + 7, F.lit(0))).otherwise(e["nodes"] * 64))
+    room = min(op["max_bytes"], op["max_findings"] * 8, 64 * most) if walk.operation is not False else 64 * most
+    return (F.size(events) <= most) & (size <= room)
+
+
 def mask_row(df: DataFrame, *targets: Target, walk: Walk = Walk(), outcome: str | None = None) -> DataFrame:
     """df with the targets' columns masked, all of a row as one operation; their types stay.
 
@@ -264,7 +276,7 @@ def mask_row(df: DataFrame, *targets: Target, walk: Walk = Walk(), outcome: str
     def add(acc: Column, x: Column) -> Column:
         return F.struct(*[c.alias(u) for u, c in _spent(acc, x["e"], x["m"]).items()])
 
-    out = out.withColumn("fg_used", F.aggregate(both, _zero(), add))
+    used = F.aggregate(both, _zero(), add)
 
     def put(acc: Column, x: Column) -> Column:
         used = F.struct(*[c.alias(u) for u, c in _spent(acc, x["e"], x["m"]).items()])
@@ -278,8 +290,13 @@ def mask_row(df: DataFrame, *targets: Target, walk: Walk = Walk(), outcome: str
         return _bind(used, kept)
 
     start = _zero({"done": F.expr(f"cast(array() as array<{CHARGED}>)"), "last": _zero()})
-    whole = F.struct(F.col("fg_masked").alias("done"), F.col("fg_used").alias("last"))
-    out = out.withColumn("fg_row", F.when(_allowed(F.col("fg_used"), walk), whole).otherwise(F.aggregate(both, start, put, lambda a: F.struct(a["done"].alias("done"), a["last"].alias("last")))))
+    limited = F.aggregate(both, start, put, lambda a: F.struct(a["done"].alias("done"), a["last"].alias("last")))
+    if outcome:
+        out = out.withColumn("fg_used", used)
+        out = out.withColumn("fg_row", F.when(_allowed(F.col("fg_used"), walk), F.struct(F.col("fg_masked").alias("done"), F.col("fg_used").alias("last"))).otherwise(limited))
+    else:  # what was spent is summed up only for rows that might be over a limit
+        whole = F.struct(F.col("fg_masked").alias("done"))
+        out = out.withColumn("fg_row", F.when(_surely_fits(F.col("fg_events"), walk), whole).otherwise(F.when(_allowed(used, walk), whole).otherwise(F.struct(limited["done"].alias("done")))))
     built, at = {}, 0
     for t, c, kind in columns:
         built[t.name] = shape.build(c, kind, F.col("fg_row.done"), at, t.depth)

@@ -20,6 +20,7 @@ from .operators.jsonlines import redact_line
 from .operators.walk import Walk, mask_bytes, mask_columns
 from .oracle import leaf_columns, quote, scan_ctes
 from .plans import context, hosts
+from .sources.lines import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,7 +37,7 @@ def query(sql: str | None = None):
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    return spread(spark.read.parquet(f"{d}/{name}.parquet"))
 
 
 def token(key: Column) -> Column:

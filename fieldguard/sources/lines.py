@@ -11,6 +11,13 @@ from ..config import ScanConfig
 from ..operators.jsonlines import redact_line
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows of a source of fewer files than tasks, dealt over all tasks; others as they are. A file of one row group is
+    read by one task, and masking a row costs far more than moving it."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if len(df.inputFiles()) < n else df
+
+
 def read_redacted_lines(spark: SparkSession, path: str, config: ScanConfig = ScanConfig(), stream: bool = False) -> DataFrame:
     """(value): the lines of text files, redacted."""
     reader = spark.readStream if stream else spark.read
@@ -18,9 +25,16 @@ def read_redacted_lines(spark: SparkSession, path: str, config: ScanConfig = Sca
 
 
 def redacting_sink(transform: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame, int], None], host: Callable[[DataFrame], DataFrame] | None = None):
-    """A foreachBatch function: the host's own step first, the redaction last, then write."""
+    """A foreachBatch function: the host's own step first, the redaction last, then write. Where the host's step raises, or
+    returns no frame, the batch is redacted as it came."""
     def run(batch: DataFrame, epoch: int) -> None:
-        write(transform(host(batch) if host else batch), epoch)
+        shown = batch
+        if host is not None:
+            try:
+                shown = host(batch)
+            except Exception:
+                shown = batch
+        write(transform(shown if isinstance(shown, DataFrame) else batch), epoch)
 
     return run
 

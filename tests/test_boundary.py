@@ -243,7 +243,9 @@ def test_live_hosts(spark, tmp_path):
     assert [r[0] for r in s.read_lines(str(tmp_path / "l.txt")).collect()] == ['{"k":"<SECRET_1>"}', '{"msg":"[REDACTED:ERROR]"}']
     got = []
     s.sink(lambda f, epoch: got.extend(r["value"] for r in f.collect()), lambda f: f.withColumn("value", F.concat("value", F.lit(" "))))(spark.createDataFrame([('{"k":"' + TOKEN + '"}',)], "value string"), 0)
-    assert got == ['{"k":"<SECRET_1>"} ']
+    for host in (raising, lambda f: None):
+        s.sink(lambda f, epoch: got.extend(r["value"] for r in f.collect()), host)(spark.createDataFrame([('{"k":"' + TOKEN + '"}',)], "value string"), 1)
+    assert got == ['{"k":"<SECRET_1>"} ', '{"k":"<SECRET_1>"}', '{"k":"<SECRET_1>"}']
     with pytest.raises(OptionsError):
         Sanitizer(spark, policy=lambda kind, confidence: kind.nonsense())
     spark.conf.unset("spark.fieldguard.activation")
