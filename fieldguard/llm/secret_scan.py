@@ -62,8 +62,12 @@ PARTS = (
 ).split()
 #: Lengths for which the null model has names; a candidate is held to the largest that doesn't exceed its own.
 LENGTHS = (20, 22, 24, 28, 32, 40, 48, 64, 96, 128)
-#: Names of the null model for each encoding and length.
+#: Names of the null model for each encoding and length, and how many of the most random-looking of them tell how
+#: fast chances fall beyond.
 NAMES = 4000
+TAIL = 40
+#: Steps in which a chance halves, and the most of them: chances travel as whole numbers.
+STEPS, MOST_STEPS = 8, 400
 
 
 @dataclass(frozen=True)
@@ -208,31 +212,43 @@ def null_model(encoding: str, length: int) -> np.ndarray:
     return known
 
 
-def chance_ordinary(data: bytes, encoding: str) -> tuple[int, int]:
-    """(length of the null model's names, how many of these NAMES look at least as random as data)."""
+def chance(p: float, null: np.ndarray) -> float:
+    """The share of ordinary names that look at least as random as p, from the ascending p-values of the null model.
+
+    Beyond its TAIL largest the share falls exponentially with the logarithm of p, at the rate of those.
+    """
+    edge, own = np.log(null[-TAIL]), math.log(max(p, 1e-300))
+    if own <= edge:
+        return (len(null) - np.searchsorted(null, p) + 1) / (len(null) + 1)
+    rate = 1 / max(1e-3, float(np.mean(np.log(null[-TAIL:]) - edge)))
+    return TAIL / len(null) * math.exp(-rate * (own - edge))
+
+
+def steps_ordinary(data: bytes, encoding: str) -> tuple[int, int]:
+    """(length of the null model's names, how often the chance of being one of them halves from 1, in STEPS)."""
     body, alphabet = data.rstrip(b"="), dict(ALPHABETS)[encoding]
     length = max(n for n in LENGTHS if n <= max(len(body), LENGTHS[0]))
-    null = null_model(encoding, length)
-    return length, len(null) - int(np.searchsorted(null, battery_p(_places([body], alphabet), len(alphabet))[0] - 1e-12))
+    share = chance(float(battery_p(_places([body], alphabet), len(alphabet))[0]), null_model(encoding, length))
+    return length, min(MOST_STEPS, int(-math.log2(max(share, 1e-300)) * STEPS))
 
 
-def threshold(counts: dict[tuple[int, int], int], level: float) -> dict[int, float]:
-    """For each length the largest count of ordinary names with which a candidate is reported, -1 for none, from the
-    number of candidates by (length, count): Benjamini-Hochberg with weights in proportion to length."""
+def threshold(counts: dict[tuple[int, int], int], level: float) -> dict[int, int]:
+    """For each length the fewest steps with which a candidate is reported, from the number of candidates by (length,
+    steps): Benjamini-Hochberg with weights in proportion to length."""
     m = sum(counts.values())
     mean = sum(n * c for (n, _), c in counts.items()) / max(1, m)
-    of = lambda n, k: (k + 1) / (NAMES + 1) * mean / n
+    of = lambda n, k: 2.0 ** (-k / STEPS) * mean / n
     most, rank = -1.0, 0
     for p, c in sorted((of(n, k), c) for (n, k), c in counts.items()):
         rank += c
         if p <= level * rank / m:
             most = p
-    return {n: max((k for n_, k in counts if n_ == n and of(n, k) <= most), default=-1) for n, _ in counts}
+    return {n: min((k for n_, k in counts if n_ == n and of(n, k) <= most), default=MOST_STEPS + 1) for n, _ in counts}
 
 
 def scan(text: bytes, battery: Battery = Battery()) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, int, int]]]:
-    """(base spans, candidates): (start, end, kind) by start and then kind in the order of KINDS; (start, end, length
-    and count of ordinary names that look as random). All places are in code points."""
+    """(base spans, candidates): (start, end, kind) by start and then kind in the order of KINDS; (start, end, length and
+    steps of steps_ordinary). All places are in code points."""
     spans = [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 12]
     spans += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text) if m.end() - m.start() >= 18]
     spans += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
@@ -248,7 +264,7 @@ def scan(text: bytes, battery: Battery = Battery()) -> tuple[list[tuple[int, int
             data = text[start:end]
             known = infer(data)
             if known and len(data) * math.log2(len(known[1])) >= battery.bits:
-                tests.append((start, end, *chance_ordinary(data, known[0])))
+                tests.append((start, end, *steps_ordinary(data, known[0])))
     spans.sort(key=lambda x: (x[0], KINDS.index(x[2])))
     if (spans or tests) and not text.isascii():
         points, at, n = {}, 0, 0
@@ -260,9 +276,9 @@ def scan(text: bytes, battery: Battery = Battery()) -> tuple[list[tuple[int, int
     return spans, tests
 
 
-def reported(spans: list[tuple[int, int, str]], tests: list[tuple[int, int, int, int]], most: dict[int, float]) -> list[tuple[int, int, str]]:
+def reported(spans: list[tuple[int, int, str]], tests: list[tuple[int, int, int, int]], least: dict[int, int]) -> list[tuple[int, int, str]]:
     """All spans of a text: the base ones, and the candidates that the control lets through, overlapping ones made one."""
-    own = merged(sorted((a, b, "random") for a, b, n, k in tests if k <= most.get(n, -1)))
+    own = merged(sorted((a, b, "random") for a, b, n, k in tests if k >= least.get(n, MOST_STEPS + 1)))
     return sorted(spans + own, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
@@ -281,7 +297,7 @@ def scan_documents(docs: DataFrame, battery: Battery = Battery()) -> DataFrame:
     Base kinds are leftmost and non-overlapping within a kind, matches that are too short dropped after
     matching; a span covers the whole match. A null or empty text has no spans. Null or repeated doc_id stay,
     other columns are ignored. Whole texts are read, once, to a narrow table of spans and candidates, whose counts
-    by length and chance (at most len(LENGTHS) * NAMES rows) set the bounds for the whole corpus. No shuffle but theirs.
+    by length and chance (at most len(LENGTHS) * MOST_STEPS rows) set the bounds for the whole corpus. No shuffle but theirs.
     """
 
     def rows(x):
@@ -300,7 +316,7 @@ def scan_documents(docs: DataFrame, battery: Battery = Battery()) -> DataFrame:
     first = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text")).mapInArrow(by_rows(rows, _FIRST), f"{schema}, base string, tests array<array<long>>"))
     test = F.col("t")
     counts = first.where(F.size("tests") > 0).select(F.explode("tests").alias("t")).groupBy(test[2].alias("n"), test[3].alias("k")).agg(F.count("*").alias("c")).collect()
-    most = threshold({(r["n"], r["k"]): r["c"] for r in counts}, battery.level)
+    least = threshold({(r["n"], r["k"]): r["c"] for r in counts}, battery.level)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -308,7 +324,7 @@ def scan_documents(docs: DataFrame, battery: Battery = Battery()) -> DataFrame:
             for base, tests in zip(batch.column("base").to_pylist(), batch.column("tests").to_pylist()):
                 if tests:
                     known = [(int(a), int(b), kind) for kind, a, b in (x.split(":") for x in base.split(",") if x)]
-                    found = reported(known, [tuple(t) for t in tests], most)
+                    found = reported(known, [tuple(t) for t in tests], least)
                     spans.append(joined(found))
                     n.append(len(found) - len(known))
                 else:

@@ -552,11 +552,14 @@ def test_false_discovery_control(spark):
     hits, wrong = sum(got[i] > 0 for i in range(400)), sum(got[i] > 0 for i in range(400, 4400))
     assert hits >= 0.93 * 400 and wrong <= 0.05 * (hits + wrong), (hits, wrong)
     # by hand: Benjamini-Hochberg with weights on the single candidates
-    counts = {(20, 0): 3, (20, 2000): 5, (40, 10): 2, (40, 3999): 4}
-    most = S.threshold(counts, 0.05)
-    single = sorted(((k + 1) / (S.NAMES + 1) * (sum(n * c for (n, _), c in counts.items()) / 14) / n, n, k) for (n, k), c in counts.items() for _ in range(c))
+    counts = {(20, 90): 3, (20, 8): 5, (40, 60): 2, (40, 1): 4}
+    least = S.threshold(counts, 0.05)
+    single = sorted((2 ** (-k / S.STEPS) * (sum(n * c for (n, _), c in counts.items()) / 14) / n, n, k) for (n, k), c in counts.items() for _ in range(c))
     cut = max(i for i, (p, _, _) in enumerate(single, 1) if p <= 0.05 * i / 14)
-    assert {(n, k) for n, k in counts if k <= most[n]} == {(n, k) for _, n, k in single[:cut]}
+    assert {(n, k) for n, k in counts if k >= least[n]} == {(n, k) for _, n, k in single[:cut]} == {(20, 90), (40, 60)}
+    null = S.null_model("base62", 40)  # chances: shares of the null model, going on smoothly beyond it
+    values = [S.chance(p, null) for p in (0, *null[::50], 1e-3, 1e-2, 0.1, 0.5, 1.0)]
+    assert all(0 < v <= 1 for v in values) and values[0] == 1 and values[-1] < 1e-4 and S.chance(0.9, null) < S.chance(0.1, null)
 
 
 def license_words(t):
