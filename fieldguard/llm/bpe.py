@@ -187,8 +187,8 @@ class PrefixBPE:
             ids.append(np.array(own, np.int64))
         rest = np.flatnonzero((single < 0) & (sizes <= TOGETHER) & (sizes > 0))
         rest = rest[np.argsort(-sizes[rest], kind="stable")]
-        for at in range(0, len(rest), 1 << 14):
-            part = rest[at : at + (1 << 14)]
+        for at in range(0, len(rest), 1 << 13):
+            part = rest[at : at + (1 << 13)]
             own, i = self._together([pieces[n] for n in part.tolist()], sizes[part])
             rows.append(part[own])
             ids.append(i)
@@ -200,13 +200,13 @@ class PrefixBPE:
         """(place of the piece, id) by the prefix tables of pieces, longest first, each piece's ids in order: one column
         of last tokens for each length of prefix."""
         wide = int(sizes[0])
-        data = np.zeros((len(pieces), wide), np.int64)
+        data = np.zeros((len(pieces), wide), np.uint8)
         data[np.arange(wide) < sizes[:, None]] = np.frombuffer(b"".join(pieces), np.uint8)
-        last = np.full((wide + 1, len(pieces)), NO_TOKEN, np.int64)
+        last = np.full((wide + 1, len(pieces)), NO_TOKEN, np.int32)
         state = np.zeros(len(pieces), np.int64)
         for end in range(1, wide + 1):
             n = int(np.searchsorted(-sizes, -end, "right"))
-            at, c = state[:n], data[:n, end - 1]
+            at, c = state[:n], data[:n, end - 1].astype(np.int64)
             to = self.edges.get(at << 8 | c, -1)
             lost = np.flatnonzero(to < 0)
             from_ = at[lost]
@@ -226,13 +226,13 @@ class PrefixBPE:
                 start = end - self.lengths[i]
                 fine = start == 0
                 inner = np.flatnonzero(~fine)
-                fine[inner] = self.fit(last[start[inner], open_[inner]], i[inner])
+                fine[inner] = self.fit(last[start[inner], open_[inner]].astype(np.int64), i[inner])
                 last[end, open_[fine]] = i[fine]
                 open_, ending = open_[~fine], self.shorter[ending[~fine]]
         # read off backwards, all pieces in step
         rows, end, steps = np.arange(len(pieces)), sizes.copy(), []
         while len(rows):
-            i = last[end[rows], rows]
+            i = last[end[rows], rows].astype(np.int64)
             steps.append((rows, i))
             end[rows] -= self.lengths[i]
             rows = rows[end[rows] > 0]
@@ -388,12 +388,21 @@ class TextEncoder:
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[0].tolist()
 
-    def written(self, table: tuple, ids: np.ndarray, sizes: np.ndarray) -> list[memoryview]:
-        """For each text the runs of its ids in one of the tables shown and plain."""
+    def written(self, table: tuple, ids: np.ndarray, sizes: np.ndarray, most: int = 1 << 18) -> list[memoryview]:
+        """For each text the runs of its ids in one of the tables shown and plain, made for about most bytes at a time."""
         bytes_, starts, lengths = table
-        data = memoryview(gathered(bytes_, starts[ids], lengths[ids]))
-        upto = np.concatenate([[0], np.cumsum(lengths[ids])])[np.concatenate([[0], np.cumsum(sizes)])].tolist()
-        return [data[a:b] for a, b in zip(upto, upto[1:])]
+        own = lengths[ids]
+        upto = np.concatenate([[0], np.cumsum(own)])[np.concatenate([[0], np.cumsum(sizes)])]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        out: list[memoryview] = []
+        while len(out) < len(sizes):
+            first = len(out)
+            last = max(first + 1, int(np.searchsorted(upto, upto[first] + most, "right")) - 1)
+            part = slice(ends[first], ends[last])
+            data = memoryview(gathered(bytes_, starts[ids[part]], own[part]))
+            at = (upto[first : last + 1] - upto[first]).tolist()
+            out += [data[a:b] for a, b in zip(at, at[1:])]
+        return out
 
     def encode_decode(self, texts: list[str]) -> list[tuple[int, memoryview, memoryview]]:
         """For each text the number of ids, the ids in decimal, joined by one space, and what they decode to."""
