@@ -36,6 +36,8 @@ CHUNK_BYTES = 1 << 20
 SKETCH = 1 << 18
 #: Counters that travel together.
 SKETCH_PART = 1 << 14
+#: Parts of a component that are named apart.
+SALTS = 32
 #: Bits of the parity sketch whose Hamming distance bounds the symmetric difference of two sets from below.
 PARITY_WORDS = 16
 
@@ -598,8 +600,10 @@ def similarity_classes(docs: DataFrame, join: Join = Join(), rounds: int = 4) ->
         members = materialize(compact(open_.join(near.where("more").select("g").distinct(), "g", "left_semi").select("g", "node", "probe"), open_.count()))
         for done in (open_, near, found, before):
             discard(done)
-    low = part.join(reps.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("low"))
-    classes = reps.join(part, "node", "left").join(low, "component", "left").select(F.col("key").alias("c_key"), F.coalesce("low", "rep").alias("component_id"))
+    # one component may hold most sets: its smallest document goes to each of several parts of them
+    low = part.join(reps.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("low")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    named = reps.join(part, "node", "left").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    classes = named.join(low, ["component", "salt"], "left").select(F.col("key").alias("c_key"), F.coalesce("low", "rep").alias("component_id"))
     return rows.join(classes, (F.col("key") == F.col("c_key")) & (F.col("n") > 0), "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
