@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import OptionsError, ScanConfig
 from ..constants import BLOCKED, COUNTS, ERROR, FINDING, LIMIT, WALK_LIMITS
-from .scanner import _bind, builtin_pack, scan
+from .scanner import _bind, builtin_pack, holds_match, scan
 
 LEAF = "struct<text:string,outcome:string,findings:int>"
 
@@ -71,7 +71,7 @@ def suspicious(text: Column, key: Column | None, config: ScanConfig) -> Column:
         raise OptionsError("CORE_OPTION_UNSUPPORTED", ("evaluate", "formatter"))
     before, after = view_parts(key) if key is not None else (F.lit(""), F.lit(""))
     seen = text if key is None else F.when(key.isNull(), text).otherwise(F.concat(before, text, after))
-    return seen.rlike(builtin_pack(config).pattern)
+    return holds_match(seen, config)
 
 
 CHARGED = "struct<text:string,outcome:string,findings:int,scans:int,bytes:bigint,found:int>"

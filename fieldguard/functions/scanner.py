@@ -31,6 +31,35 @@ _MAIL = r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9][A-Za-z0-9.-]{0,252}\.[A-Za-z]{2,24}
 SHORTEST, CERTAIN = 8, 16
 
 
+#: In lower case, what every match of the built-in detectors holds.
+SIGNS = ("key", "passw", "secret", "token", "gho_", "ghp_", "ghs_", "ghu_", "ghr_", "eyj", "-----begin")
+
+
+#: Bytes of a text up to which the pattern is tried at once.
+SHORT = 256
+
+
+def signs_of(config: ScanConfig) -> tuple[str, ...] | None:
+    """One of these stands in every text with a match; None where a ruleset makes that unknown."""
+    return None if config.ruleset else (*SIGNS, "@") if config.pii else SIGNS
+
+
+def holds_match(text: Column, config: ScanConfig, pack: Pack | None = None) -> Column:
+    """Whether a text holds a match; most long texts hold no sign of one, which is far cheaper to see."""
+    found = text.rlike((pack or builtin_pack(config)).pattern)
+    signs = signs_of(config) if pack is None else None
+    if signs is None:
+        return found
+
+    def any_sign(low: Column) -> Column:
+        out = low.contains(signs[0])
+        for s in signs[1:]:
+            out = out | low.contains(s)
+        return out
+
+    return F.when(F.octet_length(text) <= SHORT, found).otherwise(_bind(F.lower(text), any_sign) & found)
+
+
 @dataclass(frozen=True)
 class Pack:
     """pattern: all detectors; before: what precedes a match's value; kinds: (type, detector, pattern of the value, confidence)
@@ -114,7 +143,7 @@ def scan(text: Column, config: ScanConfig = ScanConfig(), pack: Pack | None = No
     be formatted; its text is null then. A match is where its text stands next, since the pattern would have matched
     there or before otherwise.
     """
-    pack = pack or builtin_pack(config)
+    given, pack = pack, pack or builtin_pack(config)
     formatter = formatter or (lambda kind, n: F.concat(F.lit("<SECRET_"), n.cast("string"), F.lit(">")))
     none = F.struct(text.alias("text"), F.expr(f"cast(array() as array<{FINDING}>)").alias("findings"))
 
@@ -142,7 +171,7 @@ def scan(text: Column, config: ScanConfig = ScanConfig(), pack: Pack | None = No
         return F.struct(whole.alias("text"), a["findings"].alias("findings"))
 
     found = F.aggregate(_analysed(F.regexp_extract_all(text, F.lit(pack.pattern), F.lit(0)), config, pack), begin, step, finish)
-    return F.when(text.isNotNull(), F.when(text.rlike(pack.pattern), found).otherwise(none))
+    return F.when(text.isNotNull(), F.when(holds_match(text, config, given), found).otherwise(none))
 
 
 def fixture_scan(text: Column) -> Column:

@@ -62,6 +62,3 @@ class Sanitizer:
         return redacting_sink(lambda df: df.withColumn("value", self.redact_line(df["value"])), write, host)
 
 
-def unchecked(config: ScanConfig = ScanConfig()) -> Walk:
-    """The walk of a config that the caller has checked, for tests and injected scanners."""
-    return Walk(config)

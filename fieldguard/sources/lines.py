@@ -37,8 +37,3 @@ def redacting_sink(transform: Callable[[DataFrame], DataFrame], write: Callable[
         write(transform(shown if isinstance(shown, DataFrame) else batch), epoch)
 
     return run
-
-
-def guarded(process: Callable[[DataFrame], DataFrame], sanitise: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame], DataFrame]:
-    """A handler whose result leaves only sanitised."""
-    return lambda df: sanitise(process(df))
