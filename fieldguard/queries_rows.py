@@ -14,7 +14,7 @@ from .operators.jsonlines import is_replacement_line, redact_line, redact_line_a
 from .operators.jsonwalk import mask_json_outcome
 from .operators.walk import Target, Walk, mask_columns, mask_keyed_leaves, mask_row
 from .oracle import scan_ctes
-from .plans import hosts
+from .plans import hosts, readback
 from .queries import DOCS, _CONV, conversations, event_lines, query, rules, spans, table, token, token_sql
 
 ZERO = "0::BIGINT"
@@ -170,6 +170,18 @@ def otel_record_outcomes(spark, d):
     return m.select(i, F.hex("body_bytes").alias("body"), *fields("o.values", "failed", "redacted", "scanned"), "severity_text")
 
 
+@query("""SELECT event_id, event_id % 5 IN (1, 2) AS strict, event_id % 5 = 1 AS lenient FROM events""")
+def spans_read_back(spark, d):
+    """What a host wrote against what was released: changed values drop the unit, cut ones only where cutting isn't allowed."""
+    i = F.col("event_id")
+    df = table(spark, d, "events").select(i, F.concat(F.lit("see "), token(i)).alias("name"), F.create_map(F.lit("k"), F.col("event_type"), F.lit("t"), token(i)).alias("attributes"))
+    released = hosts.redact_spans(df)
+    name = F.when(i % 5 == 1, F.concat(F.lit("see "), token(i))).when(i % 5 == 2, F.substr("name", F.lit(1), F.lit(6))).otherwise(F.col("name"))
+    written = released.withColumn("name", name)
+    both = [readback.checked(released, written, "event_id", "name", "attributes", truncated=cut).select(F.col("event_id").alias(f"id_{n}"), F.col("dropped").alias(n)) for n, cut in (("strict", False), ("lenient", True))]
+    return both[0].join(both[1], F.col("id_strict") == F.col("id_lenient")).select(F.col("id_strict").alias("event_id"), "strict", "lenient")
+
+
 # --- log calls and lines -----------------------------------------------------------------------------------
 
 

@@ -251,6 +251,65 @@ def test_live_hosts(spark, tmp_path):
     spark.conf.unset("spark.fieldguard.activation")
 
 
+def test_processor_lifecycle(spark):
+    from fieldguard.plans.hosts import redact_otel_logs
+    from fieldguard.sources.processor import RedactingProcessor
+
+    class Exporter:
+        def __init__(self):
+            self.rows, self.calls = [], []
+
+        def __call__(self, batch, epoch):
+            self.rows += [r["body"] for r in batch.collect()]
+
+        def flush(self):
+            self.calls.append("flush")
+
+        def shutdown(self):
+            self.calls.append("shutdown")
+
+    out, seen = Exporter(), []
+
+    def transform(batch):
+        masked = redact_otel_logs(batch, outcome="outcome")
+        return masked.withColumn("outcome", masked["outcome"].withField("dropped", masked["body"] == "odd"))
+
+    p = RedactingProcessor(transform, out, lambda *a: seen.append(a) or raising())
+    batch = spark.createDataFrame([("a " + TOKEN,), ("odd",)], "body string")
+    with pytest.warns(UserWarning):
+        p(batch, 0)
+    p.force_flush()
+    assert p.enabled and out.rows == ["a <SECRET_1>"] and seen[0][:3] == (0, 2, 1) and seen[0][3]["redacted"] == 1
+    p.shutdown(), p.shutdown(), p.force_flush(), p(batch, 1)
+    assert not p.enabled and out.calls == ["flush", "shutdown"] and len(out.rows) == 1
+    with pytest.raises(TypeError):
+        RedactingProcessor(None, out)
+
+
+def test_read_back(spark):
+    from fieldguard.plans.readback import checked
+
+    schema = "k int, t string, a array<string>, m map<string,string>, s struct<x:string,n:int>"
+    mine = (1, "text", ["a", "b"], {"p": "q", "r": "s"}, ("x", 1))
+    others = [mine, (1, "te", ["a"], {"p": "q"}, ("x", 1)), (1, "Text", ["a", "b"], {"p": "q", "r": "s"}, ("x", 1)), (1, "text", ["b", "a"], {"p": "q", "r": "s"}, ("x", 1)), (1, "text", ["a", "b"], {"p": "q", "z": "s"}, ("x", 1)), (1, "text", ["a", "b"], {"p": "q", "r": "s"}, ("x", 2)), (1, None, ["a", "b"], {"p": "q", "r": "s"}, ("x", 1)), (2, "text", ["a", "b"], {"p": "q", "r": "s"}, ("x", 1))]
+    released = spark.createDataFrame([mine], schema)
+    for truncated, want in ((False, [False] + [True] * 7), (True, [False, False] + [True] * 6)):
+        got = [checked(released, spark.createDataFrame([w], schema), "k", "t", "a", "m", "s", truncated=truncated).first()["dropped"] for w in others]
+        assert got == want
+
+
+def test_rulesets_never_outrank_built_in_detectors():
+    from fieldguard.config import parse_ruleset
+
+    text = 'ruleset-revision: 1\ndetector: own\nspecificity: contextual\nprefix: "{}"\nalphabet: {}\nrun: at-least {}\nvalidator: none\n'
+    own = ScanConfig(ruleset=parse_ruleset(text.format("gh" + "p_", "alnum", 10)))
+    assert [f.type for f in TextScanner(own).scan(TOKEN)[1]] == ["github_token"] and [f.type for f in TextScanner(own).scan("gh" + "p_" + "a" * 12)[1]] == ["own"]
+    for alphabet, body in (("alnum", "aZ9"), ("alnum-dash", "a-9"), ("hex", "0af"), ("digits", "123")):
+        c = ScanConfig(ruleset=parse_ruleset(text.format("ID-", alphabet, 6)))
+        assert [(f.type, f.confidence, f.action) for f in TextScanner(c).scan("x ID-" + body * 2 + " y")[1]] == [("own", "medium", "warn")]
+        assert not TextScanner(c).scan("x ID-" + body + " y")[1]
+
+
 def test_the_engine_works_without_the_corpus_operators(tmp_path):
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     copy = tmp_path / "repo"
