@@ -37,7 +37,7 @@ SKETCH = 1 << 18
 #: Counters that travel together.
 SKETCH_PART = 1 << 14
 #: Parts of a component that are named apart.
-SALTS = 32
+SALTS = 8
 #: Bits of the parity sketch whose Hamming distance bounds the symmetric difference of two sets from below.
 PARITY_WORDS = 16
 
