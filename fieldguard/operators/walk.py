@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ..config import ScanConfig
 from ..constants import BLOCKED, COUNTS, ERROR, LIMIT, OPERATION_LIMITS, WALK_LIMITS, resolve_limits
 from ..functions.leaf import CHARGED, charged_leaf, mask_leaf
-from ..functions.scanner import _bind
+from ..functions.scanner import _bind, holds_match
 
 EVENT = "struct<key:string,text:string,leaf:boolean,nodes:int,keys:int,limited:int,failed:int>"
 #: Types whose values hold no text: they pass as they are.
@@ -210,6 +210,46 @@ class Shape:
         return F.transform(kept, lambda x, i: self.build(x, inner, done, start(i), depth + 1))
 
 
+    def bound(self, t: T.DataType, depth: int) -> tuple[int, int, int] | None:
+        """(least texts, events beside them, events for each text at most) of a value of this type; None where the number
+        of its events isn't bounded by that of its texts, or where a walk may change it without a match."""
+        if isinstance(t, T.StringType):
+            return 1, 0, 1
+        if _scalar(t):
+            return None if isinstance(t, T.BinaryType) else (0, 1, 1)
+        if not self._entered(t, depth):
+            return None
+        if isinstance(t, T.StructType):
+            parts = [self.bound(f.dataType, depth + 1) for f in t.fields]
+            if None in parts or len(t.fields) > len(self._fields(t)):
+                return None
+            return sum(p[0] for p in parts), 1 + sum(p[1] for p in parts), max([p[2] for p in parts], default=1)
+        inner = self.bound(self._inner(t), depth + 1)
+        if inner is None or not inner[0]:
+            return None
+        return 0, 1, inner[1] + inner[2]
+
+    def texts(self, value: Column, t: T.DataType, key: Column | None, depth: int) -> list[Column]:
+        """Arrays with the views of all leaves of a value that bound() holds for, nulls among them."""
+        key = key if self.walk.key_context else None
+        if isinstance(t, T.StringType):
+            return [F.array(value if key is None else F.concat(F.lit('{"'), key, F.lit('":"'), value, F.lit('"}')))]
+        if _scalar(t):
+            return []
+        if isinstance(t, T.StructType):
+            bare = {*self.walk.bare, *(("type", "message", "stack") if _is_error(t) else ())}
+            return [x for f in t.fields for x in self.texts(value[f.name], f.dataType, None if f.name in bare else F.lit(f.name), depth + 1)]
+        inner, none = self._inner(t), F.expr("cast(array() as array<string>)")
+        if isinstance(t, T.MapType):
+            named = isinstance(t.keyType, T.StringType)
+            parts = F.transform(F.map_entries(value), lambda e: F.concat(*self.texts(e["value"], inner, e["key"] if named else None, depth + 1)))
+        elif isinstance(inner, T.StringType):
+            return [F.coalesce(value, none)]
+        else:
+            parts = F.transform(value, lambda x: F.concat(*self.texts(x, inner, None, depth + 1)))
+        return [F.coalesce(F.flatten(parts), none)]
+
+
 USED = ("nodes", "keys", "leaves", "scans", "bytes", "findings")
 
 
@@ -249,6 +289,31 @@ def _surely_fits(events: Column, walk: Walk) -> Column:
     return (F.size(events) <= most) & (size <= room)
 
 
+def _clean(columns: list[tuple[Target, Column, T.DataType]], shape: Shape) -> Column | None:
+    """Whether a row comes out as it goes in: its views, one a line, hold no match together, and it is so small that it
+    meets no limit. A leaf's match shows in its view, and a view's in these lines, where a line's end stands for its start.
+    None where the types don't allow to tell."""
+    walk, bounds = shape.walk, [shape.bound(kind, t.depth) for t, _, kind in columns]
+    if None in bounds or not walk.scan:
+        return None
+    parts = [x for t, c, kind in columns for x in shape.texts(c, kind, F.lit(t.key) if t.key is not None else None, t.depth)]
+    if not parts:
+        return None
+    op = resolve_limits(walk.operation if isinstance(walk.operation, dict) else None, OPERATION_LIMITS)
+    most = min(walk.limit("max_nodes"), walk.limit("max_total_leaves"), walk.limit("max_array_length"), walk.limit("max_object_keys"))
+    size = min(walk.limit("max_string_length"), walk.config.max_input_bytes or 1 << 62)
+    if walk.operation is not False:
+        most = min(most, op["max_nodes"], op["max_keys"], op["max_leaves"], op["max_scans"] // 2)
+        size = min(size, op["max_bytes"] // 2)
+    room = (most - sum(b[1] for b in bounds)) // max(b[2] for b in bounds)
+
+    def judge(x: Column) -> Column:
+        return (x["n"] <= room) & (F.octet_length(x["lines"]) <= size) & ~holds_match(x["lines"], walk.config)
+
+    texts = F.concat(*parts)
+    return F.coalesce(_bind(_bind(texts, lambda a: F.struct(F.size(a).alias("n"), F.array_join(a, "\n").alias("lines"))), judge), F.lit(False))
+
+
 def mask_row(df: DataFrame, *targets: Target, walk: Walk = Walk(), outcome: str | None = None) -> DataFrame:
     """df with the targets' columns masked, all of a row as one operation; their types stay.
 
@@ -263,7 +328,12 @@ def mask_row(df: DataFrame, *targets: Target, walk: Walk = Walk(), outcome: str
     shape = Shape(walk)
     columns = [(t, F.col(t.name), df.schema[t.name].dataType) for t in targets]
     events = F.concat(*[shape.events(c, kind, F.lit(t.key) if t.key is not None else None, t.depth, None) for t, c, kind in columns])
-    out = df.withColumn("fg_events", events)
+    clean = None if outcome else _clean(columns, shape)
+    out, fresh = df, F.lit(True)
+    if clean is not None:  # most rows are clean and needn't be taken apart
+        out = out.withColumn("fg_clean", clean)
+        fresh = ~F.col("fg_clean")
+    out = out.withColumn("fg_events", F.when(fresh, events) if clean is not None else events)
     def leaf(e: Column) -> Column:
         if walk.scan:
             return charged_leaf(e["text"], e["key"] if walk.key_context else None, walk.config, walk.limit("max_string_length"))
@@ -296,10 +366,13 @@ def mask_row(df: DataFrame, *targets: Target, walk: Walk = Walk(), outcome: str
         out = out.withColumn("fg_row", F.when(_allowed(F.col("fg_used"), walk), F.struct(F.col("fg_masked").alias("done"), F.col("fg_used").alias("last"))).otherwise(limited))
     else:  # what was spent is summed up only for rows that might be over a limit
         whole = F.struct(F.col("fg_masked").alias("done"))
-        out = out.withColumn("fg_row", F.when(_surely_fits(F.col("fg_events"), walk), whole).otherwise(F.when(_allowed(used, walk), whole).otherwise(F.struct(limited["done"].alias("done")))))
+        row = F.when(_surely_fits(F.col("fg_events"), walk), whole).otherwise(F.when(_allowed(used, walk), whole).otherwise(F.struct(limited["done"].alias("done"))))
+        out = out.withColumn("fg_row", F.when(fresh, row) if clean is not None else row)
     built, at = {}, 0
     for t, c, kind in columns:
         built[t.name] = shape.build(c, kind, F.col("fg_row.done"), at, t.depth)
+        if clean is not None:
+            built[t.name] = F.when(fresh, built[t.name]).otherwise(c)
         at = shape.size(c, kind, t.depth) + at
     if outcome:
         own = lambda k: F.size(F.filter("fg_row.done", lambda m: m["outcome"] == k)).cast("long")
@@ -310,7 +383,7 @@ def mask_row(df: DataFrame, *targets: Target, walk: Walk = Walk(), outcome: str
             "redacted": own("redacted"), "blocked": own("blocked"), "limited": own("limited") + extra("limited"), "failed": own("failed") + extra("failed"),
         }
         built[outcome] = F.struct(F.struct(*[counts[k].alias(k) for k in COUNTS]).alias("counts"), F.col("fg_row.last").alias("usage"), F.lit(False).alias("dropped"))
-    return out.withColumns(built).drop("fg_events", "fg_masked", "fg_used", "fg_row")
+    return out.withColumns(built).drop("fg_clean", "fg_events", "fg_masked", "fg_used", "fg_row")
 
 
 def mask_columns(df: DataFrame, *names: str, walk: Walk = Walk(), keyed: bool = True, outcome: str | None = None) -> DataFrame:
