@@ -32,11 +32,7 @@ SHORTEST, CERTAIN = 8, 16
 
 
 #: In lower case, what every match of the built-in detectors holds.
-SIGNS = ("key", "passw", "secret", "token", "gho_", "ghp_", "ghs_", "ghu_", "ghr_", "eyj", "-----begin")
-
-
-#: Bytes of a text up to which the pattern is tried at once.
-SHORT = 256
+SIGNS = ("api_key", "api-key", "apikey", "passw", "secret", "token", "gho_", "ghp_", "ghs_", "ghu_", "ghr_", "eyj", "-----begin")
 
 
 def signs_of(config: ScanConfig) -> tuple[str, ...] | None:
@@ -45,7 +41,7 @@ def signs_of(config: ScanConfig) -> tuple[str, ...] | None:
 
 
 def holds_match(text: Column, config: ScanConfig, pack: Pack | None = None) -> Column:
-    """Whether a text holds a match; most long texts hold no sign of one, which is far cheaper to see."""
+    """Whether a text holds a match; most texts hold no sign of one, which is far cheaper to see."""
     found = text.rlike((pack or builtin_pack(config)).pattern)
     signs = signs_of(config) if pack is None else None
     if signs is None:
@@ -57,7 +53,7 @@ def holds_match(text: Column, config: ScanConfig, pack: Pack | None = None) -> C
             out = out | low.contains(s)
         return out
 
-    return F.when(F.octet_length(text) <= SHORT, found).otherwise(_bind(F.lower(text), any_sign) & found)
+    return _bind(F.lower(text), any_sign) & found
 
 
 @dataclass(frozen=True)
