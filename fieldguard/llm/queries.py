@@ -80,6 +80,24 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(load(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import line_dedup
+
+    return line_dedup(load(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .vector_codes import compress
+
+    return compress(load(spark, sf_dir, "embeddings"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .filter_audit import filter_audit
+
+    return filter_audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": op1_html_extraction,
@@ -92,6 +110,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_scan": op8_secret_scan,
         "op9_mixing": op9_mixing,
         "op10_exact_dedup": op10_exact_dedup,
+        "op11_line_dedup": op11_line_dedup,
+        "op12_vector_codes": op12_vector_codes,
+        "op13_filter_audit": op13_filter_audit,
     }
 
 
@@ -99,9 +120,12 @@ _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import license_scan
+    from . import filter_audit, license_scan, line_dedup, vector_codes
 
     return {
+        "op11_line_dedup": line_dedup.ORACLE,
+        "op12_vector_codes": vector_codes.oracle(),
+        "op13_filter_audit": filter_audit.ORACLE,
         "op7_license_scan": license_scan.oracle(),
         "op10_exact_dedup": f"""
 WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS points, {_NORMAL} AS norm FROM documents),
