@@ -48,6 +48,14 @@ def valid_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embed
     return df.where(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull()).where(fine).select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("v"))
 
 
+def near_one(x: np.ndarray) -> np.ndarray:
+    """Vectors times powers of two, so that their largest components lie between a half and one: squares neither under- nor
+    overflow, and no other digit of a vector or of a cosine changes."""
+    x = np.asarray(x, np.float64)
+    _, power = np.frexp(np.abs(x).max(axis=1, keepdims=True, initial=0))
+    return np.ldexp(x, -power)
+
+
 def eta(d: int, threshold: float) -> float:
     """Weight of the parallel residual against the orthogonal one for unit vectors in d dimensions."""
     return max(1.0, (d - 1) * threshold**2 / (1 - threshold**2))
@@ -62,6 +70,7 @@ class Quantiser:
 
     def split(self, x: np.ndarray) -> np.ndarray:
         """Unit vectors as [n, m, dims], zeros after the last dimension."""
+        x = near_one(x)
         x = x / np.linalg.norm(x, axis=1, keepdims=True)
         out = np.zeros((len(x), self.m * self.index.dims), np.float64)
         out[:, : self.d] = x
@@ -211,6 +220,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, index: Index = Inde
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
                 x = part.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, d).astype(wide)
+                x = near_one(x) if wide is np.float64 else x
                 held.append((part.column(0).to_numpy(), part.column(1).to_numpy(), *q.encode(x.astype(np.float64)), x))
                 if sum(len(h[0]) for h in held) >= index.code_rows:
                     yield flush()
@@ -222,6 +232,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, index: Index = Inde
             for at in range(0, batch.num_rows, index.query_rows):
                 part = batch.slice(at, index.query_rows)
                 x = part.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                x = near_one(x.reshape(-1, d)).ravel() if wide is np.float64 else x  # squares of single floats fit as they are
                 yield pa.RecordBatch.from_arrays([pa.array([part.column(0).to_numpy().tobytes()]), pa.array([part.column(1).to_numpy().tobytes()]), pa.array([x.tobytes()])], names=["asks", "own", "x"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

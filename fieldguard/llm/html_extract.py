@@ -28,7 +28,7 @@ STOP_WORDS = frozenset(
         "al como con de del el en es esta este la las lo los más no o para pero por que se su sus un una y"
     ).split()
 )
-RAW = ("script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "object", "math")
+RAW = ("script", "style", "noscript", "template", "textarea", "title", "svg", "iframe")
 BOILERPLATE = frozenset("nav footer aside form menu dialog button select head".split())
 CONTENT = frozenset("article main".split())
 BLOCK = frozenset(
@@ -45,13 +45,18 @@ MARKS = frozenset(
     "newsletter subscribe contentinfo complementary toolbar pagination pager widget widgets".split()
 )
 NEUTRAL = frozenset("site page global list box bar block blocks container wrapper wrap area region section top bottom left right inner outer item items slot unit text links link posts buttons button form thread 1 2 3".split())
+#: Parts that make a name the readers' wherever they stand, parts that cast doubt on a name that begins or ends with them, and
+#: first parts of names that tell of a page and not of what the element holds.
+READERS = frozenset("comment comments commentlist disqus respond replies responses".split())
+DOUBTFUL = frozenset("ad ads advert adverts advertisement nav navbar navigation menu sidebar newsletter cookie cookies consent sponsor sponsored promo related share sharing social signup subscribe breadcrumb discussion".split())
+ABOUT = frozenset("has no not with without is".split())
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 ATTRIBUTE_NAME = re.compile(r"[\s/]*([^\s/>=][^\s/>=]*)?\s*(=?)\s*")
 UNQUOTED = re.compile(r"[^\s>]*")
-PART = re.compile(r"[-_]+")
+PART = re.compile(r"[-_]+|(?<=[a-z0-9])(?=[A-Z])")
 RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 WORD = re.compile(r"[^\W\d_]+")
-WHITE = re.compile(r"[\s\x00-\x20]+")
+WHITE = re.compile(r"\s+")
 
 
 @dataclass(frozen=True)
@@ -73,6 +78,7 @@ class Block:
     text: str
     linked: int
     marked: bool  # by an element or name that isn't the article
+    doubtful: bool  # in an element whose name speaks against it without being sure
     region: int  # which article or main element it is in, 0 for none
     heading: bool
     label: str = ""
@@ -124,7 +130,7 @@ def parts_of(page: str) -> Iterator[str | Tag]:
             else:
                 value, at = page[at + 1 : end], end + 1
             if (a[1] or "").lower() in ("class", "id", "role"):
-                names += value.lower().split()
+                names += value.split()
         if at >= size:  # a tag without an end holds no text
             return
         at += 1
@@ -139,14 +145,25 @@ def parts_of(page: str) -> Iterator[str | Tag]:
 
 
 def marked(names: list[str]) -> bool:
-    """Whether a name consists of marks, and parts that say nothing, alone."""
+    """Whether a name consists of marks, and parts that say nothing, alone, or tells of readers' contributions."""
     for name in names:
-        parts = [x for x in PART.split(name) if x]
+        parts = _name_parts(name)
         if any(x in MARKS for x in parts) and all(x in MARKS or x in NEUTRAL for x in parts):
             return True
+        if parts and parts[0] not in ABOUT and not READERS.isdisjoint(parts):
+            return True
     return False
 
 
+def _name_parts(name: str) -> list[str]:
+    return [x.lower() for x in PART.split(name) if x]
+
+
+def doubted(names: list[str]) -> bool:
+    """Whether a name begins or ends with, or has between other parts, what seldom names an article."""
+    return any(parts and parts[0] not in ABOUT and not DOUBTFUL.isdisjoint(parts) for parts in map(_name_parts, names))
+
+
 class Elements:
     """The open elements, with the places of each name, of blocks and of articles, so that an end tag is looked up at once."""
 
@@ -156,12 +173,13 @@ class Elements:
         self.blocks: list[int] = []
         self.content: list[int] = []
         self.skips: list[int] = []
+        self.doubts: list[int] = []
 
-    def push(self, name: str, skipped: bool) -> None:
+    def push(self, name: str, skipped: bool, doubtful: bool = False) -> None:
         at = len(self.open)
         self.open.append((name, skipped))
         self.of.setdefault(name, []).append(at)
-        for there, places in ((name in BLOCK, self.blocks), (name in CONTENT, self.content), (skipped, self.skips)):
+        for there, places in ((name in BLOCK, self.blocks), (name in CONTENT, self.content), (skipped, self.skips), (doubtful, self.doubts)):
             if there:
                 places.append(at)
 
@@ -170,7 +188,7 @@ class Elements:
         while len(self.open) > at:
             name, _ = self.open.pop()
             self.of[name].pop()
-            for places in (self.blocks, self.content, self.skips):
+            for places in (self.blocks, self.content, self.skips, self.doubts):
                 if places and places[-1] == len(self.open):
                     places.pop()
 
@@ -201,7 +219,8 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal linked, heading
         text = WHITE.sub(" ", "".join(texts)).strip()
         if text:
-            out.append(Block(text, linked, bool(elements.skips), region, heading))
+            inside = elements.content[-1] if elements.content else -1  # an article settles doubts about what it stands in
+            out.append(Block(text, linked, bool(elements.skips), bool(elements.doubts) and elements.doubts[-1] > inside, region, heading))
         texts.clear()
         linked, heading = 0, False
 
@@ -236,22 +255,30 @@ def blocks_of(page: str) -> list[Block]:
             elements.end("a")
         if name in VOID or part.empty and name not in BLOCK:
             continue
-        elements.push(name, name not in CONTENT and name not in ("html", "body") and (name in BOILERPLATE or (name == "header" and not elements.content) or marked(part.names)))
+        whole = name in CONTENT or name in ("html", "body")
+        elements.push(name, not whole and (name in BOILERPLATE or (name == "header" and not elements.content) or marked(part.names)), not whole and name in BLOCK and doubted(part.names))
     close()
     return out
 
 
+def _density(text: str) -> float:
+    """The share of stop words among a text's words."""
+    words = WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+
+
 def classify(block: Block, rules: Rules) -> str:
     """Pass one: good, bad, near (unclear) or short."""
     if block.marked:
         return "bad"
     n = len(block.text)
+    if block.doubtful and (n <= rules.long or block.linked > rules.link_high * n or _density(block.text) < rules.stop_high):
+        return "bad"  # what its name doubts only long prose without links can settle
     if block.linked > rules.link_high * n:
         return "bad" if not block.region or block.linked >= rules.content_link * n else "near"
     if n < rules.short:
         return "bad" if block.linked and not block.region else "short"
-    words = WORD.findall(block.text.lower())
-    density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    density = _density(block.text)
     if block.region:
         return "good" if density >= rules.content_stop else "near"
     if density >= rules.stop_high:
@@ -268,7 +295,7 @@ def revise(blocks: list[Block]) -> None:
     """
     seen: dict[int, str] = {}
     after = [""] * len(blocks)
-    votes = lambda b: b.label in ("good", "bad") and not (b.region and b.marked)
+    votes = lambda b: b.label in ("good", "bad") and not (b.region and (b.marked or b.doubtful))
     for i in range(len(blocks) - 1, -1, -1):
         b = blocks[i]
         after[i] = seen.get(b.region, "")

@@ -30,8 +30,6 @@ from .common import by_rows, materialize, text_bytes
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{16,}")  # the same as runs of any length without the shorter ones
-LEAST = 20  # characters of a candidate
-CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 PART = re.compile(rb"[A-Za-z0-9+/_-]+(?:=+\Z)?")  # '=' is padding at the end of a run, else it separates
 PIECES = (re.compile(rb"[A-Za-z0-9+/]+=*"), re.compile(rb"[A-Za-z0-9_-]+=*"))
 KINDS = ("assign", "access", "hex", "random")
@@ -73,11 +71,15 @@ STEPS, MOST_STEPS = 8, 400
 @dataclass(frozen=True)
 class Battery:
     """level: share of ordinary strings tolerated among those reported; bits: least information for which the tests
-    have power."""
+    have power. It alone says how short a string may be: 23 characters of hex digits, 15 of base64."""
 
     level: float = 0.05
     bits: float = 90.0
 
+    def least(self) -> int:
+        """Characters that the bits take in the largest alphabet."""
+        return max(1, math.ceil(self.bits / math.log2(max(len(a) for _, a in ALPHABETS))))
+
 
 def chi_squared_tail(x: float, k: int) -> float:
     """P(X > x) for k degrees of freedom, by its finite sums for even and odd k."""
@@ -103,7 +105,7 @@ def infer(data: bytes) -> tuple[str, bytes] | None:
     return next(((n, a) for n, a in ALPHABETS if chars <= set(a)), None)
 
 
-def candidates(run: bytes) -> list[tuple[int, int]]:
+def candidates(run: bytes, least: int = 1) -> list[tuple[int, int]]:
     """(start, end) of the pieces of a run to test, by start: its parts between '=' signs, and where no alphabet
     holds all characters of one, the longest pieces in base64 and those in base64url, which may overlap."""
     out = set()
@@ -113,7 +115,7 @@ def candidates(run: bytes) -> list[tuple[int, int]]:
             out.add(part.span())
         else:
             out |= {(part.start() + m.start(), part.start() + m.end()) for p in PIECES for m in p.finditer(part[0])}
-    return sorted((a, b) for a, b in out if b - a >= LEAST)
+    return sorted((a, b) for a, b in out if b - a >= least)
 
 
 def merged(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
@@ -254,8 +256,9 @@ def scan(text: bytes, battery: Battery = Battery()) -> tuple[list[tuple[int, int
     spans += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
     taken = sorted((a, b) for a, b, _ in spans)
     tests, i = [], 0
-    for m in CANDIDATE.finditer(text):
-        for start, end in candidates(m[0]):
+    least = battery.least()
+    for m in re.finditer(rb"[A-Za-z0-9+/_=-]{%d,}" % least, text):  # shorter runs hold fewer bits in any alphabet
+        for start, end in candidates(m[0], least):
             start, end = m.start() + start, m.start() + end
             while i < len(taken) and taken[i][1] <= start:
                 i += 1

@@ -43,7 +43,8 @@ class Rules:
     """sample: labelled rows that the model is fitted on, those with the smallest hash of doc_id.
 
     entries: size of the lexicon; candidates: terms among which it is chosen; window: words on either side of a hit;
-    stem: letters of the shortest stem; folds: parts of the sample whose features come from the lexicons of the others.
+    stem: letters of the shortest stem, longest_stem those of the longest (None: any); least_letters: letters of the shortest
+    word; folds: parts of the sample whose features come from the lexicons of the others.
     """
 
     sample: int = 8_000
@@ -53,6 +54,8 @@ class Rules:
     least_docs: int = 3
     least_weight: float = 1.5
     stem: int = 4
+    longest_stem: int | None = None
+    least_letters: int = 1
     window: int = 6
 
 
@@ -246,9 +249,9 @@ def candidates(text: str, rules: Rules) -> set[str]:
     """Words of a text, and stems that its words begin with."""
     out = set()
     for w in set(WORD.findall(text.lower())):
-        if len(w) >= 3:
+        if len(w) >= rules.least_letters:
             out.add(w)
-        for k in range(rules.stem, min(8, len(w))):
+        for k in range(rules.stem, len(w) if rules.longest_stem is None else min(rules.longest_stem + 1, len(w))):
             out.add(w[:k] + "*")
     return out
 
@@ -271,7 +274,7 @@ def lexicon(counts: dict[str, tuple[int, int]], n1: int, n0: int, rules: Rules)
     out: dict[str, float] = {}
     single: dict[str, int] = {}  # documents of the commonest word under each stem
     for _, term, _ in ranked:
-        for k in range(rules.stem, min(8, len(term))) if not term.endswith("*") else ():
+        for k in range(rules.stem, len(term) if rules.longest_stem is None else min(rules.longest_stem + 1, len(term))) if not term.endswith("*") else ():
             single[term[:k] + "*"] = max(single.get(term[:k] + "*", 0), counts[term][1])
     for _, term, weight in ranked:
         if term.endswith("*"):
