@@ -58,12 +58,24 @@ def parse_ruleset(text: str | bytes) -> tuple[tuple[str, str], ...]:
     return tuple(found)
 
 
+@dataclass(frozen=True)
+class Found:
+    """What is known of a finding when a plan is made: no text, no place."""
+
+    type: str
+    detector: str
+    confidence: str
+    obfuscation: str = "none"
+
+
 @dataclass(frozen=True)
 class ScanConfig:
     """policy: a function of (type, confidence) Columns to an action, or rules: of a declarative policy; not both.
 
-    evaluate and formatter are their counterparts for Arrow batches: functions of a finding to an action, and of a
-    finding and its number to a placeholder. What is no action, and what they raise, fails the scan with a code.
+    evaluate and formatter are Python's: functions of a Found to an action, and of a Found and its number, a Column, to a
+    placeholder (a Column, or a text that doesn't show the number). They are asked when the plan is made, once for each kind
+    of finding, since there are few, so no row calls Python. What is no action, and what they raise, fails the scan of a
+    text with such a finding with a code.
     """
 
     policy: Callable[[Column, Column], Column] | None = None
@@ -79,23 +91,8 @@ class ScanConfig:
         if (self.policy is not None or self.evaluate is not None) and self.rules:
             raise OptionsError("CORE_OPTION_REJECTED", ("policy", "actionPolicy"))
 
-    def plain(self) -> bool:
-        """Whether plans can carry the config: Python callables need Arrow batches."""
-        return self.evaluate is None and self.formatter is None
-
-    def action(self, kind: Column, confidence: Column) -> Column:
-        default = F.when(kind == "private_key", "block").when(confidence == "high", "redact").otherwise("warn")
-        if self.policy is not None:
-            chosen = self.policy(kind, confidence)
-            return F.when(chosen.isin(*ACTIONS), chosen)  # null: no action, which fails the scan
-        out = None
-        for types, action in self.rules:
-            value = default if action == "default" else F.lit(action)
-            out = F.when(kind.isin(*types), value) if out is None else out.when(kind.isin(*types), value)
-        return default if out is None else out.otherwise(default)
-
     def action_sql(self, kind: str, confidence: str) -> str:
-        """The same as an SQL expression; a column policy has none."""
+        """The same as SQL text; a function of a policy has none."""
         default = f"CASE WHEN {kind} = 'private_key' THEN 'block' WHEN {confidence} = 'high' THEN 'redact' ELSE 'warn' END"
         if not self.rules:
             return default
@@ -206,11 +203,6 @@ def verify_scan_options(spark, config: ScanConfig, version: str | None = None) -
         if not spark.range(1).select(version_at_least(F.lit(version), FLOORS[name])).first()[0]:
             raise OptionsError("CORE_OPTION_UNSUPPORTED", (name,))
     try:
-        if config.plain():
-            spark.range(1).select(scan(F.lit(""), config)).collect()
-        else:
-            from .functions.python_scanner import TextScanner
-
-            TextScanner(config).scan("")
+        spark.range(1).select(scan(F.lit(""), config)).collect()
     except Exception as e:
         raise OptionsError("CORE_OPTION_REJECTED", tuple(needed) or ("policy",)) from e

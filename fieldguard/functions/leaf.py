@@ -5,130 +5,111 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..config import OptionsError, ScanConfig
+from ..config import ScanConfig
 from ..constants import BLOCKED, COUNTS, ERROR, FINDING, LIMIT, WALK_LIMITS
-from .scanner import _bind, builtin_pack, holds_match, scan
+from .arrays import apply, bind, let, quote, struct
+from .scanner import scan_sql, sign_sql, with_callables
 
 LEAF = "struct<text:string,outcome:string,findings:int>"
-
-
-def view_parts(key: Column) -> tuple[Column, Column]:
-    """What stands before and after a leaf in the view of its key; never escaped."""
-    return F.concat(F.lit('{"'), key, F.lit('":"')), F.lit('"}')
+CHARGED = "struct<text:string,outcome:string,findings:int,scans:int,bytes:bigint,found:int>"
 
 
 def _has(findings: Column, *actions: str) -> Column:
     return F.exists(findings, lambda f: f["action"].isin(*actions))
 
 
-def in_key_context(text: Column, key: Column, config: ScanConfig) -> Column:
-    """struct<text, findings, outside, broken> of the view for the leaf; outside: a decisive finding beyond it; broken: the
-    frame didn't come back as it went in."""
-    before, after = view_parts(key)
-
-    def shift(r: Column) -> Column:
-        n, size = F.length(before), F.length(text)
-        inside = lambda f: (f["start"] >= n) & (f["end"] <= n + size)
-        findings = F.transform(F.filter(r["findings"], inside), lambda f: f.withField("start", f["start"] - n).withField("end", f["end"] - n))
-        outside = F.exists(r["findings"], lambda f: ~inside(f) & f["action"].isin("redact", "block"))
-        framed = r["text"].startswith(before) & r["text"].endswith(after) & (F.length(r["text"]) >= n + F.length(after))
-        inner = F.substr(r["text"], n + 1, F.length(r["text"]) - n - F.length(after))
-        return F.struct(inner.alias("text"), findings.alias("findings"), outside.alias("outside"), F.coalesce(~outside & ~framed, F.lit(True)).alias("broken"), F.size(r["findings"]).alias("found"))
-
-    return _bind(scan(F.concat(before, text, after), config), shift)
-
-
-def decide(text: Column, key: Column | None, config: ScanConfig) -> Column:
-    """struct<text, findings, outside, broken, scans, bytes, found> of the leaf: alone if that redacts or blocks, else the
-    view where it redacts, blocks, or alone found nothing. Two results are never merged. scans, bytes and found are what
-    both scans took and found."""
-    if not config.plain():
-        raise OptionsError("CORE_OPTION_UNSUPPORTED", ("evaluate", "formatter"))
-    size = F.octet_length(text).cast("long")
-
-    def with_view(alone: Column) -> Column:
-        n = F.size(alone["findings"])
-        own = F.struct(
-            alone["text"].alias("text"), alone["findings"].alias("findings"), F.lit(False).alias("outside"), alone["text"].isNull().alias("broken"), F.lit(1).alias("scans"), size.alias("bytes"), n.alias("found")
-        )
-        if key is None:
-            return own
-
-        def choose(view: Column) -> Column:
-            keep = ~view["outside"] & ~_has(view["findings"], "redact", "block") & (n > 0)
-            costs = [F.lit(2).alias("scans"), (size * 2 + F.octet_length(key) + 7).alias("bytes"), (n + view["found"]).alias("found")]
-            kept = F.struct(alone["text"].alias("text"), alone["findings"].alias("findings"), F.lit(False).alias("outside"), F.lit(False).alias("broken"), *costs)
-            return F.when(keep, kept).otherwise(F.struct(*[view[c].alias(c) for c in ("text", "findings", "outside", "broken")], *costs))
-
-        return F.when(_has(alone["findings"], "redact", "block") | key.isNull(), own).otherwise(_bind(in_key_context(text, key, config), choose))
-
-    return _bind(scan(text, config), with_view)
-
-
-def suspicious(text: Column, key: Column | None, config: ScanConfig) -> Column:
-    """Whether the leaf's view holds a match at all; where it doesn't, the leaf holds none either and neither is analysed."""
-    if not config.plain():
-        raise OptionsError("CORE_OPTION_UNSUPPORTED", ("evaluate", "formatter"))
-    before, after = view_parts(key) if key is not None else (F.lit(""), F.lit(""))
-    seen = text if key is None else F.when(key.isNull(), text).otherwise(F.concat(before, text, after))
-    return holds_match(seen, config)
-
-
-CHARGED = "struct<text:string,outcome:string,findings:int,scans:int,bytes:bigint,found:int>"
+def has_sql(findings: str, *actions: str) -> str:
+    return f"exists({findings}, h_ -> h_.action IN ({', '.join(map(quote, actions))}))"
+
+
+def view_sql(text: str, key: str) -> str:
+    """The leaf's view in the context of its key; never escaped."""
+    return f"concat('{{\"', {key}, '\":\"', {text}, '\"}}')"
+
+
+def _key_view(text: str, key: str, config: ScanConfig, maps: str, names: tuple[str, ...]) -> str:
+    """struct<text, findings, outside, broken, code, found> of the view for the leaf; outside: a decisive finding beyond it;
+    broken: the frame didn't come back as it went in."""
+    inside = "d_.start >= n_.at AND d_.end <= n_.at + n_.size"
+    moved = struct(id="d_.id", type="d_.type", detector="d_.detector", confidence="d_.confidence", action="d_.action", obfuscation="d_.obfuscation", start="d_.start - n_.at", end="d_.end - n_.at")
+    out = struct(
+        text="substr(w_.text, n_.at + 1, length(w_.text) - n_.at - 2)", findings=f"cast(transform(filter(w_.findings, d_ -> {inside}), d_ -> {moved}) as array<{FINDING}>)", outside="o_",
+        broken=f"coalesce(NOT o_ AND NOT (startswith(w_.text, concat('{{\"', {key}, '\":\"')) AND endswith(w_.text, '\"}}') AND length(w_.text) >= n_.at + 2), true)", code="w_.code", found="size(w_.findings)",
+    )
+    outside = f"exists(w_.findings, d_ -> NOT ({inside}) AND d_.action IN ('redact', 'block'))"
+    return let("n_", struct(at=f"length({key}) + 5", size=f"length({text})"), let("w_", scan_sql(view_sql(text, key), config, None, maps, names), let("o_", outside, out)))
+
+
+def decide_sql(text: str, key: str | None, config: ScanConfig, maps: str = "x", names: tuple[str, ...] = (), alone: str | None = None) -> str:
+    """struct<text, findings, outside, broken, code, scans, bytes, found, peak> of the leaf: alone if that redacts, blocks or
+    fails, else its key's view where it redacts, blocks, or alone found nothing. Two results are never merged. scans, bytes
+    and found are what both scans took and found, peak the findings of the one that found more. alone: the leaf's own scan,
+    where it has been made before."""
+    alone = alone or scan_sql(text, config, None, maps, names)
+    size = f"cast(octet_length({text}) as bigint)"
+    fields = ("text", "findings", "outside", "broken", "code")
+    own = struct(text="a_.text", findings="a_.findings", outside="false", broken="a_.text IS NULL", code="a_.code", scans="1", bytes=size, found="size(a_.findings)", peak="size(a_.findings)")
+    if key is None:
+        return let("a_", alone, own)
+    both = {"scans": "2", "bytes": f"{size} * 2 + octet_length({key}) + 7", "found": "size(a_.findings) + v_.found", "peak": "greatest(size(a_.findings), v_.found)"}
+    keep = f"v_.code IS NULL AND NOT v_.outside AND NOT {has_sql('v_.findings', 'redact', 'block')} AND size(a_.findings) > 0"
+    kept = struct(text="a_.text", findings="a_.findings", outside="false", broken="false", code="cast(null as string)", **both)
+    view = let("v_", _key_view(text, key, config, maps, names), f"CASE WHEN {keep} THEN {kept} ELSE {struct(**{f: f'v_.{f}' for f in fields}, **both)} END")
+    return let("a_", alone, f"CASE WHEN {key} IS NULL OR a_.code IS NOT NULL OR {has_sql('a_.findings', 'redact', 'block')} THEN {own} ELSE {view} END")
+
+
+def seen_sql(text: str, key: str | None, config: ScanConfig) -> str:
+    """Whether a leaf's view may hold a match; where it doesn't, the leaf holds none either."""
+    return let("y_", f"CASE WHEN {key} IS NULL THEN {text} ELSE {view_sql(text, key)} END" if key else text, sign_sql("y_", config))
+
+
+def charged_sql(text: str, key: str | None, config: ScanConfig, max_string_length: int, maps: str = "x", names: tuple[str, ...] = (), alone: str | None = None) -> str:
+    """charged_leaf() of a text and a key given as SQL. alone: the scan of the text alone, null where its view holds no match."""
+    def leaf(out: str, outcome: str, findings: str = "0", scans: str = "0", size: str = "0", found: str = "0") -> str:
+        return struct(text=out, outcome=outcome, findings=f"cast({findings} as int)", scans=f"cast({scans} as int)", bytes=f"cast({size} as bigint)", found=f"cast({found} as int)")
+
+    octets = f"octet_length({text})"
+    spent = {"scans": "r_.scans", "size": "r_.bytes", "found": "r_.found"}
+    failed = "r_.broken OR r_.code IS NOT NULL" + (f" OR size(r_.findings) > {config.max_findings}" if config.max_findings is not None else "")
+    outcome = f"CASE WHEN r_.text <> {text} THEN 'redacted' ELSE 'unchanged' END"
+    judged = (
+        f"CASE WHEN {failed} THEN {leaf(quote(ERROR), quote('failed'), **spent)} WHEN r_.outside THEN {leaf(quote(BLOCKED), quote('blocked'), **spent)} "
+        f"WHEN {has_sql('r_.findings', 'block')} THEN {leaf(quote(BLOCKED), quote('blocked'), 'size(r_.findings)', **spent)} "
+        f"ELSE {leaf('r_.text', outcome, 'size(r_.findings)', **spent)} END"
+    )
+    whens = [f"WHEN {text} IS NULL THEN NULL", f"WHEN length({text}) > {max_string_length}" + (f" OR coalesce(length({key}) > {max_string_length}, false)" if key else "") + f" THEN {leaf(quote(LIMIT), quote('limited'))}"]
+    if config.max_input_bytes is not None:
+        whens.append(f"WHEN {octets} > {config.max_input_bytes} THEN {leaf(quote(ERROR), quote('failed'), '0', '1', octets)}")
+        if key:
+            acts = let("z_", alone or scan_sql(text, config, None, maps, names), f"coalesce({has_sql('z_.findings', 'redact', 'block')}, false)")
+            whens.append(f"WHEN {key} IS NOT NULL AND {octets} + octet_length({key}) + 7 > {config.max_input_bytes} AND NOT {acts} THEN {leaf(quote(ERROR), quote('failed'), '0', '1', octets)}")
+    scans = f"CASE WHEN {key} IS NULL THEN 1 ELSE 2 END" if key else "1"
+    size = f"CASE WHEN {key} IS NULL THEN {octets} ELSE {octets} * 2 + octet_length({key}) + 7 END" if key else octets
+    unseen = f"{alone} IS NULL" if alone else f"NOT {seen_sql(text, key, config)}"
+    whens.append(f"WHEN {unseen} THEN {leaf(text, quote('unchanged'), '0', scans, size)}")
+    return f"CASE {' '.join(whens)} ELSE {let('r_', decide_sql(text, key, config, maps, names, alone), judged)} END"
 
 
 def charged_leaf(text: Column, key: Column | None = None, config: ScanConfig = ScanConfig(), max_string_length: int = WALK_LIMITS["max_string_length"]) -> Column:
     """struct<text, outcome, findings, scans, bytes, found>: the masked leaf with what it spent; null for null. Limits
-    come before any scan; a scan of more bytes than the whole-input limit fails, the view's as well as the leaf's."""
-    too_long = F.length(text) > max_string_length
-    if key is not None:
-        too_long = too_long | F.coalesce(F.length(key) > max_string_length, F.lit(False))
-
-    def leaf(out: Column | str, outcome: Column | str, findings: Column | int, r: Column | None = None, scans: int = 0) -> Column:
-        value = lambda x: x if isinstance(x, Column) else F.lit(x)
-        costs = [r[c] for c in ("scans", "bytes", "found")] if r is not None else [F.lit(scans), F.octet_length(text) if scans else F.lit(0), F.lit(0)]
-        return F.struct(
-            value(out).alias("text"), value(outcome).alias("outcome"), value(findings).cast("int").alias("findings"), costs[0].cast("int").alias("scans"), costs[1].cast("long").alias("bytes"), costs[2].cast("int").alias("found")
-        )
-
-    def outcome(r: Column) -> Column:
-        n = F.size(r["findings"])
-        many = r["broken"] | F.exists(r["findings"], lambda f: f["action"].isNull())
-        if config.max_findings is not None:
-            many = many | (n > config.max_findings)
-        return (
-            F.when(many, leaf(ERROR, "failed", 0, r))
-            .when(r["outside"], leaf(BLOCKED, "blocked", 0, r))
-            .when(_has(r["findings"], "block"), leaf(BLOCKED, "blocked", n, r))
-            .otherwise(leaf(r["text"], F.when(r["text"] != text, "redacted").otherwise("unchanged"), n, r))
-        )
-
-    out = F.when(too_long, leaf(LIMIT, "limited", 0))
-    size = F.octet_length(text)
-    keyed = F.lit(False) if key is None else key.isNotNull()
-    if config.max_input_bytes is not None:
-        out = out.when(size > config.max_input_bytes, leaf(ERROR, "failed", 0, None, 1))
-        if key is not None:
-            out = out.when(keyed & (size + F.octet_length(key) + 7 > config.max_input_bytes) & ~scan_decides(text, config), leaf(ERROR, "failed", 0, None, 1))
-    twice = size if key is None else F.when(keyed, size * 2 + F.octet_length(key) + 7).otherwise(size)
-    same = F.struct(
-        text.alias("text"), F.lit("unchanged").alias("outcome"), F.lit(0).alias("findings"), (F.lit(1) if key is None else F.when(keyed, 2).otherwise(1)).alias("scans"), twice.cast("long").alias("bytes"), F.lit(0).alias("found")
-    )
-    return F.when(text.isNotNull(), out.when(~suspicious(text, key, config), same).otherwise(_bind(decide(text, key, config), outcome)))
+    come before any scan; a scan of more bytes than the whole-input limit fails, the view's as well as the leaf's. Where the
+    leaf's view holds no match at all, the leaf holds none either and neither is analysed."""
+    value, names = with_callables(config, t=text, **({} if key is None else {"k": key}))
+    return apply(value, f"x -> {charged_sql('x.t', None if key is None else 'x.k', config, max_string_length, 'x', names)}")
 
 
-def scan_decides(text: Column, config: ScanConfig) -> Column:
-    """Whether the leaf alone redacts or blocks, so that its view isn't scanned."""
-    return F.when(text.rlike(builtin_pack(config).pattern), _has(scan(text, config)["findings"], "redact", "block")).otherwise(F.lit(False))
+def decide(text: Column, key: Column | None, config: ScanConfig) -> Column:
+    value, names = with_callables(config, t=text, **({} if key is None else {"k": key}))
+    return apply(value, f"x -> {decide_sql('x.t', None if key is None else 'x.k', config, 'x', names)}")
 
 
 def mask_leaf_outcome(text: Column, key: Column | None = None, config: ScanConfig = ScanConfig(), max_string_length: int = WALK_LIMITS["max_string_length"]) -> Column:
     """struct<text, outcome, findings>; null for null."""
-    return _bind(charged_leaf(text, key, config, max_string_length), lambda m: F.when(m.isNotNull(), F.struct(m["text"].alias("text"), m["outcome"].alias("outcome"), m["findings"].alias("findings"))))
+    return bind(charged_leaf(text, key, config, max_string_length), lambda m: F.when(m.isNotNull(), F.struct(m["text"].alias("text"), m["outcome"].alias("outcome"), m["findings"].alias("findings"))))
 
 
 def mask_leaf(text: Column, key: Column | None = None, config: ScanConfig = ScanConfig(), max_string_length: int = WALK_LIMITS["max_string_length"]) -> Column:
-    return _bind(mask_leaf_outcome(text, key, config, max_string_length), lambda x: x["text"])
+    return bind(mask_leaf_outcome(text, key, config, max_string_length), lambda x: x["text"])
 
 
 def counts_of(leaf: Column) -> Column:

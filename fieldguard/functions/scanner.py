@@ -1,4 +1,4 @@
-"""Detector packs compiled to Column expressions: scan(text) gives the rewritten text and its findings.
+"""Detector packs compiled to expressions: scan(text) gives the rewritten text and its findings.
 
 A pack is one combined alternation of a portable dialect (no look-around, no word boundary), tried first as a
 cheap predicate, so that texts without a match are passed on untouched. Each match is split again into what
@@ -13,8 +13,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..config import ScanConfig
-from ..constants import FINDING
+from ..config import Found, ScanConfig
+from ..constants import ACTIONS, FINDING
+from .arrays import apply, let, quote, running_sql, struct
 
 # What the detectors look for.
 _KEY = r"(?:[Dd][Bb]_|[Cc][Ll][Ii][Ee][Nn][Tt]_|[Aa][Cc][Cc][Ee][Ss][Ss]_|[Aa][Uu][Tt][Hh]_)?(?:[Aa][Pp][Ii][_-]?[Kk][Ee][Yy]|[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn])"
@@ -40,20 +41,21 @@ def signs_of(config: ScanConfig) -> tuple[str, ...] | None:
     return None if config.ruleset else (*SIGNS, "@") if config.pii else SIGNS
 
 
-def holds_match(text: Column, config: ScanConfig, pack: Pack | None = None) -> Column:
-    """Whether a text holds a match; most texts hold no sign of one, which is far cheaper to see."""
-    found = text.rlike((pack or builtin_pack(config)).pattern)
+def sign_sql(text: str, config: ScanConfig, pack: Pack | None = None) -> str:
+    """Whether a text may hold a match: most texts hold no sign of one, which is far cheaper to see than that they hold none."""
     signs = signs_of(config) if pack is None else None
     if signs is None:
-        return found
+        return f"({text} rlike {quote((pack or builtin_pack(config)).pattern)})"
+    return let("low_", f"lower({text})", " OR ".join(f"contains(low_, {quote(x)})" for x in signs))
+
 
-    def any_sign(low: Column) -> Column:
-        out = low.contains(signs[0])
-        for s in signs[1:]:
-            out = out | low.contains(s)
-        return out
+def holds_sql(text: str, config: ScanConfig, pack: Pack | None = None) -> str:
+    """Whether a text holds a match."""
+    return f"({sign_sql(text, config, pack)} AND {text} rlike {quote((pack or builtin_pack(config)).pattern)})"
 
-    return _bind(F.lower(text), any_sign) & found
+
+def holds_match(text: Column, config: ScanConfig, pack: Pack | None = None) -> Column:
+    return apply(text, f"x -> {holds_sql('x', config, pack)}")
 
 
 @dataclass(frozen=True)
@@ -86,88 +88,126 @@ def builtin_pack(config: ScanConfig = ScanConfig()) -> Pack:
     return Pack("|".join(parts), f"^(?:{before})", tuple(kinds))
 
 
-def _bind(value: Column, f: Callable[[Column], Column]) -> Column:
-    """f of a value that is evaluated once, however often f uses it."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
+#: Stands for the number in a placeholder's text, and before the code of a placeholder that failed.
+NUMBER, FAILED = "\u0001", "\u0002"
+#: Stands on both sides of a match where a text is cut.
+CUT = "\u0000"
 
 
-def _kind(pack: Pack, value: Column) -> Column:
-    """The place of the first kind whose pattern the value has."""
-    out = None
-    for i, (_, _, pattern, _) in enumerate(pack.kinds):
-        if not pattern:
-            return F.lit(i) if out is None else out.otherwise(i)
-        out = F.when(value.rlike(pattern), i) if out is None else out.when(value.rlike(pattern), i)
-    return out
+def _kinds(pack: Pack) -> list[Found]:
+    """What is known of findings when the plan is made: each kind with each confidence that it may have."""
+    return [Found(t, d, confidence) for t, d, _, c in pack.kinds for confidence in ((c,) if c is not None else ("high", "medium"))]
+
 
+def _name(found: Found) -> str:
+    return f"{found.type}|{found.confidence}"
 
-def _named(pack: Pack, place: Column, names: list[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), place + 1)
 
+def callables(config: ScanConfig, pack: Pack | None = None, formatter: Callable[[Column, Column], Column] | None = None) -> dict[str, Column]:
+    """What the config's functions say of each kind of finding, as maps that travel with a text: actions, or the codes of
+    what failed, and placeholders with NUMBER for the number."""
+    kinds, out = _kinds(pack or builtin_pack(config)), {}
 
-def _analysed(matches: Column, config: ScanConfig, pack: Pack) -> Column:
-    """The matches in text order: struct<prefix, value, type, detector, confidence, action, ignored>."""
-    def analyse(match: Column) -> Column:
-        prefix = F.regexp_extract(match, pack.before, 0)
-        return _bind(F.when(F.length(prefix) < F.length(match), prefix).otherwise(""), lambda p: _bind(F.struct(p.alias("prefix"), F.substr(match, F.length(p) + 1).alias("value")), of_parts))
+    def asked(f: Callable[[Found], Column | str | None]) -> Column:
+        return F.create_map(*[x for k in kinds for x in (F.lit(_name(k)), f(k))])
 
-    def of_parts(p: Column) -> Column:
-        return _bind(F.struct(p["prefix"].alias("prefix"), p["value"].alias("value"), _kind(pack, p["value"]).alias("kind"), p["value"].rlike(pack.ignored).alias("ignored")), of_kind)
+    def action(k: Found) -> Column:
+        if config.policy is not None:
+            chosen = config.policy(F.lit(k.type), F.lit(k.confidence))
+            return F.when(chosen.isin(*ACTIONS), chosen).otherwise("INVALID_POLICY_ACTION")
+        try:
+            chosen = config.evaluate(k)
+        except Exception:  # never read
+            return F.lit("POLICY_FAILURE")
+        return F.lit(chosen if chosen in ACTIONS else "INVALID_POLICY_ACTION")
 
-    def of_kind(k: Column) -> Column:
-        confidence = None
-        for i, (t, _, _, c) in enumerate(pack.kinds):
-            if c is None:
-                sure = F.length(k["prefix"]) > 0 if t == "pii_global_email" else F.length(k["value"]) >= CERTAIN
-                own = F.when(sure, "high").otherwise("medium")
-            else:
-                own = F.lit(c)
-            confidence = F.when(k["kind"] == i, own) if confidence is None else confidence.when(k["kind"] == i, own)
-        kind = _named(pack, k["kind"], [x[0] for x in pack.kinds])
-        return _bind(F.struct(kind.alias("type"), confidence.alias("confidence")), lambda c: F.struct(
-            k["prefix"].alias("prefix"), k["value"].alias("value"), c["type"].alias("type"), _named(pack, k["kind"], [x[1] for x in pack.kinds]).alias("detector"), c["confidence"].alias("confidence"),
-            F.when(k["ignored"], "allow").otherwise(config.action(c["type"], c["confidence"])).alias("action"), k["ignored"].alias("ignored"),
-        ))
+    def shown(k: Found) -> Column:
+        if formatter is not None:
+            return F.coalesce(formatter(F.lit(k.type), F.lit(NUMBER)), F.lit(FAILED + "PLACEHOLDER_FAILURE"))
+        try:
+            made = config.formatter(k, F.lit(NUMBER))
+        except Exception:  # never read
+            return F.lit(FAILED + "PLACEHOLDER_FAILURE")
+        if isinstance(made, Column):
+            return F.coalesce(made.cast("string"), F.lit(FAILED + "PLACEHOLDER_FAILURE"))
+        # a number that was made text on the driver isn't the finding's
+        return F.lit(made if isinstance(made, str) and "Column<" not in made else FAILED + "INVALID_PLACEHOLDER")
 
-    return F.transform(matches, analyse)
+    if config.policy is not None or config.evaluate is not None:
+        out["acts"] = asked(action)
+    if config.formatter is not None or formatter is not None:
+        out["shown"] = asked(shown)
+    return out
+
+
+def _cases(pack: Pack, value: str) -> str:
+    """The place of the first kind whose pattern the value has."""
+    whens = " ".join(f"WHEN {value} rlike {quote(p)} THEN {i}" for i, (_, _, p, _) in enumerate(pack.kinds) if p)
+    rest = next((str(i) for i, k in enumerate(pack.kinds) if not k[2]), "null")
+    return f"CASE {whens} ELSE {rest} END"
+
+
+def _confidences(pack: Pack, k: str) -> str:
+    whens = []
+    for i, (t, _, _, c) in enumerate(pack.kinds):
+        sure = f"length({k}.prefix) > 0" if t == "pii_global_email" else f"length({k}.value) >= {CERTAIN}"
+        whens.append(f"WHEN {k}.kind = {i} THEN " + (quote(c) if c is not None else f"CASE WHEN {sure} THEN 'high' ELSE 'medium' END"))
+    return f"CASE {' '.join(whens)} END"
+
+
+def scan_sql(text: str, config: ScanConfig, pack: Pack | None = None, maps: str = "x", names: tuple[str, ...] = ()) -> str:
+    """scan() of a text given as SQL; maps: the variable whose fields acts and shown, where they are among names, are those of
+    callables()."""
+    given, pack = pack, pack or builtin_pack(config)
+    empty = f"cast(array() as array<{FINDING}>)"
+    pick = lambda place, i: f"get(array({', '.join(quote(k[i]) for k in pack.kinds)}), {place})"
+    which = "concat(k_.type, '|', k_.confidence)"
+    act = f"coalesce({maps}.acts[{which}], 'INVALID_POLICY_ACTION')" if "acts" in names else config.action_sql("k_.type", "k_.confidence")
+    number = "cast(get(u_.numbers, i_) + 1 as string)"
+    shown = f"replace({maps}.shown[{which}], {quote(NUMBER)}, {number})" if "shown" in names else f"concat('<SECRET_', {number}, '>')"
+    sides = let("b_", f"regexp_extract(q_, {quote(pack.before)}, 0)", let("p_", "CASE WHEN length(b_) < length(q_) THEN b_ ELSE '' END", struct(prefix="p_", value="substr(q_, length(p_) + 1)")))
+    sorted_ = struct(prefix="k_.prefix", value="k_.value", kind=_cases(pack, "k_.value"), ignored=f"k_.value rlike {quote(pack.ignored)}")
+    sure = struct(prefix="k_.prefix", value="k_.value", ignored="k_.ignored", type=pick("k_.kind", 0), detector=pick("k_.kind", 1), confidence=_confidences(pack, "k_"))
+    acted = struct(prefix="k_.prefix", value="k_.value", ignored="k_.ignored", type="k_.type", detector="k_.detector", confidence="k_.confidence", action=f"CASE WHEN k_.ignored THEN 'allow' ELSE {act} END")
+    found = f"transform(transform(transform(transform(m_.matches, q_ -> {sides}), k_ -> {sorted_}), k_ -> {sure}), k_ -> {acted})"
+    # places and numbers are running sums over gaps and matches, so that nothing is looked for from the start again
+    lengths = "transform(f_, (k_, i_) -> cast(length(get(m_.gaps, i_)) + length(k_.prefix) + length(k_.value) as bigint))"
+    first = struct(starts="array(0L)", numbers="array(0L)")
+    sums = struct(starts=running_sql(lengths), numbers=running_sql("transform(f_, k_ -> CASE WHEN k_.action = 'redact' THEN 1L ELSE 0L END)"))
+    start = "get(u_.starts, i_) + length(get(m_.gaps, i_)) + length(k_.prefix)"
+    whole = struct(ignored="k_.ignored", type="k_.type", detector="k_.detector", confidence="k_.confidence", action="k_.action", start=f"cast({start} as int)", end=f"cast({start} + length(k_.value) as int)")
+    numbered = struct(id="concat('finding-', cast(i_ + 1 as string))", type="g_.type", detector="g_.detector", confidence="g_.confidence", action="g_.action", obfuscation="'none'", start="g_.start", end="g_.end")
+    findings = f"cast(transform(filter(transform(f_, (k_, i_) -> {whole}), g_ -> NOT g_.ignored), (g_, i_) -> {numbered}) as array<{FINDING}>)"
+    failed = f"get(filter(concat(transform(f_, k_ -> CASE WHEN k_.action NOT IN ({', '.join(map(quote, ACTIONS))}) THEN k_.action END), transform(s_, y_ -> CASE WHEN startswith(y_, {quote(FAILED)}) THEN substr(y_, 2) END)), c_ -> c_ IS NOT NULL), 0)"
+    joined = "array_join(concat(transform(f_, (k_, i_) -> concat(get(m_.gaps, i_), k_.prefix, coalesce(get(s_, i_), k_.value))), array(get(m_.gaps, size(m_.gaps) - 1))), '')"
+    out = let("s_", f"transform(f_, (k_, i_) -> CASE WHEN k_.action = 'redact' THEN {shown} END)", let("e_", failed, struct(text=f"CASE WHEN e_ IS NULL THEN {joined} END", findings=findings, code="e_")))
+    # gaps and matches by turns: the text is searched once, between signs that it doesn't hold itself
+    by_sign = f"split(regexp_replace(t_, {quote(pack.pattern)}, concat({quote(CUT)}, '$0', {quote(CUT)})), {quote(CUT)}, -1)"
+    by_pattern = f"flatten(zip_with(split(t_, {quote(pack.pattern)}, -1), regexp_extract_all(t_, {quote(pack.pattern)}, 0), (g_, q_) -> array(g_, q_)))"
+    turns = f"CASE WHEN contains(t_, {quote(CUT)}) THEN {by_pattern} ELSE {by_sign} END"
+    parts = struct(matches="filter(r_, (q_, i_) -> i_ % 2 = 1 AND q_ IS NOT NULL)", gaps="filter(r_, (q_, i_) -> i_ % 2 = 0)")
+    none = struct(text="t_", findings=empty, code="cast(null as string)")
+    analysed = let("m_", parts, let("f_", found, let("u_", f"CASE WHEN size(f_) = 1 THEN {first} ELSE {sums} END", out)))
+    searched = let("r_", turns, f"CASE WHEN size(r_) < 3 THEN {none} ELSE {analysed} END")
+    return let("t_", text, f"CASE WHEN t_ IS NULL THEN NULL WHEN {sign_sql('t_', config, given)} THEN {searched} ELSE {none} END")
+
+
+def with_callables(config: ScanConfig, **values: Column) -> tuple[Column, tuple[str, ...]]:
+    """The argument of a body that scans: a struct of values beside the maps of the config's functions, and their names."""
+    maps = callables(config)
+    return F.struct(*[c.alias(k) for k, c in (values | maps).items()]), tuple(maps)
 
 
 def scan(text: Column, config: ScanConfig = ScanConfig(), pack: Pack | None = None, formatter: Callable[[Column, Column], Column] | None = None) -> Column:
-    """struct<text, findings>: null for a null text. Placeholders count the rewritten findings in text order.
+    """struct<text, findings, code>: null for a null text. Placeholders count the rewritten findings in text order.
 
-    formatter: (type, number) to the placeholder; <SECRET_n> without. A finding whose placeholder is null has failed to
-    be formatted; its text is null then. A match is where its text stands next, since the pattern would have matched
-    there or before otherwise.
+    formatter: (type, number as text) to the placeholder; <SECRET_n> without. code: what a policy or a formatter failed
+    with, else null; the text is null then. The text is split once at the pattern, and its cost doesn't grow with the
+    square of its matches.
     """
-    given, pack = pack, pack or builtin_pack(config)
-    formatter = formatter or (lambda kind, n: F.concat(F.lit("<SECRET_"), n.cast("string"), F.lit(">")))
-    none = F.struct(text.alias("text"), F.expr(f"cast(array() as array<{FINDING}>)").alias("findings"))
-
-    def step(acc: Column, m: Column) -> Column:
-        def put(x: Column) -> Column:
-            start = x["at"] + F.length(m["prefix"])
-            shown = F.when(m["action"] == "redact", formatter(m["type"], acc["rewritten"] + 1)).otherwise(m["value"])
-            finding = F.struct(
-                F.concat(F.lit("finding-"), (F.size(acc["findings"]) + 1).cast("string")).alias("id"), m["type"].alias("type"), m["detector"].alias("detector"), m["confidence"].alias("confidence"),
-                m["action"].alias("action"), F.lit("none").alias("obfuscation"), (start - 1).cast("int").alias("start"), (start - 1 + F.length(m["value"])).cast("int").alias("end"),
-            )
-            return F.struct(
-                (start + F.length(m["value"])).cast("int").alias("next"),
-                (acc["rewritten"] + F.when(m["action"] == "redact", 1).otherwise(0)).cast("int").alias("rewritten"),
-                F.concat(acc["pieces"], F.array(F.concat(F.substr(text, acc["next"], x["at"] - acc["next"]), m["prefix"], shown))).alias("pieces"),
-                F.when(m["ignored"], acc["findings"]).otherwise(F.concat(acc["findings"], F.array(finding).cast(f"array<{FINDING}>"))).alias("findings"),
-            )
-
-        return _bind(F.struct(F.call_function("locate", F.concat(m["prefix"], m["value"]), text, acc["next"]).alias("at")), put)
-
-    begin = F.struct(F.lit(1).alias("next"), F.lit(0).alias("rewritten"), F.expr("cast(array() as array<string>)").alias("pieces"), F.expr(f"cast(array() as array<{FINDING}>)").alias("findings"))
-
-    def finish(a: Column) -> Column:
-        whole = F.when(F.exists(a["pieces"], lambda p: p.isNull()), None).otherwise(F.concat(F.array_join(a["pieces"], ""), F.substr(text, a["next"], F.length(text))))
-        return F.struct(whole.alias("text"), a["findings"].alias("findings"))
-
-    found = F.aggregate(_analysed(F.regexp_extract_all(text, F.lit(pack.pattern), F.lit(0)), config, pack), begin, step, finish)
-    return F.when(text.isNotNull(), F.when(holds_match(text, config, given), found).otherwise(none))
+    maps = callables(config, pack, formatter)
+    value = F.struct(text.alias("t"), *[c.alias(k) for k, c in maps.items()])
+    return apply(value, f"x -> {scan_sql('x.t', config, pack, 'x', tuple(maps))}")
 
 
 def fixture_scan(text: Column) -> Column:

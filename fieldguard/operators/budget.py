@@ -13,17 +13,40 @@ from ..constants import COUNTS, OPERATION_LIMITS, resolve_limits
 
 #: Usage counters by the limit that holds them.
 USAGE = {"bytes": "max_bytes", "nodes": "max_nodes", "keys": "max_keys", "leaves": "max_leaves", "scans": "max_scans", "findings": "max_findings"}
+#: Rows of an operation that are summed up in one task; the ranges of a larger one are summed up apart.
+ROWS = 100_000
 
 
-def charge(df: DataFrame, op: str, ordinal: str, costs: dict[str, Column], limits: dict | None = None) -> DataFrame:
-    """df with allowed, and used_<counter> (running sums per operation) for each of the costs given.
+def running_sums(df: DataFrame, op: str, ordinal: str, costs: dict[str, Column], rows: int = ROWS) -> DataFrame:
+    """df with used_<counter>, inclusive running sums of the costs in ordinal order, for each operation.
 
-    One shuffle by operation; an operation's rows are bounded by its own limits.
+    An operation of over rows rows is cut into ranges of its ordinals, equal in width: the sums of whole ranges come first,
+    and a range's rows start from those before it, so no task has more than its share where ordinals are spread evenly. How
+    many such operations there are is counted when the plan is made. ordinal is a number, null before all.
     """
+    sizes = df.groupBy(F.col(op).alias("fg_op")).agg(F.count("*").alias("n"), F.min(F.col(ordinal).cast("double")).alias("least"), F.max(F.col(ordinal).cast("double")).alias("most")).where(F.col("n") > rows)
+    large = sizes.count()
+    order = Window.partitionBy(op, "fg_range").orderBy(F.asc_nulls_first(ordinal)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if not large:
+        out = df.withColumn("fg_range", F.lit(0))
+        return out.withColumns({f"used_{k}": F.sum(c.cast("long")).over(order) for k, c in costs.items()}).drop("fg_range")
+    share = (F.col(ordinal).cast("double") - F.col("least")) / F.greatest(F.col("most") - F.col("least"), F.lit(1.0))
+    range_ = F.coalesce(F.floor(share * F.ceil(F.col("n") / rows)), F.lit(0)).cast("long")
+    named = df.join(F.broadcast(sizes) if large <= 10_000 else sizes, F.col(op).eqNullSafe(F.col("fg_op")), "left").withColumn("fg_range", range_).drop("fg_op", "n", "least", "most")
+    named = named.withColumns({f"fg_cost_{k}": c.cast("long") for k, c in costs.items()})
+    sums = named.groupBy(F.col(op).alias("fg_op"), F.col("fg_range").alias("fg_at")).agg(*[F.sum(f"fg_cost_{k}").alias(f"fg_sum_{k}") for k in costs])
+    earlier = Window.partitionBy("fg_op").orderBy("fg_at").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("fg_op", "fg_at", *[F.coalesce(F.sum(f"fg_sum_{k}").over(earlier), F.lit(0)).alias(f"fg_start_{k}") for k in costs])
+    out = named.withColumns({f"used_{k}": F.sum(f"fg_cost_{k}").over(order) for k in costs})
+    out = out.join(starts, F.col(op).eqNullSafe(F.col("fg_op")) & (F.col("fg_range") == F.col("fg_at")))
+    out = out.withColumns({f"used_{k}": F.col(f"used_{k}") + F.col(f"fg_start_{k}") for k in costs})
+    return out.select(*df.columns, *[f"used_{k}" for k in costs])
+
+
+def charge(df: DataFrame, op: str, ordinal: str, costs: dict[str, Column], limits: dict | None = None, rows: int = ROWS) -> DataFrame:
+    """df with allowed, and used_<counter> (running sums per operation) for each of the costs given."""
     most = resolve_limits(limits, OPERATION_LIMITS)
-    order = Window.partitionBy(op).orderBy(ordinal).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = df.withColumns({f"used_{k}": F.sum(c.cast("long")).over(order) for k, c in costs.items()})
-    allowed = F.lit(True)
+    out, allowed = running_sums(df, op, ordinal, costs, rows), F.lit(True)
     for k in costs:
         allowed = allowed & (F.col(f"used_{k}") <= most[USAGE[k]])
     return out.withColumn("allowed", allowed)
@@ -34,22 +57,38 @@ def usage(charged: DataFrame, op: str, costs: dict[str, Column]) -> DataFrame:
     return charged.groupBy(op).agg(*[F.sum(F.when(F.col("allowed"), c).otherwise(0)).cast("long").alias(k) for k, c in costs.items()])
 
 
-def first_of_text(df: DataFrame, op: str, ordinal: str, text: str, longest: int = 1024) -> DataFrame:
-    """df with scanned: whether the row is the first of its operation with its text; repeats of short texts are remembered."""
-    order = Window.partitionBy(op, text).orderBy(ordinal)
-    return df.withColumn("scanned", (F.row_number().over(order) == 1) | (F.length(text) > longest))
+def digest(text: Column) -> Column:
+    """What stands for a text where texts are compared across rows, so that no text is shuffled."""
+    return F.unhex(F.sha2(text, 256))
+
+
+def first_of_text(df: DataFrame, op: str, ordinal: str, text: str, longest: int = 1024, most: int | None = None) -> DataFrame:
+    """df with scanned: whether a row's text is scanned, as the first of its operation with that text (of rows with one
+    ordinal, each); repeats of texts of up to longest characters are remembered, of at most the most texts seen first.
+
+    First places are least ordinals of (operation, digest), combined before they are shuffled, and join on the place as well, so
+    a text that very many rows share is no hot key."""
+    own = df.withColumn("fg_digest", F.when(F.length(text) <= longest, digest(F.col(text))))
+    first = own.where("fg_digest is not null").groupBy(F.col(op).alias("fg_op"), F.col("fg_digest").alias("fg_of")).agg(F.min(ordinal).alias("fg_first"))
+    if most is not None:
+        first = first.withColumn("fg_known", F.row_number().over(Window.partitionBy("fg_op").orderBy("fg_first", "fg_of")) <= most)
+        kept = first.where("fg_known")
+        is_known = own.join(kept.select("fg_op", "fg_of", "fg_first"), F.col(op).eqNullSafe(F.col("fg_op")) & (F.col("fg_digest") == F.col("fg_of")), "left")
+        return is_known.withColumn("scanned", F.col("fg_first").isNull() | (F.col("fg_first") == F.col(ordinal))).select(*df.columns, "scanned")
+    found = own.join(first, F.col(op).eqNullSafe(F.col("fg_op")) & (F.col("fg_digest") == F.col("fg_of")) & (F.col(ordinal) == F.col("fg_first")), "left")
+    return found.withColumn("scanned", F.col("fg_digest").isNull() | F.col("fg_first").isNotNull()).select(*df.columns, "scanned")
 
 
 def scan_once(df: DataFrame, text: str, mask, out: str = "m", longest: int = 1024) -> DataFrame:
     """df with mask(text) in out, where texts of up to longest characters are masked once however often they occur.
 
-    Worth its shuffle where texts repeat much: the distinct short texts are masked and joined back, long ones where they
-    are. A text that very many rows share is one row on the other side, whose join Spark splits.
+    Worth its shuffle where texts repeat much: one text of each digest is masked and joined back by it, long texts are masked
+    where they are. A text that very many rows share is one row on the other side, whose join Spark splits.
     """
-    short = F.length(text) <= longest
-    known = df.where(short).select(F.col(text).alias("fg_text")).distinct().withColumn("fg_masked", mask(F.col("fg_text")))
-    joined = df.where(short).join(known, F.col(text) == F.col("fg_text")).withColumn(out, F.col("fg_masked")).drop("fg_text", "fg_masked")
-    return joined.unionByName(df.where(~F.coalesce(short, F.lit(False))).withColumn(out, mask(F.col(text))))
+    own = df.withColumn("fg_digest", F.when(F.length(text) <= longest, digest(F.col(text))))
+    known = own.where("fg_digest is not null").groupBy(F.col("fg_digest").alias("fg_of")).agg(F.min(text).alias("fg_text")).select("fg_of", mask(F.col("fg_text")).alias("fg_masked"))
+    joined = own.where("fg_digest is not null").join(known, F.col("fg_digest") == F.col("fg_of")).withColumn(out, F.col("fg_masked"))
+    return joined.select(*df.columns, out).unionByName(own.where("fg_digest is null").withColumn(out, mask(F.col(text))).select(*df.columns, out))
 
 
 def count_outcomes(df: DataFrame, leaf: str, *by: str) -> DataFrame:

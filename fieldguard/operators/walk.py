@@ -1,8 +1,9 @@
-"""Masking whole values: Column expressions compiled from the schema, never per-row Python.
+"""Masking whole values: expressions compiled from the schema, never per-row Python.
 
-A row is one operation. Its values are flattened to one array of events in document order (a container, a leaf, a
-scalar), every leaf is masked by one expression, the charges of all events are summed up in order, and the values are
-built again from the masked leaves by their places. What a charge refuses becomes the limit marker.
+A row is one operation. Its leaves are listed in document order and masked by one expression, and the values are built again
+from the masked leaves by their places. A row that surely meets no limit needs no more; of any other the charges of all its
+events (containers, leaves, scalars) are summed up in order, and what a charge refuses becomes the limit marker. A row whose
+leaves hold no match at all passes as it is. Costs grow with the row and not with its square.
 """
 
 from __future__ import annotations
@@ -15,12 +16,14 @@ from pyspark.sql import types as T
 
 from ..config import ScanConfig
 from ..constants import BLOCKED, COUNTS, ERROR, LIMIT, OPERATION_LIMITS, WALK_LIMITS, resolve_limits
-from ..functions.leaf import CHARGED, charged_leaf, mask_leaf
-from ..functions.scanner import _bind, holds_match
+from ..functions.arrays import apply, fence, let, quote, running_sql, struct
+from ..functions.leaf import CHARGED, charged_sql, mask_leaf, seen_sql, view_sql
+from ..functions.scanner import holds_sql, scan_sql, with_callables
 
-EVENT = "struct<key:string,text:string,leaf:boolean,nodes:int,keys:int,limited:int,failed:int>"
 #: Types whose values hold no text: they pass as they are.
 PLAIN = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.NullType)
+LEAVES = "array<struct<k:string,t:string>>"
+EVENTS = "array<struct<leaf:boolean,nodes:int,keys:int,limited:int,failed:int>>"
 
 
 @dataclass(frozen=True)
@@ -61,15 +64,6 @@ def _is_error(t: T.DataType) -> bool:
     return isinstance(t, T.StructType) and {"type", "message", "stack"} <= set(t.fieldNames())
 
 
-def _refused(t: T.DataType, marker: str) -> Column:
-    """What stands for a container that isn't entered: the marker where the type can hold it, else null."""
-    if isinstance(t, T.ArrayType) and isinstance(t.elementType, T.StringType):
-        return F.array(F.lit(marker))
-    if isinstance(t, T.MapType) and isinstance(t.valueType, T.StringType) and isinstance(t.keyType, T.StringType):
-        return F.create_map(F.lit("marker"), F.lit(marker))
-    return F.lit(None).cast(t)
-
-
 def check_type(t: T.DataType) -> None:
     """Fails at plan time for a type whose text the walk can't reach, so that nothing passes unmasked."""
     if isinstance(t, T.ArrayType):
@@ -87,128 +81,139 @@ def _scalar(t: T.DataType) -> bool:
     return isinstance(t, (T.BinaryType, *PLAIN))
 
 
+def _name(of: str, field: str) -> str:
+    return f"{of}.`{field.replace('`', '``')}`"
+
+
 class Shape:
-    """The three expressions of one type: events, their number, and the value built again from masked leaves."""
+    """The expressions of one type, as SQL text: its leaves, how many they are, its events, and the value built again."""
 
     def __init__(self, walk: Walk):
-        self.walk, self.node = walk, int(walk.charge_nodes)
-
-    def _event(self, there: Column, key: Column | None = None, text: Column | None = None, nodes: Column | int = 1, keys: int = 0, limited: Column | None = None, failed: Column | None = None) -> Column:
-        none = F.lit(None).cast("string")
-        n = F.when(there, nodes).otherwise(0) if self.node else F.lit(0)
-        return F.struct(
-            (none if key is None else key).alias("key"), (none if text is None else text).alias("text"), F.lit(text is not None).alias("leaf"), n.cast("int").alias("nodes"),
-            F.when(there, keys).otherwise(0).cast("int").alias("keys"), (F.lit(0) if limited is None else F.when(limited, 1).otherwise(0)).cast("int").alias("limited"),
-            (F.lit(0) if failed is None else F.when(failed, 1).otherwise(0)).cast("int").alias("failed"),
-        )
-
-    def _kept(self, value: Column, t: T.DataType) -> Column:
-        """The elements of an array, or the entries of a map, up to the width."""
-        if isinstance(t, T.ArrayType):
-            return F.slice(value, 1, max(1, self.walk.limit("max_array_length"))) if self.walk.limit("max_array_length") else F.filter(value, lambda x: F.lit(False))
-        entries = F.map_entries(value)
-        return F.slice(entries, 1, max(1, self.walk.limit("max_object_keys"))) if self.walk.limit("max_object_keys") else F.filter(entries, lambda x: F.lit(False))
+        self.walk, self.node, self.used = walk, int(walk.charge_nodes), 0
+
+    def _var(self) -> str:
+        self.used += 1
+        return f"v{self.used}_"
 
     def _width(self, t: T.DataType) -> int:
         return self.walk.limit("max_array_length" if isinstance(t, T.ArrayType) else "max_object_keys")
 
+    def _kept(self, value: str, t: T.DataType) -> str:
+        """The elements of an array, or the entries of a map, up to the width."""
+        whole = value if isinstance(t, T.ArrayType) else f"map_entries({value})"
+        return f"slice({whole}, 1, {self._width(t)})" if self._width(t) else f"filter({whole}, n_ -> false)"
+
     def _inner(self, t: T.DataType) -> T.DataType:
         return t.elementType if isinstance(t, T.ArrayType) else t.valueType
 
     def _fields(self, t: T.StructType) -> list[T.StructField]:
         return t.fields[: self.walk.limit("max_object_keys")]
 
-    def _entered(self, t: T.DataType, depth: int) -> bool:
+    def _key(self, t: T.StructType, name: str) -> str | None:
+        bare = {*self.walk.bare, *(("type", "message", "stack") if _is_error(t) else ())}
+        return None if name in bare else quote(name)
+
+    def entered(self, t: T.DataType, depth: int) -> bool:
         return depth < self.walk.limit("max_depth")
 
-    def events(self, value: Column, t: T.DataType, key: Column | None, depth: int, there: Column | None = None, keyed: bool = False) -> Column:
-        """array<EVENT> of a value; there: whether its parent is there at all; keyed: whether its key is charged."""
-        there, keys = F.lit(True) if there is None else there, int(keyed)
-        one = F.array
+    def count(self, value: str, t: T.DataType, depth: int) -> int | str:
+        """How many leaves a value has: a number where the type says it."""
+        if isinstance(t, T.StringType):
+            return 1
+        if _scalar(t) or not self.entered(t, depth):
+            return 0
+        if isinstance(t, T.StructType):
+            parts = [self.count(_name(value, f.name), f.dataType, depth + 1) for f in self._fields(t)]
+            fixed, rest = sum(p for p in parts if isinstance(p, int)), [p for p in parts if not isinstance(p, int)]
+            return " + ".join([str(fixed), *rest]) if rest else fixed
+        x = self._var()
+        each = self.count(x if isinstance(t, T.ArrayType) else f"{x}.value", self._inner(t), depth + 1)
+        if each == 0:
+            return 0
+        if isinstance(each, int):
+            return f"greatest(coalesce(size({self._kept(value, t)}), 0), 0) * {each}"
+        return f"coalesce(aggregate({self._kept(value, t)}, 0, (a{x}, {x}) -> a{x} + {each}), 0)"
+
+    def leaves(self, value: str, t: T.DataType, key: str | None, depth: int) -> str | None:
+        """The leaves of a value with their keys; None where the type has none."""
         if isinstance(t, T.StringType):
-            return one(self._event(there, key if self.walk.key_context else None, value, keys=keys))
+            return f"array({struct(k=(key if self.walk.key_context else None) or 'cast(null as string)', t=value)})"
+        if self.count(value, t, depth) == 0:
+            return None
+        if isinstance(t, T.StructType):
+            parts = [self.leaves(_name(value, f.name), f.dataType, self._key(t, f.name), depth + 1) for f in self._fields(t)]
+            return f"concat({', '.join(p for p in parts if p)})"
+        x, inner = self._var(), self._inner(t)
+        named = isinstance(t, T.MapType) and isinstance(t.keyType, T.StringType)
+        one = self.leaves(x if isinstance(t, T.ArrayType) else f"{x}.value", inner, f"{x}.key" if named else None, depth + 1)
+        return f"coalesce(flatten(transform({self._kept(value, t)}, {x} -> {one})), cast(array() as {LEAVES}))"
+
+    def _event(self, there: str, leaf: bool = False, nodes: str = "1", keys: int = 0, limited: str | None = None, failed: str | None = None) -> str:
+        flag = lambda c: f"CASE WHEN {c} THEN 1 ELSE 0 END" if c else "0"
+        return f"array({struct(leaf=str(leaf).lower(), nodes=f'CASE WHEN {there} THEN {nodes} ELSE 0 END' if self.node else '0', keys=f'CASE WHEN {there} THEN {keys} ELSE 0 END', limited=flag(limited), failed=flag(failed))})"
+
+    def events(self, value: str, t: T.DataType, depth: int, there: str = "true", keyed: bool = False) -> str:
+        """What a value is charged, in order, its leaves as leaves() lists them; there: whether its parent is there at all;
+        keyed: whether its key is charged."""
+        keys, given = int(keyed), f"{value} IS NOT NULL"
+        if isinstance(t, T.StringType):
+            return self._event(there, True, keys=keys)
         if _scalar(t):
-            return one(self._event(there, keys=keys, failed=value.isNotNull() if isinstance(t, T.BinaryType) else None))
-        if not self._entered(t, depth):
-            return one(self._event(there, keys=keys, limited=value.isNotNull()))
-        inside = there & value.isNotNull()
+            return self._event(there, keys=keys, failed=given if isinstance(t, T.BinaryType) else None)
+        if not self.entered(t, depth):
+            return self._event(there, keys=keys, limited=given)
+        inside = f"({there} AND {given})"
         if isinstance(t, T.StructType):
-            bare = {*self.walk.bare, *(("type", "message", "stack") if _is_error(t) else ())}
-            parts = [self.events(value[f.name], f.dataType, None if f.name in bare else F.lit(f.name), depth + 1, inside, self.walk.charge_fields) for f in self._fields(t)]
+            parts = [self.events(_name(value, f.name), f.dataType, depth + 1, inside, self.walk.charge_fields) for f in self._fields(t)]
             cut = inside if self.walk.count_dropped and len(t.fields) > len(self._fields(t)) else None
-            return F.concat(one(self._event(there, keys=keys, limited=cut)), *parts)
-        whole = F.coalesce(F.size(value), F.lit(0))
-        cut = inside & (whole > self._width(t)) if self.walk.count_dropped else None
-        inner = self._inner(t)
-        is_map = isinstance(t, T.MapType)
-        n = F.least(F.greatest(whole, F.lit(0)), F.lit(self._width(t)))
-        nodes = F.lit(int(depth >= 0)) + (n if _scalar(inner) else F.lit(0))
-        head = one(self._event(there, keys=keys, nodes=nodes, limited=cut, failed=inside & (n > 0) if isinstance(inner, T.BinaryType) else None))
+            return f"concat({', '.join([self._event(there, keys=keys, limited=cut), *parts])})"
+        inner, whole = self._inner(t), f"coalesce(size({value}), 0)"
+        cut = f"{inside} AND {whole} > {self._width(t)}" if self.walk.count_dropped else None
+        n = f"least(greatest({whole}, 0), {self._width(t)})"
+        nodes = f"{int(depth >= 0)}" + (f" + {n}" if _scalar(inner) else "")
+        head = self._event(there, nodes=nodes, keys=keys, limited=cut, failed=f"{inside} AND {n} > 0" if isinstance(inner, T.BinaryType) else None)
         if _scalar(inner):
             return head
-        if is_map:
-            named = isinstance(t.keyType, T.StringType)
-            rest = F.transform(self._kept(value, t), lambda e: self.events(e["value"], inner, e["key"] if named else None, depth + 1, None, True))
-        else:
-            rest = F.transform(self._kept(value, t), lambda x: self.events(x, inner, None, depth + 1))
-        return F.concat(head, F.coalesce(F.flatten(rest), F.expr(f"cast(array() as array<{EVENT}>)")))
-
-    def size(self, value: Column, t: T.DataType, depth: int) -> Column | int:
-        """How many events a value has: a number where the type says it."""
-        if isinstance(t, T.StringType) or _scalar(t) or not self._entered(t, depth):
-            return 1
-        if isinstance(t, T.StructType):
-            out = 1
-            for f in self._fields(t):
-                out = self.size(value[f.name], f.dataType, depth + 1) + out
-            return out
-        inner = self._inner(t)
-        if _scalar(inner):
-            return 1
-        return 1 + self._total(self._kept(value, t), t, depth)
-
-    def _total(self, kept: Column, t: T.DataType, depth: int) -> Column:
-        """Events of the elements or entries given."""
-        part = (lambda x: x["value"]) if isinstance(t, T.MapType) else (lambda x: x)
-        probe = self.size(F.lit(None).cast(self._inner(t)), self._inner(t), depth + 1)
-        if isinstance(probe, int):
-            return F.coalesce(F.greatest(F.size(kept), F.lit(0)), F.lit(0)) * probe
-        return F.coalesce(F.aggregate(kept, F.lit(0), lambda a, x: a + self.size(part(x), self._inner(t), depth + 1)), F.lit(0))
-
-    def build(self, value: Column, t: T.DataType, done: Column, at: Column | int, depth: int) -> Column:
-        """The value with the leaves that done holds from the place at on."""
-        place = at if isinstance(at, Column) else F.lit(at)
+        x = self._var()
+        rest = self.events(x if isinstance(t, T.ArrayType) else f"{x}.value", inner, depth + 1, "true", isinstance(t, T.MapType))
+        return f"concat({head}, coalesce(flatten(transform({self._kept(value, t)}, {x} -> {rest})), cast(array() as {EVENTS})))"
+
+    def build(self, value: str, t: T.DataType, depth: int, place: str) -> str:
+        """The value with the leaves that done_ holds from a place on."""
         if isinstance(t, T.StringType):
-            return F.get(done, place)["text"]
+            return f"get(done_, {place})"
         if isinstance(t, T.BinaryType):
-            return F.when(value.isNotNull(), F.lit(ERROR).cast("binary"))
+            return f"CASE WHEN {value} IS NOT NULL THEN cast({quote(ERROR)} as binary) END"
         if _scalar(t):
             return value
-        if not self._entered(t, depth):
-            return F.when(value.isNotNull(), _refused(t, LIMIT))
+        if not self.entered(t, depth):
+            return f"CASE WHEN {value} IS NOT NULL THEN {_refused(t, LIMIT)} END"
         if isinstance(t, T.StructType):
-            fields, at = [], at + 1
+            fields, at = [], place
             for f in self._fields(t):
-                fields.append(self.build(value[f.name], f.dataType, done, at, depth + 1).alias(f.name))
-                at = self.size(value[f.name], f.dataType, depth + 1) + at
-            return F.when(value.isNotNull(), F.struct(*fields))
-        kept, inner = self._kept(value, t), self._inner(t)
-        static = self.size(F.lit(None).cast(inner), inner, depth + 1)
-
-        def start(i: Column) -> Column:
-            before = i * static if isinstance(static, int) else self._total(F.slice(kept, F.lit(1), i), t, depth)
-            return place + 1 + before
-
-        if isinstance(t, T.MapType):
-            if _scalar(inner):
-                entry = lambda e, i: F.struct(e["key"], self.build(e["value"], inner, done, 0, depth + 1))
-            else:
-                entry = lambda e, i: F.struct(e["key"], self.build(e["value"], inner, done, start(i), depth + 1))
-            return F.map_from_entries(F.transform(kept, entry))
-        if _scalar(inner):
-            return F.transform(kept, lambda x: self.build(x, inner, done, 0, depth + 1))
-        return F.transform(kept, lambda x, i: self.build(x, inner, done, start(i), depth + 1))
-
+                fields.append(f"{quote(f.name)}, {self.build(_name(value, f.name), f.dataType, depth + 1, at)}")
+                n = self.count(_name(value, f.name), f.dataType, depth + 1)
+                at = f"{at} + {n}" if n != 0 else at
+            return f"CASE WHEN {value} IS NOT NULL THEN named_struct({', '.join(fields)}) END" if fields else value
+        if not place.isdigit():  # worked out once, not for each leaf
+            at = self._var()
+            return let(at, place, self._built(value, t, depth, at))
+        return self._built(value, t, depth, place)
+
+    def _built(self, value: str, t: T.ArrayType | T.MapType, depth: int, place: str) -> str:
+        inner, kept, x, i = self._inner(t), self._kept(value, t), self._var(), self._var()
+        is_map = isinstance(t, T.MapType)
+        part = f"{x}.value" if is_map else x
+        made = (lambda xs: f"map_from_entries({xs})") if is_map else (lambda xs: xs)
+        put = (lambda v: f"named_struct('key', {x}.key, 'value', {v})") if is_map else (lambda v: v)
+        each = self.count(part, inner, depth + 1)
+        if each == 0:
+            return made(f"transform({kept}, {x} -> {put(self.build(part, inner, depth + 1, place))})")
+        if isinstance(each, int):
+            return made(f"transform({kept}, ({x}, {i}) -> {put(self.build(part, inner, depth + 1, f'{place} + {i} * {each}'))})")
+        starts = self._var()
+        sums = running_sql(f"transform({kept}, {x} -> cast({each} as bigint))")
+        return made(let(starts, sums, f"transform({kept}, ({x}, {i}) -> {put(self.build(part, inner, depth + 1, f'{place} + cast(get({starts}, {i}) as int)'))})"))
 
     def bound(self, t: T.DataType, depth: int) -> tuple[int, int, int] | None:
         """(least texts, events beside them, events for each text at most) of a value of this type; None where the number
@@ -217,7 +222,7 @@ class Shape:
             return 1, 0, 1
         if _scalar(t):
             return None if isinstance(t, T.BinaryType) else (0, 1, 1)
-        if not self._entered(t, depth):
+        if not self.entered(t, depth):
             return None
         if isinstance(t, T.StructType):
             parts = [self.bound(f.dataType, depth + 1) for f in t.fields]
@@ -229,161 +234,155 @@ class Shape:
             return None
         return 0, 1, inner[1] + inner[2]
 
-    def texts(self, value: Column, t: T.DataType, key: Column | None, depth: int) -> list[Column]:
-        """Arrays with the views of all leaves of a value that bound() holds for, nulls among them."""
-        key = key if self.walk.key_context else None
-        if isinstance(t, T.StringType):
-            return [F.array(value if key is None else F.concat(F.lit('{"'), key, F.lit('":"'), value, F.lit('"}')))]
-        if _scalar(t):
-            return []
-        if isinstance(t, T.StructType):
-            bare = {*self.walk.bare, *(("type", "message", "stack") if _is_error(t) else ())}
-            return [x for f in t.fields for x in self.texts(value[f.name], f.dataType, None if f.name in bare else F.lit(f.name), depth + 1)]
-        inner, none = self._inner(t), F.expr("cast(array() as array<string>)")
-        if isinstance(t, T.MapType):
-            named = isinstance(t.keyType, T.StringType)
-            parts = F.transform(F.map_entries(value), lambda e: F.concat(*self.texts(e["value"], inner, e["key"] if named else None, depth + 1)))
-        elif isinstance(inner, T.StringType):
-            return [F.coalesce(value, none)]
-        else:
-            parts = F.transform(value, lambda x: F.concat(*self.texts(x, inner, None, depth + 1)))
-        return [F.coalesce(F.flatten(parts), none)]
+
+def _refused(t: T.DataType, marker: str) -> str:
+    """What stands for a container that isn't entered: the marker where the type can hold it, else null."""
+    if isinstance(t, T.ArrayType) and isinstance(t.elementType, T.StringType):
+        return f"array({quote(marker)})"
+    if isinstance(t, T.MapType) and isinstance(t.valueType, T.StringType) and isinstance(t.keyType, T.StringType):
+        return f"map('marker', {quote(marker)})"
+    return f"cast(null as {t.simpleString()})"
 
 
 USED = ("nodes", "keys", "leaves", "scans", "bytes", "findings")
+ZERO = struct(**{u: "0L" for u in USED})
+#: The ways of a row: as it is, masked without a look at limits, and with its charges summed up.
+SAME, SMALL, CHARGE = 0, 1, 2
 
 
-def _zero(extra: dict[str, Column] | None = None) -> Column:
-    return F.struct(*[F.lit(0).cast("long").alias(u) for u in USED], *[c.alias(k) for k, c in (extra or {}).items()])
-
-
-def _spent(acc: Column, e: Column, m: Column) -> dict[str, Column]:
-    """The counters after an event whose masked leaf is m."""
-    leaf = F.when(e["leaf"] & e["text"].isNotNull(), 1).otherwise(0)
-    add = {"nodes": e["nodes"], "keys": e["keys"], "leaves": leaf, "scans": m["scans"], "bytes": m["bytes"], "findings": m["found"]}
-    return {u: (acc[u] + F.coalesce(add[u], F.lit(0))).cast("long") for u in USED}
-
-
-def _allowed(used: dict[str, Column] | Column, walk: Walk) -> Column:
-    """Whether counters are within the row's walk and operation limits."""
-    ok = F.lit(True)
-    if walk.charge_nodes:
-        ok = ok & (used["nodes"] <= walk.limit("max_nodes"))
-    ok = ok & (used["leaves"] <= walk.limit("max_total_leaves"))
-    if walk.operation is not False:
-        most = resolve_limits(walk.operation if isinstance(walk.operation, dict) else None, OPERATION_LIMITS)
-        for u in USED:
-            ok = ok & (used[u] <= most[f"max_{u}"])
-    return ok
-
-
-def _surely_fits(events: Column, walk: Walk) -> Column:
-    """Whether a row is so small that no limit can be met, by the number of its events and their characters alone."""
-    op = resolve_limits(walk.operation if isinstance(walk.operation, dict) else None, OPERATION_LIMITS)
-    most = min(walk.limit("max_nodes"), walk.limit("max_total_leaves"))
-    if walk.operation is not False:
-        most = min(most, op["max_nodes"], op["max_keys"], op["max_leaves"], op["max_scans"] // 2)
-    # an event is one node and one key, but a list of scalars, which is many nodes; a finding has 8 characters or more
-    size = F.aggregate(events, F.lit(0).cast("long"), lambda a, e: a + F.when(e["leaf"], F.coalesce(F.octet_length(e["text"]) * 2 + F.coalesce(F.octet_length(e["key"]), F.lit(0)) + 7, F.lit(0))).otherwise(e["nodes"] * 64))
-    room = min(op["max_bytes"], op["max_findings"] * 8, 64 * most) if walk.operation is not False else 64 * most
-    return (F.size(events) <= most) & (size <= room)
-
-
-def _clean(columns: list[tuple[Target, Column, T.DataType]], shape: Shape) -> Column | None:
-    """Whether a row comes out as it goes in: its views, one a line, hold no match together, and it is so small that it
-    meets no limit. A leaf's match shows in its view, and a view's in these lines, where a line's end stands for its start.
-    None where the types don't allow to tell."""
-    walk, bounds = shape.walk, [shape.bound(kind, t.depth) for t, _, kind in columns]
-    if None in bounds or not walk.scan:
-        return None
-    parts = [x for t, c, kind in columns for x in shape.texts(c, kind, F.lit(t.key) if t.key is not None else None, t.depth)]
-    if not parts:
-        return None
-    op = resolve_limits(walk.operation if isinstance(walk.operation, dict) else None, OPERATION_LIMITS)
-    most = min(walk.limit("max_nodes"), walk.limit("max_total_leaves"), walk.limit("max_array_length"), walk.limit("max_object_keys"))
-    size = min(walk.limit("max_string_length"), walk.config.max_input_bytes or 1 << 62)
-    if walk.operation is not False:
-        most = min(most, op["max_nodes"], op["max_keys"], op["max_leaves"], op["max_scans"] // 2)
-        size = min(size, op["max_bytes"] // 2)
-    room = (most - sum(b[1] for b in bounds)) // max(b[2] for b in bounds)
+def operation_limits(walk: Walk) -> dict[str, int] | None:
+    return None if walk.operation is False else resolve_limits(walk.operation if isinstance(walk.operation, dict) else None, OPERATION_LIMITS)
 
-    def judge(x: Column) -> Column:
-        return (x["n"] <= room) & (F.octet_length(x["lines"]) <= size) & ~holds_match(x["lines"], walk.config)
 
-    texts = F.concat(*parts)
-    return F.coalesce(_bind(_bind(texts, lambda a: F.struct(F.size(a).alias("n"), F.array_join(a, "\n").alias("lines"))), judge), F.lit(False))
+def allowed_sql(used: str, walk: Walk, before: str | None = None) -> str:
+    """Whether counters are within the limits of the walk and, with those before it, of its operation."""
+    tests = [f"{used}.leaves <= {walk.limit('max_total_leaves')}"] + ([f"{used}.nodes <= {walk.limit('max_nodes')}"] if walk.charge_nodes else [])
+    tests += [f"{used}.{u}{f' + {before}.{u}' if before else ''} <= {most}" for u, most in ((u, (operation_limits(walk) or {}).get(f"max_{u}")) for u in USED) if most is not None]
+    return " AND ".join(tests)
 
 
-def mask_row(df: DataFrame, *targets: Target, walk: Walk = Walk(), outcome: str | None = None) -> DataFrame:
+def way_sql(walk: Walk, other: int, each: int, before: str | None = None) -> str:
+    """The way of a row with the leaves x.l. It is SMALL if so few and short that no limit can be met, SAME if their views,
+    one a line, hold no match together besides: a leaf's match shows in its view, and a view's in these lines, where a
+    line's end stands for its start. other, each: events beside the leaves, and for each of them, at most; before: what the
+    operation has spent, half of each limit at most."""
+    op = operation_limits(walk)
+    most = min(walk.limit("max_nodes"), walk.limit("max_total_leaves"), walk.limit("max_array_length"), walk.limit("max_object_keys"))
+    size, share = min(walk.limit("max_string_length"), walk.config.max_input_bytes or 1 << 62), 2 if before else 1
+    if op:
+        most = min(most, op["max_nodes"] // share, op["max_keys"] // share, op["max_leaves"] // share, op["max_scans"] // 2 // share)
+        size = min(size, op["max_bytes"] // 2 // share, op["max_findings"] * 4 // share)  # a finding has 8 characters and is found twice at most
+    lines = f"array_join(transform(x.l, lf_ -> CASE WHEN lf_.k IS NULL THEN lf_.t ELSE {view_sql('lf_.t', 'lf_.k')} END), '\\n')"
+    fits = f"size(x.l) <= {(most - other) // each} AND octet_length(y_) <= {size}"
+    if before and op:
+        fits += "".join(f" AND {before}.{u} <= {op[f'max_{u}'] // 2}" for u in USED)
+    return let("y_", lines, f"CASE WHEN NOT ({fits}) THEN {CHARGE} WHEN {holds_sql('y_', walk.config)} THEN {SMALL} ELSE {SAME} END")
+
+
+def charges_sql(events: str, walk: Walk, before: str | None = None) -> str:
+    """struct<nodes.., k, last, all, limited, failed>: how many leaves of x.m stay within all limits (charges never go down, so
+    they come first), what was spent up to there, and the refusals that no leaf stands for."""
+    add = {"nodes": "e_.nodes", "keys": "e_.keys", "leaves": "CASE WHEN c_ IS NULL THEN 0 ELSE 1 END", "scans": "coalesce(c_.scans, 0)", "bytes": "coalesce(c_.bytes, 0)", "findings": "coalesce(c_.found, 0)"}
+    spent = struct(**{u: f"q_.now.{u} + cast({add[u]} as bigint)" for u in USED})
+    ok = allowed_sql("u_", walk, before)
+    nxt = struct(
+        now="u_", at="q_.at + CASE WHEN e_.leaf THEN 1 ELSE 0 END", k="q_.k + CASE WHEN e_.leaf AND o_ THEN 1 ELSE 0 END", last="CASE WHEN o_ THEN u_ ELSE q_.last END",
+        limited="q_.limited + e_.limited", failed="q_.failed + e_.failed",
+    )
+    step = let("c_", "CASE WHEN e_.leaf THEN get(x.m, q_.at) END", let("u_", spent, let("o_", ok, nxt)))
+    zero = struct(now=ZERO, at="0", k="0", last=ZERO, limited="0", failed="0")
+    return f"aggregate({events}, {zero}, (q_, e_) -> {step})"
+
+
+def unchanged_sql(leaf: str, charged: bool = True) -> str:
+    """The masked leaf of one without a match."""
+    scans, size = f"CASE WHEN {leaf}.k IS NULL THEN 1 ELSE 2 END", f"CASE WHEN {leaf}.k IS NULL THEN octet_length({leaf}.t) ELSE octet_length({leaf}.t) * 2 + octet_length({leaf}.k) + 7 END"
+    same = struct(text=f"{leaf}.t", outcome="'unchanged'", findings="0", scans=scans if charged else "0", bytes=f"cast({size if charged else 0} as bigint)", found="0")
+    return f"CASE WHEN {leaf}.t IS NOT NULL THEN {same} END"
+
+
+def mask_leaves(df: DataFrame, events: Column, walk: Walk, small: tuple[int, int] | None, usage: bool = True, before: str | None = None) -> DataFrame:
+    """df with fg_way (the row's way), fg_m (the masked leaves of its column fg_l, within all limits) and fg_a (charges_sql,
+    null where it wasn't needed). Where usage isn't asked for, fg_m is null for a row whose way is SAME. events: the row's
+    events; small: other and each of way_sql, None where a row can't be told; before: a column with what its operation has
+    spent. Each step is a column of its own, since one expression of all would nest too deeply for the analyser."""
+    def step(name: str, body: str, *of: str, **more: Column) -> None:
+        nonlocal out
+        value, _ = with_callables(walk.config, **{k: F.col(f"fg_{k}") for k in of}, **more)
+        out = out.withColumn(f"fg_{name}", apply(value, f"x -> {body}"))
+
+    _, names = with_callables(walk.config)
+    out, past = df, {"before": F.col(before)} if before else {}
+    spent = "x.before" if before else None
+    if small and walk.scan:
+        step("way", way_sql(walk, *small, spent), "l", **past)
+    else:
+        out = out.withColumn("fg_way", F.lit(CHARGE))
+    if walk.scan:
+        alone = f"transform(x.l, lf_ -> CASE WHEN {seen_sql('lf_.t', 'lf_.k' if walk.key_context else None, walk.config)} THEN {scan_sql('lf_.t', walk.config, None, 'x', names)} END)"
+        step("alone", f"CASE WHEN x.way <> {SAME} THEN {alone} END", "l", "way")
+        masked = charged_sql("lf_.t", "lf_.k" if walk.key_context else None, walk.config, walk.limit("max_string_length"), "x", names, "get(x.alone, i_)").replace("get(x.alone, i_)", "get(x.alone, lfi_)")
+        same = f"cast(transform(x.l, lf_ -> {unchanged_sql('lf_')}) as array<{CHARGED}>)" if usage else f"cast(null as array<{CHARGED}>)"
+        step("m", f"CASE WHEN x.way = {SAME} THEN {same} ELSE transform(x.l, (lf_, lfi_) -> {masked}) END", "l", "way", "alone")
+    else:
+        step("m", f"cast(transform(x.l, lf_ -> {unchanged_sql('lf_', False)}) as array<{CHARGED}>)", "l")
+    needed = "true" if usage else f"x.way = {CHARGE}"
+    step("a", f"CASE WHEN {needed} THEN {charges_sql('x.events', walk, spent)} END", "m", "way", events=events, **past)
+    marker = struct(text=quote(LIMIT), outcome="'limited'", findings="0", scans="0", bytes="0L", found="0")
+    cut = f"cast(transform(x.m, (c_, i_) -> CASE WHEN i_ < x.a.k OR c_ IS NULL THEN c_ ELSE {marker} END) as array<{CHARGED}>)"
+    step("m", f"CASE WHEN x.a IS NULL OR x.a.k >= size(x.m) THEN x.m ELSE {cut} END", "m", "a")
+    return out
+
+
+#: What mask_leaves adds, and its input.
+STEPS = ("fg_l", "fg_way", "fg_alone", "fg_m", "fg_a")
+
+
+def counts_sql() -> str:
+    """The six counts over the leaves x.l, x.m and x.a."""
+    own = lambda k: f"coalesce(cast(size(filter(x.m, c_ -> c_.outcome = '{k}')) as bigint), 0L)"
+    scanned = "CASE WHEN x.m IS NULL THEN cast(size(filter(x.l, lf_ -> lf_.t IS NOT NULL)) as bigint) ELSE cast(size(filter(x.m, c_ -> c_ IS NOT NULL AND c_.outcome <> 'limited')) as bigint) END"
+    values = {"scanned": scanned, "findings": "coalesce(aggregate(x.m, 0L, (s_, c_) -> s_ + coalesce(c_.findings, 0)), 0L)"}
+    for k in COUNTS[2:]:
+        values[k] = f"CASE WHEN x.m IS NULL THEN 0L ELSE {own(k)} END" + (f" + coalesce(cast(x.a.{k} as bigint), 0L)" if k in ("limited", "failed") else "")
+    return struct(**{k: values[k] for k in COUNTS})
+
+
+def mask_row(df: DataFrame, *targets: Target, walk: Walk = Walk(), outcome: str | None = None, usage: bool = True) -> DataFrame:
     """df with the targets' columns masked, all of a row as one operation; their types stay.
 
     Numbers, booleans, dates and nulls pass; bytes become the error marker; containers deeper than max_depth are refused,
     arrays, maps and structs are cut to their widths. From the first event on that passes a limit of the walk or of the
     operation all leaves become the limit marker, since charges never go down. outcome names a column
-    struct<counts, usage, dropped>: the six counts of the row's leaves, what its operation spent, and whether a row can't be
-    represented (never, as types that can't be masked fail here, at plan time).
+    struct<counts, usage, dropped>: the six counts of the row's leaves, what its operation spent (null unless usage is asked
+    for), and whether a row can't be represented (never, as types that can't be masked fail here, at plan time).
     """
     for t in targets:
         check_type(df.schema[t.name].dataType)
-    shape = Shape(walk)
-    columns = [(t, F.col(t.name), df.schema[t.name].dataType) for t in targets]
-    events = F.concat(*[shape.events(c, kind, F.lit(t.key) if t.key is not None else None, t.depth, None) for t, c, kind in columns])
-    clean = None if outcome else _clean(columns, shape)
-    out, fresh = df, F.lit(True)
-    if clean is not None:  # most rows are clean and needn't be taken apart
-        out = out.withColumn("fg_clean", clean)
-        fresh = ~F.col("fg_clean")
-    out = out.withColumn("fg_events", F.when(fresh, events) if clean is not None else events)
-    def leaf(e: Column) -> Column:
-        if walk.scan:
-            return charged_leaf(e["text"], e["key"] if walk.key_context else None, walk.config, walk.limit("max_string_length"))
-        same = F.struct(e["text"].alias("text"), F.lit("unchanged").alias("outcome"), F.lit(0).alias("findings"), F.lit(0).alias("scans"), F.lit(0).cast("long").alias("bytes"), F.lit(0).alias("found"))
-        return F.when(e["text"].isNotNull(), same).cast(CHARGED)
-
-    out = out.withColumn("fg_masked", F.transform("fg_events", leaf))
-    both = F.arrays_zip(F.col("fg_events").alias("e"), F.col("fg_masked").alias("m"))
-
-    def add(acc: Column, x: Column) -> Column:
-        return F.struct(*[c.alias(u) for u, c in _spent(acc, x["e"], x["m"]).items()])
-
-    used = F.aggregate(both, _zero(), add)
-
-    def put(acc: Column, x: Column) -> Column:
-        used = F.struct(*[c.alias(u) for u, c in _spent(acc, x["e"], x["m"]).items()])
-
-        def kept(u: Column) -> Column:
-            ok = _allowed(u, walk)
-            limit = F.struct(F.lit(LIMIT).alias("text"), F.lit("limited").alias("outcome"), F.lit(0).alias("findings"), F.lit(0).alias("scans"), F.lit(0).cast("long").alias("bytes"), F.lit(0).alias("found"))
-            leaf = x["e"]["leaf"] & x["e"]["text"].isNotNull()
-            return F.struct(*[u[k].alias(k) for k in USED], F.concat(acc["done"], F.array(F.when(ok | ~leaf, x["m"]).otherwise(limit).cast(CHARGED))).alias("done"), F.when(ok, u).otherwise(acc["last"]).alias("last"))
-
-        return _bind(used, kept)
-
-    start = _zero({"done": F.expr(f"cast(array() as array<{CHARGED}>)"), "last": _zero()})
-    limited = F.aggregate(both, start, put, lambda a: F.struct(a["done"].alias("done"), a["last"].alias("last")))
-    if outcome:
-        out = out.withColumn("fg_used", used)
-        out = out.withColumn("fg_row", F.when(_allowed(F.col("fg_used"), walk), F.struct(F.col("fg_masked").alias("done"), F.col("fg_used").alias("last"))).otherwise(limited))
-    else:  # what was spent is summed up only for rows that might be over a limit
-        whole = F.struct(F.col("fg_masked").alias("done"))
-        row = F.when(_surely_fits(F.col("fg_events"), walk), whole).otherwise(F.when(_allowed(used, walk), whole).otherwise(F.struct(limited["done"].alias("done"))))
-        out = out.withColumn("fg_row", F.when(fresh, row) if clean is not None else row)
-    built, at = {}, 0
-    for t, c, kind in columns:
-        built[t.name] = shape.build(c, kind, F.col("fg_row.done"), at, t.depth)
-        if clean is not None:
-            built[t.name] = F.when(fresh, built[t.name]).otherwise(c)
-        at = shape.size(c, kind, t.depth) + at
+    shape, usage = Shape(walk), bool(outcome) and usage
+    columns = [(f"x.c{n}", df.schema[t.name].dataType, quote(t.key) if t.key is not None else None, t) for n, t in enumerate(targets)]
+    row = {f"c{n}": F.col(t.name) for n, t in enumerate(targets)}
+    whole = F.struct(*[c.alias(k) for k, c in row.items()], F.lit(0).alias("any"))
+    leaves = [p for p in (shape.leaves(c, kind, key, t.depth) for c, kind, key, t in columns) if p]
+    events = [shape.events(c, kind, t.depth) for c, kind, _, t in columns]
+    bounds = [shape.bound(kind, t.depth) for _, kind, _, t in columns]
+    small = None if None in bounds else (sum(b[1] for b in bounds), max([b[2] for b in bounds], default=1))
+    out = df.withColumn("fg_l", apply(whole, f"x -> concat({', '.join([*leaves, f'cast(array() as {LEAVES})'])})"))
+    out = mask_leaves(out, apply(whole, f"x -> concat({', '.join([*events, f'cast(array() as {EVENTS})'])})"), walk, small, usage)
+    built, place = {}, "0"
+    for c, kind, _, t in columns:
+        whole_again = shape.build(c, kind, t.depth, place)
+        built[c[2:]] = f"CASE WHEN x.way = {SAME} THEN {c} ELSE {whole_again} END" if small and walk.scan else whole_again
+        n = shape.count(c, kind, t.depth)
+        place = f"{place} + {n}" if n != 0 else place
+    given = F.struct(*[c.alias(k) for k, c in row.items()], F.col("fg_m").alias("m"), F.col("fg_way").alias("way"))
+    out = out.withColumn("fg_row", apply(given, f"x -> {let('done_', 'transform(x.m, c_ -> c_.text)', struct(**built))}") if built else F.lit(None))
+    found = {t.name: F.col(f"fg_row.c{n}") for n, t in enumerate(targets)}
     if outcome:
-        own = lambda k: F.size(F.filter("fg_row.done", lambda m: m["outcome"] == k)).cast("long")
-        extra = lambda k: F.aggregate("fg_events", F.lit(0).cast("long"), lambda a, e: a + e[k])
-        counts = {
-            "scanned": F.size(F.filter("fg_row.done", lambda m: m["outcome"].isNotNull() & (m["outcome"] != "limited"))).cast("long"),
-            "findings": F.aggregate("fg_row.done", F.lit(0).cast("long"), lambda a, m: a + F.coalesce(m["findings"], F.lit(0))),
-            "redacted": own("redacted"), "blocked": own("blocked"), "limited": own("limited") + extra("limited"), "failed": own("failed") + extra("failed"),
-        }
-        built[outcome] = F.struct(F.struct(*[counts[k].alias(k) for k in COUNTS]).alias("counts"), F.col("fg_row.last").alias("usage"), F.lit(False).alias("dropped"))
-    return out.withColumns(built).drop("fg_clean", "fg_events", "fg_masked", "fg_used", "fg_row")
+        spent = "x.a.last" if usage else f"cast(null as struct<{', '.join(f'{u}:bigint' for u in USED)}>)"
+        counted = F.struct(*[F.col(f"fg_{k}").alias(k) for k in ("l", "m", "a")])
+        found[outcome] = apply(counted, f"x -> {struct(counts=counts_sql(), usage=spent, dropped='false')}")
+    return out.withColumns({k: fence(c) for k, c in found.items()}).drop("fg_row", *STEPS)
 
 
 def mask_columns(df: DataFrame, *names: str, walk: Walk = Walk(), keyed: bool = True, outcome: str | None = None) -> DataFrame:

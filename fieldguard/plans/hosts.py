@@ -11,9 +11,9 @@ from pyspark.sql import types as T
 from ..config import ScanConfig
 from ..constants import COUNTS, ERROR, LIMIT
 from ..functions.leaf import mask_leaf, mask_leaf_outcome
-from ..functions.scanner import _bind
+from ..functions.arrays import bind as _bind
 from ..operators.budget import add_counts
-from ..operators.jsonlines import is_replacement_line, redact_line_outcome
+from ..operators.lines import is_replacement_line, redact_lines
 from ..operators.walk import Target, Walk, mask_exception_text, mask_row
 
 MARK = r"%[sdifoOj%]"
@@ -84,13 +84,12 @@ def redact_log_calls(df: DataFrame, obj: str = "obj", fmt: str = "fmt", args: st
         names = df.schema[obj].dataType.fieldNames() if isinstance(df.schema[obj].dataType, T.StructType) else []
         fields = [F.col(level).alias("level"), *[F.col(obj)[n].alias(n) for n in names if n not in ("level", "msg")], F.concat(message, F.col("msg")).alias("msg")]
         out = out.withColumn("line", F.concat(F.to_json(F.struct(*fields)), F.lit("\n")))
-    second = redact_line_outcome(F.col("line"), walk.config, None, walk.limits, walk.operation, F.col("fg_first.usage"))
-    out = out.withColumn("fg_second", second)
+    out = redact_lines(out.withColumn("fg_used", F.col("fg_first.usage")), "line", walk.config, None, walk, "fg_used", "fg_second")
     outcome = F.struct(
         F.lit("pino").alias("host"), F.lit("log-record").alias("unit"), F.col(level).alias("level"), F.array(F.lit("log-method"), F.lit("stream-write")).alias("stages"),
-        add_counts(F.col("fg_first.counts"), F.col("fg_second.counts")).alias("values"), is_replacement_line(F.col("fg_second.line")).alias("lineReplaced"),
+        add_counts(F.col("fg_first.counts"), F.col("fg_second.counts")).alias("values"), is_replacement_line(F.col("line")).alias("lineReplaced"),
     )
-    return out.withColumns({"line": F.col("fg_second.line"), "outcome": outcome}).drop("fg_msg", "fg_first", "fg_second")
+    return out.withColumn("outcome", outcome).drop("fg_msg", "fg_first", "fg_second", "fg_used")
 
 
 def redact_log_records(df: DataFrame, extra_fields: list[str] | None = None, walk: Walk = Walk(), outcome: str | None = None) -> DataFrame:
@@ -108,7 +107,7 @@ def redact_log_records(df: DataFrame, extra_fields: list[str] | None = None, wal
     if extra_fields and "extra" in df.columns:
         out = out.withColumn("fg_extra", F.map_filter("extra", lambda k, v: k.isin(extra_fields)))
         targets.append(Target("fg_extra", None, -1))
-    out = mask_row(out, *targets, walk=walk, outcome=outcome and "fg_outcome")
+    out = mask_row(out, *targets, walk=walk, outcome=outcome and "fg_outcome", usage=False)
     if extra_fields and "extra" in df.columns:
         out = out.withColumn("extra", F.transform_values("extra", lambda k, v: F.when(k.isin(extra_fields), F.try_element_at("fg_extra", k)).otherwise(v))).drop("fg_extra")
     if outcome:
@@ -127,7 +126,7 @@ def redact_spans(df: DataFrame, walk: Walk = Walk(), outcome: str | None = None)
     names and attributes of events, attributes of links. Numbers pass. outcome names a column struct<values, dropped>."""
     own = replace(walk, charge_nodes=False, charge_fields=False, bare=("name", "message"))
     targets = [Target(n, None, d) for n, d in (("name", 0), ("attributes", -1), ("array_attributes", -1), ("status", 0), ("events", 0), ("links", 0)) if n in df.columns]
-    out = mask_row(df, *targets, walk=own, outcome=outcome and "fg_outcome")
+    out = mask_row(df, *targets, walk=own, outcome=outcome and "fg_outcome", usage=False)
     if outcome:
         out = out.withColumn(outcome, F.struct(F.col("fg_outcome.counts").alias("values"), F.col("fg_outcome.dropped").alias("dropped"))).drop("fg_outcome")
     return out
@@ -150,7 +149,7 @@ def redact_otel_logs(df: DataFrame, walk: Walk | None = None, outcome: str | Non
             targets.append(Target("fg_bytes"))
         else:
             targets.append(Target(name, None, -1 if name == "attributes" else 0))
-    out = mask_row(out, *targets, walk=walk, outcome=outcome and "fg_outcome")
+    out = mask_row(out, *targets, walk=walk, outcome=outcome and "fg_outcome", usage=False)
     if outcome:
         counts = {k: F.col("fg_outcome.counts")[k] for k in COUNTS}
         if tail:

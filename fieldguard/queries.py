@@ -16,10 +16,11 @@ from .constants import COUNTS
 from .functions.leaf import mask_leaf, mask_leaf_outcome
 from .functions.scanner import fixture_scan, scan
 from .operators.budget import charge, count_outcomes, first_of_text, usage
-from .operators.jsonlines import redact_line
+from .operators.lines import redact_lines
+from .operators.strict import Strict, sanitize_column
 from .operators.walk import Walk, mask_bytes, mask_columns
 from .oracle import leaf_columns, quote, scan_ctes
-from .plans import context, hosts
+from .plans import context, hosts, strict
 from .sources.lines import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -259,20 +260,27 @@ def key_context_columns(spark, d):
 _VERSIONS = ["0.1.0-beta.12", "0.1.0-beta.2", "0.1.0", "0.2.0-alpha.1", "1.0", "0.1.0-rc.1", "10.0.0", "0.0.9"]
 
 
-@query("SELECT v, ok FROM (VALUES " + ", ".join(f"('{v}', {str(ok).lower()})" for v, ok in zip(_VERSIONS, (True, False, True, True, False, True, True, False))) + ") t(v, ok)")
+def choice(values: list, key: str, sql: bool = False):
+    """One of some values for each row of a table, by its key."""
+    if sql:
+        return "[" + ", ".join(quote(v) if isinstance(v, str) else str(v).lower() for v in values) + f"][{key} % {len(values)} + 1]"
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (F.col(key) % len(values) + 1).cast("int"))
+
+
+@query(f"SELECT p_partkey, {choice(_VERSIONS, 'p_partkey', True)} AS v, {choice([True, False, True, True, False, True, True, False], 'p_partkey', True)} AS ok FROM part")
 def version_floor(spark, d):
-    return spark.createDataFrame([(v,) for v in _VERSIONS], "v string").select("v", version_at_least(F.col("v"), "0.1.0-beta.12").alias("ok"))
+    """Versions that come with the rows of a table."""
+    return table(spark, d, "part").select("p_partkey", choice(_VERSIONS, "p_partkey").alias("v")).withColumn("ok", version_at_least(F.col("v"), "0.1.0-beta.12"))
 
 
 _IDENTITIES = ["credentials=full;selectors=pii:global;families=a", "credentials=full;selectors=off", "selectors=pii:global,pii:kr", "credentials=full", "selectors="]
 
 
-@query("SELECT identity, CASE WHEN s IN ('', 'off') THEN 0 ELSE len(string_split(s, ',')) END::BIGINT AS n_active, list_contains(string_split(s, ','), 'pii:global') AS has_global, s IN ('', 'off') AS is_off FROM (SELECT identity, regexp_extract(identity, 'selectors=([^;]*)', 1) AS s FROM (VALUES " + ", ".join(f"('{i}')" for i in _IDENTITIES) + ") t(identity))")
+@query(f"SELECT s_suppkey, identity, CASE WHEN s IN ('', 'off') THEN 0 ELSE len(string_split(s, ',')) END::BIGINT AS n_active, list_contains(string_split(s, ','), 'pii:global') AS has_global, s IN ('', 'off') AS is_off FROM (SELECT s_suppkey, identity, regexp_extract(identity, 'selectors=([^;]*)', 1) AS s FROM (SELECT s_suppkey, {choice(_IDENTITIES, 's_suppkey', True)} AS identity FROM supplier))")
 def activation_reflects(spark, d):
     i = F.col("identity")
-    return spark.createDataFrame([(x,) for x in _IDENTITIES], "identity string").select(
-        i, F.size(active_selectors(i)).cast("long").alias("n_active"), reflects(i, ["pii:global"]).alias("has_global"), reflects(i, []).alias("is_off")
-    )
+    own = table(spark, d, "supplier").select("s_suppkey", choice(_IDENTITIES, "s_suppkey").alias("identity"))
+    return own.select("s_suppkey", i, F.size(active_selectors(i)).cast("long").alias("n_active"), reflects(i, ["pii:global"]).alias("has_global"), reflects(i, []).alias("is_off"))
 
 
 # --- walking values --------------------------------------------------------------------------------------
@@ -373,14 +381,14 @@ def event_lines(spark, d) -> DataFrame:
 
 @query(f"SELECT event_id, {_LINE_OUT} AS line FROM events")
 def json_lines_events(spark, d):
-    return event_lines(spark, d).select("event_id", redact_line(F.col("line")).alias("line"))
+    return redact_lines(event_lines(spark, d)).select("event_id", "line")
 
 
 @query("""SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '{"msg":"[REDACTED:ERROR]"}' || chr(10) WHEN event_id % 3 = 1 THEN '{"msg":"[REDACTED:LIMIT_EXCEEDED]"}' ELSE '{"a":"b"}' || chr(10) END AS line FROM events""")
 def json_line_limits(spark, d):
     i = F.col("event_id")
     line = F.when(i % 3 == 0, '{"a":"b"} trailing\n').when(i % 3 == 1, F.concat(F.lit('{"a":"'), F.repeat(F.lit("x"), 90), F.lit('"}'))).otherwise('{"a":"b"}\n')
-    return table(spark, d, "events").select("event_id", redact_line(line, limits={"max_line": 80}).alias("line"))
+    return redact_lines(table(spark, d, "events").select("event_id", line.alias("line")), limits={"max_line": 80})
 
 
 @query("SELECT event_id, 'user ' || user_id || ' did ' || event_type || ' 100% of 7 and %s' AS message FROM events")
@@ -476,8 +484,9 @@ def sanitize_value_props(spark, d):
     """Objects whose first key holds a token, a credential key, or neither."""
     i = F.col("event_id")
     key = F.when(i % 4 == 0, token(i)).when(i % 4 == 1, "password").otherwise("note")
-    o = table(spark, d, "events").select("event_id", context.sanitize_map(F.create_map(key, F.md5(i.cast("string")), F.lit("type"), F.col("event_type"))).alias("o"))
-    return o.select("event_id", "o.outcome", "o.reason", "o.value")
+    v = F.create_map(key, F.md5(i.cast("string")), F.lit("type"), F.col("event_type"))
+    o = sanitize_column(table(spark, d, "events").select("event_id", v.alias("v")), "v", outcome="o")
+    return o.select("event_id", "o.outcome", "o.reason", F.to_json("v").alias("value"))
 
 
 _CTX = f"(SELECT conv_id, turn, role, CASE WHEN conv_id % 9 = 0 AND turn % 2 = 1 THEN text || ' -----BEGIN ' || 'PRIVATE KEY-----' || chr(10) || md5(text) || chr(10) || '-----END ' || 'PRIVATE KEY-----' ELSE text END AS text FROM {_CONV})"
@@ -532,8 +541,8 @@ def tool_calls(spark, d, binary: str = "block") -> DataFrame:
     i = F.col("page_id")
     block = lambda kind, text, data=None: F.struct(F.lit(kind).alias("type"), (text if isinstance(text, Column) else F.lit(text)).cast("string").alias("text"), F.lit(data).cast("string").alias("data"))
     second = F.when(i % 5 == 0, block("image", None, "AAAA")).when(i % 5 == 1, block("video", None)).otherwise(block("text", F.concat(F.lit("k "), token(i))))
-    o = context.tool_result(F.array(block("text", F.col("html")), second), binary=binary, error=i % 5 == 4)
-    return table(spark, d, "pages").select(i, o.alias("o"))
+    whole = F.to_json(F.struct(F.array(block("text", F.col("html")), second).alias("content")))
+    return strict.sanitize(table(spark, d, "pages"), "tool_result", whole, Strict(binary=binary), "tool-result", failed=i % 5 == 4).select(i, "o")
 
 
 _HTML = "(SELECT page_id, html AS text FROM pages)"
@@ -591,8 +600,8 @@ def resource_reads(spark, d, binary: str = "block") -> DataFrame:
     text = F.when(i % 3 != 1, F.concat(F.lit("see "), token(i)))
     blob = F.when(i % 3 != 0, F.lit("AAAA"))
     uri = F.when(i % 4 == 0, F.concat(F.lit("file://x/"), token(i))).otherwise(F.col("url"))
-    o = context.resource_result(F.array(F.struct(uri.alias("uri"), text.alias("text"), blob.alias("blob"))), binary=binary, error=i % 7 == 3)
-    return table(spark, d, "pages").select(i, o.alias("o"))
+    whole = F.to_json(F.struct(F.array(F.struct(uri.alias("uri"), text.alias("text"), blob.alias("blob"))).alias("contents")))
+    return strict.sanitize(table(spark, d, "pages"), "resource_result", whole, Strict(binary=binary), "resource", failed=i % 7 == 3).select(i, "o")
 
 
 _RESOURCE = """CASE WHEN page_id % 7 = 3 THEN 'read_error' WHEN page_id % 3 {} THEN 'ok' ELSE 'blocked' END"""

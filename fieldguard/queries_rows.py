@@ -10,12 +10,12 @@ from .config import ScanConfig, version_at_least
 from .constants import COUNTS
 from .functions.leaf import mask_leaf_outcome
 from .operators.budget import add_counts, scan_once
-from .operators.jsonlines import is_replacement_line, redact_line, redact_line_after, value_spans
-from .operators.jsonwalk import mask_json_outcome
+from .operators.json_walk import mask_json
+from .operators.lines import is_replacement_line, redact_lines, redact_lines_after, value_spans
 from .operators.walk import Target, Walk, mask_columns, mask_keyed_leaves, mask_row
 from .oracle import scan_ctes
 from .plans import hosts, readback
-from .queries import DOCS, _CONV, conversations, event_lines, query, rules, spans, table, token, token_sql
+from .queries import DOCS, _CONV, choice, conversations, query, rules, spans, table, token, token_sql
 
 ZERO = "0::BIGINT"
 
@@ -132,7 +132,7 @@ def mask_json_events(spark, d):
     """JSON of any shape, permissively, with the counts and the usage of each row's operation."""
     i = F.col("event_id")
     v = F.concat(F.lit('{"a":["x",{"password":"'), F.when(i % 2 == 0, F.md5(i.cast("string"))).otherwise("short"), F.lit('"}],"n":1.5,"none":null}'))
-    return table(spark, d, "events").select(i, mask_json_outcome(v).alias("o")).select(i, "o.value", *fields("o.counts", "scanned", "redacted"), *fields("o.usage", "nodes", "keys"))
+    return mask_json(table(spark, d, "events").select(i, v.alias("value")), "value", outcome="o").select(i, "value", *fields("o.counts", "scanned", "redacted"), *fields("o.usage", "nodes", "keys"))
 
 
 # --- outcomes of hosts -------------------------------------------------------------------------------------
@@ -236,7 +236,7 @@ def json_lines_hostile(spark, d):
     """Lines that aren't strict JSON never pass; what changes is escaped again, what doesn't keeps its bytes."""
     i = F.col("event_id")
     line = F.replace(F.element_at(F.array(*[F.lit(x) for x in _HOSTILE]), (i % len(_HOSTILE) + 1).cast("int")), F.lit("TOKEN"), token(i))
-    return table(spark, d, "events").select(i, redact_line(line).alias("line"))
+    return redact_lines(table(spark, d, "events").select(i, line.alias("line")))
 
 
 @query("SELECT s_suppkey, (1000009 + s_suppkey)::BIGINT AS n, '{\"a\":\"' AS head, ' <SECRET_1>\"}' AS tail FROM supplier")
@@ -244,8 +244,8 @@ def json_lines_long_literals(spark, d):
     """A literal of a million characters, with a token at its end and escapes all along."""
     k = F.col("s_suppkey")
     line = F.concat(F.lit('{"a":"'), F.repeat(F.lit("\\n"), 500_000 - 5), F.repeat(F.lit("y"), k.cast("int")), F.lit(" "), token(k), F.lit('"}'))
-    out = redact_line(line, walk={"max_string_length": 1 << 21})
-    return table(spark, d, "supplier").select(k, out.alias("o")).select(k, F.length("o").cast("long").alias("n"), F.substr("o", F.lit(1), F.lit(6)).alias("head"), F.substr("o", F.length("o") - 12, F.lit(13)).alias("tail"))
+    out = redact_lines(table(spark, d, "supplier").select(k, line.alias("o")), "o", walk={"max_string_length": 1 << 21})
+    return out.select(k, F.length("o").cast("long").alias("n"), F.substr("o", F.lit(1), F.lit(6)).alias("head"), F.substr("o", F.length("o") - 12, F.lit(13)).alias("tail"))
 
 
 @query("SELECT event_id, 6::BIGINT AS n_values, 'level' AS first_key, 'msg|api_key|||' AS keys FROM events")
@@ -261,7 +261,7 @@ def line_value_spans(spark, d):
 def replacement_lines(spark, d):
     i = F.col("event_id")
     line = F.when(i % 3 == 0, "no json\n").when(i % 3 == 1, '{"a":"' + "x" * 90 + '"}').otherwise('{"msg":"[REDACTED:ERROR] not"}')
-    return table(spark, d, "events").select(i, is_replacement_line(redact_line(line, limits={"max_line": 80})).alias("replaced"))
+    return redact_lines(table(spark, d, "events").select(i, line.alias("line")), limits={"max_line": 80}).select(i, is_replacement_line(F.col("line")).alias("replaced"))
 
 
 @query("SELECT event_id, 'a 7.25 b 7 c ''text'' d {\"k\":1} e 100% f NaN g ' || event_id || ' h %d %' AS message, 'plain %s %d' AS bare FROM events")
@@ -289,9 +289,9 @@ def counts_of_two_passes(spark, d):
 _PYTHON_VERSIONS = [("1.2.3", True), ("1.2.3rc1", False), ("1.2.3b2", False), ("1.2.4a1", True), ("1.2.3.post1", False), ("1.2.3.dev4", False), ("1.3", False), ("1.3.0b1", True), ("1.2.3+build.5", True), ("1.2.3-rc.1.x", False), ("1.2.3-99", False), ("2.0.0-alpha", True), ("v1.2.3", False), ("1.2", False)]
 
 
-@query("SELECT v, ok FROM (VALUES " + ", ".join(f"('{v}', {str(ok).lower()})" for v, ok in _PYTHON_VERSIONS) + ") t(v, ok)")
+@query(f"SELECT c_custkey, {choice([v for v, _ in _PYTHON_VERSIONS], 'c_custkey', True)} AS v, {choice([ok for _, ok in _PYTHON_VERSIONS], 'c_custkey', True)} AS ok FROM customer")
 def version_dialects(spark, d):
-    return spark.createDataFrame([(v,) for v, _ in _PYTHON_VERSIONS], "v string").select("v", version_at_least(F.col("v"), "1.2.3").alias("ok"))
+    return table(spark, d, "customer").select("c_custkey", choice([v for v, _ in _PYTHON_VERSIONS], "c_custkey").alias("v")).withColumn("ok", version_at_least(F.col("v"), "1.2.3"))
 
 
 @query(f"WITH {scan_ctes('(SELECT doc_id, text || chr(32) || ' + token_sql('doc_id') + ' AS text FROM documents)', rules(('github_token', 'warn')))} SELECT doc_id, masked AS masked_text, n_findings AS findings FROM s")
@@ -302,19 +302,18 @@ def overlay_token_warn(spark, d):
 
 @query("SELECT event_id, CASE event_id % 3 WHEN 0 THEN '{\"host\":\"<SECRET_1>\"}' WHEN 1 THEN '{\"a\":\"<SECRET_1>\"}' ELSE '{\"msg\":\"[REDACTED:ERROR]\"}' END AS line FROM events")
 def lines_after_host_hooks(spark, d):
-    """A host's own hook: one that rewrites the line, one that raises or returns no text, one that breaks it."""
+    """A host's own hook: one that rewrites the line, one that raises, one that gives nothing, one that breaks the line."""
     i = F.col("event_id")
 
-    def host(line: str):
-        if line.endswith("0"):
-            return line[:-1].replace('"a"', '"host"')
-        if line.endswith("1"):
-            raise RuntimeError("no hook")
-        return line if line.endswith("2") else None
+    def rewrites(line: Column) -> Column:
+        return F.replace(line, F.lit('"a"'), F.lit('"host"'))
 
-    line = F.concat(F.lit('{"a":"'), token(i), F.lit('"}'))
-    df = table(spark, d, "events")
-    parts = [df.where(i % 3 == k).select(i, redact_line_after(F.concat(line, F.lit(end)), host).alias("line")) for k, end in ((0, "0"), (1, ""), (2, "2"))]
+    def raises(line: Column) -> Column:
+        raise RuntimeError("no hook")
+
+    lines = table(spark, d, "events").select(i, F.concat(F.lit('{"a":"'), token(i), F.lit('"}')).alias("line"))
+    hosts_ = (rewrites, raises, lambda line: F.concat(line, F.lit("2")))
+    parts = [redact_lines_after(lines.where(i % 3 == k), host) for k, host in enumerate(hosts_)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -338,10 +337,16 @@ def log_records_filtered_twice(spark, d):
 # --- workloads ---------------------------------------------------------------------------------------------
 
 
-def profile_query(name: str, n: int):
-    """Units, tokens found and leaves scanned of a profile, masked."""
+def units(spark, d, name: str) -> DataFrame:
+    """The keys of a table as the units of a workload."""
+    t = table(spark, d, name)
+    return t.select(F.col(t.columns[0]).cast("long").alias("id"))
+
+
+def profile_query(name: str, source: str):
+    """Units, tokens found and leaves scanned of a profile, masked: one unit for each row of a table."""
     def run(spark, d):
-        w = workloads.build(spark, name, n)
+        w = workloads.build(units(spark, d, source), name)
         if workloads.PROFILES[name].shape == "span":
             m = hosts.redact_spans(w, outcome="o").select("o.values")
         elif workloads.PROFILES[name].shape == "payload":
@@ -353,17 +358,21 @@ def profile_query(name: str, n: int):
     return run
 
 
-#: (units, leaves of each, refusals of each): a token in every eighth unit.
-EXPECTED = {"log-flat": (400, 10, 0), "log-nested": (400, 27, 0), "span-attributes": (400, 44, 0), "mask-payload": (200, 20, 0), "log-scale-4x": (200, 34, 0), "log-scale-16x": (100, 130, 0), "limit-depth": (200, 10, 1), "limit-keys": (40, 202, 0), "limit-array": (24, 1010, 0), "limit-string-over": (16, 10, 1)}
-for _name, (_n, _leaves, _over) in EXPECTED.items():
-    _run = profile_query(_name, _n)
+#: (table, its key, leaves of each unit, refusals of each): a token in every eighth unit.
+EXPECTED = {
+    "log-flat": ("customer", "c_custkey", 10, 0), "log-nested": ("customer", "c_custkey", 27, 0), "span-attributes": ("customer", "c_custkey", 44, 0), "mask-payload": ("customer", "c_custkey", 20, 0),
+    "log-scale-4x": ("supplier", "s_suppkey", 34, 0), "log-scale-16x": ("supplier", "s_suppkey", 130, 0), "limit-depth": ("supplier", "s_suppkey", 10, 1), "limit-keys": ("supplier", "s_suppkey", 202, 0),
+    "limit-array": ("supplier", "s_suppkey", 1010, 0), "limit-string-over": ("supplier", "s_suppkey", 10, 1),
+}
+for _name, (_table, _key, _leaves, _over) in EXPECTED.items():
+    _run = profile_query(_name, _table)
     _run.__name__ = "workload_" + _name.replace("-", "_")
-    query(f"SELECT {_n}::BIGINT AS units, {-(-_n // 8)}::BIGINT AS redacted, {_n * _leaves}::BIGINT AS scanned, {_n * _over}::BIGINT AS limited")(_run)
+    query(f"SELECT count(*) AS units, count(*) FILTER (WHERE {_key} % 8 = 0) AS redacted, count(*) * {_leaves} AS scanned, (count(*) * {_over})::BIGINT AS limited FROM {_table}")(_run)
 
 
-@query("SELECT 400::BIGINT AS units, 400::BIGINT AS digests, true AS same")
+@query("SELECT count(*) AS units, count(*) AS digests, true AS same FROM customer")
 def workload_digests(spark, d):
     """The same units in two runs, whatever the partitions."""
-    w = workloads.build(spark, "log-nested", 400)
+    w = workloads.build(units(spark, d, "customer"), "log-nested")
     one, two = (x.select("record_id", workloads.digest(w).alias(n)) for x, n in ((w, "a"), (w.repartition(7), "b")))
     return one.join(two, "record_id").agg(F.count("*").alias("units"), F.count_distinct("a").alias("digests"), F.min(F.col("a") == F.col("b")).alias("same"))

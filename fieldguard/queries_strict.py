@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 
 from . import workloads
 from .config import ScanConfig
-from .functions.python_scanner import CoreError
+from .operators.strict import Strict, sanitize_column
 from .oracle import scan_ctes
 from .plans import context
-from .plans.boundary import Boundary, ToolBoundary, create_boundary, sanitize
-from .queries import DOCS, _CONV, conversations, findings_sql, query, table, token, token_sql
+from .plans.ready import create_strict
+from .plans.strict import call_tools, sanitize
+from .queries import DOCS, _CONV, choice, conversations, findings_sql, query, table, token, token_sql
+from .queries_rows import units
+
 
 def text_of(*parts):
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
@@ -33,7 +36,7 @@ def sanitize_value_nested(spark, d):
         .when(i % 6 == 4, text_of('{"a":"-----BEGIN ', 'PRIVATE KEY-----\\n', F.md5(i.cast("string")), '\\n-----END ', 'PRIVATE KEY-----","b":"x"}'))
         .otherwise('{"secret":"SECRET01"}')
     )
-    o = table(spark, d, "events").select(i, sanitize("value", v).alias("o"))
+    o = sanitize(table(spark, d, "events"), "value", v)
     return o.select(i, "o.outcome", "o.reason", "o.value", F.when(F.col("o.outcome") == "ok", F.size("o.findings")).cast("long").alias("findings"))
 
 
@@ -42,8 +45,7 @@ def sanitize_value_budget(spark, d):
     """Leaves of one value spend its operation's budget: repeated short texts are scanned once."""
     i = F.col("event_id")
     item = F.when(i % 3 == 0, F.transform(F.sequence(F.lit(1), F.lit(6)), lambda k: F.concat(F.lit("t"), k.cast("string")))).otherwise(F.array_repeat(F.lit("same"), 6))
-    o = sanitize("value", F.to_json(item), Boundary(operation={"max_scans": 4}))
-    return table(spark, d, "events").select(i, o.alias("o")).select(i, "o.outcome", "o.reason")
+    return sanitize(table(spark, d, "events"), "value", F.to_json(item), Strict(operation={"max_scans": 4})).select(i, "o.outcome", "o.reason")
 
 
 @query("""SELECT event_id, ['tool-text', 'tool-value', 'unsupported'][event_id % 3 + 1] AS kind, CASE WHEN event_id % 3 = 2 THEN 'blocked' ELSE 'ok' END AS outcome,
@@ -53,14 +55,14 @@ def dispatch_by_type(spark, d):
     i = F.col("event_id")
     v = F.when(i % 3 == 0, text_of('"out ', token(i), '"')).when(i % 3 == 1, text_of('{"out":"', token(i), '"}')).otherwise(text_of("{out: ", token(i)))
     kind = F.element_at(F.array(*[F.lit(x) for x in ("tool-text", "tool-value", "unsupported")]), (i % 3 + 1).cast("int"))
-    return table(spark, d, "events").select(i, kind.alias("kind"), sanitize("dispatch", v).alias("o")).select(i, "kind", "o.outcome", "o.value")
+    return sanitize(table(spark, d, "events"), "dispatch", v, label="tool-result").select(i, kind.alias("kind"), "o.outcome", "o.value")
 
 
 @query("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'aborted' ELSE 'ok' END AS outcome, CASE WHEN event_id % 2 = 1 THEN '{\"type\":\"' || event_type || '\"}' END AS value FROM events")
 def cancelled_values(spark, d):
     i = F.col("event_id")
-    o = sanitize("value", text_of('{"type":"', F.col("event_type"), '"}'), aborted=i % 2 == 0)
-    return table(spark, d, "events").select(i, o.alias("o")).select(i, "o.outcome", "o.value")
+    o = sanitize(table(spark, d, "events"), "value", text_of('{"type":"', F.col("event_type"), '"}'), aborted=i % 2 == 0)
+    return o.select(i, "o.outcome", "o.value")
 
 
 @query("SELECT event_id, 'blocked' AS outcome, 'core_error' AS reason, 'INITIALIZATION_FAILED' AS code FROM events")
@@ -70,8 +72,8 @@ def boundary_that_failed_to_start(spark, d):
     def start():
         raise RuntimeError("no scanner")
 
-    o = sanitize("value", text_of('{"type":"', F.col("event_type"), '"}'), create_boundary(start))
-    return table(spark, d, "events").select(i, o.alias("o")).select(i, "o.outcome", "o.reason", "o.code")
+    o = sanitize(table(spark, d, "events"), "value", text_of('{"type":"', F.col("event_type"), '"}'), create_strict(start))
+    return o.select(i, "o.outcome", "o.reason", "o.code")
 
 
 @query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'ok' ELSE 'blocked' END AS outcome, CASE WHEN event_id % 4 <> 0 THEN 'core_error' END AS reason,
@@ -85,21 +87,17 @@ def callbacks_that_fail(spark, d):
     configs = [ScanConfig(evaluate=lambda f: "redact"), ScanConfig(evaluate=fail), ScanConfig(evaluate=lambda f: "drop"), ScanConfig(formatter=fail)]
     out = None
     for n, config in enumerate(configs):
-        o = table(spark, d, "events").where(i % 4 == n).select(i, sanitize("text", text_of('"', token(i), '"'), Boundary(config)).alias("o")).select(i, "o.outcome", "o.reason", "o.code")
+        o = sanitize(table(spark, d, "events").where(i % 4 == n), "text", text_of('"', token(i), '"'), Strict(config)).select(i, "o.outcome", "o.reason", "o.code")
         out = o if out is None else out.unionByName(o)
     return out
 
 
 # --- contexts and findings ---------------------------------------------------------------------------------
 
-_ROLE = "CASE WHEN conv_id % 11 = 3 AND turn = 0 THEN NULL ELSE role END"
-
-
-def context_json(spark, d):
-    c = conversations(spark, d)
-    role = F.when((F.col("conv_id") % 11 == 3) & (F.col("turn") == 0), F.lit(None)).otherwise(F.col("role"))
-    part = F.struct(role.alias("role"), F.lit("user-input").alias("boundary"), F.col("text"))
-    return c.groupBy("conv_id").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("turn", part.alias("p")))), lambda x: x["p"])).alias("parts"))
+def with_roles(spark, d):
+    """Conversations, some of which begin with a part that has no role."""
+    missing = (F.col("conv_id") % 11 == 3) & (F.col("turn") == 0)
+    return conversations(spark, d).withColumn("role", F.when(missing, F.lit(None)).otherwise(F.col("role")))
 
 
 @query(f"""WITH {scan_ctes(_CONV)}, m AS (SELECT conv_id, min(turn) AS first, sum(n_findings) AS n, string_agg(role || ':' || masked, '|' ORDER BY turn) AS messages FROM s GROUP BY conv_id)
@@ -107,31 +105,94 @@ SELECT conv_id, CASE WHEN conv_id % 11 = 3 AND first = 0 THEN 'blocked' ELSE 'ok
  CASE WHEN NOT (conv_id % 11 = 3 AND first = 0) THEN n::BIGINT END AS findings, CASE WHEN NOT (conv_id % 11 = 3 AND first = 0) THEN md5(messages) END AS digest FROM m""")
 def contexts_with_roles(spark, d):
     """Parts under one budget and memo; a part without a role makes the whole context unsupported."""
-    o = context_json(spark, d).select("conv_id", sanitize("context", F.col("parts")).alias("o"))
-    messages = F.from_json("o.value", "array<struct<role:string,content:string>>")
+    o = context.build_context(with_roles(spark, d))
+    messages = F.from_json("messages", "array<struct<role:string,content:string>>")
     digest = F.md5(F.array_join(F.transform(messages, lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "|"))
-    return o.select("conv_id", "o.outcome", "o.reason", F.when(F.col("o.outcome") == "ok", F.size("o.findings")).cast("long").alias("findings"), digest.alias("digest"))
+    return o.select("conv_id", "outcome", "reason", F.col("n_findings").alias("findings"), digest.alias("digest"))
+
+
+_FIRST = "(SELECT min(turn) FROM conversations c WHERE c.conv_id = f.conv_id)"
 
 
-@query(findings_sql(source=_CONV, head="""SELECT conv_id, (row_number() OVER (PARTITION BY conv_id, turn ORDER BY start_at))::BIGINT AS n, turn, type, action, start_at, end_at,
- (SELECT count(*) FROM conversations c WHERE c.conv_id = f.conv_id AND c.turn < f.turn)::BIGINT AS part FROM f WHERE conv_id % 11 <> 3""").replace("SELECT conv_id, (row_number()", "SELECT conv_id, (row_number()"))
+@query(findings_sql(source=_CONV, head=f"""SELECT conv_id, (row_number() OVER (PARTITION BY conv_id, turn ORDER BY start_at))::BIGINT AS n, turn, type, action, start_at, end_at,
+ (SELECT count(*) FROM conversations c WHERE c.conv_id = f.conv_id AND c.turn < f.turn)::BIGINT AS part FROM f WHERE NOT (conv_id % 11 = 3 AND {_FIRST} = 0)"""))
 def context_findings(spark, d):
-    """The side table of findings: one row each, with the part it lies in."""
-    o = context_json(spark, d).where("conv_id % 11 <> 3").select("conv_id", sanitize("context", F.col("parts")).alias("o"))
-    f = o.select("conv_id", F.explode("o.emitted").alias("f"))
-    turns = conversations(spark, d).select("conv_id", "turn").groupBy("conv_id").agg(F.array_sort(F.collect_list("turn")).alias("turns"))
-    return f.join(turns, "conv_id").select(
-        "conv_id", F.regexp_extract("f.id", r"(\d+)", 1).cast("long").alias("n"), F.get("turns", F.col("f.partIndex")).alias("turn"), "f.type", "f.action", F.col("f.start").cast("long").alias("start_at"), F.col("f.end").cast("long").alias("end_at"), F.col("f.partIndex").cast("long").alias("part")
+    """The side table of findings: one row each, with the part it lies in; none of contexts that begin with a part that is none."""
+    f = context.context_findings(with_roles(spark, d))
+    return f.select(
+        "conv_id", F.regexp_extract("finding.id", r"(\d+)", 1).cast("long").alias("n"), "turn", "finding.type", "finding.action", F.col("finding.start").cast("long").alias("start_at"), F.col("finding.end").cast("long").alias("end_at"), F.col("part").cast("long").alias("part")
     )
 
 
+@query("""WITH c AS (SELECT *, row_number() OVER w AS leaves, sum(strlen(text)) OVER w AS bytes FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, CASE WHEN max(leaves) > 3 THEN 'blocked' ELSE 'ok' END AS outcome, CASE WHEN max(leaves) > 3 THEN 'limit_exceeded' END AS reason FROM c GROUP BY conv_id""")
+def context_shared_budget(spark, d):
+    """Parts spend one budget: contexts of over three parts are refused."""
+    o = context.build_context(table(spark, d, "conversations"), operation={"max_leaves": 3})
+    return o.select("conv_id", "outcome", "reason")
+
+
+@query("""WITH c AS (SELECT *, CASE WHEN turn % 2 = 0 THEN 'same' ELSE 'one ' || turn END AS t FROM conversations), s AS (SELECT conv_id, count(DISTINCT t) AS n FROM c GROUP BY conv_id)
+SELECT conv_id, CASE WHEN n > 2 THEN 'blocked' ELSE 'ok' END AS outcome FROM s""")
+def context_memo(spark, d):
+    """A text that its operation has scanned isn't charged again."""
+    t = F.when(F.col("turn") % 2 == 0, "same").otherwise(F.concat(F.lit("one "), F.col("turn").cast("string")))
+    return context.build_context(table(spark, d, "conversations").withColumn("text", t), operation={"max_scans": 2}).select("conv_id", "outcome")
+
+
+@query("""WITH c AS (SELECT doc_id, sum(strlen(coalesce(text, ''))) OVER w AS used FROM documents WINDOW w AS (ORDER BY doc_id ROWS UNBOUNDED PRECEDING))
+SELECT doc_id, used::BIGINT AS used_bytes, used <= 400000 AS allowed FROM c""")
+def budget_of_all_documents(spark, d):
+    """All documents as one operation, whose charges are summed up range by range."""
+    from .operators.budget import charge
+
+    docs = table(spark, d, DOCS).select("doc_id", "text", F.lit(1).alias("op"))
+    return charge(docs, "op", "doc_id", {"bytes": F.octet_length(F.coalesce("text", F.lit("")))}, {"max_bytes": 400_000}, rows=100).select("doc_id", "used_bytes", "allowed")
+
+
+_TREE = """SELECT o_orderkey, CASE WHEN o_orderkey % 5 IN (1, 2, 3) THEN 'blocked' ELSE 'ok' END AS outcome, CASE o_orderkey % 5 WHEN 1 THEN 'policy' WHEN 2 THEN 'unsupported_value' WHEN 3 THEN 'policy' END AS reason,
+ CASE WHEN o_orderkey % 5 IN (0, 4) THEN 'order ' || o_orderkey || ' <SECRET_1>' END AS note, CASE WHEN o_orderkey % 5 IN (0, 4) THEN '<SECRET_1>' END AS password, CASE WHEN o_orderkey % 5 IN (0, 4) THEN 'a|b ' || CASE WHEN o_orderkey % 5 = 4 THEN '<SECRET_1>' ELSE 'c' END END AS listed,
+ CASE WHEN o_orderkey % 5 IN (0, 4) THEN o_totalprice END AS price, CASE WHEN o_orderkey % 5 IN (0, 4) THEN o_orderstatus END AS status, CASE o_orderkey % 5 WHEN 0 THEN 2 WHEN 4 THEN 3 END::BIGINT AS findings FROM orders"""
+
+
+@query(_TREE)
+def sanitize_typed_orders(spark, d):
+    """Typed columns, strictly: structs, maps and arrays in one value; a token as a key of a map behind all else, a number that
+    isn't finite, a key block in an array, and values that are released with their types."""
+    k = F.col("o_orderkey")
+    pem = F.concat(F.lit("-----BEGIN "), F.lit("PRIVATE KEY-----\n"), F.md5(k.cast("string")), F.lit("\n-----END "), F.lit("PRIVATE KEY-----"))
+    second = F.concat(F.lit("b "), F.when(k % 5 == 4, token(k)).when(k % 5 == 3, pem).otherwise("c"))
+    bag = F.create_map(F.lit("password"), F.md5(k.cast("string")), F.when(k % 5 == 1, token(k)).otherwise("status"), F.col("o_orderstatus"))
+    number = F.when(k % 5 == 2, F.lit(float("inf"))).otherwise(F.col("o_totalprice").cast("double"))
+    v = F.struct(F.concat(F.lit("order "), k.cast("string"), F.lit(" "), token(k)).alias("note"), F.struct(F.array(F.struct(F.array(F.lit("a"), second).alias("xs")), F.lit(None)).alias("list")).alias("deep"), bag.alias("bag"), number.alias("price"))
+    o = sanitize_column(table(spark, d, "orders").select("o_orderkey", v.alias("v"), F.col("o_totalprice").alias("total")), "v", outcome="o")
+    listed = F.array_join(F.get("v.deep.list", F.lit(0))["xs"], "|")
+    return o.select(
+        "o_orderkey", "o.outcome", "o.reason", "v.note", F.col("v.bag")["password"].alias("password"), listed.alias("listed"), F.when(F.col("v.price").isNotNull(), F.col("total")).alias("price"), F.col("v.bag")["status"].alias("status"),
+        F.when(F.col("o.outcome") == "ok", F.size("o.findings")).cast("long").alias("findings"),
+    )
+
+
+@query("""WITH c AS (SELECT doc_id, text FROM documents), k AS (SELECT doc_id, CASE WHEN strlen(coalesce(text, '')) > 2000 THEN 0 END AS long_at, CASE WHEN doc_id % 3 = 0 THEN 1 END AS deep_at, CASE WHEN doc_id % 2 = 0 THEN 2 END AS key_at FROM c)
+SELECT doc_id, CASE WHEN coalesce(long_at, deep_at, key_at) IS NULL THEN 'ok' ELSE 'blocked' END AS outcome, CASE WHEN long_at IS NOT NULL OR deep_at IS NOT NULL THEN 'limit_exceeded' WHEN key_at IS NOT NULL THEN 'policy' END AS reason,
+ CASE WHEN long_at IS NOT NULL THEN 'INPUT_LIMIT_EXCEEDED' END AS code FROM k""")
+def sanitize_first_failure(spark, d):
+    """Whole texts of documents in typed values with several refusals: the first in document order decides."""
+    i = F.col("doc_id")
+    inner = F.when(i % 3 == 0, F.array(F.array(F.lit("x"))))
+    same = F.rpad(F.lit(""), F.octet_length(F.coalesce("text", F.lit(""))), "x")
+    v = F.struct(same.alias("a"), inner.alias("b"), F.create_map(F.when(i % 2 == 0, token(i)).otherwise("k"), F.lit("y")).alias("c"))
+    o = sanitize_column(table(spark, d, DOCS).select("doc_id", v.alias("v")), "v", Strict(limits={"max_input_bytes": 2000, "max_depth": 2}), "o")
+    return o.select("doc_id", "o.outcome", "o.reason", "o.code")
+
+
 @query("""SELECT event_id, scope, ordinal, action FROM (SELECT event_id, 'key' AS scope, 0::BIGINT AS ordinal, 'redact' AS action FROM events WHERE event_id % 2 = 0
 UNION ALL SELECT event_id, 'leaf', 1, 'redact' FROM events WHERE event_id % 2 = 1)""")
 def emitted_findings(spark, d):
     """What an observer sees of values, blocked ones included: the place of each finding among keys or leaves."""
     i = F.col("event_id")
     v = F.when(i % 2 == 0, text_of('{"', token(i), '":"x"}')).otherwise(text_of('{"a":"x","b":["', token(i), '"]}'))
-    f = table(spark, d, "events").select(i, F.explode(sanitize("value", v, label="tool-result")["emitted"]).alias("f"))
+    f = sanitize(table(spark, d, "events"), "value", v, label="tool-result").select(i, F.explode("o.emitted").alias("f"))
     return f.where("f.boundary = 'tool-result'").select(i, F.col("f.rangeScope").alias("scope"), F.coalesce("f.leafOrdinal", "f.keyOrdinal").cast("long").alias("ordinal"), "f.action")
 
 
@@ -140,12 +201,11 @@ def emitted_findings(spark, d):
 
 @query(f"WITH {scan_ctes('(SELECT doc_id, text || chr(10) || ' + token_sql('doc_id') + ' AS text FROM documents)')} SELECT doc_id, 'ok' AS outcome, masked AS value, n_findings::BIGINT AS findings FROM s WHERE NOT blocked")
 def streamed_documents(spark, d):
-    """Documents in chunks through the incremental scanner: the same text and findings as in one piece."""
+    """Documents in chunks, held back as lines end: the same text and findings as in one piece."""
     docs = table(spark, d, DOCS).select("doc_id", F.concat("text", F.lit("\n"), token(F.col("doc_id"))).alias("text"))
-    steps = workloads.stream_chunks(docs, F.col("text"), "doc_id", 300)
     wide = {"max_input_bytes": 1 << 24, "max_buffered_bytes": 1 << 22, "max_token_bytes": 1 << 20, "max_multiline_bytes": 1 << 20}
-    o = steps.select("doc_id", sanitize("stream", F.col("steps"), Boundary(incremental=wide)).alias("o"))
-    return o.select("doc_id", "o.outcome", F.from_json(F.concat(F.lit('{"v":'), "o.value", F.lit("}")), "v string")["v"].alias("value"), F.size("o.findings").cast("long").alias("findings"))
+    o = context.stream_batch(workloads.stream_chunks(docs, F.col("text"), "doc_id", 300), incremental=wide).where("outcome = 'ok'")
+    return o.select(F.col("stream_id").alias("doc_id"), "outcome", "value", F.size("findings").cast("long").alias("findings"))
 
 
 _STREAM_CODES = ["INPUT_LIMIT_EXCEEDED", "BUFFER_LIMIT_EXCEEDED", "TOKEN_LIMIT_EXCEEDED", "MULTILINE_LIMIT_EXCEEDED"]
@@ -156,12 +216,13 @@ def incremental_limits(spark, d):
     """Each of the four bounds of a stream: all bytes, held-back bytes, one long token, an open key block."""
     i = F.col("event_id")
     body = (
-        F.when(i % 4 == 0, F.repeat(F.lit("line of text\\n"), 60)).when(i % 4 == 1, F.repeat(F.lit("words "), 60)).when(i % 4 == 2, F.repeat(F.lit("x"), 110))
-        .otherwise(text_of("-----BEGIN ", "PRIVATE KEY-----\\n", F.repeat(F.lit("YWJj\\n"), 45)))
+        F.when(i % 4 == 0, F.repeat(F.lit("line of text\n"), 60)).when(i % 4 == 1, F.repeat(F.lit("words "), 60)).when(i % 4 == 2, F.repeat(F.lit("x"), 110))
+        .otherwise(text_of("-----BEGIN ", "PRIVATE KEY-----\n", F.repeat(F.lit("YWJj\n"), 45)))
     )
-    steps = text_of('[{"op":"append","chunk":"', body, '"},{"op":"finalize"}]')
+    steps = table(spark, d, "events").select(i.alias("stream_id"), F.posexplode(F.array(body, F.lit(None))).alias("p", "chunk"))
+    steps = steps.select("stream_id", F.col("p").cast("long").alias("seq"), F.when(F.col("p") == 0, "append").otherwise("finalize").alias("op"), "chunk")
     limits = {"max_input_bytes": 600, "max_buffered_bytes": 300, "max_token_bytes": 100, "max_multiline_bytes": 200}
-    return table(spark, d, "events").select(i, sanitize("stream", steps, Boundary(incremental=limits)).alias("o")).select(i, "o.outcome", "o.reason", "o.code")
+    return context.stream_batch(steps, incremental=limits).select(F.col("stream_id").alias("event_id"), "outcome", "reason", "code")
 
 
 @query("""SELECT event_id, ['ok', 'tool_error', 'aborted', 'blocked'][event_id % 4 + 1] AS outcome,
@@ -169,9 +230,11 @@ CASE WHEN event_id % 4 = 0 THEN '{"content":[{"type":"text","text":"part <SECRET
 def streamed_tool_results(spark, d):
     """A tool that yields chunks: a token cut in two, a producer that fails, a cancelled call, a chunk that is no text."""
     i = F.col("event_id")
-    v = F.when(i % 4 == 3, '["a", 7]').otherwise(F.to_json(F.array(text_of("part ", F.substr(token(i), F.lit(1), F.lit(11))), F.concat(F.substr(token(i), F.lit(12), F.lit(60)), F.lit(" end")))))
-    o = sanitize("streamed_result", v, aborted=i % 4 == 2, failed=i % 4 == 1)
-    return table(spark, d, "events").select(i, o.alias("o")).select(i, "o.outcome", "o.value")
+    first, rest = text_of("part ", F.substr(token(i), F.lit(1), F.lit(11))), F.concat(F.substr(token(i), F.lit(12), F.lit(60)), F.lit(" end"))
+    step = lambda n, op, chunk=None: F.struct(F.lit(n).cast("long").alias("seq"), F.lit(op).alias("op"), (F.lit(None).cast("string") if chunk is None else chunk).alias("chunk"))
+    third = F.when(i % 4 == 0, step(2, "append", F.lit(""))).when(i % 4 == 1, step(2, "fail")).when(i % 4 == 2, step(2, "abort")).otherwise(step(2, "append"))
+    steps = table(spark, d, "events").select(i.alias("stream_id"), F.explode(F.array(step(0, "append", first), step(1, "append", rest), third, step(3, "finalize"))).alias("s")).select("stream_id", "s.*")
+    return context.streamed_tool_results(steps, incremental=True).select(F.col("stream_id").alias("event_id"), "outcome", "value")
 
 
 @query("""SELECT event_id, ['ok', 'blocked', 'blocked', 'ok', 'blocked'][event_id % 5 + 1] AS outcome, [NULL, 'unsupported_value', 'policy', NULL, 'policy'][event_id % 5 + 1] AS reason,
@@ -183,7 +246,7 @@ def tool_arguments(spark, d):
         F.when(i % 5 == 0, text_of('{"path":"/x","api_key":"', F.md5(i.cast("string")), '"}')).when(i % 5 == 1, '["x"]').when(i % 5 == 2, text_of('{"', token(i), '":1}')).when(i % 5 == 4, text_of('{"a":"token=","b":{"c":["', F.lit("x"), '"]},"token: ":1}'))
     )
     v = F.when(i % 5 == 4, text_of('{"a\\"token\\":\\"', F.substr(F.md5(i.cast("string")), F.lit(1), F.lit(20)), '":1}')).otherwise(v)
-    return table(spark, d, "events").select(i, sanitize("tool_arguments", v).alias("o")).select(i, "o.outcome", "o.reason", "o.value")
+    return sanitize(table(spark, d, "events"), "tool_arguments", v, label="tool-arguments").select(i, "o.outcome", "o.reason", "o.value")
 
 
 @query("""SELECT event_id, ['ok', 'blocked', 'ok'][event_id % 3 + 1] AS outcome, [NULL, 'unsupported_value', NULL][event_id % 3 + 1] AS reason,
@@ -196,45 +259,57 @@ def tool_results_structured(spark, d):
         .when(i % 3 == 1, '{"content":{"type":"text"}}')
         .otherwise(text_of('{"content":[{"type":"resource","resource":{"uri":"u","text":"', token(i), '"}},{"type":"resource_link","uri":"v","name":"n"}]}'))
     )
-    o = table(spark, d, "events").select(i, sanitize("tool_result", v, label="tool-result").alias("o"))
+    o = sanitize(table(spark, d, "events"), "tool_result", v, label="tool-result")
     blocks = F.size(F.from_json(F.get_json_object("o.value", "$.content"), "array<string>"))
     inner = F.get_json_object("o.value", "$.structuredContent")
     return o.select(i, "o.outcome", "o.reason", F.when(F.col("o.outcome") == "ok", blocks).cast("long").alias("blocks"), F.when(inner.isNotNull(), F.concat(F.lit('{"structuredContent":'), inner, F.lit("}"))).alias("rest"))
 
 
-@query("SELECT code, reason, known FROM (VALUES ('INPUT_LIMIT_EXCEEDED', 'limit_exceeded', 'INPUT_LIMIT_EXCEEDED'), ('TOKEN_LIMIT_EXCEEDED', 'limit_exceeded', 'TOKEN_LIMIT_EXCEEDED'), ('INVALID_STATE', 'lifecycle', 'INVALID_STATE'), ('POLICY_FAILURE', 'core_error', 'POLICY_FAILURE'), ('SOMETHING_ELSE', 'core_error', NULL)) t(code, reason, known)")
+@query("""SELECT event_id, ['ok', 'blocked', 'tool_error'][event_id % 3 + 1] AS outcome, ['result', 'arguments', 'result'][event_id % 3 + 1] AS stage,
+CASE WHEN event_id % 3 = 0 THEN '{"content":[{"type":"text","text":"did {\\"q\\":\\"<SECRET_1>\\"} ' || event_type || '"}]}' END AS value FROM events""")
+def tool_calls_both_ways(spark, d):
+    """Calls: arguments on their way in, results on their way out; a blocked call never reaches the tool, which fails at times."""
+    i = F.col("event_id")
+    calls = table(spark, d, "events").select(i, "event_type", F.when(i % 3 == 1, text_of('{"', token(i), '":1}')).otherwise(text_of('{"q":"', token(i), '"}')).alias("arguments"))
+
+    def tool(df):
+        shown = F.to_json(F.struct(F.array(F.struct(F.lit("text").alias("type"), F.concat(F.lit("did "), "arguments", F.lit(" "), "event_type").alias("text"))).alias("content")))
+        return df.withColumn("result", F.when(i % 3 != 2, shown))
+
+    return call_tools(calls, tool).select(i, "o.outcome", F.col("fg_stage").alias("stage"), "o.value")
+
+
+_CODES = ["INPUT_LIMIT_EXCEEDED", "TOKEN_LIMIT_EXCEEDED", "INVALID_STATE", "POLICY_FAILURE", "SOMETHING_ELSE"]
+
+
+@query(f"SELECT c_custkey, {choice(_CODES, 'c_custkey', True)} AS code, ['limit_exceeded', 'limit_exceeded', 'lifecycle', 'core_error', 'core_error'][c_custkey % 5 + 1] AS reason, CASE WHEN c_custkey % 5 < 4 THEN {choice(_CODES, 'c_custkey', True)} END AS known FROM customer")
 def error_reasons(spark, d):
-    df = spark.createDataFrame([(c,) for c in ("INPUT_LIMIT_EXCEEDED", "TOKEN_LIMIT_EXCEEDED", "INVALID_STATE", "POLICY_FAILURE", "SOMETHING_ELSE")], "code string")
-    return df.select("code", context.error_reason(F.col("code")).alias("r")).select("code", "r.reason", F.col("r.code").alias("known"))
+    df = table(spark, d, "customer").select("c_custkey", choice(_CODES, "c_custkey").alias("code"))
+    return df.select("c_custkey", "code", context.error_reason(F.col("code")).alias("r")).select("c_custkey", "code", "r.reason", F.col("r.code").alias("known"))
 
 
 # --- workloads through boundaries --------------------------------------------------------------------------
 
 
-@query("SELECT 400::BIGINT AS units, 50::BIGINT AS findings, 2::BIGINT AS messages")
+@query("SELECT count(*) AS units, count(*) FILTER (WHERE c_custkey % 8 = 0)::BIGINT AS findings, 2::BIGINT AS messages FROM customer")
 def workload_contexts(spark, d):
-    p = workloads.context_parts(workloads.build(spark, "log-flat", 400))
-    o = p.select(sanitize("context", F.col("parts")).alias("o")).where("o.outcome = 'ok'")
-    return o.agg(F.count("*").alias("units"), F.sum(F.size("o.findings")).alias("findings"), F.max(F.size(F.from_json("o.value", "array<string>"))).cast("long").alias("messages"))
+    o = context.build_context(workloads.context_parts(workloads.build(units(spark, d, "customer"), "log-flat")), "record_id").where("outcome = 'ok'")
+    return o.agg(F.count("*").alias("units"), F.sum("n_findings").alias("findings"), F.max(F.size(F.from_json("messages", "array<string>"))).cast("long").alias("messages"))
 
 
-@query("SELECT 400::BIGINT AS units, 50::BIGINT AS findings")
+@query("SELECT count(*) AS units, count(*) FILTER (WHERE c_custkey % 8 = 0)::BIGINT AS findings FROM customer")
 def workload_tool_results(spark, d):
-    p = workloads.tool_results(workloads.build(spark, "log-flat", 400))
-    o = p.select(sanitize("tool_result", F.col("result"), label="tool-result").alias("o")).where("o.outcome = 'ok'")
+    p = workloads.tool_results(workloads.build(units(spark, d, "customer"), "log-flat"))
+    o = sanitize(p, "tool_result", F.col("result"), label="tool-result").where("o.outcome = 'ok'")
     return o.agg(F.count("*").alias("units"), F.sum(F.size("o.findings")).alias("findings"))
 
 
-@query("SELECT 400::BIGINT AS units, true AS same")
+@query("SELECT count(*) AS units, true AS same FROM customer")
 def workload_parity(spark, d):
     """Streams in chunks and in one piece have the same outcomes, by a hash over what they are."""
-    w = workloads.build(spark, "log-flat", 400)
-    steps = workloads.stream_chunks(w, F.array_join("args", " "))
-    one = workloads.parity(steps.select(sanitize("stream", F.col("steps")).alias("o")), "o")
-    whole = w.select(sanitize("text", F.to_json(F.struct(F.array_join("args", " ").alias("v"))), ToolBoundary()).alias("o")).where("false")
-    texts = w.select(sanitize("text", F.regexp_extract(F.to_json(F.struct(F.array_join("args", " ").alias("v"))), r'^\{"v":(.*)\}$', 1)).alias("o"))
-    two = workloads.parity(texts.unionByName(whole), "o")
-    return one.crossJoin(two.select(F.col("hash").alias("other"))).select("units", (F.col("hash") == F.col("other")).alias("same"))
-
+    w = workloads.build(units(spark, d, "customer"), "log-flat")
+    streams = context.stream_batch(workloads.stream_chunks(w, F.array_join("args", " ")), incremental=True)
+    texts = w.select(context.sanitize_text(F.array_join("args", " ")).alias("o"))
+    both = workloads.parity(streams.select(F.struct("outcome", "reason", "code", "findings").alias("o")), "o").withColumn("of", F.lit("streams")).unionByName(workloads.parity(texts, "o").withColumn("of", F.lit("texts")))
+    return both.agg(F.max("units").alias("units"), (F.count_distinct("hash", "units") == 1).alias("same"))
 
-assert CoreError

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from .activation import activate
-from .config import ScanConfig, bind_scan_config, verify_scan_options
-from .operators.jsonlines import redact_line
+from .config import OptionsError, bind_scan_config, verify_scan_options
+from .operators.lines import redact_lines
 from .operators.walk import Walk, mask_columns
-from .plans import hosts
-from .plans.boundary import Boundary, ToolBoundary, create_boundary
+from .operators.strict import Strict, sanitize_column
+from .plans import hosts, strict
+from .plans.ready import create_strict
 from .sources.lines import read_redacted_lines, redacting_sink
 
 
@@ -31,8 +34,8 @@ class Sanitizer:
     def mask_secrets(self, df: DataFrame, *names: str, outcome: str | None = None) -> DataFrame:
         return mask_columns(df, *names, walk=self.walk, outcome=outcome)
 
-    def redact_line(self, line: Column) -> Column:
-        return redact_line(line, self.config, self.line_limits)
+    def redact_lines(self, df: DataFrame, line: str = "line", outcome: str | None = None) -> DataFrame:
+        return redact_lines(df, line, self.config, self.line_limits, self.walk, outcome=outcome)
 
     def redact_log_calls(self, df: DataFrame, **names) -> DataFrame:
         return hosts.redact_log_calls(df, walk=self.walk, **names)
@@ -46,19 +49,25 @@ class Sanitizer:
     def redact_otel_logs(self, df: DataFrame, outcome: str | None = None) -> DataFrame:
         return hosts.redact_otel_logs(df, Walk(self.config, self.walk.limits, key_context=False, operation=False, count_dropped=True), outcome)
 
-    def boundary(self, **options) -> Boundary:
-        from dataclasses import replace
+    def strict(self, **options) -> Strict:
+        """Checked rules of a boundary over the session's detectors; its policies are the session's, so options that would
+        give it others are refused."""
+        for name in ("evaluate", "formatter", "rules", "pii", "policy", "action_policy"):
+            if options.get(name) is not None:
+                raise OptionsError("CORE_OPTION_UNSUPPORTED", (name,))
+        return replace(create_strict(None, **options), config=self.config)
 
-        return replace(create_boundary(None, **options), config=self.config)
+    def sanitize(self, df: DataFrame, operation: str, value: Column, label: str = "user-input", into: str = "o", **options) -> DataFrame:
+        return strict.sanitize(df, operation, value, self.strict(**options), label, into=into)
 
-    def tool_boundary(self, binary: str = "block", on_audit=None, **options) -> ToolBoundary:
-        return ToolBoundary(self.boundary(**options), binary, on_audit)
+    def sanitize_column(self, df: DataFrame, name: str, outcome: str = "outcome", **options) -> DataFrame:
+        return sanitize_column(df, name, self.strict(**options), outcome)
 
     def read_lines(self, path: str, stream: bool = False) -> DataFrame:
         return read_redacted_lines(self.spark, path, self.config, stream)
 
     def sink(self, write, host=None):
         """A foreachBatch function whose frames reach write only with their value column redacted, after host."""
-        return redacting_sink(lambda df: df.withColumn("value", self.redact_line(df["value"])), write, host)
+        return redacting_sink(lambda df: self.redact_lines(df, "value"), write, host)
 
 

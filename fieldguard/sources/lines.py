@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..config import ScanConfig
-from ..operators.jsonlines import redact_line
+from ..operators.lines import redact_lines
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -21,19 +21,30 @@ def spread(df: DataFrame) -> DataFrame:
 def read_redacted_lines(spark: SparkSession, path: str, config: ScanConfig = ScanConfig(), stream: bool = False) -> DataFrame:
     """(value): the lines of text files, redacted."""
     reader = spark.readStream if stream else spark.read
-    return reader.text(path).select(redact_line(F.col("value"), config).alias("value"))
+    return redact_lines(reader.text(path), "value", config)
 
 
 def redacting_sink(transform: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame, int], None], host: Callable[[DataFrame], DataFrame] | None = None):
-    """A foreachBatch function: the host's own step first, the redaction last, then write. Where the host's step raises, or
-    returns no frame, the batch is redacted as it came."""
+    """A foreachBatch function: the host's own step first, the redaction last, then write. Where the host's step raises, be it
+    when its plan is made or when its rows flow, or returns no frame, the batch is redacted as it came.
+
+    The host's frame is kept (in memory and on disk) once it is made, so what fails in it fails before anything is written, and
+    its step runs once.
+    """
     def run(batch: DataFrame, epoch: int) -> None:
-        shown = batch
+        shown = kept = None
         if host is not None:
             try:
                 shown = host(batch)
+                if isinstance(shown, DataFrame):
+                    kept = shown.persist(StorageLevel.MEMORY_AND_DISK)
+                    kept.write.format("noop").mode("overwrite").save()
             except Exception:
-                shown = batch
-        write(transform(shown if isinstance(shown, DataFrame) else batch), epoch)
+                shown = None
+        try:
+            write(transform(shown if isinstance(shown, DataFrame) else batch), epoch)
+        finally:
+            if kept is not None:
+                kept.unpersist()
 
     return run

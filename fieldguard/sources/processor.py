@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..constants import COUNTS
@@ -15,7 +15,8 @@ class RedactingProcessor:
     """A foreachBatch function. transform adds a column outcome with values (the six counts) and dropped; write exports
     what isn't dropped, and is asked once for flush and shutdown where it has them.
 
-    Outcomes reach notify after the export: (epoch, units, dropped, counts). Neither notify nor a failing flush changes
+    A batch is masked once: its counts are observed while write runs its one action over the frame. Outcomes reach notify
+    after the export: (epoch, units, dropped, counts). Neither notify nor a failing flush changes
     what is exported; dropped units are warned of once. After shutdown batches are discarded.
     """
 
@@ -33,9 +34,11 @@ class RedactingProcessor:
         if self.closed:
             return
         masked = self.transform(batch)
-        values = masked["outcome"]["values"]
-        totals = masked.agg(F.count("*").alias("units"), F.count_if(masked["outcome"]["dropped"]).alias("dropped"), *[F.sum(values[k]).alias(k) for k in COUNTS]).first()
-        self.write(masked.where(~masked["outcome"]["dropped"]).drop("outcome"), epoch)
+        values, seen = masked["outcome"]["values"], Observation(f"processor-{epoch}")
+        # the counts are taken while the one pass that exports runs; dropped units are seen before they are left out
+        counted = masked.observe(seen, F.count(F.lit(1)).alias("units"), F.count_if(masked["outcome"]["dropped"]).alias("dropped"), *[F.sum(values[k]).alias(k) for k in COUNTS])
+        self.write(counted.where(~F.col("outcome.dropped")).drop("outcome"), epoch)
+        totals = seen.get
         if totals["dropped"] and not self.warned:
             self.warned = True
             warnings.warn("units that could not be redacted were dropped", stacklevel=2)

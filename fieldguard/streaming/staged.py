@@ -1,4 +1,7 @@
-"""Staged streams in Structured Streaming: chunks wait in keyed state until their finalize and all before it are there."""
+"""Staged streams in Structured Streaming: chunks wait in keyed state until their finalize and all before it are there.
+
+State holds chunks and places alone; a stream that is complete leaves it as one text, which the plan behind scans.
+"""
 
 from __future__ import annotations
 
@@ -6,12 +9,13 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..config import ScanConfig
-from ..plans.boundary import Boundary
+from ..plans.context import sanitize_text
 
-OUTPUT = "stream_id long, outcome string, value string, reason string, code string"
+DONE = "stream_id long, outcome string, text string, reason string, code string"
 STATE = "seqs array<long>, chunks array<string>, end long, closed boolean, units long"
 
 
@@ -25,8 +29,8 @@ def staged(df: DataFrame, config: ScanConfig = ScanConfig(), limits: dict | None
     millis = pd.Timedelta(idle).value // 1_000_000
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        def out(outcome: str, value: str | None = None, reason: str | None = None, code: str | None = None) -> pd.DataFrame:
-            return pd.DataFrame([[key[0], outcome, value, reason, code]], columns=["stream_id", "outcome", "value", "reason", "code"])
+        def out(outcome: str, text: str | None = None, reason: str | None = None, code: str | None = None) -> pd.DataFrame:
+            return pd.DataFrame([[key[0], outcome, text, reason, code]], columns=["stream_id", "outcome", "text", "reason", "code"])
 
         seqs, chunks, end, closed, units = state.get if state.exists else ([], [], -1, False, 0)
         held = dict(zip(seqs, chunks))
@@ -53,10 +57,13 @@ def staged(df: DataFrame, config: ScanConfig = ScanConfig(), limits: dict | None
                     closed, held = True, {}
                     yield out("blocked", reason="limit_exceeded", code="BUFFER_LIMIT_EXCEEDED")
         if not closed and end >= 0 and all(i in held for i in range(end)):
-            o = Boundary(config, limits).sanitize_text("".join(held[i] for i in range(end)))
+            whole = "".join(held[i] for i in range(end))
             closed, held = True, {}
-            yield out(o.outcome, o.value, o.reason, o.code)
+            yield out("ok", whole)
         state.update((list(held), list(held.values()), end, closed, units))
         state.setTimeoutDuration(millis)
 
-    return df.groupBy("stream_id").applyInPandasWithState(step, OUTPUT, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    done = df.groupBy("stream_id").applyInPandasWithState(step, DONE, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    whole = done.withColumn("fg_o", F.when(F.col("outcome") == "ok", sanitize_text(F.col("text"), None, config, limits)))
+    decided = lambda c, own: F.when(F.col("fg_o").isNotNull(), F.col(f"fg_o.{c}")).otherwise(own).alias(c)
+    return whole.select("stream_id", decided("outcome", F.col("outcome")), decided("value", F.lit(None).cast("string")), decided("reason", F.col("reason")), decided("code", F.col("code")))

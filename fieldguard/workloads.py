@@ -61,12 +61,12 @@ def _nested(seed: Column, depth: int, n: int) -> Column:
     return out
 
 
-def build(spark: SparkSession, profile: str | Profile, n: int) -> DataFrame:
-    """n units of a profile; the same rows in every run."""
+def build(source: SparkSession | DataFrame, profile: str | Profile, n: int | None = None) -> DataFrame:
+    """n units of a profile, or one for each row of a frame with a column id; the same rows in every run."""
     p = PROFILES[profile] if isinstance(profile, str) else profile
     i = F.col("id")
     secret = F.when(i % p.token_every == 0, F.concat(F.lit("key "), token(i))).otherwise("no key")
-    base = spark.range(n)
+    base = source.select("id") if isinstance(source, DataFrame) else source.range(n)
     if p.shape == "span":
         attributes = F.map_from_entries(F.transform(F.sequence(F.lit(1), F.lit(p.attributes)), lambda k: F.struct(F.concat(F.lit("attr."), k.cast("string")), F.when(k == 1, secret).otherwise(words(F.xxhash64(i, k), p.words)))))
         arrays = F.create_map(*[x for k in ("a", "b") for x in (F.lit(k), F.transform(F.sequence(F.lit(1), F.lit(max(1, p.array))), lambda j: words(F.xxhash64(i, j), 2)))])
@@ -92,10 +92,12 @@ def digest(df: DataFrame, *names: str) -> Column:
 
 
 def context_parts(df: DataFrame, key: str = "record_id") -> DataFrame:
-    """Log events as the parts of a context: (key, parts), JSON of a user's text and a tool's value."""
-    text = F.struct(F.lit("user").alias("role"), F.lit("user-input").alias("boundary"), F.concat_ws(" ", "fmt", F.array_join("args", " ")).alias("text"))
-    value = F.struct(F.lit("tool").alias("role"), F.lit("tool-result").alias("boundary"), F.col("obj").alias("value"))
-    return df.select(key, F.concat(F.lit("["), F.to_json(text), F.lit(","), F.to_json(value), F.lit("]")).alias("parts"))
+    """Log events as the parts of contexts: (key, turn, role, text), a user's text and a tool's value as JSON."""
+    parts = F.array(
+        F.struct(F.lit(0).alias("turn"), F.lit("user").alias("role"), F.concat_ws(" ", "fmt", F.array_join("args", " ")).alias("text")),
+        F.struct(F.lit(1).alias("turn"), F.lit("tool").alias("role"), F.to_json("obj").alias("text")),
+    )
+    return df.select(key, F.explode(parts).alias("p")).select(key, "p.*")
 
 
 def tool_results(df: DataFrame, key: str = "record_id") -> DataFrame:
@@ -105,11 +107,11 @@ def tool_results(df: DataFrame, key: str = "record_id") -> DataFrame:
 
 
 def stream_chunks(df: DataFrame, text: Column, key: str = "record_id", size: int = 16) -> DataFrame:
-    """A text of each unit cut into chunks: (key, steps), JSON of appends and one finalize."""
+    """A text of each unit cut into chunks: (stream_id, seq, op, chunk), appends and one finalize."""
     n = F.greatest(F.ceil(F.length(text) / size).cast("int"), F.lit(1))
-    appends = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(F.lit("append").alias("op"), F.substr(text, i * size + 1, F.lit(size)).alias("chunk")))
-    end = F.struct(F.lit("finalize").alias("op"), F.lit("").alias("chunk"))
-    return df.select(key, F.to_json(F.concat(appends, F.array(end))).alias("steps"))
+    appends = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(i.cast("long").alias("seq"), F.lit("append").alias("op"), F.substr(text, i * size + 1, F.lit(size)).alias("chunk")))
+    end = F.struct(n.cast("long").alias("seq"), F.lit("finalize").alias("op"), F.lit(None).cast("string").alias("chunk"))
+    return df.select(F.col(key).alias("stream_id"), F.explode(F.concat(appends, F.array(end))).alias("s")).select("stream_id", "s.*")
 
 
 def brief(outcome: Column) -> Column:

@@ -1,5 +1,6 @@
-"""Strict boundaries, streams, tools and live hosts on small cases."""
+"""Strict boundaries, contexts, streams, tools and live hosts on small cases."""
 
+import json
 import os
 import random
 import shutil
@@ -10,21 +11,31 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldguard.config import OptionsError, ScanConfig, bind_scan_config, resolve_scan_config, scan_config_of, snapshot_action_policy, verify_scan_options
-from fieldguard.functions.python_scanner import CoreError, TextScanner
-from fieldguard.plans.boundary import Boundary, IncrementalScanner, Outcome, ToolBoundary, check_ready, create_boundary, create_tool_boundary, with_default_limits
+from fieldguard.operators.strict import Strict, sanitize_column
+from fieldguard.plans import context
+from fieldguard.plans.ready import check_ready, create_strict, is_strict_limits, with_default_limits
+from fieldguard.plans.strict import call_tools, sanitize
 
 TOKEN = "gh" + "p_" + "SYNTHETICREVOKED0" + "A" * 19
 PEM = "-----BEGIN " + "PRIVATE KEY-----\nabcd\n-----END " + "PRIVATE KEY-----"
 LONG = "synthetic-but-not-a-secret"
-SMALL = {"limits": {"max_input_bytes": 2048, "max_findings": 8, "max_depth": 4, "max_nodes": 32}, "incremental": {"max_input_bytes": 2048, "max_buffered_bytes": 1024, "max_token_bytes": 512, "max_multiline_bytes": 800}}
+LIMITS = {"max_input_bytes": 2048, "max_findings": 8, "max_depth": 4, "max_nodes": 32}
+BOUNDS = {"max_input_bytes": 2048, "max_buffered_bytes": 1024, "max_token_bytes": 512, "max_multiline_bytes": 800}
 
 
 def raising(*_):
     raise RuntimeError("input " + TOKEN)
 
 
-def shown(o: Outcome):
-    return (o.outcome, o.value) if o.ok else (o.outcome, o.reason, o.code)
+def outcomes(spark, operation, values, rules=Strict(), **options):
+    """The outcome of each value, with its value read again."""
+    df = spark.createDataFrame([(i, v if isinstance(v, str) and operation == "raw" else json.dumps(v)) for i, v in enumerate(values)], "i int, v string").repartition(2)
+    rows = sanitize(df, operation, F.col("v"), rules, **options).orderBy("i").collect()
+    return [r["o"] for r in rows]
+
+
+def shown(o):
+    return (o["outcome"], json.loads(o["value"])) if o["outcome"] == "ok" else (o["outcome"], o["reason"], o["code"])
 
 
 #: Values, what becomes of them, and the types of the findings that an ok outcome has.
@@ -41,174 +52,170 @@ VALUES = [
     ({"a": {"b": {"c": {"d": {"e": "x"}}}}}, ("blocked", "limit_exceeded", None), None),
     (["x"] * 40, ("blocked", "limit_exceeded", None), None),
     ({"password": "text of it " * 185}, ("blocked", "limit_exceeded", "INPUT_LIMIT_EXCEEDED"), None),
-    (object(), ("blocked", "unsupported_value", None), None),
     ({"lone": "a\ud800b"}, ("blocked", "core_error", "UNPAIRED_SURROGATE"), None),
     ("secret=EIGHT888 " * 9, ("blocked", "limit_exceeded", "FINDING_LIMIT_EXCEEDED"), None),
 ]
 
 
-@pytest.mark.parametrize("n", range(len(VALUES)))
-def test_values(n):
-    value, want, types = VALUES[n]
-    o = Boundary(**SMALL).sanitize_value(value)
-    assert shown(o) == want
-    assert types is None and not o.findings or [f.type for f in o.findings] == types and len(o.occurrences) == len(types)
-
 
-def test_keys_are_data():
-    value = {"__proto__": {"password": LONG}, "constructor": "x", "": "y"}
-    o = Boundary().sanitize_value(value)
-    assert o.value == {**value, "__proto__": {"password": "<SECRET_1>"}} and list(o.value) == list(value)
 
+def test_values(spark):
+    for o, (_, want, types) in zip(outcomes(spark, "value", [v for v, _, _ in VALUES], Strict(limits=LIMITS)), VALUES):
+        assert shown(o) == want
+        assert types is None and o["findings"] is None or [f["type"] for f in o["findings"]] == types
+
+
+def test_keys_are_data_and_places_of_findings(spark):
+    value = {"__proto__": {"password": LONG}, "constructor": "x", "": "y", "list": [TOKEN, {"k": "secret=EIGHT888"}]}
+    o = outcomes(spark, "value", [value], label="tool-result")[0]
+    assert json.loads(o["value"]) == {**value, "__proto__": {"password": "<SECRET_1>"}, "list": ["<SECRET_1>", {"k": "secret=EIGHT888"}]} and list(json.loads(o["value"])) == list(value)
+    assert [(f["leafOrdinal"], f["rangeScope"], f["boundary"]) for f in o["findings"]] == [(0, "leaf", "tool-result"), (3, "leaf", "tool-result"), (4, "leaf", "tool-result")]
+    both = outcomes(spark, "value", [{"a": TOKEN, "b": [PEM], "c": TOKEN}, {"a": TOKEN, TOKEN: 1}])
+    assert [[(f["rangeScope"], f["leafOrdinal"], f["keyOrdinal"], f["action"]) for f in o["emitted"]] for o in both] == [[("leaf", 0, None, "redact"), ("leaf", 1, None, "block")], [("leaf", 0, None, "redact"), ("key", None, 1, "redact")]]
+
+
+def test_budgets_and_failures_of_values(spark):
+    six = [f"t{k}" for k in range(6)]
+    for operation, value, fine in (({"max_scans": 4}, six, False), ({"max_scans": 4}, ["same"] * 6, True), ({"max_leaves": 5}, six, False), ({"max_keys": 1}, {"a": 1, "b": 2}, False), ({"max_bytes": 11}, six, False), ({"max_bytes": 12}, six, True), ({"max_findings": 1}, [TOKEN, TOKEN], False)):
+        o = outcomes(spark, "value", [value], Strict(operation=operation))[0]
+        assert (o["outcome"], o["reason"], o["code"]) == (("ok", None, None) if fine else ("blocked", "limit_exceeded", None)), operation
+    first = outcomes(spark, "value", [["a", "b", PEM, "c"], [PEM, "a", "b", "c"]], Strict(operation={"max_scans": 2}))
+    assert [o["reason"] for o in first] == ["limit_exceeded", "policy"]  # what comes first decides
+    for config, code in ((ScanConfig(evaluate=raising), "POLICY_FAILURE"), (ScanConfig(evaluate=lambda f: "drop"), "INVALID_POLICY_ACTION"), (ScanConfig(formatter=raising), "PLACEHOLDER_FAILURE")):
+        assert [shown(o) for o in outcomes(spark, "text", [TOKEN, "x"], Strict(config))] == [("blocked", "core_error", code), ("ok", "x")]
+    assert shown(outcomes(spark, "text", [TOKEN], Strict(ScanConfig(formatter=lambda f, n: F.concat(F.lit(f.type + "#"), n))))[0]) == ("ok", "github_token#1")
+    assert shown(outcomes(spark, "value", [{"a": "x"}], Strict(failure="NOT_INITIALIZED"))[0]) == ("blocked", "core_error", "NOT_INITIALIZED")
+    assert [shown(o)[0] for o in outcomes(spark, "text", [7, ["x"]])] == ["blocked"] * 2
+    assert [f["rangeScope"] for f in outcomes(spark, "dispatch", [TOKEN])[0]["findings"]] == ["text"]
+
+
+def test_typed_columns_equal_json(spark):
+    """Strict values of typed columns against the same values as JSON: outcomes, findings and the values released."""
+    r = random.Random(4)
+    text = lambda: r.choice(["plain", "plain", TOKEN, "secret=EIGHT888", "é", "x" * 30, PEM if r.random() < 0.1 else "y", None])
+    rows = [(i, {"name": text(), "password": text(), "n": i, "tags": [text() for _ in range(r.randint(0, 4))], "bag": {(TOKEN if r.random() < 0.05 else f"k{k}"): text() for k in range(r.randint(0, 3))}, "inner": [{"secret": text(), "deep": {"note": [text()]}} for _ in range(r.randint(0, 3))]}) for i in range(80)]
+    schema = "i int, v struct<name:string,password:string,n:int,tags:array<string>,bag:map<string,string>,inner:array<struct<secret:string,deep:struct<note:array<string>>>>>"
+    df = spark.createDataFrame(rows, schema).withColumn("j", F.to_json("v", {"ignoreNullFields": "false"}))
+    seen = set()
+    for rules in (Strict(), Strict(limits={**LIMITS, "max_nodes": 20}), Strict(limits={**LIMITS, "max_depth": 3}), Strict(operation={"max_scans": 9}), Strict(operation={"max_bytes": 200})):
+        both = sanitize(sanitize_column(df, "v", rules, "mine"), "value", F.col("j"), rules, into="theirs").withColumn("v", F.to_json("v", {"ignoreNullFields": "false"}))
+        for x in both.collect():
+            mine, theirs = x["mine"], x["theirs"]
+            assert [mine[k] for k in ("outcome", "reason", "code", "findings", "emitted")] == [theirs[k] for k in ("outcome", "reason", "code", "findings", "emitted")]
+            assert (x["v"] if mine["outcome"] == "ok" else None) == theirs["value"]
+            seen.add((mine["outcome"], mine["reason"]))
+    assert seen == {("ok", None), ("blocked", "policy"), ("blocked", "limit_exceeded")}
+
+
+def test_typed_values_that_cannot_be_released(spark):
+    df = spark.createDataFrame([(1, float("nan"), {1: "x"}, bytearray(b"x")), (2, 1.5, None, None)], "i int, d double, m map<int,string>, b binary")
+    for name in ("d", "m", "b"):
+        got = sanitize_column(df, name).orderBy("i").collect()
+        assert [(x["outcome"]["outcome"], x["outcome"]["reason"]) for x in got] == [("blocked", "unsupported_value"), ("ok", None)] and got[0][name] is None
+    assert "Python" not in sanitize_column(df, "d")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_contexts_share_budget_and_memo(spark):
+    def built(parts, **options):
+        df = spark.createDataFrame([(1, n, *p) for n, p in enumerate(parts)], "conv_id int, turn int, role string, text string")
+        return context.build_context(df, **options).first()
+
+    o = built([("user", "KEY " + TOKEN), ("tool", "x")])
+    assert json.loads(o["messages"]) == [{"role": "user", "content": "KEY <SECRET_1>"}, {"role": "tool", "content": "x"}] and o["n_findings"] == 1
+    assert built([("user", "x"), ("user", PEM)])["reason"] == "policy" and built([("user", "x"), (None, PEM)])["reason"] == "unsupported_value"
+    same = [("user", "same")] * 5
+    assert built(same, operation={"max_scans": 1})["outcome"] == "ok" and built(same, operation={"max_leaves": 4})["reason"] == "limit_exceeded"
+    assert built([("user", "a"), ("user", "b")], operation={"max_scans": 1})["reason"] == "limit_exceeded"
+    assert built([("user", PEM), ("user", "b")], operation={"max_scans": 1})["reason"] == "policy" and built([("user", TOKEN)] * 2, operation={"max_findings": 1})["reason"] == "limit_exceeded"
+    df = spark.createDataFrame([(1, 0, "user", TOKEN), (1, 1, "user", PEM), (1, 2, "user", TOKEN), (2, 0, "user", TOKEN), (2, 1, None, TOKEN)], "conv_id int, turn int, role string, text string")
+    assert sorted((f["conv_id"], f["turn"], f["part"], f["finding"]["action"]) for f in context.context_findings(df).collect()) == [(1, 0, 0, "redact"), (1, 1, 1, "block"), (2, 0, 0, "redact")]
+
+
+def test_streams(spark):
+    life, ok = ("blocked", None, "lifecycle", None), ("ok", "API_KEY=<SECRET_1>", None, None)
+    limit = lambda code: ("blocked", None, "limit_exceeded", code)
+    end, abort = "finalize", "abort"
+    cases = [
+        (["API_KEY=" + TOKEN[:11], TOKEN[11:], (end,)], ok), (["text", (end,), (end,)], life), (["text"], life), (["a", (abort,), "b", (end,)], ("aborted", None, None, None)), (["text", (end,), TOKEN], ("ok", "text", None, None)),
+        (["x\n" + PEM[:30], PEM[30:] + "\n", "y\n", (end,)], ("blocked", None, "policy", None)), (["a", None, (end,)], ("blocked", None, "unsupported_value", None)), (["a", ("fail",), (end,)], ("tool_error", None, None, None)),
+        (["line of it\n" * 200, (end,)], limit("INPUT_LIMIT_EXCEEDED")), (["line of it\n" * 90] * 3 + [(end,)], limit("INPUT_LIMIT_EXCEEDED")), (["x " * 600, (end,)], limit("BUFFER_LIMIT_EXCEEDED")), (["x " * 300, "y " * 300, (end,)], limit("BUFFER_LIMIT_EXCEEDED")),
+        (["x" * 600, (end,)], limit("TOKEN_LIMIT_EXCEEDED")), (["x" * 300, "x" * 300, (end,)], limit("TOKEN_LIMIT_EXCEEDED")), (["x" * 300, " ", "x" * 300, (end,)], ("ok", "x" * 300 + " " + "x" * 300, None, None)),
+        ([PEM[:30] + "QUJD\n" * 170, (end,)], limit("MULTILINE_LIMIT_EXCEEDED")), ([PEM[:20], PEM[20:30] + "QUJD\n" * 100, "QUJD\n" * 70, (end,)], limit("MULTILINE_LIMIT_EXCEEDED")),
+        ([PEM + "\n", "x" * 600, (end,)], ("blocked", None, "policy", None)), (["a line\n" + "x" * 600, "y", (end,)], limit("TOKEN_LIMIT_EXCEEDED")), (["", "", (end,)], ("ok", "", None, None)),
+    ]
+    rows = [(i, n, *(("append", s) if s is None or isinstance(s, str) else (s[0], None))) for i, (steps, _) in enumerate(cases) for n, s in enumerate(steps)]
+    df = spark.createDataFrame(rows, "stream_id int, seq int, op string, chunk string").repartition(3)
+    got = {x["stream_id"]: (x["outcome"], x["value"], x["reason"], x["code"]) for x in context.stream_batch(df, incremental=BOUNDS).collect()}
+    for i, (steps, want) in enumerate(cases):
+        assert got[i] == want, steps
+    assert context.stream_batch(df, incremental=True, failure="NOT_INITIALIZED").where("code = 'NOT_INITIALIZED'").count() == len(cases)
+
+
+def test_every_partition_gives_the_whole(spark):
+    r = random.Random(5)
+    pool = ["plain words\n", "password=hunter2hunter2hunter2\n", f"API_KEY={TOKEN} ", PEM[:39], PEM[39:], "\n", "x", "-----BEGIN ", "é token: 'abcdefghijklmnop' ", "\n\n", "customer email: a@b.example.com ", "----", "-"]
+    whole = ["".join(r.choice(pool) for _ in range(r.randint(1, 12))) for _ in range(120)]
+    rows = []
+    for i, text in enumerate(whole):
+        at = n = 0
+        while at < len(text):
+            k = r.randint(1, 15)
+            rows.append((i, n, "append", text[at : at + k]))
+            at, n = at + k, n + 1
+        rows.append((i, n, "finalize", None))
+    df = spark.createDataFrame(rows, "stream_id int, seq int, op string, chunk string")
+    one = spark.createDataFrame(list(enumerate(whole)), "i int, t string").select("i", context.sanitize_text(F.col("t")).alias("o"))
+    want = {x["i"]: (x["o"]["outcome"], x["o"]["value"], x["o"]["reason"]) for x in one.collect()}
+    assert {x["stream_id"]: (x["outcome"], x["value"], x["reason"]) for x in context.stream_batch(df, incremental=True).collect()} == want
+
+
+def test_tool_results_arguments_and_calls(spark):
+    text = lambda s, **k: {"type": "text", "text": s, **k}
+    image, audio = {"type": "image", "data": TOKEN, "mimeType": "x"}, {"type": "audio", "data": 7}
+    blob = {"type": "resource", "resource": {"uri": "u " + TOKEN, "blob": "AA"}, "note": "n"}
+    bad = [None, [], {"content": {}}, {"content": ["x"]}, {"content": [{"type": "video"}]}, {"content": [image]}, {"content": [{"type": "resource", "resource": "x"}]}, {"content": [{"text": "x"}]}, {"content": [[]]}]
+    assert [o["reason"] for o in outcomes(spark, "tool_result", bad)] == ["unsupported_value"] * len(bad)
+    fine = [{"content": [text("KEY " + TOKEN)], "meta": {"password": LONG}}, {}, {"content": []}, {"content": [{"type": "resource_link", "uri": "v", "data": "scanned " + TOKEN}]}]
+    assert [json.loads(o["value"]) for o in outcomes(spark, "tool_result", fine)] == [{"content": [text("KEY <SECRET_1>")], "meta": {"password": "<SECRET_1>"}}, {}, {"content": []}, {"content": [{"type": "resource_link", "uri": "v", "data": "scanned <SECRET_1>"}]}]
+    passing = outcomes(spark, "tool_result", [{"content": [image, text("x")]}, {"content": [audio]}, {"content": [blob]}, {"content": [text("x", more={"blob": TOKEN, "data": TOKEN})]}], Strict(binary="pass"))
+    assert json.loads(passing[0]["value"]) == {"content": [image, text("x")]} and list(json.loads(passing[0]["value"])["content"][0]) == ["type", "data", "mimeType"] and passing[1]["reason"] == "unsupported_value"
+    assert json.loads(passing[2]["value"])["content"][0] == {"type": "resource", "resource": {"uri": "u <SECRET_1>", "blob": "AA"}, "note": "n"}
+    assert json.loads(passing[3]["value"])["content"][0]["more"] == {"blob": "<SECRET_1>", "data": "<SECRET_1>"}
+    # what only stands beside its key in the text of a part: numbers under a credential's key
+    caught = outcomes(spark, "tool_result", [{"content": [], "api_key": 123456789012345678}, {"content": [text("x", token=1234567890123456789)]}, {"content": [text("token: \"x")]}])
+    assert [o["reason"] for o in caught] == ["policy", "policy", None]
+    assert [shown(o)[0] for o in outcomes(spark, "tool_arguments", [{"a": {"api_key": 1, "b": "x"}}, [1], {TOKEN: 1}])] == ["ok", "blocked", "blocked"]
+    with pytest.raises(TypeError):
+        Strict(binary="keep")
+    seen = []
+    calls = spark.createDataFrame([(1, json.dumps({"password": LONG})), (2, json.dumps({TOKEN: 1})), (3, None), (4, '{"fail":1}')], "id int, arguments string")
 
-def test_cycles_and_shared_parts():
-    loop = []
-    loop.append(loop)
-    shared = {"password": LONG}
-    assert Boundary().sanitize_value(loop).reason == "unsupported_value"
-    o = Boundary().sanitize_value([shared, shared])
-    assert o.value == [{"password": "<SECRET_1>"}] * 2 and [w["leafOrdinal"] for w in o.occurrences] == [0, 1]
-
+    def tool(df):
+        seen.extend(sorted((r["id"], r["arguments"]) for r in df.collect()))
+        return df.withColumn("result", F.when(F.col("id") != 4, F.lit(json.dumps({"content": [text(TOKEN)]}))))
 
-def test_texts_policies_and_telemetry():
-    b = Boundary(**SMALL)
-    assert shown(b.sanitize_text("API_KEY=" + TOKEN)) == ("ok", "API_KEY=<SECRET_1>")
-    assert shown(b.sanitize_text(PEM)) == ("blocked", "policy", None) and shown(b.sanitize_text(7)) == ("blocked", "unsupported_value", None)
-    assert shown(b.sanitize_text("x" * 2049)) == ("blocked", "limit_exceeded", "INPUT_LIMIT_EXCEEDED")
-    assert b.sanitize_text("x", signal=lambda: True).outcome == "aborted" == b.sanitize_text("x", signal=raising).outcome
-    assert shown(Boundary(ScanConfig(evaluate=lambda f: "block")).sanitize_text("secret=EIGHT888")) == ("blocked", "policy", None)
-    assert shown(Boundary(ScanConfig(evaluate=raising)).sanitize_text(TOKEN)) == ("blocked", "core_error", "POLICY_FAILURE")
-    assert shown(Boundary(ScanConfig(evaluate=lambda f: "drop")).sanitize_text(TOKEN)) == ("blocked", "core_error", "INVALID_POLICY_ACTION")
-    assert shown(Boundary(ScanConfig(formatter=raising)).sanitize_text(TOKEN)) == ("blocked", "core_error", "PLACEHOLDER_FAILURE")
-    assert shown(Boundary(ScanConfig(formatter=lambda f, n: 7)).sanitize_text(TOKEN)) == ("blocked", "core_error", "INVALID_PLACEHOLDER")
-    assert shown(Boundary(ScanConfig(formatter=lambda f, n: f"[{f.type}#{n}]")).sanitize_text(TOKEN)) == ("ok", "[github_token#1]")
-    assert shown(Boundary(on_finding=raising).sanitize_text(TOKEN)) == ("ok", "<SECRET_1>")
-    assert shown(Boundary(failure=CoreError("NOT_INITIALIZED")).sanitize_text("x")) == ("blocked", "core_error", "NOT_INITIALIZED")
+    got = {x["id"]: (x["o"]["outcome"], x["fg_stage"]) for x in call_tools(calls, tool).collect()}
+    assert got == {1: ("ok", "result"), 2: ("blocked", "arguments"), 3: ("ok", "result"), 4: ("tool_error", "result")} and [i for i, _ in seen] == [1, 3, 4] and seen[0][1] == '{"password":"<SECRET_1>"}'
 
 
-def test_contexts_share_budget_and_memo():
-    parts = [{"role": "user", "text": "KEY " + TOKEN}, {"role": "tool", "boundary": "tool-result", "value": {"r": "x"}}]
-    seen = []
-    o = Boundary(on_finding=lambda f, label, where: seen.append((label, where["partIndex"]))).build_context(parts)
-    assert o.value == [{"role": "user", "content": "KEY <SECRET_1>"}, {"role": "tool", "content": {"r": "x"}}] and seen == [("user-input", 0)]
-    assert Boundary().build_context([*parts, {"role": "user", "text": PEM}]).reason == "policy"
-    for bad in ([{"text": "x"}], [{"role": 1, "text": "x"}], [{"role": "user"}], ["x"], "x"):
-        assert Boundary().build_context(bad).reason == "unsupported_value"
-    same = [{"role": "user", "text": "same"}] * 5
-    assert Boundary(operation={"max_scans": 1}).build_context(same).ok and not Boundary(operation={"max_leaves": 4}).build_context(same).ok
-    assert not Boundary(operation={"max_scans": 1}).build_context([{"role": "user", "text": "a"}, {"role": "user", "text": "b"}]).ok
-    assert Boundary(limits={"max_input_bytes": 1 << 25}).sanitize_text("x " * (1 << 23)).ok  # one accepted text fits the bytes of an operation
-
-
-def steps(b: Boundary, *chunks, signal=None):
-    s = b.open_stream(signal=signal)
-    out = []
-    for c in chunks:
-        out.append(s.finalize()) if c is None else s.abort() if c is False else s.append(c)
-    return [shown(o) for o in out]
-
-
-def test_streams():
-    b, ok = Boundary(**SMALL), ("ok", "API_KEY=<SECRET_1>")
-    life = ("blocked", "lifecycle", None)
-    assert steps(b, "API_KEY=" + TOKEN[:11], TOKEN[11:], None) == [ok] and steps(b, "API_KEY=" + TOKEN, None, None) == [ok, life]
-    assert steps(b, "text", None, TOKEN, None) == [("ok", "text"), life] and steps(b, "a", False, "b", None) == [("aborted", None, None)]
-    assert steps(b, "x\n" + PEM[:30], PEM[30:] + "\n", "y\n", None) == [("blocked", "policy", None)] and steps(b, 7, None) == [("blocked", "unsupported_value", None)]
-    assert steps(b, "x", None, signal=lambda: True) == [("aborted", None, None)]
-    assert steps(b, "line of it\n" * 200, None) == [("blocked", "limit_exceeded", "INPUT_LIMIT_EXCEEDED")]
-    assert steps(b, "x " * 600, None) == [("blocked", "limit_exceeded", "BUFFER_LIMIT_EXCEEDED")] and steps(b, "x" * 600, None) == [("blocked", "limit_exceeded", "TOKEN_LIMIT_EXCEEDED")]
-    assert steps(b, PEM[:30] + "QUJD\n" * 170, None) == [("blocked", "limit_exceeded", "MULTILINE_LIMIT_EXCEEDED")]
-    assert steps(Boundary(ScanConfig(evaluate=raising)), TOKEN + "\n", None) == [("blocked", "core_error", "POLICY_FAILURE")]
-    assert steps(Boundary(operation={"max_findings": 1}), f"{TOKEN}\n{TOKEN}\n", None) == [("blocked", "limit_exceeded", None)]
-    assert steps(Boundary(failure=CoreError("NOT_INITIALIZED")), "x", None) == [("blocked", "core_error", "NOT_INITIALIZED")]
-
-
-def test_every_partition_gives_the_whole(n=400):
-    r = random.Random(5)
-    pool = ["plain words\n", "password=hunter2hunter2hunter2\n", f"API_KEY={TOKEN} ", PEM[:39], PEM[39:], "\n", "x", "-----BEGIN ", "é token: 'abcdefghijklmnop' ", "\n\n", "customer email: a@b.example.com "]
-    for _ in range(n):
-        text = "".join(r.choice(pool) for _ in range(r.randint(1, 12)))
-        for config in (ScanConfig(), ScanConfig(pii=True)):
-            inc, out, found, at = IncrementalScanner(TextScanner(config)), "", [], 0
-            while at < len(text):
-                k = r.randint(1, 15)
-                a, b = inc.append(text[at : at + k])
-                out, found, at = out + a, found + b, at + k
-            a, b = inc.finalize()
-            assert (out + a, found + b) == TextScanner(config).scan(text)
-            with pytest.raises(CoreError):
-                inc.append("x")
-
-
-def test_tool_results_arguments_and_calls():
-    t, p = ToolBoundary(), ToolBoundary(binary="pass")
-    text = lambda s, **k: {"type": "text", "text": s, **k}
-    assert t.tool_result({"content": [text("KEY " + TOKEN)], "meta": {"password": LONG}}).value == {"content": [text("KEY <SECRET_1>")], "meta": {"password": "<SECRET_1>"}}
-    for bad in (None, [], {"content": {}}, {"content": ["x"]}, {"content": [{"type": "video"}]}, {"content": [{"type": "image", "data": "AA"}]}, {"content": [{"type": "resource", "resource": "x"}]}):
-        assert t.tool_result(bad).reason == "unsupported_value", bad
-    image = {"type": "image", "data": TOKEN, "mimeType": "x"}
-    assert p.tool_result({"content": [image]}).value == {"content": [image]} and list(p.tool_result({"content": [image]}).value["content"][0]) == ["type", "data", "mimeType"]
-    assert p.tool_result({"content": [{"type": "audio", "data": 7}]}).reason == "unsupported_value"
-    blob = {"type": "resource", "resource": {"uri": "u " + TOKEN, "blob": "AA"}, "note": "n"}
-    assert p.tool_result({"content": [blob]}).value["content"][0] == {"type": "resource", "resource": {"uri": "u <SECRET_1>", "blob": "AA"}, "note": "n"}
-    # what only stands beside its key in the JSON of a part: the backstop
-    assert t.tool_arguments({"x\\\"password\\\": \\\"" + "q" * 20: 1}).reason in ("policy", None)
-    assert t.tool_arguments({"a": {"api_key": 1, "b": "x"}}).ok and t.tool_arguments([1]).reason == "unsupported_value" and t.tool_arguments(None, given=False).ok
-    seen, records = [], []
-    audited = ToolBoundary(on_audit=records.append)
-    o = audited.tool_call(lambda a: seen.append(a) or {"content": [text(TOKEN)]}, {"password": LONG}, True)
-    assert o.value == {"content": [text("<SECRET_1>")]} and seen == [{"password": "<SECRET_1>"}]
-    assert audited.tool_call(raising).outcome == "tool_error" and audited.tool_call(raising, {TOKEN: 1}, True).reason == "policy"
-    assert [r["stage"] + ":" + r["outcome"] for r in records] == ["arguments:ok", "result:ok", "arguments:ok", "result:tool_error", "arguments:blocked"]
-    assert "isError" in t.wrap_handler(raising)({}) and t.wrap_handler(lambda a: {"content": [text(TOKEN)]})() == {"content": [text("<SECRET_1>")]}
-    assert t.wrap_handler(lambda a: {"content": []})(None, lambda: True)["isError"] is True
-
-
-def test_streamed_tool_results():
-    t, closed = ToolBoundary(Boundary(**SMALL)), []
-
-    def produce(*chunks):
-        try:
-            yield from chunks
-        finally:
-            closed.append(1)
-
-    assert t.streamed_result(produce("KEY " + TOKEN[:9], TOKEN[9:])).value == {"content": [{"type": "text", "text": "KEY <SECRET_1>"}]}
-    assert t.streamed_result(produce(PEM + "\n", "never pulled")).reason == "policy" and len(closed) == 2
-    assert t.streamed_result(7).reason == "unsupported_value" and t.streamed_result(produce("a", 7)).reason == "unsupported_value"
-    assert t.streamed_result((raising() for _ in range(2))).outcome == "tool_error"
-    calls = iter([False, False, False, True])
-    assert t.streamed_result(produce("a", "b", "c"), lambda: next(calls, True)).outcome == "aborted"
-    assert t.wrap_streamed_handler(lambda a: produce(TOKEN))({"q": 1}) == {"content": [{"type": "text", "text": "<SECRET_1>"}]}
-    assert t.wrap_streamed_handler(raising)()["isError"] is True
-
-
-def test_resources():
-    t, p = ToolBoundary(), ToolBoundary(binary="pass")
+def test_resources(spark):
     read = lambda **c: {"contents": [c]}
-    assert t.resource_result(read(uri="f://" + TOKEN, text="KEY " + TOKEN)).value == read(uri="f://<SECRET_1>", text="KEY <SECRET_1>")
-    for bad in (read(uri="u"), read(uri="u", text="x", blob="AA"), read(uri="u", text=7), read(uri="u", blob="AA"), {}, {"contents": "x"}, {"contents": ["x"]}):
-        assert t.resource_result(bad).reason == "unsupported_value"
-    assert p.resource_result(read(uri="u", blob=TOKEN)).value == read(uri="u", blob=TOKEN)
-    assert t.resource_wire(t.resource_read(raising))["error"]["code"] == -32603 and "message" in t.resource_wire(t.resource_result({}))["error"]
-    assert t.resource_wire(t.resource_read(lambda: read(uri="u", text="x"))) == {"result": read(uri="u", text="x")}
-    assert t.resource_wire(Outcome("aborted")) is None and t.wire(Outcome("aborted")) is None
+    bad = [read(uri="u"), read(uri="u", text="x", blob="AA"), read(uri="u", text=7), read(uri="u", blob="AA"), {}, {"contents": "x"}, {"contents": ["x"]}, []]
+    assert [o["reason"] for o in outcomes(spark, "resource_result", bad, label="resource")] == ["unsupported_value"] * len(bad)
+    assert json.loads(outcomes(spark, "resource_result", [read(uri="f://" + TOKEN, text="KEY " + TOKEN)])[0]["value"]) == read(uri="f://<SECRET_1>", text="KEY <SECRET_1>")
+    assert json.loads(outcomes(spark, "resource_result", [read(uri="u", blob=TOKEN)], Strict(binary="pass"))[0]["value"]) == read(uri="u", blob=TOKEN)
 
 
 def test_options_and_factories(spark):
     assert with_default_limits({})["limits"]["max_depth"] == 16 and with_default_limits({"limits": None})["limits"] is None
-    for bad in ({"ruleset": "x"}, {"scan_limits": {}}, {"scan_config": 1}, {"limits": None}, {"limits": {"max_depth": 1}}, {"limits": {**SMALL["limits"], "max_nodes": 0}}, {"incremental": {}}, {"on_finding": 7}, {"evaluate": 7}, {"evaluate": len, "rules": ((("x",), "warn"),)}):
+    for bad in ({"ruleset": "x"}, {"scan_limits": {}}, {"scan_config": 1}, {"limits": None}, {"limits": {"max_depth": 1}}, {"limits": {**LIMITS, "max_nodes": 0}}, {"incremental": {}}, {"evaluate": 7}, {"evaluate": len, "rules": ((("x",), "warn"),)}):
         with pytest.raises(OptionsError) as e:
-            create_boundary(**bad)
+            create_strict(**bad)
         assert TOKEN not in str(e.value)
-    b = create_boundary(raising)
-    assert shown(b.sanitize_text("x")) == ("blocked", "core_error", "INITIALIZATION_FAILED") == shown(b.sanitize_value({"a": 1})) or shown(b.sanitize_value("x"))[0] == "blocked"
-    assert create_tool_boundary(None, "pass").tool_result({"content": []}).ok
-    for bad in ({"binary": "keep"}, {"on_audit": 7}, {"boundary": 7}):
-        with pytest.raises(TypeError):
-            ToolBoundary(**bad)
-    assert check_ready()["status"] == "ready" and check_ready(raising)["status"] == "activation_failed" and check_ready(limits={"max_depth": 1})["status"] == "limits_invalid"
-    assert check_ready(ruleset="x")["status"] == "options_rejected" and check_ready(evaluate=raising) == {"status": "probe_failed", "stage": "probe", "code": "POLICY_FAILURE"}
+    assert create_strict(raising).failure == "INITIALIZATION_FAILED" and create_strict(None, binary="pass").binary == "pass"
+    assert check_ready(spark)["status"] == "ready" and check_ready(spark, raising)["status"] == "activation_failed" and check_ready(spark, limits={"max_depth": 1})["status"] == "limits_invalid"
+    assert check_ready(spark, ruleset="x")["status"] == "options_rejected" and check_ready(spark, evaluate=raising) == {"status": "probe_failed", "stage": "probe", "code": "POLICY_FAILURE"}
+    assert is_strict_limits({"max_depth": 1, "max_nodes": 0}) and not any(map(is_strict_limits, ({"max_depth": 1}, {"max_depth": -1, "max_nodes": 1}, {"max_depth": 1.5, "max_nodes": 1}, {"max_depth": True, "max_nodes": 1}, None)))
     # scan options: checked once, bound, never beside loose ones
     doc = {"actionPolicyRevision": 1, "base": "default", "rules": []}
     snap = snapshot_action_policy(doc)
@@ -237,15 +244,19 @@ def test_live_hosts(spark, tmp_path):
     df = spark.createDataFrame([("KEY " + TOKEN, "x" * 101)], "a string, b string")
     row = s.mask_secrets(df, outcome="o").first()
     assert (row["a"], row["b"]) == ("KEY <SECRET_1>", "[REDACTED:LIMIT_EXCEEDED]") and row["o"]["counts"]["limited"] == 1
-    assert s.tool_boundary().tool_result({"content": []}).ok and s.boundary().sanitize_text(TOKEN).value == "<SECRET_1>"
+    assert s.sanitize(df, "text", F.get(F.split(F.to_json(F.struct("a")), "[:}]"), F.lit(1))).first()["o"]["value"] == '"KEY <SECRET_1>"' and s.sanitize_column(df, "a").first()["a"] == "KEY <SECRET_1>"
+    for ignored in ({"evaluate": raising}, {"rules": ((("x",), "block"),)}, {"pii": True}):
+        with pytest.raises(OptionsError):
+            s.strict(**ignored)
     assert s.redact_otel_logs(df.select(F.col("a").alias("body"))).first()["body"] == "KEY <SECRET_1>"
     (tmp_path / "l.txt").write_text('{"k":"' + TOKEN + '"}\nno json\n')
     assert [r[0] for r in s.read_lines(str(tmp_path / "l.txt")).collect()] == ['{"k":"<SECRET_1>"}', '{"msg":"[REDACTED:ERROR]"}']
     got = []
     s.sink(lambda f, epoch: got.extend(r["value"] for r in f.collect()), lambda f: f.withColumn("value", F.concat("value", F.lit(" "))))(spark.createDataFrame([('{"k":"' + TOKEN + '"}',)], "value string"), 0)
-    for host in (raising, lambda f: None):
+    broken = F.udf(raising)
+    for host in (raising, lambda f: None, lambda f: f.withColumn("value", broken("value"))):
         s.sink(lambda f, epoch: got.extend(r["value"] for r in f.collect()), host)(spark.createDataFrame([('{"k":"' + TOKEN + '"}',)], "value string"), 1)
-    assert got == ['{"k":"<SECRET_1>"} ', '{"k":"<SECRET_1>"}', '{"k":"<SECRET_1>"}']
+    assert got == ['{"k":"<SECRET_1>"} '] + ['{"k":"<SECRET_1>"}'] * 3
     with pytest.raises(OptionsError):
         Sanitizer(spark, policy=lambda kind, confidence: kind.nonsense())
     spark.conf.unset("spark.fieldguard.activation")
@@ -298,18 +309,6 @@ def test_read_back(spark):
         assert got == want
 
 
-def test_rulesets_never_outrank_built_in_detectors():
-    from fieldguard.config import parse_ruleset
-
-    text = 'ruleset-revision: 1\ndetector: own\nspecificity: contextual\nprefix: "{}"\nalphabet: {}\nrun: at-least {}\nvalidator: none\n'
-    own = ScanConfig(ruleset=parse_ruleset(text.format("gh" + "p_", "alnum", 10)))
-    assert [f.type for f in TextScanner(own).scan(TOKEN)[1]] == ["github_token"] and [f.type for f in TextScanner(own).scan("gh" + "p_" + "a" * 12)[1]] == ["own"]
-    for alphabet, body in (("alnum", "aZ9"), ("alnum-dash", "a-9"), ("hex", "0af"), ("digits", "123")):
-        c = ScanConfig(ruleset=parse_ruleset(text.format("ID-", alphabet, 6)))
-        assert [(f.type, f.confidence, f.action) for f in TextScanner(c).scan("x ID-" + body * 2 + " y")[1]] == [("own", "medium", "warn")]
-        assert not TextScanner(c).scan("x ID-" + body + " y")[1]
-
-
 def test_the_engine_works_without_the_corpus_operators(tmp_path):
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     copy = tmp_path / "repo"
