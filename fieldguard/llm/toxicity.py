@@ -54,7 +54,7 @@ class Rules:
     least_docs: int = 3
     least_weight: float = 1.5
     stem: int = 4
-    longest_stem: int | None = None
+    longest_stem: int | None = 7
     least_letters: int = 1
     window: int = 6
 

@@ -52,7 +52,7 @@ def test_bits_alone_say_how_short_a_secret_may_be():
 def test_terms_of_any_length():
     from fieldguard.llm.toxicity import Rules, candidates
 
-    assert {"a", "go", "extraordinarily", "extr*", "extraordinaril*"} <= candidates("a go extraordinarily", Rules())
+    assert {"a", "go", "extraordinarily", "extr*", "extraor*"} <= candidates("a go extraordinarily", Rules()) and "extraordinaril*" in candidates("extraordinarily", Rules(longest_stem=None))
     few = candidates("a go extraordinarily", Rules(least_letters=3, longest_stem=7))
     assert few == {"extraordinarily", "extr*", "extra*", "extrao*", "extraor*"}
 
