@@ -116,17 +116,18 @@ def test_typed_values_that_cannot_be_released(spark):
 
 
 def test_contexts_share_budget_and_memo(spark):
-    def built(parts, **options):
-        df = spark.createDataFrame([(1, n, *p) for n, p in enumerate(parts)], "conv_id int, turn int, role string, text string")
-        return context.build_context(df, **options).first()
-
-    o = built([("user", "KEY " + TOKEN), ("tool", "x")])
-    assert json.loads(o["messages"]) == [{"role": "user", "content": "KEY <SECRET_1>"}, {"role": "tool", "content": "x"}] and o["n_findings"] == 1
-    assert built([("user", "x"), ("user", PEM)])["reason"] == "policy" and built([("user", "x"), (None, PEM)])["reason"] == "unsupported_value"
     same = [("user", "same")] * 5
-    assert built(same, operation={"max_scans": 1})["outcome"] == "ok" and built(same, operation={"max_leaves": 4})["reason"] == "limit_exceeded"
-    assert built([("user", "a"), ("user", "b")], operation={"max_scans": 1})["reason"] == "limit_exceeded"
-    assert built([("user", PEM), ("user", "b")], operation={"max_scans": 1})["reason"] == "policy" and built([("user", TOKEN)] * 2, operation={"max_findings": 1})["reason"] == "limit_exceeded"
+    cases = [[("user", "KEY " + TOKEN), ("tool", "x")], [("user", "x"), ("user", PEM)], [("user", "x"), (None, PEM)], same, [("user", "a"), ("user", "b")], [("user", PEM), ("user", "b")], [("user", TOKEN)] * 2]
+    df = spark.createDataFrame([(i, n, *p) for i, parts in enumerate(cases) for n, p in enumerate(parts)], "conv_id int, turn int, role string, text string")
+
+    def built(**options):
+        return {x["conv_id"]: x for x in context.build_context(df, **options).collect()}
+
+    o = built()
+    assert json.loads(o[0]["messages"]) == [{"role": "user", "content": "KEY <SECRET_1>"}, {"role": "tool", "content": "x"}] and o[0]["n_findings"] == 1
+    assert [o[i]["reason"] for i in range(7)] == [None, "policy", "unsupported_value", None, None, "policy", None]
+    assert [x["reason"] for _, x in sorted(built(operation={"max_scans": 1}).items())] == ["limit_exceeded", "limit_exceeded", "unsupported_value", None, "limit_exceeded", "policy", None]
+    assert [x["reason"] for _, x in sorted(built(operation={"max_leaves": 4, "max_findings": 1}).items())] == [None, "policy", "unsupported_value", "limit_exceeded", None, "policy", "limit_exceeded"]
     df = spark.createDataFrame([(1, 0, "user", TOKEN), (1, 1, "user", PEM), (1, 2, "user", TOKEN), (2, 0, "user", TOKEN), (2, 1, None, TOKEN)], "conv_id int, turn int, role string, text string")
     assert sorted((f["conv_id"], f["turn"], f["part"], f["finding"]["action"]) for f in context.context_findings(df).collect()) == [(1, 0, 0, "redact"), (1, 1, 1, "block"), (2, 0, 0, "redact")]
 
@@ -174,16 +175,16 @@ def test_tool_results_arguments_and_calls(spark):
     image, audio = {"type": "image", "data": TOKEN, "mimeType": "x"}, {"type": "audio", "data": 7}
     blob = {"type": "resource", "resource": {"uri": "u " + TOKEN, "blob": "AA"}, "note": "n"}
     bad = [None, [], {"content": {}}, {"content": ["x"]}, {"content": [{"type": "video"}]}, {"content": [image]}, {"content": [{"type": "resource", "resource": "x"}]}, {"content": [{"text": "x"}]}, {"content": [[]]}]
-    assert [o["reason"] for o in outcomes(spark, "tool_result", bad)] == ["unsupported_value"] * len(bad)
     fine = [{"content": [text("KEY " + TOKEN)], "meta": {"password": LONG}}, {}, {"content": []}, {"content": [{"type": "resource_link", "uri": "v", "data": "scanned " + TOKEN}]}]
-    assert [json.loads(o["value"]) for o in outcomes(spark, "tool_result", fine)] == [{"content": [text("KEY <SECRET_1>")], "meta": {"password": "<SECRET_1>"}}, {}, {"content": []}, {"content": [{"type": "resource_link", "uri": "v", "data": "scanned <SECRET_1>"}]}]
+    # what only stands beside its key in the text of a part: numbers under a credential's key
+    beside = [{"content": [], "api_key": 123456789012345678}, {"content": [text("x", token=1234567890123456789)]}, {"content": [text("token: \"x")]}]
+    all_ = outcomes(spark, "tool_result", bad + fine + beside)
+    assert [o["reason"] for o in all_[: len(bad)]] == ["unsupported_value"] * len(bad) and [o["reason"] for o in all_[-3:]] == ["policy", "policy", None]
+    assert [json.loads(o["value"]) for o in all_[len(bad) : -3]] == [{"content": [text("KEY <SECRET_1>")], "meta": {"password": "<SECRET_1>"}}, {}, {"content": []}, {"content": [{"type": "resource_link", "uri": "v", "data": "scanned <SECRET_1>"}]}]
     passing = outcomes(spark, "tool_result", [{"content": [image, text("x")]}, {"content": [audio]}, {"content": [blob]}, {"content": [text("x", more={"blob": TOKEN, "data": TOKEN})]}], Strict(binary="pass"))
     assert json.loads(passing[0]["value"]) == {"content": [image, text("x")]} and list(json.loads(passing[0]["value"])["content"][0]) == ["type", "data", "mimeType"] and passing[1]["reason"] == "unsupported_value"
     assert json.loads(passing[2]["value"])["content"][0] == {"type": "resource", "resource": {"uri": "u <SECRET_1>", "blob": "AA"}, "note": "n"}
     assert json.loads(passing[3]["value"])["content"][0]["more"] == {"blob": "<SECRET_1>", "data": "<SECRET_1>"}
-    # what only stands beside its key in the text of a part: numbers under a credential's key
-    caught = outcomes(spark, "tool_result", [{"content": [], "api_key": 123456789012345678}, {"content": [text("x", token=1234567890123456789)]}, {"content": [text("token: \"x")]}])
-    assert [o["reason"] for o in caught] == ["policy", "policy", None]
     assert [shown(o)[0] for o in outcomes(spark, "tool_arguments", [{"a": {"api_key": 1, "b": "x"}}, [1], {TOKEN: 1}])] == ["ok", "blocked", "blocked"]
     with pytest.raises(TypeError):
         Strict(binary="keep")
@@ -201,8 +202,8 @@ def test_tool_results_arguments_and_calls(spark):
 def test_resources(spark):
     read = lambda **c: {"contents": [c]}
     bad = [read(uri="u"), read(uri="u", text="x", blob="AA"), read(uri="u", text=7), read(uri="u", blob="AA"), {}, {"contents": "x"}, {"contents": ["x"]}, []]
-    assert [o["reason"] for o in outcomes(spark, "resource_result", bad, label="resource")] == ["unsupported_value"] * len(bad)
-    assert json.loads(outcomes(spark, "resource_result", [read(uri="f://" + TOKEN, text="KEY " + TOKEN)])[0]["value"]) == read(uri="f://<SECRET_1>", text="KEY <SECRET_1>")
+    got = outcomes(spark, "resource_result", [*bad, read(uri="f://" + TOKEN, text="KEY " + TOKEN)], label="resource")
+    assert [o["reason"] for o in got[:-1]] == ["unsupported_value"] * len(bad) and json.loads(got[-1]["value"]) == read(uri="f://<SECRET_1>", text="KEY <SECRET_1>")
     assert json.loads(outcomes(spark, "resource_result", [read(uri="u", blob=TOKEN)], Strict(binary="pass"))[0]["value"]) == read(uri="u", blob=TOKEN)
 
 

@@ -201,7 +201,7 @@ def test_clean_rows_take_the_short_way_to_the_same_end(spark):
     some = ((None, None), ({"max_array_length": 3}, None), ({"max_object_keys": 6}, None), ({"max_total_leaves": 7}, None), ({"max_nodes": 12}, None), ({"max_string_length": 20}, None), ({"max_depth": 2}, None), (None, {"max_scans": 14}), (None, {"max_keys": 9}), (None, {"max_bytes": 300}))
     for n, (limits, operation) in enumerate(some):
         walk = Walk(ScanConfig(max_input_bytes=60 if n % 2 else None), limits, operation=operation)
-        for names in (("v", "api_key"), ("api_key",)):
+        for names in (("v", "api_key"),):
             short, long_ = (mask_columns(df, *names, walk=walk, outcome=o).select("i", *names) for o in (None, "o"))
             assert sorted(map(repr, short.collect())) == sorted(map(repr, long_.collect()))
 
