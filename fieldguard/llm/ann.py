@@ -48,6 +48,23 @@ def valid_vectors(df: DataFrame, vec_id: str = "vec_id", embedding: str = "embed
     return df.where(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull()).where(fine).select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("v"))
 
 
+#: Ranges of hashes that are counted to choose a sample.
+RANGES = 1 << 12
+
+
+def hashed_sample(good: DataFrame, rows: int) -> DataFrame:
+    """The rows with the smallest hashes of vec_id. Hashes beyond the range that holds the last of them are dropped where they
+    are read: a task's best rows would otherwise all go to the driver, from every task as many as the whole sample has."""
+    part = F.shiftright(F.xxhash64("vec_id"), 64 - RANGES.bit_length() + 1)
+    counted = sorted(good.groupBy(part.alias("part")).count().collect())  # at most RANGES rows
+    upto, last = 0, None
+    for last, n in counted:
+        upto += n
+        if upto >= rows:
+            break
+    return good.where(part <= F.lit(last)).orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(rows)
+
+
 def near_one(x: np.ndarray) -> np.ndarray:
     """Vectors times powers of two, so that their largest components lie between a half and one: squares neither under- nor
     overflow, and no other digit of a vector or of a cosine changes."""
@@ -198,7 +215,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, index: Index = Inde
         return spark.createDataFrame([], none)
     d = dims["d"]
     good = good.where(F.size("v") == d)
-    sample = good.orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(index.sample).toPandas()
+    sample = hashed_sample(good, index.sample).toPandas()
     quantiser = Quantiser(d, index)
     quantiser.fit(np.stack(sample["v"].to_numpy()).astype(np.float64))
     shared = spark.sparkContext.broadcast(quantiser.centres)  # 16 * d numbers
@@ -264,6 +281,6 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, index: Index = Inde
     across = min(code_blocks, -(-cells // down))
     codes = materialize(codes).withColumn("a", F.pmod("g", F.lit(across)).cast("int")).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(down - 1))))
     blocks = materialize(blocks).withColumn("b", F.pmod(F.crc32("own"), F.lit(down)).cast("int")).withColumn("a", F.explode(F.sequence(F.lit(0), F.lit(across - 1))))
-    found = blocks.join(codes, ["a", "b"]).select("asks", "own", "x", "ids", "rows", "codes", "off", codes["v"]).mapInArrow(scan, "query_id long, own long, vec_id long, score double")
+    found = blocks.join(codes.hint("merge"), ["a", "b"]).select("asks", "own", "x", "ids", "rows", "codes", "off", codes["v"]).mapInArrow(scan, "query_id long, own long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("own").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
