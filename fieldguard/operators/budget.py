@@ -26,10 +26,10 @@ def running_sums(df: DataFrame, op: str, ordinal: str, costs: dict[str, Column],
     """
     sizes = df.groupBy(F.col(op).alias("fg_op")).agg(F.count("*").alias("n"), F.min(F.col(ordinal).cast("double")).alias("least"), F.max(F.col(ordinal).cast("double")).alias("most")).where(F.col("n") > rows)
     large = sizes.count()
-    order = Window.partitionBy(op, "fg_range").orderBy(F.asc_nulls_first(ordinal)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    if not large:
-        out = df.withColumn("fg_range", F.lit(0))
-        return out.withColumns({f"used_{k}": F.sum(c.cast("long")).over(order) for k, c in costs.items()}).drop("fg_range")
+    within = lambda *parts: Window.partitionBy(*parts).orderBy(F.asc_nulls_first(ordinal)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if not large:  # dealt by the operation alone, so that grouping by it deals nothing again
+        return df.withColumns({f"used_{k}": F.sum(c.cast("long")).over(within(op)) for k, c in costs.items()})
+    order = within(op, "fg_range")
     share = (F.col(ordinal).cast("double") - F.col("least")) / F.greatest(F.col("most") - F.col("least"), F.lit(1.0))
     range_ = F.coalesce(F.floor(share * F.ceil(F.col("n") / rows)), F.lit(0)).cast("long")
     named = df.join(F.broadcast(sizes) if large <= 10_000 else sizes, F.col(op).eqNullSafe(F.col("fg_op")), "left").withColumn("fg_range", range_).drop("fg_op", "n", "least", "most")

@@ -122,10 +122,10 @@ _OPEN = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-[A-Z -]*)?
 
 
 def _held_sql(most: dict[str, int]) -> str:
-    """struct<held, out, code> after the chunks x: what is held back of them, how many characters were released, and the
-    bound that was passed. Lines are released that can't be part of a longer match: nothing but a key block goes over a
+    """struct<out, code, ..> after the chunks x: how many characters of them were released, and the bound that was passed. Lines are released that can't be part of a longer match: nothing but a key block goes over a
     line's end, and nothing ends inside one."""
-    joined = "concat(q_.held, c_.chunk)"
+    # chunks since the last look stay where they are: in the state, each step would copy all of them
+    joined = "concat(q_.held, array_join(transform(slice(x, q_.since + 1, q_.at - q_.since + 1), y_ -> y_.chunk), ''))"
     opened = f"length(h_) - length(regexp_extract(h_, {quote(_OPEN)}, 0))"
     marks = "translate(substr(h_, 1, n_), '\u0001', ' ')"
     apart = f"split(regexp_replace({marks}, {quote(PRIVATE_KEY)}, '\u0001$0\u0001'), '\u0001', -1)"
@@ -135,17 +135,17 @@ def _held_sql(most: dict[str, int]) -> str:
     runs = lambda text: f"transform(split({text}, {quote(chr(92) + 's+')}), w_ -> octet_length(w_))"
     longest = lambda xs: f"array_max({xs})"
 
-    def after(held: str, out: str, peak: str, run: str, size: str, opened: str, dash: str) -> str:
+    def after(held: str, since: str, end: str, out: str, peak: str, run: str, size: str, opened: str, dash: str) -> str:
         code = f"CASE WHEN {opened} AND {size} > {most['max_multiline_bytes']} THEN 'MULTILINE_LIMIT_EXCEEDED' WHEN NOT ({opened}) AND {peak} > {most['max_token_bytes']} THEN 'TOKEN_LIMIT_EXCEEDED' WHEN {size} > {most['max_buffered_bytes']} THEN 'BUFFER_LIMIT_EXCEEDED' END"
-        return let("e_", code, struct(held=f"CASE WHEN e_ IS NULL THEN {held} ELSE '' END", out=f"CASE WHEN e_ IS NULL THEN {out} ELSE q_.out END", code="e_", peak=peak, run=run, size=size, dash=dash))
+        return let("e_", code, struct(held=f"CASE WHEN e_ IS NULL THEN {held} ELSE '' END", since=since, at="q_.at + 1", end=f"right({end}, 4)", out=f"CASE WHEN e_ IS NULL THEN {out} ELSE q_.out END", code="e_", peak=peak, run=run, size=size, dash=dash))
 
     # text that ends no line and begins no block is only added; what is held back is looked through where it may be released
     first, last = "get(g_, 0)", "get(g_, size(g_) - 1)"
-    added = let("g_", runs("c_.chunk"), after(joined, "q_.out", f"greatest(q_.peak, q_.run + {first}, {longest('g_')})", f"CASE WHEN size(g_) = 1 THEN q_.run + {first} ELSE {last} END", "q_.size + octet_length(c_.chunk)", "false", "false"))
-    looked = let("h_", joined, let("n_", opened, let("k_", kept, let("g_", runs("k_"), after("k_", "q_.out + length(h_) - length(k_)", longest("g_"), last, "octet_length(k_)", "n_ < length(h_)", "contains(k_, '-----')")))))
-    plain = "NOT q_.dash AND NOT contains(c_.chunk, '\\n') AND NOT contains(concat(right(q_.held, 4), c_.chunk), '-----')"
+    added = let("g_", runs("c_.chunk"), after("q_.held", "q_.since", "concat(q_.end, c_.chunk)", "q_.out", f"greatest(q_.peak, q_.run + {first}, {longest('g_')})", f"CASE WHEN size(g_) = 1 THEN q_.run + {first} ELSE {last} END", "q_.size + octet_length(c_.chunk)", "false", "false"))
+    looked = let("h_", joined, let("n_", opened, let("k_", kept, let("g_", runs("k_"), after("k_", "q_.at + 1", "k_", "q_.out + length(h_) - length(k_)", longest("g_"), last, "octet_length(k_)", "n_ < length(h_)", "contains(k_, '-----')")))))
+    plain = "NOT q_.dash AND NOT contains(c_.chunk, '\\n') AND NOT contains(concat(q_.end, c_.chunk), '-----')"
     step = f"CASE WHEN q_.code IS NOT NULL THEN q_ WHEN {plain} THEN {added} ELSE {looked} END"
-    zero = struct(held="''", out="0", code="cast(null as string)", peak="0", run="0", size="0", dash="false")
+    zero = struct(held="''", since="0", at="0", end="''", out="0", code="cast(null as string)", peak="0", run="0", size="0", dash="false")
     return f"aggregate(x, {zero}, (q_, c_) -> {step})"
 
 
