@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..config import ScanConfig
 from ..constants import COUNTS, ERROR, LIMIT
-from ..functions.arrays import apply, fence, let, quote, running_sql, struct
+from ..functions.arrays import among, apply, fence, let, quote, running_sql, struct
 from ..functions.json_text import literal_of
 from .strict import json_events, json_tokens
 from .walk import EVENTS, LEAVES, STEPS, USED, Walk, counts_sql, mask_leaves
@@ -68,11 +68,11 @@ def mask_json(df: DataFrame, column: str, config: ScanConfig = ScanConfig(), lim
     out = out.withColumn("fg_e", json_events(F.col("fg_tokens")))
     given = lambda *names: F.struct(*[F.col(f"fg_{n}").alias(n) for n in names])
     out = out.withColumn("fg_marks", apply(given("tokens", "e"), f"x -> {_marks_sql(walk)}"))
-    kept = f"get(x.marks, i_) IN ({quote(KEEP)}, {quote(NEXT)})"
+    kept = among("get(x.marks, i_)", KEEP, NEXT)
     leaf = struct(k="e_.k" if walk.key_context else "cast(null as string)", t="e_.t")
     out = out.withColumn("fg_l", apply(given("e", "marks"), f"x -> coalesce(filter(transform(x.e, (e_, i_) -> CASE WHEN e_.kind = 'leaf' AND {kept} THEN {leaf} END), lf_ -> lf_ IS NOT NULL), cast(array() as {LEAVES}))"))
     flag = lambda test: f"CASE WHEN {test} THEN 1 ELSE 0 END"
-    event = struct(leaf="e_.kind = 'leaf'", nodes=flag("e_.kind IN ('open', 'node', 'leaf')"), keys=flag("e_.kind = 'key'"), limited=flag(f"get(x.marks, i_) IN ({quote(LIMITED)}, {quote(NEXT_LIMITED)})"), failed="0")
+    event = struct(leaf="e_.kind = 'leaf'", nodes=flag(among("e_.kind", "open", "node", "leaf")), keys=flag("e_.kind = 'key'"), limited=flag(among("get(x.marks, i_)", LIMITED, NEXT_LIMITED)), failed="0")
     events = apply(given("e", "marks"), f"x -> coalesce(cast(filter(transform(x.e, (e_, i_) -> CASE WHEN get(x.marks, i_) <> {quote(DROP)} AND e_.kind <> 'close' THEN {event} END), v_ -> v_ IS NOT NULL) as {EVENTS}), cast(array() as {EVENTS}))")
     out = mask_leaves(out, events, walk, None, bool(outcome))
     # which leaf a token is, by how many came before it

@@ -44,14 +44,15 @@ def value_spans(line: Column) -> Column:
 FINE, LIMITED, BROKEN = 0, 1, 2
 
 
-def redact_lines(df: DataFrame, line: str = "line", config: ScanConfig = ScanConfig(), limits: dict | None = None, walk: Walk | dict | None = None, before: str | None = None, outcome: str | None = None) -> DataFrame:
+def redact_lines(df: DataFrame, line: str = "line", config: ScanConfig = ScanConfig(), limits: dict | None = None, walk: Walk | dict | None = None, before: str | None = None, outcome: str | None = None, usage: bool = True) -> DataFrame:
     """df with its column of lines redacted; a null stays null.
 
     limits: LINE_LIMITS, of which the first that is passed makes the line the fixed one for limits, looked at in the order
     length, literals, their size; then a line that isn't one strict JSON value is the fixed one for errors. A final newline
     stays. Literals that don't change keep their own bytes, escapes included; others are escaped anew. walk: a Walk, or limits
     of one. Literals beyond its array width become the limit marker. before: a column with what the line's operation has
-    spent. outcome names a column struct<counts, usage> with what the operation has spent after it.
+    spent. outcome names a column struct<counts, usage> with what the operation has spent after it, or struct<counts>
+    where usage isn't asked for.
     """
     walk = walk if isinstance(walk, Walk) else Walk(config, walk)
     walk, most, op = replace(walk, config=config), resolve_limits(limits, LINE_LIMITS), operation_limits(walk)
@@ -74,7 +75,7 @@ def redact_lines(df: DataFrame, line: str = "line", config: ScanConfig = ScanCon
     if before:
         zero = F.struct(*[F.coalesce(F.col(before)[u], F.lit(0)).cast("long").alias(u) for u in USED])
         out = out.withColumn("fg_before", zero)
-    out = mask_leaves(out, events, walk, (1, 1), bool(outcome), "fg_before" if before else None)
+    out = mask_leaves(out, events, walk, (1, 1), bool(outcome) and usage, "fg_before" if before else None)
     masked = f"CASE WHEN g_.m IS NULL THEN {quote(None)} WHEN g_.m.text = g_.l.t THEN g_.s.token ELSE {literal_of('g_.m.text')} END"
     fields = F.struct(*[F.col(f"fg_{k}").alias(k) for k in ("turns", "spans", "l", "m", "way")])
     # each value behind all that stands between it and the one before; values that weren't reached are refused
@@ -92,8 +93,8 @@ def redact_lines(df: DataFrame, line: str = "line", config: ScanConfig = ScanCon
         cut = f"greatest(size(x.spans) - {width}, 0)"
         counts = let("n_", counts_sql(), struct(**{k: f"CASE WHEN x.none THEN 0L WHEN x.end <> {FINE} THEN " + (" ".join(["CASE x.end", *[f"WHEN {e} THEN 1L" for e, name in fixed.items() if name == k], "ELSE 0L END"]) if k in fixed.values() else "0L") + f" ELSE n_.{k}" + (f" + {cut}" if k == "limited" else "") + " END" for k in COUNTS}))
         was = (lambda u: f"x.before.{u}") if before else (lambda u: "0L")
-        usage = struct(**{u: f"{was(u)} + CASE WHEN x.none OR x.end <> {FINE} THEN 0L ELSE coalesce(x.a.last.{u}, 0L) END" for u in USED})
-        found[outcome] = apply(whole, f"x -> {struct(counts=counts, usage=usage)}")
+        spends = struct(**{u: f"{was(u)} + CASE WHEN x.none OR x.end <> {FINE} THEN 0L ELSE coalesce(x.a.last.{u}, 0L) END" for u in USED})
+        found[outcome] = apply(whole, f"x -> {struct(counts=counts, usage=spends) if usage else struct(counts=counts)}")
     return out.withColumns({k: fence(c) for k, c in found.items()}).drop("fg_turns", "fg_spans", "fg_end", "fg_text", "fg_before", *STEPS)
 
 
