@@ -75,7 +75,7 @@ def redact_lines(df: DataFrame, line: str = "line", config: ScanConfig = ScanCon
     if before:
         zero = F.struct(*[F.coalesce(F.col(before)[u], F.lit(0)).cast("long").alias(u) for u in USED])
         out = out.withColumn("fg_before", zero)
-    out = mask_leaves(out, events, walk, (1, 1), bool(outcome) and usage, "fg_before" if before else None)
+    out = mask_leaves(out, events, walk, (1, 1), bool(outcome) and usage, "fg_before" if before else None, (F.size("fg_l") + 1, F.lit(0)))
     masked = f"CASE WHEN g_.m IS NULL THEN {quote(None)} WHEN g_.m.text = g_.l.t THEN g_.s.token ELSE {literal_of('g_.m.text')} END"
     fields = F.struct(*[F.col(f"fg_{k}").alias(k) for k in ("turns", "spans", "l", "m", "way")])
     # each value behind all that stands between it and the one before; values that weren't reached are refused
