@@ -15,13 +15,10 @@ from pyspark.sql import functions as F
 from ..config import ScanConfig
 from ..constants import COUNTS, ERROR_LINE, LIMIT, LIMIT_LINE, LINE_LIMITS, resolve_limits
 from ..functions.arrays import apply, fence, let, quote, struct
-from ..functions.json_text import LITERAL, STRING, is_json, literal_of, text_of
+from ..functions.json_text import STRING, is_json, literal_of, text_of, turns_of
 from ..functions.scanner import CUT
 from .walk import EVENTS, LEAVES, SAME, STEPS, USED, Walk, counts_sql, mask_leaves, operation_limits
 
-#: Gaps and literals by turns. A line that holds the sign itself is no JSON.
-_TURNS = f"split(regexp_replace(%s, {quote(LITERAL)}, concat({quote(CUT)}, '$0', {quote(CUT)})), {quote(CUT)}, -1)"
-
 
 def _spans_sql(turns: str) -> str:
     """array<struct<at, token, key, value>> of the literals: at is a literal's place in turns; key the literal of its direct
@@ -37,7 +34,7 @@ def value_spans(line: Column) -> Column:
     whether it is a value."""
     one = struct(token="g_.token", key="substr(g_.key, 2, length(g_.key) - 2)", value="g_.value")
     spans = _spans_sql("r_")
-    return apply(line, f"x -> {let('r_', _TURNS % 'x', f'transform({spans}, g_ -> {one})')}")
+    return apply(line, f"x -> {let('r_', turns_of('x', CUT), f'transform({spans}, g_ -> {one})')}")
 
 
 #: What becomes of a line: redacted, or one of the fixed lines.
@@ -56,15 +53,18 @@ def redact_lines(df: DataFrame, line: str = "line", config: ScanConfig = ScanCon
     """
     walk = walk if isinstance(walk, Walk) else Walk(config, walk)
     walk, most, op = replace(walk, config=config), resolve_limits(limits, LINE_LIMITS), operation_limits(walk)
-    out = df.withColumn("fg_turns", F.expr(f"CASE WHEN length(`{line}`) <= {most['max_line']} THEN {_TURNS % f'`{line}`'} END"))
+    # bytes are known, and characters are no more; a line that holds the sign of a cut itself is no JSON
+    fits = f"octet_length(`{line}`) <= {most['max_line']} OR length(`{line}`) <= {most['max_line']}"
+    out = df.withColumn("fg_json", F.expr(f"CASE WHEN {fits} THEN NOT contains(`{line}`, {quote(CUT)}) AND {is_json(f'`{line}`')} END"))
+    out = out.withColumn("fg_turns", F.expr(f"CASE WHEN fg_json THEN {turns_of(f'`{line}`', CUT, True)} WHEN NOT fg_json THEN {turns_of(f'`{line}`', CUT)} END"))
     out = out.withColumn("fg_spans", apply(F.col("fg_turns"), f"x -> filter({_spans_sql('x')}, g_ -> g_.value)"))
-    size = "aggregate(fg_spans, 0L, (s_, g_) -> s_ + length(g_.token) + coalesce(length(g_.key), 0))"
+    size = lambda of: f"aggregate(fg_spans, 0L, (s_, g_) -> s_ + {of}(g_.token) + coalesce({of}(g_.key), 0))"
     spent = f"coalesce(`{before}`.nodes, 0L)" if before else "0L"
     ends = f"WHEN {spent} + 1 > {op['max_nodes']} THEN {LIMITED} " if op else ""
     if walk.limit("max_depth") <= 0 or walk.limit("max_nodes") <= 0:
         ends = f"WHEN true THEN {BROKEN} "  # the line's own list of literals isn't entered
-    ceilings = f"WHEN fg_turns IS NULL OR size(fg_spans) > {most['max_spans']} OR {size} > {most['max_decode']} THEN {LIMITED}"
-    out = out.withColumn("fg_end", F.expr(f"CASE WHEN `{line}` IS NULL THEN {FINE} {ceilings} WHEN contains(`{line}`, {quote(CUT)}) OR NOT {is_json(f'`{line}`')} THEN {BROKEN} {ends}ELSE {FINE} END"))
+    ceilings = f"WHEN fg_turns IS NULL OR size(fg_spans) > {most['max_spans']} OR {size('octet_length')} > {most['max_decode']} AND {size('length')} > {most['max_decode']} THEN {LIMITED}"
+    out = out.withColumn("fg_end", F.expr(f"CASE WHEN `{line}` IS NULL THEN {FINE} {ceilings} WHEN NOT fg_json THEN {BROKEN} {ends}ELSE {FINE} END"))
     width = walk.limit("max_array_length")
     leaf = struct(k=f"CASE WHEN g_.key IS NOT NULL THEN {text_of('g_.key')} END" if walk.key_context else "cast(null as string)", t=text_of("g_.token"))
     kept = f"slice(x.spans, 1, {width})" if width else "filter(x.spans, g_ -> false)"
@@ -95,7 +95,7 @@ def redact_lines(df: DataFrame, line: str = "line", config: ScanConfig = ScanCon
         was = (lambda u: f"x.before.{u}") if before else (lambda u: "0L")
         spends = struct(**{u: f"{was(u)} + CASE WHEN x.none OR x.end <> {FINE} THEN 0L ELSE coalesce(x.a.last.{u}, 0L) END" for u in USED})
         found[outcome] = apply(whole, f"x -> {struct(counts=counts, usage=spends) if usage else struct(counts=counts)}")
-    return out.withColumns({k: fence(c) for k, c in found.items()}).drop("fg_turns", "fg_spans", "fg_end", "fg_text", "fg_before", *STEPS)
+    return out.withColumns({k: fence(c) for k, c in found.items()}).drop("fg_json", "fg_turns", "fg_spans", "fg_end", "fg_text", "fg_before", *STEPS)
 
 
 def redact_lines_after(df: DataFrame, host: Callable[[Column], Column], line: str = "line", config: ScanConfig = ScanConfig(), limits: dict | None = None) -> DataFrame:
